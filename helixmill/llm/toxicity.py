@@ -35,12 +35,12 @@ TOP = 15
 REMEMBERED = 400_000
 
 
-def windows(text: str | None, words: int) -> list[str]:
+def windows(text: str | None, words: int) -> set[str]:
     """The distinct windows of a text: runs of `words` words, lower-cased, without overlap."""
     tokens = (text or "").lower().split()
     if words == 1:
-        return sorted(set(tokens)) or [""]
-    return sorted({" ".join(tokens[i : i + words]) for i in range(0, len(tokens), words)}) or [""]
+        return set(tokens) or {""}
+    return {" ".join(tokens[i : i + words]) for i in range(0, len(tokens), words)} or {""}
 
 
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -48,7 +48,7 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
     content = content[-16_384:] + TAIL
     held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     how = zstandard.ZstdCompressionParameters(
-        window_log=15, chain_log=13, hash_log=13, search_log=4, min_match=4, target_length=16,
+        window_log=14, chain_log=11, hash_log=11, search_log=4, min_match=4, target_length=16,
         strategy=zstandard.STRATEGY_LAZY2, write_content_size=False, write_checksum=False,
         write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
     )
@@ -75,8 +75,10 @@ class Model:
 
         def place(window: str) -> tuple[int, int]:
             raw = f" {window} ".encode("utf-8", "surrogatepass") + TAIL
-            a, b = len(toxic.compress(raw)) - empty[0], len(ordinary.compress(raw)) - empty[1]
-            return min(TOP, max(0, a)), min(TOP, max(0, b))
+            a = len(toxic.compress(raw)) - empty[0]
+            if 2 * a > len(raw) - len(TAIL):
+                return TOP, 0  # the toxic dictionary has no half of it: the other length can't matter
+            return min(TOP, max(0, a)), min(TOP, max(0, len(ordinary.compress(raw)) - empty[1]))
 
         def places(text: str | None) -> set[tuple[int, int]]:
             found = set()
@@ -98,15 +100,28 @@ class Model:
         return 1 / (1 + math.exp(-min(50.0, max(-50.0, z))))
 
 
+def contexts(texts: list[str], words: int) -> Counter:
+    """In how many settings each window occurs: distinct windows that stand before it.
+
+    Copies of a text, near or exact, add no setting, so that what they share counts little.
+    """
+    pairs = set()
+    for text in texts:
+        tokens = text.lower().split()
+        runs = [" ".join(tokens[i : i + words]) for i in range(0, len(tokens), words)]
+        pairs.update(zip(["", *runs], runs, strict=False))
+    return Counter(w for _, w in pairs)
+
+
 def dictionary(texts: list[str], others: list[str], words: int, size: int, least: float, ratio: float) -> bytes:
-    """Content for a dictionary: windows of many texts that are far rarer in the others.
+    """Content for a dictionary: windows in many settings that are far rarer in the others.
 
     The likeliest windows stand last, where matches cost least.
     """
-    own = Counter(w for t in texts for w in windows(t, words))
-    other = Counter(w for t in others for w in windows(t, words))
+    own, other = contexts(texts, words), contexts(others, words)
     floor = max(2, math.ceil(least * len(texts)))
-    kept = [w for w, n in own.items() if n >= floor and n / len(texts) >= ratio * other[w] / max(1, len(others))]
+    total, rest = sum(own.values()), max(1, sum(other.values()))
+    kept = [w for w, n in own.items() if n >= floor and n / total >= ratio * other[w] / rest]
     content = b""
     for w in sorted(kept, key=lambda w: (-own[w], w)):
         piece = f" {w}".encode("utf-8", "surrogatepass")
@@ -134,7 +149,7 @@ def train(rows: list[tuple[str, int]], words: int = 1) -> Model:
     part = lambda x: ([t for i, t in enumerate(x) if i % 3], [t for i, t in enumerate(x) if i % 3 == 0])
     (toxic_fit, toxic_held), (ordinary_fit, ordinary_held) = part(toxic), part(ordinary)
     model = Model(
-        dictionary(toxic_fit, ordinary_fit, words, 4096, 0.03, 10),
+        dictionary(toxic_fit, ordinary_fit, words, 6000, 0.02, 10),
         dictionary(ordinary_fit, toxic_fit, words, 8192, 0.01, 0),
         words=words,
     )
