@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixmill.llm.shared import WORD, global_rank, written
+from helixmill.llm.shared import WORD, ranked, written
 
 #: Sources up to this number (some MB) are broadcast; more are joined by a shuffle.
 BROADCAST_SOURCES = 50_000
@@ -43,8 +43,8 @@ def targets(docs: DataFrame, most: int = 3) -> DataFrame:
     """
     sizes = docs.select(F.col("source").alias("__source"), word_count(F.col("text")).alias("__size"))
     per_source = sizes.groupBy("__source").agg(F.sum("__size").alias("__source_size"))
-    ranked = global_rank(per_source, F.col("__source").isNull(), F.col("__source"))
-    weighted = written(ranked.withColumn("__weight", (F.col("__rank") - 1) % 3 + 1).drop("__rank"))
+    numbered = ranked(per_source, F.col("__source").isNull(), F.col("__source"), name="__rank")
+    weighted = written(numbered.withColumn("__weight", (F.col("__rank") - 1) % 3 + 1).drop("__rank"))
     limit = F.lit(most) * F.col("__source_size")
     all_of = weighted.agg(F.sum("__source_size").alias("words"), F.sum("__weight").alias("weight")).first()
     words, weight = all_of["words"] or 0, all_of["weight"] or 0

@@ -1,16 +1,17 @@
-"""Helpers that several corpus operators share: written tables, word hashes, blocks."""
+"""Helpers that several corpus operators share: word hashes, blocks of documents."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixmill.operators.tables import ranked, shared_dir, written
+
+__all__ = ["SEPARATORS", "U", "WORD", "Words", "blocked", "mix", "pieces", "ranked", "shared_dir", "words_of", "written"]
+
 #: The bytes that separate words: space and 0x09 to 0x0D.
 SEPARATORS = np.zeros(256, dtype=bool)
 SEPARATORS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -23,44 +24,6 @@ _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; tests, which set none, get a new one."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="helixmill-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-def written(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the shared folder: computed once, without lineage."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def global_rank(df: DataFrame, *keys) -> DataFrame:
-    """df with __rank, 1 for the first in the order of keys; no task sees more than a range.
-
-    Rows are dealt by ranges of the keys and written; each range's count then shifts the
-    ranks inside it. The shifts are one row per range, so they may be broadcast.
-    """
-    from pyspark.sql import Window
-
-    ranges = written(df.repartitionByRange(*keys).withColumn("__range", F.spark_partition_id()))
-    counts = ranges.groupBy("__range").agg(F.count("*").alias("__count"))
-    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = counts.select("__range", F.coalesce(F.sum("__count").over(before), F.lit(0)).alias("__shift"))
-    inside = F.row_number().over(Window.partitionBy("__range").orderBy(*keys))
-    return (
-        ranges.withColumn("__inside", inside)
-        .join(F.broadcast(shifts), "__range")
-        .withColumn("__rank", F.col("__inside") + F.col("__shift"))
-        .drop("__inside", "__shift", "__range")
-    )
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers (the splitmix64 finaliser)."""
     x = x ^ (x >> U(30))
