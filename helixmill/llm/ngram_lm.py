@@ -126,7 +126,7 @@ class Grams:
         start = np.cumsum(size) - size
         line = np.full(int(size.sum()), PAD)
         for i in range(order - 1):
-            line[start + i] = BEGIN
+            line[start + i] = BEGIN + U(i)  # each its own, or a context of fewer would count twice
         shift = np.repeat(start + order - 1 - tokens.first[:-1], counts)
         line[shift + np.arange(len(tokens.hashes))] = tokens.hashes
         line[start + order - 1 + counts] = END
