@@ -101,12 +101,14 @@ class EliasFano:
         at = np.where(high > 0, self._select(np.maximum(high, 1) - 1, False) + 1 - high, 0)
         at = np.where(beyond, self.n, at)
         end = np.minimum(self._select(high, False) - high, self.n)
-        while True:
+        while True:  # halves the part of the bucket that each value may be in
             live = np.flatnonzero(at < end)
-            live = live[self._low(at[live]) < low[live]]
             if not len(live):
                 return at
-            at[live] += 1
+            middle = (at[live] + end[live]) // 2
+            less = self._low(middle) < low[live]
+            at[live] = np.where(less, middle + 1, at[live])
+            end[live] = np.where(less, end[live], middle)
 
 
 QUANTA = 254
