@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from helixmill.functions import sequence as S
@@ -31,21 +31,36 @@ def hamming_pairs(kmers: DataFrame, k: int, most: int) -> DataFrame:
     return found.filter(F.col("i") == first).select("a", "b", "d")
 
 
+def _stars(edges: DataFrame, large: bool) -> DataFrame:
+    """Ties each node's neighbours to the least of them and the node itself: those above it
+    (large, over both directions), or all of them and the node too (small)."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
+    tied = both.join(least, F.col("u") == F.col("n"))
+    if large:
+        return tied.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    own = least.select(F.col("n").alias("u"), F.col("m").alias("v"))
+    return tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(own).filter("u > v")
+
+
 def components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component): the least node reachable over the pairs; alternating stars."""
-    now = written(pairs.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
+    """(node, component) for every node of the pairs; a component is its least node.
+
+    Alternating large and small stars shrink the edges to one star per component in a few
+    rounds (logarithmic in practice). Each round is written to the shared folder, and only its
+    count and checksum come to the driver, observed while it is written. A hub's edges are
+    summed on the map side before its minimum is shuffled.
+    """
+    now = pairs.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     seen = None
     while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(mark) == seen or not mark[0]:
+        watch = Observation()
+        sums = F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")
+        now = written(now.observe(watch, *sums))
+        mark = watch.get["n"], watch.get["sum"]
+        if not mark[0] or mark == seen:
             break
-        seen = tuple(mark)
-        for large in (True, False):
-            both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else now
-            least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
-            tied = both.join(least, F.col("u") == F.col("n"))
-            now = tied.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")) if large else tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select(F.col("n").alias("u"), F.col("m").alias("v")))
-        now = written(now.filter("u > v").distinct())
+        seen, now = mark, _stars(_stars(now, True), False).distinct()
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 

@@ -199,3 +199,10 @@ def test_archives(spark):
     b = spark.createDataFrame([("b", "2", b"z")], "archive string, member string, content binary")
     assert [r.member for r in archives.subtract(a, b).collect()] == ["1"]
     assert archives.add(a, b).count() == 3
+
+
+def test_components(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(50, 40), (40, 45), (9, 9)], "u long, v long")
+    got = {r.node: r.component for r in cluster.components(edges, "u", "v").collect()}
+    assert got == {i: 0 for i in range(21)} | {40: 40, 45: 40, 50: 40}
+    assert cluster.components(edges.limit(0), "u", "v").count() == 0
