@@ -7,13 +7,13 @@ coordinates is kept. Two texts agree in a coordinate with the probability of the
 Jaccard similarity. Only about k ln k darts of a text are looked at, whatever its length.
 
 Signatures are cut into bands; texts that share a band are candidates. Every text of a band
-is compared with the band's least id, and exact similarity decides. Linked texts form
-components. Where a band then still holds several components, its texts outside the band's
+is compared with the band's centre, the text that shares most bands with others, and exact
+similarity decides. Linked texts form components. Where a band then still holds several components, its texts outside the band's
 largest component are compared with all the others, so that no link that a band can show is
 lost and a group of n copies costs about n comparisons, not n squared.
 
 Exact copies are found by digest beforehand and have one signature row among them. Texts of a
-comparison travel by (least id, salt) in lots of bounded number, so that a huge group is
+comparison travel by (centre, salt) in lots of bounded number, so that a huge group is
 spread over many tasks.
 
 With 25 bands of 5 rows a pair of similarity 0.8 is missed with a probability of 5e-5.
@@ -33,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixmill.llm.graph import components
 from helixmill.llm.shared import U, Words, mix, pieces, words_of, written
+from helixmill.operators.cluster import components
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 25, 5
 #: Rank levels: the first reaches 2**LOWEST, each further one doubles that.
@@ -188,34 +188,51 @@ def near_duplicates(
     # One row for each distinct text: that of its least id.
     reps = table.filter(F.col("bands").isNotNull()).join(exact, ["hi", "lo"], "inner").filter("id = rep")
     keyed = reps.select("rep", F.explode("bands").alias("bucket"))
-    full = keyed.groupBy("bucket").agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
-    shared = written(keyed.join(full.filter("least < most").drop("most"), "bucket"))
+    shared = written(with_centres(keyed))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    first = shared.filter("rep <> least").select("least", F.col("rep").alias("other")).distinct()
+    first = shared.filter("rep <> centre").select(F.col("centre").alias("least"), F.col("rep").alias("other")).distinct()
     edges = written(compared(first, texts, size, threshold))
-    second = written(across(shared, written(components(edges))))
+    classes = written(components(edges, "u", "v"))
+    second = written(across(shared, classes))
     if not second.isEmpty():
-        edges = written(edges.unionByName(compared(second, texts, size, threshold)))
-    classes = written(components(edges)).withColumnRenamed("node", "rep")
+        more = compared(second, texts, size, threshold)
+        known = classes.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        classes = written(components(known.unionByName(more), "u", "v"))
+    classes = classes.withColumnRenamed("node", "rep")
     named = exact.join(classes, "rep", "left").select("hi", "lo", F.coalesce("component", "rep").alias("class_id"))
     out = table.select(F.col("id").alias(id_col), "hi", "lo").join(named, ["hi", "lo"], "left")
     return out.select(id_col, F.when(F.col(id_col).isNotNull(), F.col("class_id")).alias("class_id"))
 
 
+def with_centres(keyed: DataFrame) -> DataFrame:
+    """(bucket, rep, centre) of the buckets that several texts share.
+
+    A text's weight is the number of texts in its buckets together. A bucket's centre is its
+    heaviest text (then the least id): in a group of near copies the text that most of them
+    resemble, so that comparing all with it links nearly all of them at once.
+    """
+    full = keyed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = written(keyed.join(full, "bucket"))
+    weights = shared.groupBy("rep").agg(F.sum("n").alias("weight"))
+    best = F.max(F.struct(F.col("weight"), (-F.col("rep")).alias("minus"))).alias("best")
+    centres = shared.join(weights, "rep").groupBy("bucket").agg(best)
+    return shared.select("bucket", "rep").join(centres.select("bucket", (-F.col("best.minus")).alias("centre")), "bucket")
+
+
 def across(shared: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (least, other) that share a bucket but no component yet, less those compared before.
 
     In each bucket the texts outside its largest component meet all texts of other components.
     """
     placed = shared.join(classes.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "bucket", "least", "rep", F.coalesce("component", "rep").alias("part")
+        "bucket", "centre", "rep", F.coalesce("component", "rep").alias("part")
     )
     parts = placed.groupBy("bucket", "part").agg(F.count("*").alias("n"))
     largest = parts.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("top"), F.count("*").alias("parts"))
     several = placed.join(largest.filter("parts > 1"), "bucket")
-    mixed = written(several.select("bucket", "least", "rep", "part", F.col("top.part").alias("top")))
+    mixed = written(several.select("bucket", "centre", "rep", "part", F.col("top.part").alias("top")))
     strays = mixed.filter("part <> top").select("bucket", F.col("rep").alias("stray"), F.col("part").alias("own"))
-    met = strays.join(mixed, "bucket").filter("own <> part AND stray <> rep AND stray <> least AND rep <> least")
+    met = strays.join(mixed, "bucket").filter("own <> part AND stray <> rep AND stray <> centre AND rep <> centre")
     return met.select(F.greatest("stray", "rep").alias("least"), F.least("stray", "rep").alias("other")).distinct()
 
 

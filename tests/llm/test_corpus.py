@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helixmill.llm import dart_minhash, decontamination, elias_fano, graph, license_scan, line_dedup, mixing, ngram_lm, order_minhash, substring_dedup, toxicity, url_filter
+from helixmill.llm import dart_minhash, decontamination, elias_fano, license_scan, line_dedup, mixing, ngram_lm, order_minhash, substring_dedup, toxicity, url_filter
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = "the of and to in is it on as at by for be or was this that from with are".split()
@@ -135,12 +135,6 @@ def test_signatures_estimate_weighted_jaccard():
     assert used.all() and abs((sig[0] == sig[1]).mean() - both / (sum(ca.values()) + sum(cb.values()) - both)) < 0.05
 
 
-def test_components(spark):
-    edges = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(50, 40), (40, 45), (9, 9)], "u long, v long")
-    got = {r.node: r.component for r in graph.components(edges).collect()}
-    assert got == {i: 0 for i in range(21)} | {40: 40, 45: 40, 50: 40}
-
-
 def test_decontamination(spark, docs, empty):
     rows = docs.collect()
     rng = random.Random(9)
