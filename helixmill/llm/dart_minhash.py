@@ -41,6 +41,9 @@ SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 25, 5
 LOWEST = -8
 #: Texts compared with one band's least text in one lot.
 LOT = 200
+#: Up to this number, candidates' ids (8 bytes each) are broadcast, so that only their texts
+#: are shuffled; with more ids the join shuffles all texts.
+BROADCAST_IDS = 1_000_000
 
 
 def multiset(tokens: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,11 +148,15 @@ def compared(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) ->
 
     A least id's others are dealt to lots of about LOT; its text goes once to each lot.
     """
+    pairs = written(pairs)
     lots = pairs.groupBy("least").agg(F.ceil(F.count("*") / LOT).cast("int").alias("lots"))
     lot = F.pmod(F.xxhash64("other"), F.col("lots")).cast("int")
     others = pairs.join(lots, "least").select("least", lot.alias("lot"), F.col("other").alias("id"))
     heads = lots.select("least", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), F.col("least").alias("id"))
     wanted = others.unionByName(heads)
+    ids = written(pairs.select(F.col("least").alias("id")).unionByName(pairs.select(F.col("other").alias("id"))).distinct())
+    if ids.count() <= BROADCAST_IDS:
+        texts = texts.join(F.broadcast(ids), "id", "left_semi")
     with_text = wanted.join(texts, "id")
 
     def judge(group: pa.Table) -> pa.Table:
