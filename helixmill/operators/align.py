@@ -1,9 +1,9 @@
 """Local alignment of probes and primers to amplicons, in Arrow batches.
 
 Scores are 4 for a match, 0 for a mismatch and -12 for each gap letter. A gap costs as much
-as three matches, so without gaps the best score is four times the most matches at one offset,
-which numpy finds for a whole batch of offsets; the full recurrence only runs for pairs where
-a gap could still win. Rows are independent: the work is spread as the rows are.
+as three matches: without gaps the best score is four times the most matches at one offset,
+with one gap it joins two offsets, and numpy finds both for all offsets at once. The full
+recurrence only runs for pairs where two gaps could still win. Rows are independent: the work is spread as the rows are.
 """
 
 from __future__ import annotations
@@ -36,18 +36,27 @@ def expanded(seq: str) -> tuple[str, ...]:
     return tuple("".join(x) for x in product(*[IUPAC.get(c, c) for c in seq.upper()]))
 
 
-def ungapped(probe: np.ndarray, target: np.ndarray) -> tuple[int, int]:
-    """(score, offset) of the best placement without gaps, the first of equal ones; the probe
-    may overhang the target's ends."""
+def placements(probe: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Matches of the probe's first j letters (columns, from 0) at every offset (rows); the
+    probe may overhang the target's ends."""
     n, m = len(probe), len(target)
-    if not n or not m:
-        return 0, 0
     padded = np.zeros(m + 2 * (n - 1), np.uint8)
     padded[n - 1 : n - 1 + m] = target
     sites = np.lib.stride_tricks.sliding_window_view(padded, n)
-    matches = (sites == probe).sum(axis=1)
-    at = int(matches.argmax())
-    return MATCH * int(matches[at]), at - (n - 1)
+    out = np.zeros((len(sites), n + 1), np.int16)
+    np.cumsum(sites == probe, axis=1, out=out[:, 1:])
+    return out
+
+
+def one_gap(first: np.ndarray, most: int) -> int:
+    """The best score with one gap of up to `most` letters, in probe or target, from placements."""
+    n, best = first.shape[1] - 1, 0
+    rest = first[:, -1:] - first
+    for g in range(1, min(most, len(first) - 1) + 1):
+        best = max(best, MATCH * int((first[:-g] + rest[g:]).max()) + GAP * g)
+        if g < n:
+            best = max(best, MATCH * int((first[g:, : n + 1 - g] + rest[:-g, g:]).max()) + GAP * g)
+    return best
 
 
 def local_score(probe: np.ndarray, target: np.ndarray) -> int:
@@ -68,11 +77,18 @@ def local_score(probe: np.ndarray, target: np.ndarray) -> int:
 
 
 def best_score(probe: np.ndarray, target: np.ndarray) -> tuple[int, int]:
-    """(score, offset of the best ungapped placement)."""
-    score, at = ungapped(probe, target)
-    if score >= MATCH * len(probe) + GAP:  # even all matches less one gap don't exceed it
-        return score, at
-    return max(score, local_score(probe, target)), at
+    """(score, offset of the first best placement without gaps)."""
+    n = len(probe)
+    if not n or not len(target):
+        return 0, 0
+    first = placements(probe, target)
+    at = int(first[:, -1].argmax())
+    score = MATCH * int(first[at, -1])
+    if score < MATCH * n + GAP:  # else even all matches less one gap don't exceed it
+        score = max(score, one_gap(first, (MATCH * n - score) // -GAP))
+    if score < MATCH * n + 2 * GAP:  # two gaps could still win
+        score = max(score, local_score(probe, target))
+    return score, at - (n - 1)
 
 
 def probe_site(probe: str, amplicon: str, limit: int) -> tuple[int, int, str] | None:
