@@ -123,7 +123,7 @@ def zip_members(spark: SparkSession, path: str, pattern: str = ".*") -> DataFram
 def _coding(text: str) -> Iterator[tuple[str, list[tuple[int, int, int]], str]]:
     """(record id, parts, sequence) per coding feature; parts are 0-based (start, end, strand)."""
     for record in text.split("\n//"):
-        name = re.search(r"^VERSION\s+(\S+)|^LOCUS\s+(\S+)", record, re.M)
+        name = re.search(r"^VERSION\s+(\S+)", record, re.M) or re.search(r"^LOCUS\s+(\S+)", record, re.M)
         body = re.split(r"^ORIGIN.*$", record, maxsplit=1, flags=re.M)
         if not name or len(body) < 2:
             continue
@@ -132,7 +132,7 @@ def _coding(text: str) -> Iterator[tuple[str, list[tuple[int, int, int]], str]]:
             place = re.sub(r"\s", "", place)
             strand = -1 if place.startswith("complement") else 1
             spans = [(int(a) - 1, int(b), strand) for a, b in re.findall(r"<?(\d+)\.\.>?(\d+)", place)]
-            yield name[1] or name[2], spans, seq
+            yield name[1], spans, seq
 
 
 def genbank_zip(spark: SparkSession, path: str) -> DataFrame:
