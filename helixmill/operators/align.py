@@ -110,6 +110,190 @@ def probe_site(probe: str, amplicon: str, limit: int) -> tuple[int, int, str] |
     return best
 
 
+def sites_of(letters: np.ndarray, target: np.ndarray) -> int:
+    """The offset of the first best placement without gaps."""
+    n, m = len(letters), len(target)
+    padded = np.zeros(m + 2 * (n - 1), np.uint8)
+    padded[n - 1 : n - 1 + m] = target
+    same = np.zeros(m + n - 1, np.uint8 if n < 256 else np.uint16)
+    for i, c in enumerate(letters):
+        same += padded[i : i + len(same)] == c
+    return int(same.argmax()) - (n - 1)
+
+
+class Panel:
+    """All probes of a panel against many amplicons at once.
+
+    Costs count mismatches: a letter that doesn't match or isn't aligned costs 1, a skipped
+    target letter 3 and a skipped probe letter 4, as the scores do. Amplicons lie in one buffer
+    with more blanks between them than an alignment may cost; for every variant and strand,
+    in probe_site's order, numpy adds up the costs of all places. A gap costs 3, so amplicons
+    that have a place of less without gaps are settled, and one gap letter is the most below 6;
+    only from there on the recurrence runs everywhere.
+    """
+
+    BUFFER = 1 << 16
+
+    def __init__(self, probes: list[tuple[str, str]], limit: int):
+        self.probes, self.limit = probes, limit
+        self.entries = []
+        for at, (_, seq) in enumerate(probes):
+            for variant in expanded(seq):
+                self.entries += [(at, complemented(variant).encode("ascii", "replace"), "Minus"), (at, variant.encode("ascii", "replace"), "Plus")]
+        self.longest = max((len(e[1]) for e in self.entries), default=0)
+        self.kind = np.uint8 if self.longest < 250 else np.uint16
+        self.letters = sorted({c for e in self.entries for c in e[1]})
+
+    def laid_out(self, targets: list[np.ndarray]) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """The buffer, and for each amplicon the bounds of its places: (first start, behind the last end)."""
+        blank = 2 * self.longest + self.limit + 4  # bounds don't overlap
+        size = blank + sum(len(t) + blank for t in targets)
+        buffer, at, bounds = np.zeros(size, np.uint8), blank, []
+        for t in targets:
+            buffer[at : at + len(t)] = t
+            bounds.append((at - self.longest, at + len(t) + self.longest))
+            at += len(t) + blank
+        return buffer, bounds
+
+    def swept(self, targets: list[np.ndarray], best: list[tuple[int, int]], gaps: bool) -> None:
+        """Sets best[i] to (cost, entry) of the first entry with the least cost below best[i]'s."""
+        buffer, bounds = self.laid_out(targets)
+        cost = {bytes([c]): (buffer != c).astype(self.kind) for c in self.letters}
+        ceiling = np.zeros(len(buffer), self.kind)
+        for (low, high), b in zip(bounds, best, strict=True):
+            ceiling[low:high] = b[0]
+        starts = np.array([b[0] for b in bounds])
+        total, below, spare = np.empty_like(ceiling), np.empty(len(buffer), bool), np.empty_like(ceiling)
+        for number, (_, letters, _) in enumerate(self.entries):
+            now = self.gapped(letters, cost, total, spare) if gaps else self.ungapped(letters, cost, total)
+            hit = np.less(now, ceiling[: len(now)], out=below[: len(now)])
+            if hit.any():
+                places = np.flatnonzero(hit)
+                for i in np.unique(np.searchsorted(starts, places, "right") - 1).tolist():
+                    low, high = bounds[i]
+                    best[i] = int(now[low : high if gaps else high - len(letters) + 1].min()), number
+                    ceiling[low:high] = best[i][0]
+
+    def ungapped(self, letters: bytes, cost: dict[bytes, np.ndarray], total: np.ndarray) -> np.ndarray:
+        """Costs without gaps by start; three letters' costs are summed once for all entries."""
+        out = total[: len(total) - max(len(letters), 1) + 1]
+        for i in range(0, len(letters), 3):
+            piece = letters[i : i + 3]
+            if piece not in cost:
+                summed = np.zeros_like(total)
+                for j in range(len(piece)):
+                    summed[: len(total) - j] += cost[piece[j : j + 1]][j:]
+                cost[piece] = summed
+            if i:
+                np.add(out, cost[piece][i : i + len(out)], out=out)
+            else:
+                out[:] = cost[piece][: len(out)]
+        if not letters:
+            out[:] = 0
+        return out
+
+    def with_one_gap(self, targets: list[np.ndarray], best: list[tuple[int, int]]) -> None:
+        """As swept with gaps, for costs that leave room for one gap letter.
+
+        It lies in one half of the probe (or between them). The other half has no gap and at
+        most the cost less 3; the recurrence only runs in windows round such halves.
+        """
+        buffer, bounds = self.laid_out(targets)
+        cost = {bytes([c]): (buffer != c).astype(self.kind) for c in self.letters}
+        ceiling = np.zeros(len(buffer), self.kind)
+        for (low, high), b in zip(bounds, best, strict=True):
+            ceiling[low:high] = b[0] + GAP // MATCH + 1
+        total, below = np.empty_like(ceiling), np.empty(len(buffer), bool)
+        found: dict[int, list[tuple[int, np.ndarray]]] = {}
+        own: dict[int, list[tuple[int, int]]] = {}
+        for bound, b in zip(bounds, best, strict=True):
+            own.setdefault(b[1], []).append(bound)
+        for number, (_, letters, _) in enumerate(self.entries):
+            for low, high in own.get(number, []):  # from here on an entry must be better
+                ceiling[low:high] -= 1
+            middle = len(letters) // 2
+            for at, half in ((0, letters[:middle]), (middle, letters[middle:])):
+                now = self.ungapped(half, cost, total)
+                hit = np.less(now, ceiling[: len(now)], out=below[: len(now)])
+                if hit.any():
+                    found.setdefault(len(letters), []).append((number, np.flatnonzero(hit) - at))
+        starts = np.array([b[0] for b in bounds])
+        for n, hits in found.items():
+            numbers = np.concatenate([np.full(len(p), e) for e, p in hits])
+            places = np.concatenate([p for _, p in hits])
+            for cut in range(0, len(places), 1 << 12):
+                entry, place = numbers[cut : cut + (1 << 12)], places[cut : cut + (1 << 12)]
+                index = place[:, None] + np.arange(-1, n + 1)
+                window = np.where((index >= 0) & (index < len(buffer)), buffer[np.clip(index, 0, len(buffer) - 1)], 0)
+                probe = np.frombuffer(b"".join(self.entries[e][1] for e in entry), np.uint8).reshape(-1, n)
+                least = self.recurrence(probe.T[:, None, :], window.T).min(axis=0)
+                owner = np.searchsorted(starts, place + 1, "right") - 1
+                for i, c, e in zip(owner.tolist(), least.tolist(), entry.tolist(), strict=True):
+                    best[i] = min(best[i], (c, e))
+
+    def recurrence(self, probe: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Least costs of each column's probe by end in its target."""
+        now = np.zeros(target.shape, self.kind)
+        for i, letter in enumerate(probe):
+            skipped = now + self.kind(1 - GAP // MATCH)
+            now[1:] = now[:-1].copy()
+            now[0] = i
+            now += target != letter
+            np.minimum(now, skipped, out=now)
+            for _ in range(self.limit * MATCH // -GAP):
+                np.minimum(now[1:], now[:-1] + self.kind(-GAP // MATCH), out=now[1:])
+        return now
+
+    def gapped(self, letters: bytes, cost: dict[bytes, np.ndarray], now: np.ndarray, spare: np.ndarray) -> np.ndarray:
+        """Least costs with gaps by end (index of the last target letter)."""
+        now[:] = 0
+        for i in range(len(letters)):
+            np.add(now, 1 - GAP // MATCH, out=spare)  # this letter is skipped
+            now[1:] = now[:-1].copy()
+            now[0] = i
+            now += cost[letters[i : i + 1]]
+            np.minimum(now, spare, out=now)
+            for _ in range(self.limit * MATCH // -GAP):  # target letters are skipped
+                np.add(now, -GAP // MATCH, out=spare)
+                np.minimum(now[1:], spare[:-1], out=now[1:])
+        return now
+
+    def best(self, amplicons: list[str]) -> list[tuple[str | None, str | None, int | None, int | None, str | None]]:
+        """(ProbeID, Probe_seq, mismatches, 0-based start, strand) of each amplicon's best probe."""
+        targets = [codes(a or "") for a in amplicons]
+        found: list[tuple[int, int]] = [(self.limit + 1, -1)] * len(targets)
+        gap = -GAP // MATCH
+        for low, high in ((None, None), (gap, 2 * gap), (2 * gap, self.limit + 2)):
+            lot, size = [], 0
+            chosen = [i for i, t in enumerate(targets) if len(t) and (low is None or low <= settled[i] < high)]
+            for i in chosen:
+                lot.append(i)
+                size += len(targets[i])
+                if size >= self.BUFFER or i == chosen[-1]:
+                    own, best = [targets[j] for j in lot], [found[j] for j in lot]
+                    if low is None:
+                        self.swept(own, best, False)
+                    elif low == gap:
+                        self.with_one_gap(own, best)
+                    else:  # an earlier entry that is as good with gaps takes the place
+                        best = [(min(c, self.limit) + 1, -1) for c, _ in best]
+                        self.swept(own, best, True)
+                    for j, b in zip(lot, best, strict=True):
+                        found[j] = b
+                    lot, size = [], 0
+            if low is None:
+                settled = [c for c, _ in found]
+        out = []
+        for t, (mismatches, number) in zip(targets, found, strict=True):
+            if number < 0:
+                out.append((None,) * 5)
+                continue
+            probe, letters, strand = self.entries[number]
+            start = sites_of(np.frombuffer(letters, np.uint8), t) if letters else 0
+            out.append((*self.probes[probe], mismatches, max(0, start), strand))
+        return out
+
+
 def primer_site(primer: str, amplicon: str, end: int = 2) -> tuple[int, int] | None:
     """(mismatches, mismatches among the last `end` letters) of a primer's best variant."""
     best = None
@@ -130,7 +314,7 @@ def align_probes(amplicons: DataFrame, probes: DataFrame, limit: int = 3, mux: b
     ProbeStrand of their best probe; nulls where none is within `limit` mismatches.
 
     A probe belongs to an amplicon if the prefixes of its id and of FP_ID are equal; with mux
-    every probe is tried. probes (id, seq) are a panel, sent along as a broadcast value.
+    every probe is tried (see Panel). probes (id, seq) are a panel, sent along as a broadcast value.
     """
     panel = [(r["id"], r["seq"]) for r in probes.orderBy("id").collect()]
     shared = amplicons.sparkSession.sparkContext.broadcast(panel)
@@ -141,11 +325,12 @@ def align_probes(amplicons: DataFrame, probes: DataFrame, limit: int = 3, mux: b
         by_prefix: dict[str, list[tuple[str, str]]] = {}
         for name, seq in shared.value:
             by_prefix.setdefault(name.split("|")[0], []).append((name, seq))
+        whole = Panel(shared.value, limit) if mux else None
         for names, seqs in batches:
-            out = []
-            for name, seq in zip(names, seqs, strict=True):
+            out = whole.best(seqs.tolist()) if whole else []
+            for name, seq in zip(names, seqs, strict=True) if not whole else []:
                 best = (None, None, None, None, None)
-                own = shared.value if mux else by_prefix.get((name or "").split("|")[0], [])
+                own = by_prefix.get((name or "").split("|")[0], [])
                 for probe, letters in own if seq else []:
                     site = probe_site(letters, seq, limit)
                     if site and (best[2] is None or site[0] < best[2]):

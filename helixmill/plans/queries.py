@@ -335,7 +335,7 @@ def ward_clusters(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def probe_align(spark: SparkSession, sf: str) -> DataFrame:
     rows = A.sequences(spark, sf).select("doc_id", F.concat(F.lit("a|"), F.col("doc_id").cast("string")).alias("FP_ID"), F.col("seq").alias("AmpliconSeq"))
-    probes = A.panel(spark, sf, 18).orderBy("id").limit(2).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("id"), F.col("kmer").alias("seq"))
+    probes = A.panel(spark, sf, 18).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("id"), F.col("kmer").alias("seq"))
     return align.align_probes(pcr.usable(rows), probes, 6, mux=True).drop("AmpliconSeq")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from helixmill.functions import sequence as S
 from helixmill.operators import align, cluster
+from helixmill.plans import queries
 
 
 def one(spark, column, **values):
@@ -117,3 +118,32 @@ def test_ward_cuts():
     points = np.array([[0.0, 0], [0.1, 0], [5, 5], [5, 5.1], [9, 0]])
     assert cluster.ward_linkage(points, 3, None).tolist() == [1, 1, 2, 2, 3]
     assert cluster.ward_linkage(points, None, 1.0).tolist() == [1, 1, 2, 2, 3]
+
+
+def test_whole_panel_is_aligned():
+    rng = random.Random(5)
+    for limit in (0, 3, 6):
+        panel = [(f"p{i}", "".join(rng.choice("ACGTR" if i < 2 else "ACGT") for _ in range(rng.choice([9, 12])))) for i in range(6)]
+        seqs = ["", "A"]
+        for _ in range(60):
+            site = list(align.expanded(rng.choice(panel)[1])[0])
+            for _ in range(rng.randint(0, 2)):  # mismatches and gaps
+                at = rng.randrange(len(site))
+                site[at : at + rng.randint(0, 1)] = rng.choice(["", "A", "C", "GT"])
+            letters = "".join(site) if rng.random() < 0.5 else align.complemented("".join(site))
+            seqs.append("".join(rng.choice("ACGT") for _ in range(rng.choice([0, 5, 40]))) + letters + "".join(rng.choice("ACGT") for _ in range(rng.choice([0, 3]))))
+        for seq, got in zip(seqs, align.Panel(panel, limit).best(seqs), strict=True):
+            best = (None,) * 5
+            for name, letters in panel if seq else []:
+                site = align.probe_site(letters, seq, limit)
+                if site and (best[2] is None or site[0] < best[2]):
+                    best = name, letters, *site
+            assert got == best
+
+
+def test_probe_query_tries_every_probe(spark, tmp_path):
+    items = ["ab" * 12, "cd" * 12, "abcd" * 6, "the quick brown fox jumps over"]
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, f"zzz {items[3]} zzz", "en", "s")], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    row = queries.probe_align(spark, str(tmp_path)).first()
+    assert (row.ProbeID, row.Probe_mismatches, row.Probe_startOnAmplicon, row.ProbeStrand) == ("p3", 0, 3, "Plus")
