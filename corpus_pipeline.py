@@ -25,8 +25,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops lines that too many of a source's documents share; n_chars follows the text."""
-    clean = line_dedup.without_boilerplate(docs)
+    """Drops lines that too many of a source's documents share; n_chars follows the text.
+
+    A document that would lose all of its lines keeps them, so that of a group of copies one
+    is left after near-dedup.
+    """
+    clean = line_dedup.without_boilerplate(docs, keep_whole=True)
     length = F.when(F.col("__n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return clean.withColumn("n_chars", length).select(*docs.columns)
 

@@ -12,7 +12,9 @@ shuffle. Pages are then filtered where they are, line by line, in one projection
 Defined results: null text stays null with 0 lines; empty text is one blank line; null hosts
 are one host; a line repeated on a page counts once for its frequency and each of its
 occurrences is dropped; a host with few pages (less than `least`) keeps all; a page whose
-every line is boilerplate keeps its row, with empty text. Other columns pass through.
+every line is boilerplate keeps its row, with empty text, or with all of its lines if
+`keep_whole` is set: such a page is a copy of others, and near-dedup decides which copy stays.
+Other columns pass through.
 """
 
 from __future__ import annotations
@@ -50,7 +52,7 @@ def boilerplate(pages: DataFrame, host: str, text: str, ratio: float = RATIO, le
 
 
 def without_boilerplate(
-    pages: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least: int = LEAST
+    pages: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least: int = LEAST, keep_whole: bool = False
 ) -> DataFrame:
     """pages with `text` less its boilerplate, and __n_lines and __n_dropped."""
     lists = written(boilerplate(pages, host, text, ratio, least))
@@ -63,6 +65,8 @@ def without_boilerplate(
     kept = F.when(bad.isNull(), lines).otherwise(
         F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(bad, line_key(x)))
     )
+    if keep_whole:
+        kept = F.when(F.exists(kept, lambda x: F.trim(x) != ""), kept).otherwise(lines)
     return (
         joined.withColumn("__kept", kept)
         .withColumn("__n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long"))

@@ -53,3 +53,17 @@ def test_stages(spark, folder, tmp_path):
 def test_run(spark, folder):
     rows = corpus_pipeline.run(spark, folder).collect()
     assert rows and {r.copy for r in rows} <= {1, 2, 3} and not {r.doc_id for r in rows} & {2000, 2001, 2002}
+
+
+def test_copies_of_a_third_of_a_source_leave_one(spark):
+    rng = random.Random(23)
+    families = ["\n".join(prose(rng, 12) for _ in range(4)) for _ in range(2)]
+    texts = families * 10 + ["home | about\n" + prose(rng, 40) for _ in range(39)] + ["\n \n"]
+    docs = spark.createDataFrame([(i, t, "en", "one", len(t)) for i, t in enumerate(texts)], DOCS)
+    clean = corpus_pipeline.drop_boilerplate(spark, docs, "")
+    cleaned = {r.doc_id: (r.text, r.n_chars) for r in clean.collect()}
+    for i, t in enumerate(texts):
+        want = t.removeprefix("home | about\n")
+        assert cleaned[i] == (want, len(want))
+    left = [r.text for r in corpus_pipeline.drop_near_duplicates(spark, clean, "").collect()]
+    assert all(left.count(t) == 1 for t in families)
