@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from helixmill.functions import sequence as S
-from helixmill.operators.tables import written
+from helixmill.operators.tables import ranked, written
 
 
 def hamming_pairs(kmers: DataFrame, k: int, most: int) -> DataFrame:
@@ -181,6 +181,30 @@ def greedy_motifs(counts: DataFrame, k: int, most: int, n: int = 20) -> DataFram
     return taken.unionByName(seeds.select(F.col("a").alias("cluster"), F.col("a").alias("kmer")))
 
 
+#: So many ranks make one task's lot in joined_records.
+LOT = 100_000
+
+
+def joined_records(parts: DataFrame, k: int, record: str, order: str, lot: int = LOT) -> DataFrame:
+    """(record, seq) with the same k-long windows, as often, as each record's parts joined in order.
+
+    No record is put together: the parts stay as they are, and each part's last k-1 letters
+    with the k-1 that follow it add the windows across its end. Only those short strings are
+    ranked; lots of neighbouring ranks look ahead, so a record of many parts is dealt out too.
+    """
+    n = k - 1
+    filled = parts.filter(F.length("seq") > 0).select(record, order, "seq")
+    ends = filled.select(record, order, F.left("seq", F.lit(n)).alias("__head"), F.right("seq", F.lit(n)).alias("__tail"))
+    rows = ranked(ends, record, order, "__head", "__tail", name="__rank").withColumn("__lot", F.floor(F.col("__rank") / lot))
+    # A lot's first n rows are also seen from the lot before.
+    lots = F.when(F.col("__rank") % lot < n, F.array(F.col("__lot"), F.col("__lot") - 1)).otherwise(F.array("__lot"))
+    seen = rows.select(record, "__head", "__tail", "__rank", F.col("__lot").alias("__own"), F.explode(lots).alias("__lot"))
+    ahead = Window.partitionBy("__lot").orderBy("__rank")
+    heads = [F.when(F.lead(record, i).over(ahead).eqNullSafe(F.col(record)), F.lead("__head", i).over(ahead)) for i in range(1, n + 1)]
+    across = seen.select(record, "__own", "__lot", F.concat("__tail", F.left(F.concat_ws("", *heads), F.lit(n))).alias("seq"))
+    return filled.select(record, "seq").unionByName(across.filter("__own = __lot").select(record, "seq"))
+
+
 def sketch(records: DataFrame, k: int, record: str, scaled: int = 1) -> DataFrame:
     """(record, hash, abund): canonical k-mers of plain bases whose hash is in the lowest
     1/scaled of all values; scaled=1 keeps all."""

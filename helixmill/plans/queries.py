@@ -296,8 +296,7 @@ def hamming_pairs(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"WITH s AS (SELECT lang || '/' || source AS r, string_agg({_SEQ}, '' ORDER BY doc_id) AS seq FROM documents GROUP BY 1), w AS (SELECT DISTINCT r, least(kmer, {_RC.format('kmer')}) AS c FROM ({_windows(7, True, 'r', 's')})), n AS (SELECT r, count(*) AS n FROM w GROUP BY r), i AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM w a JOIN w b ON a.c = b.c AND a.r <= b.r GROUP BY 1, 2) SELECT a, b, CAST(c AS DOUBLE) / (x.n + y.n - c) AS sim FROM i JOIN n x ON x.r = a JOIN n y ON y.r = b")
 def minhash_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     rows = A.sequences(spark, sf)
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "seq"))), lambda x: x["seq"]), "")
-    groups = rows.groupBy(F.concat_ws("/", "lang", "source").alias("r")).agg(joined.alias("seq"))
+    groups = cluster.joined_records(rows.withColumn("r", F.concat_ws("/", "lang", "source")), 7, "r", "doc_id")
     return cluster.similarity(cluster.sketch(groups, 7, "r"), "r")
 
 

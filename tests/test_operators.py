@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helixmill.operators import archives, cluster, evaluate, intervals, kmers, mapping, pcr
+from helixmill.plans import queries
 
 COMP = str.maketrans("ACGT", "TGCA")
 
@@ -206,3 +207,24 @@ def test_components(spark):
     got = {r.node: r.component for r in cluster.components(edges, "u", "v").collect()}
     assert got == {i: 0 for i in range(21)} | {40: 40, 45: 40, 50: 40}
     assert cluster.components(edges.limit(0), "u", "v").count() == 0
+
+
+@pytest.mark.parametrize("lot", [7, 1000])
+def test_joined_records_have_the_joined_windows(spark, lot):
+    rng = random.Random(lot)
+    rows = [(i, rng.choice("xy"), "".join(rng.choice("ACGT") for _ in range(rng.choice([0, 1, 1, 2, 5, 30])))) for i in range(80)]
+    df = spark.createDataFrame(rows, "i long, r string, seq string").repartition(5)
+    want = Counter()
+    for r in "xy":
+        whole = "".join(s for _, g, s in rows if g == r)
+        want.update((r, whole[i : i + 7]) for i in range(len(whole) - 6))
+    got = cluster.joined_records(df, 7, "r", "i", lot).collect()
+    assert Counter((r, s[i : i + 7]) for r, s in got for i in range(len(s) - 6)) == want
+
+
+def test_groups_are_not_joined_in_one_row(spark, tmp_path):
+    rows = [(i, w * 9, "en", "s") for i, w in enumerate(("alpha", "beta", "gamma"))]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.minhash_jaccard(spark, str(tmp_path))
+    assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in out.collect()] == [("en/s", "en/s", 1.0)]
