@@ -6,6 +6,7 @@ null gives null unless stated.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -45,14 +46,52 @@ def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, _FROM, _TO))
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once for a row, also where body uses it inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _slices(seq: Column, starts: Callable[[Column], Column], length: int) -> Column:
+    """Substrings of `length` letters at the 0-based `starts`, a function of the letters' number.
+
+    Letters are cut out of bytes of one width, so that a slice's cost doesn't grow with its place:
+    one byte a letter in plain ASCII, four in other texts.
+    """
+    plain = lambda s: F.octet_length(s) == F.length(s)
+    coded = lambda s: F.struct(
+        F.when(plain(s), s.cast("binary")).otherwise(F.encode(s, "UTF-32")).alias("raw"), F.when(plain(s), 1).otherwise(4).alias("width")
+    )
+
+    def cut(c: Column) -> Column:
+        part = lambda i: F.substring(c["raw"], i * c["width"] + 1, c["width"] * length)
+        one = lambda i: F.when(c["width"] == 1, part(i).cast("string")).otherwise(F.decode(part(i), "UTF-32"))
+        return F.transform(starts((F.octet_length(c["raw"]) / c["width"]).cast("int")), one)
+
+    return _bound(seq, lambda s: _bound(coded(s), cut))
+
+
 def windows(seq: Column, k: int, full: bool = True) -> Column:
-    """The array of all k-long substrings in order.
+    """The array of all k-long substrings in order; linear in the sequence's length.
 
     full=False leaves out the last one, as the reference's counters do.
     """
-    n = F.length(seq) - (k - 1 if full else k)
-    starts = F.when(n > 0, F.sequence(F.lit(1), F.greatest(n, F.lit(1))))
-    return F.coalesce(F.transform(starts, lambda i: F.substring(seq, i, F.lit(k))), F.array().cast("array<string>"))
+
+    def starts(length: Column) -> Column:
+        n = length - (k - 1 if full else k)
+        return F.when(n > 0, F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1))
+
+    return F.coalesce(_slices(seq, starts, k), F.array().cast("array<string>"))
+
+
+def chunks(seq: Column, size: int, overlap: int) -> Column:
+    """The sequence in pieces of `size` letters, each with the next `overlap` letters behind it.
+
+    Pieces together have each window of overlap+1 letters once; a sequence shorter than such a
+    window is one piece. Null has none.
+    """
+    last = lambda length: F.greatest(length - overlap - 1, F.lit(0))
+    pieces = _slices(seq, lambda length: F.sequence(F.lit(0), last(length), F.lit(size)), size + overlap)
+    return F.when(seq.isNotNull(), pieces)
 
 
 def gc_percent(seq: Column) -> Column:
@@ -128,13 +167,20 @@ def translate_cds(seq: Column) -> Column:
     """Protein of a coding sequence: standard code, stops as *, unknown codons X, a partial
     last codon left out."""
     table = F.create_map(*[F.lit(x) for pair in CODONS.items() for x in pair])
-    n = F.floor(F.length(seq) / 3).cast("int")
-    starts = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1))
-    upper = F.upper(seq)
-    letters = F.transform(starts, lambda i: F.coalesce(F.try_element_at(table, F.substring(upper, i * 3 + 1, F.lit(3))), F.lit("X")))
+    letters = F.transform(codons(F.upper(seq)), lambda c: F.coalesce(F.try_element_at(table, c), F.lit("X")))
     return F.when(seq.isNotNull(), F.coalesce(F.array_join(letters, ""), F.lit("")))
 
 
+def codons(seq: Column) -> Column:
+    """The array of whole codons from the first letter on, null if there is none."""
+
+    def starts(length: Column) -> Column:
+        n = F.floor(length / 3).cast("int")
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: i * 3))
+
+    return _slices(seq, starts, 3)
+
+
 def hamming(a: Column, b: Column) -> Column:
     """Differing positions of two sequences of equal length."""
     pairs = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.when(x == y, 0).otherwise(1))

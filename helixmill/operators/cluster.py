@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from helixmill.functions import sequence as S
+from helixmill.operators.kmers import exploded
 from helixmill.operators.tables import ranked, written
 
 
@@ -208,7 +209,7 @@ def joined_records(parts: DataFrame, k: int, record: str, order: str, lot: int =
 def sketch(records: DataFrame, k: int, record: str, scaled: int = 1) -> DataFrame:
     """(record, hash, abund): canonical k-mers of plain bases whose hash is in the lowest
     1/scaled of all values; scaled=1 keeps all."""
-    rows = records.select(record, F.explode(S.windows(F.col("seq"), k)).alias("kmer")).filter(F.col("kmer").rlike("^[ACGT]+$"))
+    rows = exploded(records, k, keep=(record,)).filter(F.col("kmer").rlike("^[ACGT]+$"))
     canonical = F.least("kmer", S.reverse_complement(F.col("kmer")))
     hashed = rows.select(record, F.xxhash64(canonical).alias("hash"))
     if scaled > 1:

@@ -9,9 +9,19 @@ from helixmill.functions import sequence as S
 from helixmill.operators.tables import ranked
 
 
+#: Letters of a sequence that are cut into windows at once: a genome's windows never stand in one row.
+CHUNK = 1 << 15
+
+
 def exploded(records: DataFrame, k: int, full: bool = True, seq: str = "seq", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(keep..., kmer), a row per window. Other columns don't reach the explosion."""
-    return records.select(*keep, F.explode(S.windows(F.col(seq), k, full)).alias("kmer"))
+    """(keep..., kmer), a row per window. Other columns don't reach the explosion.
+
+    Sequences are first cut into overlapping pieces, so that neither time nor a row's size
+    grows faster than the sequence.
+    """
+    whole = F.col(seq) if full else F.left(F.col(seq), F.length(seq) - 1)
+    pieces = records.select(*keep, F.explode(S.chunks(whole, CHUNK, k - 1)).alias("__piece"))
+    return pieces.select(*keep, F.explode(S.windows(F.col("__piece"), k)).alias("kmer"))
 
 
 def canonical_counts(records: DataFrame, k: int, by: tuple[str, ...] = (), full: bool = False, compat: bool = True) -> DataFrame:
@@ -138,7 +148,7 @@ def ordinal(kmers: DataFrame, start: int = 0) -> DataFrame:
 def protein_kmers(cds: DataFrame, k: int, group: str, seq: Column | None = None) -> DataFrame:
     """(group, kmer): distinct overlapping peptides of each group's translated sequences."""
     protein = S.translate_cds(F.col("seq") if seq is None else seq)
-    return cds.select(group, F.explode(S.windows(protein, k)).alias("kmer")).distinct()
+    return exploded(cds.select(group, protein.alias("protein")), k, seq="protein", keep=(group,)).distinct()
 
 
 def protein_intersection(cds: DataFrame, k: int, group: str) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from helixmill.functions import sequence as S
 from helixmill.operators.intervals import merge
+from helixmill.operators.kmers import CHUNK
+from helixmill.operators.tables import written
 
 #: K-mer tables of up to this number of rows are broadcast.
 BROADCAST_KMERS = 200_000
@@ -19,13 +21,15 @@ def map_kmers(kmers: DataFrame, references: DataFrame, k: int) -> DataFrame:
     Reference windows are looked up once as they are and once complemented; the k-mers are
     broadcast while few, else both sides are shuffled by k-mer.
     """
-    table = kmers.groupBy("kmer").agg(F.max("id").alias("id"))
-    windows = references.select("chrom", F.posexplode(S.windows(F.col("seq"), k)).alias("start", "window"))
+    table = written(kmers.groupBy("kmer").agg(F.max("id").alias("id")))
+    pieces = references.select("chrom", F.posexplode(S.chunks(F.col("seq"), CHUNK, k - 1)).alias("__number", "__piece"))
+    cut = pieces.select("chrom", "__number", F.posexplode(S.windows(F.col("__piece"), k)).alias("__at", "window"))
+    windows = cut.select("chrom", (F.col("__number").cast("long") * CHUNK + F.col("__at")).alias("start"), "window")
     both = table.select("id", "kmer", F.col("kmer").alias("window"), F.lit("+").alias("strand")).unionByName(
         table.select("id", "kmer", S.reverse_complement(F.col("kmer")).alias("window"), F.lit("-").alias("strand"))
     )
     both = F.broadcast(both) if table.count() <= BROADCAST_KMERS else both
-    return windows.join(both, "window").select("id", "kmer", "chrom", F.col("start").cast("long").alias("start"), "strand")
+    return windows.join(both, "window").select("id", "kmer", "chrom", "start", "strand")
 
 
 def as_sam(hits: DataFrame, k: int, compat: bool = False) -> DataFrame:
