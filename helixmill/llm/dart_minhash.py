@@ -8,20 +8,28 @@ Jaccard similarity. Only about k ln k darts of a text are looked at, whatever it
 
 Signatures are cut into bands; texts that share a band are candidates. Every text of a band
 is compared with the band's centre, the text that shares most bands with others, and exact
-similarity decides. Linked texts form components. Where a band then still holds several components, its texts outside the band's
-largest component are compared with all the others, so that no link that a band can show is
-lost and a group of n copies costs about n comparisons, not n squared.
+similarity decides. Linked texts form components.
+
+Where a centre's texts then still stand in several components, links between these are looked
+for without comparing all with all. The comparison with the centre has left each text's
+difference: the shingles that it has more or fewer of. If x isn't linked to the centre, a link
+of x and y asks for a certain overlap of their differences, by the triangle inequality; the
+differences' shingles that no other component has can't be part of it, and of the others the
+rarest must meet (a prefix filter). Both conditions are exact: no pair that is similar enough
+is left out, and a group of n copies costs about n comparisons, not n squared. What passes is
+compared in full like the first pairs.
 
 Exact copies are found by digest beforehand and have one signature row among them. Texts of a
-comparison travel by (centre, salt) in lots of bounded number, so that a huge group is
-spread over many tasks.
+comparison travel by (centre, lot) in lots of bounded number and bytes, so that a huge group
+is spread over many tasks.
 
 With 25 bands of 5 rows a pair of similarity 0.8 is missed with a probability of 5e-5.
 
 Defined results: null and empty texts (or those of white space) are linked to exact copies
-only; a text of 1 to 4 words is one shingle; each row's class is the least id of its component;
-rows of one id share a class; a null id has a null class and is linked to nothing. Words are
-lower-cased (A-Z) and split at white space. Extra columns are not read.
+only; a text of 1 to 4 words is one shingle; each row's class is the least id of its text's
+component, so rows of one id have the same class if their texts are linked, else their own;
+a null id has a null class and is linked to nothing. Words are lower-cased (A-Z) and split at
+white space. Extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,17 +38,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixmill.llm.shared import U, Words, mix, pieces, words_of, written
+from helixmill.llm.shared import U, Words, mix, pieces, unused, words_of, written
 from helixmill.operators.cluster import components
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 25, 5
 #: Rank levels: the first reaches 2**LOWEST, each further one doubles that.
 LOWEST = -8
-#: Texts compared with one band's least text in one lot.
-LOT = 200
+#: Texts compared with one centre in one lot, and their bytes.
+LOT, LOT_BYTES = 200, 16 << 20
 #: Up to this number, candidates' ids (8 bytes each) are broadcast, so that only their texts
 #: are shuffled; with more ids the join shuffles all texts.
 BROADCAST_IDS = 1_000_000
@@ -122,134 +130,203 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def text_key(text: Column) -> Column:
+    """16 bytes that stand for a text: its MD5; null is empty."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
 def signed(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, rows: int) -> DataFrame:
-    """(id, hi, lo, bands): digest halves and band keys of every row; no keys for empty texts."""
+    """(id, key, bytes, bands, row) of every row of docs; no bands for empty texts."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = []
-            for _, tokens in words_of(batch.column(1), lower=True, limit=1 << 19):
+            for _, tokens in words_of(batch.column(3), lower=True, limit=1 << 19):
                 signature, used = signatures(tokens, size, bands * rows)
                 found = band_keys(signature, bands, rows)
                 keys += [k if u else None for k, u in zip(found, used, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(keys, pa.list_(pa.int64()))], names=["id", "digest", "bands"]
-            )
+            columns = [*batch.columns[:3], pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "bytes", "bands"])
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows_in = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.md5(text.cast("binary")).alias("digest"))
-    half = lambda i: F.conv(F.substring("digest", i, 16), 16, -10).cast("long")
-    out = rows_in.mapInArrow(sign, "id bigint, digest string, bands array<bigint>")
-    return out.select("id", half(1).alias("hi"), half(17).alias("lo"), "bands")
-
-
-def compared(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
-    """Of the pairs (least, other) those whose texts reach the threshold, as edges (u, v).
-
-    A least id's others are dealt to lots of about LOT; its text goes once to each lot.
+    rows_in = docs.select(F.col(id_col).alias("id"), text_key(text).alias("key"), F.octet_length(text).alias("bytes"), text.alias("text"))
+    out = rows_in.mapInArrow(sign, "id bigint, key binary, bytes int, bands array<bigint>")
+    return out.withColumn("row", F.monotonically_increasing_id())
+
+
+def difference(head: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> tuple[int, np.ndarray]:
+    """Shingles in common, and the others as 32-bit tokens: one for each shingle that one of
+    the two has more, told apart by which of them and by number."""
+    (grams, counts), (g, c) = head, other
+    at = np.minimum(np.searchsorted(grams, g), len(grams) - 1)
+    same = grams[at] == g
+    both = int(np.minimum(counts[at[same]], c[same]).sum())
+    less = counts.copy()
+    less[at[same]] -= c[same]
+    element = np.concatenate((grams[less > 0], grams[less < 0], g[~same]))
+    more = np.concatenate((less[less > 0], -less[less < 0], c[~same]))
+    sign = np.repeat(np.array([0, 1], np.uint64), [int((less > 0).sum()), len(element) - int((less > 0).sum())])
+    number = np.arange(int(more.sum())) - np.repeat(np.cumsum(more) - more, more)
+    tokens = mix(np.repeat(mix(element + sign), more) + number.astype(np.uint64) * U(0xD6E8FEB86659FD93))
+    return both, (tokens >> U(32)).astype(np.uint32).view(np.int32)
+
+
+def compared(
+    pairs: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, threshold: float, rest: bool
+) -> DataFrame:
+    """The pairs (head, other) of text keys with `linked`, whether their texts reach the threshold.
+
+    With `rest` also the shingles of each (n_head, n_other) and the tokens of their difference.
+    A head's others are dealt to lots; its text goes once to each lot. reps has key, id, bytes.
     """
     pairs = written(pairs)
-    lots = pairs.groupBy("least").agg(F.ceil(F.count("*") / LOT).cast("int").alias("lots"))
-    lot = F.pmod(F.xxhash64("other"), F.col("lots")).cast("int")
-    others = pairs.join(lots, "least").select("least", lot.alias("lot"), F.col("other").alias("id"))
-    heads = lots.select("least", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), F.col("least").alias("id"))
-    wanted = others.unionByName(heads)
-    ids = written(pairs.select(F.col("least").alias("id")).unionByName(pairs.select(F.col("other").alias("id"))).distinct())
-    if ids.count() <= BROADCAST_IDS:
-        texts = texts.join(F.broadcast(ids), "id", "left_semi")
-    with_text = wanted.join(texts, "id")
+    keys = pairs.select(F.col("head").alias("key")).unionByName(pairs.select(F.col("other").alias("key"))).distinct()
+    chosen = written(reps.join(keys, "key").select("key", "id", "bytes"))
+    sized = pairs.join(chosen.select(F.col("key").alias("other"), "bytes"), "other")
+    full = F.greatest(F.count("*") / LOT, F.sum("bytes") / LOT_BYTES)
+    lots = sized.groupBy("head").agg(F.ceil(full).cast("int").alias("lots"))
+    lot = F.pmod(F.xxhash64("other"), F.greatest("lots", F.lit(1))).cast("int")
+    others = pairs.join(lots, "head").select("head", lot.alias("lot"), F.col("other").alias("key"))
+    heads = lots.select("head", F.explode(F.sequence(F.lit(0), F.greatest(F.col("lots"), F.lit(1)) - 1)).alias("lot"), F.col("head").alias("key"))
+    ids = chosen.select("id").distinct()
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    few = chosen.count() <= BROADCAST_IDS
+    texts = texts.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    texts = texts.select(text_key(F.col("text")).alias("key"), "text").dropDuplicates(["key"])
+    with_text = others.unionByName(heads).join(texts, "key")
+    fields = [("head", pa.binary()), ("other", pa.binary()), ("linked", pa.bool_())]
+    if rest:
+        fields += [("n_head", pa.int64()), ("n_other", pa.int64()), ("rest", pa.list_(pa.int32()))]
 
     def judge(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        ids = group.column("id").to_numpy()
-        head = group.column("least")[0].as_py()
-        sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for start, data, offsets in pieces(group.column("text")):
-            tokens = Words(data, offsets, lower=True)
-            text, grams, counts = multiset(tokens, size)
-            cuts = np.searchsorted(text, np.arange(len(tokens) + 1))
-            for i in range(len(tokens)):
-                sets[int(ids[start + i])] = grams[cuts[i] : cuts[i + 1]], counts[cuts[i] : cuts[i + 1]]
-        found = []
-        if head in sets:
-            grams, counts = sets[head]
-            total = counts.sum()
-            for other, (g, c) in sets.items():
-                if other != head and len(g) and len(grams):
-                    at = np.minimum(np.searchsorted(grams, g), len(grams) - 1)
-                    both = np.where(grams[at] == g, np.minimum(counts[at], c), 0).sum()
-                    if both >= threshold * (total + c.sum() - both):
-                        found.append(other)
-        return pa.table({"u": pa.array(found, pa.int64()), "v": pa.array([head] * len(found), pa.int64())})
-
-    return with_text.groupBy("least", "lot").applyInArrow(judge, "u bigint, v bigint")
-
-
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
-    threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
-) -> DataFrame:
-    """(doc_id, class_id) for every row of docs: the least id among its near duplicates."""
-    table = written(signed(docs, id_col, text_col, size, bands, rows))
-    exact = written(table.groupBy("hi", "lo").agg(F.min("id").alias("rep")).filter(F.col("rep").isNotNull()))
-    # One row for each distinct text: that of its least id.
-    reps = table.filter(F.col("bands").isNotNull()).join(exact, ["hi", "lo"], "inner").filter("id = rep")
-    keyed = reps.select("rep", F.explode("bands").alias("bucket"))
-    shared = written(with_centres(keyed))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    first = shared.filter("rep <> centre").select(F.col("centre").alias("least"), F.col("rep").alias("other")).distinct()
-    edges = written(compared(first, texts, size, threshold))
-    classes = written(components(edges, "u", "v"))
-    second = written(across(shared, classes))
-    if not second.isEmpty():
-        more = compared(second, texts, size, threshold)
-        known = classes.select(F.col("node").alias("u"), F.col("component").alias("v"))
-        classes = written(components(known.unionByName(more), "u", "v"))
-    classes = classes.withColumnRenamed("node", "rep")
-    named = exact.join(classes, "rep", "left").select("hi", "lo", F.coalesce("component", "rep").alias("class_id"))
-    out = table.select(F.col("id").alias(id_col), "hi", "lo").join(named, ["hi", "lo"], "left")
-    return out.select(id_col, F.when(F.col(id_col).isNotNull(), F.col("class_id")).alias("class_id"))
+        head, keys = group.column("head")[0].as_py(), group.column("key").to_pylist()
+        own, found = None, []
+        if head in keys:
+            tokens = next(iter(words_of(group.column("text").slice(keys.index(head), 1), lower=True)))[1]
+            own = multiset(tokens, size)[1:]
+        if own is not None and len(own[0]):
+            for start, data, offsets in pieces(group.column("text")):
+                tokens = Words(data, offsets, lower=True)
+                text, grams, counts = multiset(tokens, size)
+                cuts = np.searchsorted(text, np.arange(len(tokens) + 1))
+                for i in range(len(tokens)):
+                    span = slice(cuts[i], cuts[i + 1])
+                    if keys[start + i] != head and cuts[i] < cuts[i + 1]:
+                        both, left = difference(own, (grams[span], counts[span]))
+                        n, m = int(own[1].sum()), int(counts[span].sum())
+                        found.append((head, keys[start + i], both >= threshold * (n + m - both), n, m, left)[: len(fields)])
+        columns = zip(*found, strict=True) if found else [()] * len(fields)
+        return pa.table({name: pa.array(list(c), kind) for (name, kind), c in zip(fields, columns, strict=True)})
+
+    schema = "head binary, other binary, linked boolean" + ", n_head bigint, n_other bigint, rest array<int>" * rest
+    return with_text.groupBy("head", "lot").applyInArrow(judge, schema)
 
 
 def with_centres(keyed: DataFrame) -> DataFrame:
-    """(bucket, rep, centre) of the buckets that several texts share.
+    """(bucket, key, centre) of the buckets that several texts share.
 
     A text's weight is the number of texts in its buckets together. A bucket's centre is its
-    heaviest text (then the least id): in a group of near copies the text that most of them
+    heaviest text (then the greatest key): in a group of near copies the text that most of them
     resemble, so that comparing all with it links nearly all of them at once.
     """
     full = keyed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     shared = written(keyed.join(full, "bucket"))
-    weights = shared.groupBy("rep").agg(F.sum("n").alias("weight"))
-    best = F.max(F.struct(F.col("weight"), (-F.col("rep")).alias("minus"))).alias("best")
-    centres = shared.join(weights, "rep").groupBy("bucket").agg(best)
-    return shared.select("bucket", "rep").join(centres.select("bucket", (-F.col("best.minus")).alias("centre")), "bucket")
+    weights = shared.groupBy("key").agg(F.sum("n").alias("weight"))
+    centres = shared.join(weights, "key").groupBy("bucket").agg(F.max(F.struct("weight", "key")).alias("best"))
+    return shared.select("bucket", "key").join(centres.select("bucket", F.col("best.key").alias("centre")), "bucket")
 
 
-def across(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (least, other) that share a bucket but no component yet, less those compared before.
+def across(met: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (head, other) of one centre's texts in different components that may be linked.
 
-    In each bucket the texts outside its largest component meet all texts of other components.
-    """
-    placed = shared.join(classes.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "bucket", "centre", "rep", F.coalesce("component", "rep").alias("part")
-    )
-    parts = placed.groupBy("bucket", "part").agg(F.count("*").alias("n"))
-    largest = parts.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("top"), F.count("*").alias("parts"))
-    several = placed.join(largest.filter("parts > 1"), "bucket")
-    mixed = written(several.select("bucket", "centre", "rep", "part", F.col("top.part").alias("top")))
-    strays = mixed.filter("part <> top").select("bucket", F.col("rep").alias("stray"), F.col("part").alias("own"))
-    met = strays.join(mixed, "bucket").filter("own <> part AND stray <> rep AND stray <> centre AND rep <> centre")
-    return met.select(F.greatest("stray", "rep").alias("least"), F.least("stray", "rep").alias("other")).distinct()
-
-
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs with one row of each class (that of the least id); rows without id all stay.
-
-    Repeated rows of the kept id are dropped too: of those the least text stays.
+    Let c be the centre, d(x) the size of x's difference from c, n(x) the number of x's shingles
+    and g = (1-t)/(1+t) for the threshold t: x and y are linked if d(x, y) <= g*(n(x)+n(y)). The
+    overlap of their differences is (d(x)+d(y)-d(x, y))/2, so a link needs one of at least
+    (d(x)+d(y)-g*(n(x)+n(y)))/2. For x not linked to c, with the excess e = d(x)-g*(n(x)+n(c)),
+    that is e/(1+g) or more, and as many as (1-g)/2*d(y). A difference's tokens that occur in one
+    component only aren't in any overlap with another; of its k others, in the order of how
+    many texts have them, one of the first k-need+1 must be in the other text's first ones too.
     """
-    classes = near_duplicates(docs, id_col, text_col, **how)
-    gone = classes.filter(F.col(id_col) != F.col("class_id")).select(F.col(id_col).alias("__gone")).distinct()
-    kept = docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
-    twice = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1")
-    return kept if twice.isEmpty() else kept.filter(F.col(id_col).isNull()).unionByName(kept.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
+    g = (1 - threshold) / (1 + threshold)
+    of = lambda name: classes.select(F.col("node").alias(name), F.col("component").alias(f"{name}_part"))
+    parts = met.select("head", "other").join(of("other"), "other", "left").join(of("head"), "head", "left")
+    parts = written(parts.select("head", "other", F.coalesce("other_part", "other").alias("part"), F.coalesce("head_part", "head").alias("home")))
+    mixed = parts.filter("part <> home").select("head").distinct()
+    rows = met.join(parts.join(mixed, "head", "left_semi").select("head", "other", "part"), ["head", "other"])
+    size = F.size("rest")
+    excess = size - F.lit(g) * (F.col("n_head") + F.col("n_other"))
+    texts = rows.select("head", "other", "part", size.alias("d"), F.col("n_other").alias("n"), excess.alias("e"), F.explode("rest").alias("token"))
+    tokens = written(texts)
+    spread = tokens.groupBy("head", "token").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("texts"))
+    held = tokens.join(spread.filter("a <> b").select("head", "token", "texts"), ["head", "token"])
+    own = Window.partitionBy("head", "other")
+    held = held.withColumn("k", F.count("*").over(own)).withColumn("rank", F.row_number().over(own.orderBy("texts", "token")))
+    slack = F.lit(1e-6)
+    first = lambda need: F.col("rank") <= F.col("k") - F.greatest(F.lit(1), F.ceil(need - slack)) + 1
+    as_stray = (F.col("e") > 0) & first(F.col("e") / F.lit(1 + g))
+    as_partner = first(F.col("d") * F.lit((1 - g) / 2))
+    held = written(held.select("*", as_stray.alias("stray"), as_partner.alias("partner")).filter("stray OR partner"))
+    side = lambda flag, x: held.filter(flag).select("head", "token", *[F.col(c).alias(f"{x}_{c}") for c in ("other", "part", "d", "n", "k")])
+    needed = (F.col("x_d") + F.col("y_d") - F.lit(g) * (F.col("x_n") + F.col("y_n"))) / 2
+    met_again = side("stray", "x").join(side("partner", "y"), ["head", "token"])
+    able = met_again.filter((F.col("x_part") != F.col("y_part")) & (needed <= F.least("x_k", "y_k") + slack))
+    return able.select(F.greatest("x_other", "y_other").alias("head"), F.least("x_other", "y_other").alias("other")).distinct()
+
+
+def classed(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """All rows as (id, key, row), and each text's class: (key, class_id, class_key, class_row),
+    the class's least id with its text's key and row."""
+    table = written(signed(docs, id_col, text_col, size, bands, rows))
+    least = F.min(F.struct("id", "row", "bytes")).alias("r")
+    exact = written(table.filter(F.col("id").isNotNull()).groupBy("key").agg(least).select("key", "r.id", "r.row", "r.bytes"))
+    # One row for each distinct text: that of its least id.
+    reps = table.filter(F.col("bands").isNotNull()).join(exact.select("key", "row"), ["key", "row"])
+    shared = written(with_centres(reps.select("key", F.explode("bands").alias("bucket"))))
+    compare = lambda pairs, rest: compared(pairs, exact, docs, id_col, text_col, size, threshold, rest)
+    first = shared.filter("key <> centre").select(F.col("centre").alias("head"), F.col("key").alias("other")).distinct()
+    met = written(compare(first, True))
+    edges = lambda x: x.filter("linked").select(F.col("head").alias("u"), F.col("other").alias("v"))
+    classes = written(components(edges(met), "u", "v"))
+    more = written(edges(compare(across(met, classes, threshold), False)))
+    if not more.isEmpty():
+        known = classes.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        classes = written(components(known.unionByName(more), "u", "v"))
+    placed = exact.join(classes.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    best = placed.groupBy("component").agg(F.min(F.struct("id", "key", "row")).alias("best"))
+    named = placed.select("key", "component").join(best, "component")
+    named = named.select("key", F.col("best.id").alias("class_id"), F.col("best.key").alias("class_key"), F.col("best.row").alias("class_row"))
+    return table.select("id", "key", "row"), named
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
+    threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
+) -> DataFrame:
+    """(doc_id, class_id) for every row of docs: the least id among its near duplicates."""
+    table, named = classed(docs, id_col, text_col, size, threshold, bands, rows)
+    out = table.join(named, "key", "left")
+    return out.select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"))
+
+
+def deduplicated(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
+    threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
+) -> DataFrame:
+    """docs with one row of each class: that of the least id, of its texts the one of the least
+    MD5, of rows equal in both one by a hash of all columns. Rows without id all stay."""
+    table, named = classed(docs, id_col, text_col, size, threshold, bands, rows)
+    key, other_id, other_key, number = (unused(docs.columns, x) for x in ("__key", "__other_id", "__other_key", "__number"))
+    placed = table.filter(F.col("id").isNotNull()).join(named, "key")
+    leads = (F.col("id") == F.col("class_id")) & (F.col("key") == F.col("class_key"))
+    pair = lambda x: x.select(F.col("id").alias(other_id), F.col("key").alias(other_key)).distinct()
+    gone, twice = pair(placed.filter(~leads)), pair(placed.filter(leads & (F.col("row") != F.col("class_row"))))
+    keyed = docs.withColumn(key, text_key(F.col(text_col)))
+    same = (F.col(id_col) == F.col(other_id)) & (F.col(key) == F.col(other_key))
+    kept = keyed.join(gone, same, "left_anti")
+    twice = written(twice)
+    if not twice.isEmpty():
+        order = Window.partitionBy(id_col, key).orderBy(F.xxhash64(*docs.columns))
+        again = kept.join(twice, same, "left_semi").withColumn(number, F.row_number().over(order)).filter(F.col(number) == 1).drop(number)
+        kept = kept.join(twice, same, "left_anti").unionByName(again)
+    return kept.select(*docs.columns)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from helixmill.operators.tables import ranked, shared_dir, written
 
-__all__ = ["SEPARATORS", "U", "WORD", "Words", "blocked", "mix", "pieces", "ranked", "shared_dir", "words_of", "written"]
+__all__ = ["SEPARATORS", "U", "WORD", "Words", "blocked", "mix", "pieces", "ranked", "shared_dir", "unused", "words_of", "written"]
 
 #: The bytes that separate words: space and 0x09 to 0x0D.
 SEPARATORS = np.zeros(256, dtype=bool)
@@ -24,6 +24,14 @@ _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15
 
 
+def unused(columns: list[str], name: str) -> str:
+    """The name, with underscores behind it until no column has it (Spark ignores case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers (the splitmix64 finaliser)."""
     x = x ^ (x >> U(30))

@@ -116,6 +116,57 @@ def test_near_duplicates_large_group(spark):
     assert all(got[i] == 0 for i in range(700)) and all(got[i] == i for i in range(1000, 1050))
 
 
+def components_by_brute_force(texts, size=5, threshold=0.8):
+    """The least index of each text's component over all pairs of weighted Jaccard."""
+    grams = []
+    for t in texts:
+        w = words_of(t, True)
+        grams.append(collections.Counter(tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))) if w else collections.Counter())
+    least = list(range(len(texts)))
+
+    def root(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        both = sum((grams[i] & grams[j]).values())
+        if texts[i] == texts[j] or (both and both >= threshold * (sum(grams[i].values()) + sum(grams[j].values()) - both)):
+            a, b = sorted((root(i), root(j)))
+            least[b] = a
+    return [root(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_family_around_the_threshold(spark, seed):
+    """Copies of copies with one to ten edits: most pairs are a little above or below 0.8."""
+    rng = random.Random(seed)
+    base, texts = prose(rng, 120).split(), []
+    for i in range(260):
+        words = list(base if i < 40 or rng.random() < 0.5 else texts[rng.randrange(len(texts))].split())
+        for _ in range(rng.randint(1, 8)):
+            at, kind = rng.randrange(len(words)), rng.random()
+            words[at : at + (kind > 0.1)] = [f"edit{rng.randrange(40)}"] if kind < 0.9 else []
+        texts.append(" ".join(words))
+    want = components_by_brute_force(texts)
+    assert 3 < len(set(want)) < 250
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in dart_minhash.near_duplicates(df).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_repeated_ids_lose_no_text(spark):
+    rng = random.Random(5)
+    one, two = prose(rng, 40), prose(rng, 40)
+    rows = [(3, one, 1), (5, one, 2), (5, two, 3), (5, two, 3), (9, two, 4), (9, "alone", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __key int")
+    got = sorted((r.doc_id, r.class_id) for r in dart_minhash.near_duplicates(df).collect())
+    assert got == [(3, 3), (5, 3), (5, 5), (5, 5), (9, 5), (9, 9)]
+    kept = dart_minhash.deduplicated(df)
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.collect())) == [(3, one, 1), (5, two, 3), (9, "alone", 5)]
+
+
 def test_null_ids_are_alone(spark):
     rows = [(None, "a b c d e f"), (None, "a b c d e f"), (7, "a b c d e f"), (8, "a b c d e f")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
