@@ -7,21 +7,23 @@ The bins of a text are its fingerprint. Two texts agree in a bin only if the sam
 least there and stand in the same order, so moved passages cost likeness as edits do.
 
 Neighbours (the next document by descending id) are found without sorting everything in one
-place: quantiles of the ids deal the documents to ranges, each range also gets the first
-document of the next range, and a range is then sorted in its own task. A range of one id's
-rows can't be split; rows of equal id are ordered by text.
+place and without any number of ranges at the driver: Spark deals the rows to ranges of
+descending id (rows of equal id by a hash of the text) and sorts each range, spilling if it
+must; a task then streams through its rows. Only the last row of each range looks into the
+next one: the ranges' first and last rows, one of each, are joined by range number.
 
 Defined results: null text is empty; a text shorter than k code points is one k-mer; an empty
 text has an empty fingerprint and likeness 1 to an empty one, 0 to others; a single document
-is its own next; null ids come after all others; equal texts have equal fingerprints.
+is its own next; null ids come after all others, rows of equal id in the order of their texts'
+hashes, then of the texts; equal texts have equal fingerprints; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +31,8 @@ from pyspark.sql import functions as F
 from helixmill.llm.shared import U, mix
 
 K, BINS, TAKE = 9, 64, 2
-RANGE_BYTES = 2 << 20
+#: Bytes of text in a range that are aimed at; small tables have as many ranges as other shuffles.
+RANGE_BYTES = 64 << 20
 
 
 def points(text: str | None) -> np.ndarray:
@@ -96,75 +99,74 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float((a[used] == b[used]).mean()) if used.any() else 1.0
 
 
-def in_ranges(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """(__range, __ahead, doc_id, text): rows by ranges of descending id, each range with the
-    next one's first row, marked __ahead; after the last range comes the first."""
-    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    ranges = max(1, -(-total // range_bytes))
-    steps = [i / ranges for i in range(1, ranges)]
-    bounds = sorted(set(rows.approxQuantile("doc_id", steps, 1 / (4 * ranges)))) if steps else []
-    bounds = [int(b) for b in bounds]
-    shared = docs.sparkSession.sparkContext.broadcast(np.array(bounds, dtype=np.int64))
-
-    @F.pandas_udf("int")
-    def place(ids: pd.Series) -> pd.Series:
-        given = ids.notna()
-        found = np.searchsorted(shared.value, ids.where(given, 0).astype("int64"), side="right")
-        return pd.Series(np.where(given, found, -1), dtype="int32")
-
-    numbered = rows.withColumn("__range", place("doc_id"))
-    # The first row of a range has its greatest id: one small row a range.
-    heads = {r["__range"]: r["id"] for r in numbered.groupBy("__range").agg(F.max("doc_id").alias("id")).collect()}
-    present = sorted(heads, reverse=True)
-    before = {r: present[i - 1] for i, r in enumerate(present)}
-    if len(present) > 1:
-        to = [(r, heads[r], before[r]) for r in present]
-        table = docs.sparkSession.createDataFrame(to, "__range int, __head long, __to int")
-        joined = numbered.join(F.broadcast(table), "__range").filter(F.col("doc_id").eqNullSafe(F.col("__head")))
-        ahead = joined.select(F.col("__to").alias("__range"), F.lit(True).alias("__ahead"), "doc_id", "text")
-    else:
-        ahead = numbered.limit(0).select("__range", F.lit(True).alias("__ahead"), "doc_id", "text")
-    own = numbered.select("__range", F.lit(False).alias("__ahead"), "doc_id", "text")
-    return own.unionByName(ahead)
-
-
+NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 SCHEMA = """doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string,
     edited_fingerprint string, near_edited double, near_next double"""
 
 
-def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def judged(doc_id: int | None, text: np.ndarray, mine: np.ndarray, following: np.ndarray, theirs: np.ndarray) -> tuple:
+    """One row of the result: the text and its sketch, the next text and its sketch."""
+    cut = len(text) // 3
+    edited = np.concatenate((text[: len(text) - cut], following[:cut])) if cut else text
+    other = sketch(edited)
+    digest = hashlib.sha256(edited.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")).hexdigest()
+    return doc_id, len(text), digest, mine.tobytes().hex(), other.tobytes().hex(), likeness(mine, other), likeness(mine, theirs)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, KINDS, strict=True)], names=NAMES)
+
+
+def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All rows of a sorted range but its last, each with the row behind it."""
+    before = None
+    for batch in batches:
+        rows = []
+        for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            text = points(raw)
+            now = doc_id, text, sketch(text)
+            if before is not None:
+                rows.append(judged(*before, *now[1:]))
+            before = now
+        yield _batch(rows)
+
+
+def _at_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last rows of ranges, with the next range's first text beside them."""
+    for batch in batches:
+        rows = []
+        for doc_id, raw, following in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            text, behind = points(raw), points(following)
+            rows.append(judged(doc_id, text, sketch(text), behind, sketch(behind)))
+        yield _batch(rows)
+
+
+def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES, least_ranges: int | None = None) -> DataFrame:
     """For each document its fingerprint, that of its edited text, and its likeness to that
     and to the next document's.
 
     The edited text has the last third of the code points replaced by as many of the next
     document's first (or all of them).
     """
-    ranged = in_ranges(docs, range_bytes)
-
-    def judged(group: pa.Table) -> pa.Table:
-        key = lambda r: (r[1] is None, -(r[1] or 0), r[2] or "")
-        rows = sorted(zip(*(group.column(c).to_pylist() for c in ("__ahead", "doc_id", "text")), strict=True), key=key)
-        own = [r for r in rows if not r[0]]
-        ahead = [r for r in rows if r[0]][:1]
-        after = ahead or own[:1]
-        out: list[list] = [[] for _ in range(7)]
-        text, mine = None, None
-        for i, (_, doc_id, raw) in enumerate(own):
-            text = points(raw) if text is None else text
-            mine = sketch(text) if mine is None else mine
-            following = points(own[i + 1][2] if i + 1 < len(own) else after[0][2])
-            theirs = sketch(following)
-            cut = len(text) // 3
-            edited = np.concatenate((text[: len(text) - cut], following[:cut])) if cut else text
-            other = sketch(edited)
-            digest = hashlib.sha256(edited.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")).hexdigest()
-            row = doc_id, len(text), digest, mine.tobytes().hex(), other.tobytes().hex(), likeness(mine, other), likeness(mine, theirs)
-            for values, value in zip(out, row, strict=True):
-                values.append(value)
-            text, mine = following, theirs
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-        names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-        return pa.table([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=names)
-
-    return ranged.groupBy("__range").applyInArrow(judged, SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    least_ranges = least_ranges or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(least_ranges, -(-int(total) // range_bytes))
+    order = [F.col("doc_id").desc_nulls_last(), F.col("tie"), F.col("text")]
+    # A range's bounds are taken from ids and hashes, never from texts.
+    dealt = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(ranges, *order[:2])
+    inside = dealt.sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(_inside, SCHEMA)
+    # Both readers of `dealt` ask for all of its columns, so that they share one exchange and its
+    # bounds. The bounds are keys of rows: only the last range can be empty. Range r's last row
+    # and range r+1's first meet under r; the two that are left over close the circle.
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.bitwise_not("doc_id").alias("down"), "tie", "text", "doc_id")
+    ends = dealt.groupBy(F.spark_partition_id().alias("range")).agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    last = F.struct(F.col("range").alias("at"), F.struct("last.doc_id", "last.text").alias("last"), F.lit(None).cast("struct<text:string>").alias("first"))
+    first = F.struct((F.col("range") - 1).alias("at"), F.lit(None).cast("struct<doc_id:bigint,text:string>").alias("last"), F.struct("first.text").alias("first"))
+    both = F.max("last").alias("last"), F.max("first").alias("first")
+    met = ends.select(F.explode(F.array(last, first)).alias("e")).select("e.*").groupBy("at").agg(*both)
+    at = F.when(F.col("last").isNull() | F.col("first").isNull(), -1).otherwise(F.col("at"))
+    closed = met.groupBy(at.alias("at")).agg(*both).select("last.doc_id", "last.text", F.col("first.text").alias("behind"))
+    return inside.unionByName(closed.mapInArrow(_at_ends, SCHEMA))

@@ -260,8 +260,9 @@ def test_mixing(docs, empty):
 
 
 def test_order_minhash(docs, empty):
-    rows = sorted(docs.collect(), key=lambda r: (-r.doc_id, r.text or ""))
-    got = collections.Counter(tuple(r)[:3] for r in order_minhash.with_next(docs, 4000).collect())
+    tied = docs.withColumn("tie", F.xxhash64("text")).collect()
+    rows = sorted(tied, key=lambda r: (-r.doc_id, r.tie, r.text or ""))
+    got = collections.Counter(tuple(r)[:3] for r in order_minhash.with_next(docs, 4000, 3).collect())
     want, prints = collections.Counter(), {}
     for i, r in enumerate(rows):
         text, after = r.text or "", rows[(i + 1) % len(rows)].text or ""
@@ -274,6 +275,31 @@ def test_order_minhash(docs, empty):
         prints.setdefault(r.doc_id, set()).add(r.fingerprint)
     assert all(len(p) == 1 for p in prints.values())
     assert order_minhash.with_next(empty).count() == 0
+    one = docs.limit(0).unionByName(docs.filter("doc_id = 9"))
+    assert [(r.near_next, r.n_chars) for r in order_minhash.with_next(one).collect()] == [(1.0, len(docs.filter("doc_id = 9").first().text))]
+
+
+def test_order_minhash_shuffles_texts_once(docs):
+    """Both readers of the ranges share one exchange, and with it the ranges' bounds."""
+    out = order_minhash.with_next(docs)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    ranges = [x for x in plan.splitlines() if "rangepartitioning" in x]
+    assert "ReusedExchange" in plan and sum("ReusedExchange" not in x for x in ranges) <= 2
+
+
+def test_order_minhash_of_null_and_equal_ids(spark):
+    rows = [(None, "abcdefghijkl", "x"), (None, None, "x"), (4, "mnopqrstuvwxyz", "y"), (4, "mnopqrstuvwxyz", "y"), (4, "0123456789", "y")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, tie string")
+    order = df.withColumn("hash", F.xxhash64("text")).collect()
+    order.sort(key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.hash, r.text or ""))
+    want = collections.Counter()
+    for i, r in enumerate(order):
+        text, after = r.text or "", order[(i + 1) % len(order)].text or ""
+        cut = len(text) // 3
+        want[r.doc_id, hashlib.sha256((text[: len(text) - cut] + after[:cut]).encode()).hexdigest()] += 1
+    for ranges in (1, 2, 7):
+        assert collections.Counter((r.doc_id, r.edited_sha256) for r in order_minhash.with_next(df, least_ranges=ranges).collect()) == want
 
 
 def brute_sketch(text, k=9, bins=64, take=2):
