@@ -12,16 +12,19 @@ A candidate (document, item) is then verified on words: the share of the item's
 shingles that occur in the document must reach the threshold.
 
 Documents are read once, whole, and never shuffled. Items go to the tasks in blocks of at
-most `block` items, one pass for each block, so that what is broadcast stays bounded.
+most `block` items, one pass for each block, so that what is broadcast stays bounded. A Python
+worker indexes a block once, and only for the partitions that its documents fall into.
 
 Defined results: null and empty texts hold no item; an item without words is found nowhere;
 an item of fewer words than a shingle is one shingle, found as that run of words between a
 document's words; repeated item rows count once by (item_id, text); repeated documents give
-repeated rows. Words are lower-cased (A-Z) and split at white space.
+repeated rows; an item without id is an item like others, found under a null item_id; other
+columns pass through `clean`, whatever their names, and aren't read by `leaks`. Words are lower-cased (A-Z) and split at white space.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,22 +67,26 @@ class Items:
                 self.short.add(len(words))
             _, tokens = next(iter(words_of(pa.array([text]), lower=True)))
             sets.append(np.unique(tokens.grams(size)[0]))
-        self.by_bits = {}
-        for bits in range(7, 61):
-            keys = [s if len(s) <= FEW else bin_minima(s, bits) for s in sets]
-            if keys:
-                flat = np.concatenate(keys)
-                order = np.argsort(flat, kind="stable")
-                self.by_bits[bits] = flat[order], np.repeat(np.arange(len(keys)), [len(k) for k in keys])[order]
+        self.sets, self.by_bits = sets, {}
         few = [(s, i) for i, s in enumerate(sets) if len(s) <= FEW]
         self.few = np.unique(np.concatenate([s for s, _ in few])) if few else np.zeros(0, np.uint64)
 
+    def signatures(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """All items' sorted signatures in the partition of these bits, and their owners; made
+        when the first document of the partition comes."""
+        if bits not in self.by_bits:
+            keys = [s if len(s) <= FEW else bin_minima(s, bits) for s in self.sets]
+            flat = np.concatenate(keys)
+            order = np.argsort(flat, kind="stable")
+            self.by_bits[bits] = flat[order], np.repeat(np.arange(len(keys)), [len(k) for k in keys])[order]
+        return self.by_bits[bits]
+
     def candidates(self, hashes: np.ndarray) -> set[int]:
         """Items that share a bin's least hash with a document of these distinct sorted hashes."""
         if not len(hashes):
             return set()
         bits = size_bits(len(hashes))
-        keys, owner = self.by_bits[bits]
+        keys, owner = self.signatures(bits)
         own = bin_minima(hashes, bits)
         if len(self.few):
             own = np.union1d(own, hashes[_among(hashes, self.few)])
@@ -88,6 +95,18 @@ class Items:
         return {int(j) for low, high in spans for j in owner[low:high]}
 
 
+#: The block of items that this Python worker has indexed last, for its next tasks.
+_LAST: dict[str, Items] = {}
+
+
+def indexed(name: str, shared, size: int) -> Items:
+    """The index of a broadcast block, made once in a worker; one block is held at a time."""
+    if name not in _LAST:
+        _LAST.clear()
+        _LAST[name] = Items(shared.value, size)
+    return _LAST[name]
+
+
 def _among(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
     return keys[at] == values
@@ -106,11 +125,12 @@ def shingles(words: list[bytes], size: int) -> set[tuple[bytes, ...]]:
 
 def item_blocks(benchmark: DataFrame, block: int) -> Iterator[list[tuple[int, str]]]:
     """The distinct items in lists of about `block`, each collected by itself."""
-    items = benchmark.select("item_id", F.col("text").alias("__text")).filter(F.col("__text").isNotNull()).distinct()
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("__text")).filter(F.col("__text").isNotNull()).distinct()
     blocks = max(1, -(-items.count() // block))
     for i in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "__text"), F.lit(blocks)) == i)
-        yield sorted((r["item_id"], r["__text"]) for r in part.collect())
+        rows = [(r["item_id"], r["__text"]) for r in part.collect()]
+        yield sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
 
 
 def leaks(
@@ -122,10 +142,10 @@ def leaks(
     schema = f"`{id_col}` {kind}, item_id bigint, n_shingles bigint, containment double"
     found = None
     for rows in item_blocks(benchmark, block):
-        shared = docs.sparkSession.sparkContext.broadcast(rows)
+        shared, name = docs.sparkSession.sparkContext.broadcast(rows), uuid.uuid4().hex
 
-        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Items(shared.value, size)
+        def search(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
+            index = indexed(name, shared, size)
             for batch in batches:
                 hits = list(_hits(batch.column(1), index, threshold))
                 row, item, total, share = zip(*hits, strict=True) if hits else ((), (), (), ())
@@ -145,10 +165,10 @@ def clean(
     """docs without the rows whose text contains an item; decided in place, without a join."""
     place = docs.columns.index(text_col)
     for rows in item_blocks(benchmark, block):
-        shared = docs.sparkSession.sparkContext.broadcast(rows)
+        shared, name = docs.sparkSession.sparkContext.broadcast(rows), uuid.uuid4().hex
 
-        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Items(shared.value, size)
+        def keep(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
+            index = indexed(name, shared, size)
             for batch in batches:
                 good = np.ones(batch.num_rows, dtype=bool)
                 good[[hit[0] for hit in _hits(batch.column(place), index, threshold)]] = False
