@@ -88,8 +88,12 @@ class EliasFano:
         high = self._select(i, True) - i
         return (high.astype(np.uint64) << U(self.low_bits)) | self._low(i)
 
-    def successor(self, values: np.ndarray) -> np.ndarray:
-        """Index of the first element that is not less than each value; n if there is none."""
+    def successor(self, values: np.ndarray, begin: np.ndarray | None = None, stop: np.ndarray | None = None) -> np.ndarray:
+        """Index of the first element that is not less than each value; n if there is none.
+
+        With begin and stop only elements of [begin, stop) are looked at, and stop is the answer
+        where none of them will do.
+        """
         values = np.asarray(values, dtype=np.uint64)
         if not self.n:
             return np.zeros(len(values), np.int64)
@@ -101,6 +105,8 @@ class EliasFano:
         at = np.where(high > 0, self._select(np.maximum(high, 1) - 1, False) + 1 - high, 0)
         at = np.where(beyond, self.n, at)
         end = np.minimum(self._select(high, False) - high, self.n)
+        if begin is not None:  # the bucket's part inside the range
+            at, end = np.clip(at, begin, stop), np.clip(end, begin, stop)
         while True:  # halves the part of the bucket that each value may be in
             live = np.flatnonzero(at < end)
             if not len(live):
@@ -162,10 +168,10 @@ class Trie:
         out = np.full(len(context), -1)
         known = np.flatnonzero(context >= 0)
         at = context[known]
-        end = self.pointers[level].get(at + 1)
+        begin, end = (self.pointers[level].get(x).astype(np.int64) for x in (at, at + 1))
         value = (at.astype(np.uint64) << U(32)) | ids[known].astype(np.uint64)
-        place = self.ids[level].successor(value)
-        found = place < end.astype(np.int64)
+        place = self.ids[level].successor(value, begin, end)
+        found = place < end
         found[found] = self.ids[level].get(place[found]) == value[found]
         out[known[found]] = place[found]
         return out

@@ -1,7 +1,9 @@
 """N-gram language-model scores of whole texts, from an Elias-Fano trie in shards.
 
-1. Every task counts its training words and sends them by ranges of their hash; each range's
-   distinct words, their total and its most frequent words come back: some numbers a range.
+1. Every task counts its training words and sends them by ranges of their hash. The distinct
+   words and their total are summed by Spark. Words so frequent that one shard should not hold
+   their n-grams come to the driver: those with more than a quarter of a shard's share of all
+   words, so at most four for each shard, whatever the number of distinct words.
 2. Documents are dealt to blocks. A block sends its distinct n-grams, as a small trie of
    sorted ids with training counts (0 for n-grams that only held-out texts have), to the
    shards of their first words. A frequent first word's n-grams are spread over as many shards
@@ -14,14 +16,15 @@
 The model interpolates by absolute discounting: P(w|c) = max(n(cw) - D, 0)/n(c) +
 D*kinds(c)/n(c) * P(w|shorter c); unseen contexts leave the shorter one's P; the shortest P is
 the base. Probabilities and backoff weights are quantised to bytes. Words on deeper levels are
-known by 32 bits of their hash; the base's counts are by 64 bits.
+known by 32 bits of their hash; level 1 and the base's counts are by 64 bits.
 
 Nothing is collected but the numbers of step 1; all tables grow with the input and are dealt
-by hash. Base: log10((c + 0.5)/(N + 0.5*(V + 1))) summed over a text's words and one end.
+by hash. Counts over the corpus have 64 bits. Blocks and shards grow with the square root of
+the table, so that the rows between them grow with the table and not with its square. Base: log10((c + 0.5)/(N + 0.5*(V + 1))) summed over a text's words and one end.
 
 Defined results: null and empty texts are one end token; without training rows all counts are
 0; rows with null ids are held out from training if the caller's rule says null; repeated rows
-count as often as they occur.
+count as often as they occur; other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from helixmill.llm.elias_fano import VALUES, Trie
-from helixmill.llm.shared import U, Words, blocked, words_of
+from helixmill.llm.shared import U, Words, blocked, grown, words_of, written
 
 ORDER, DISCOUNT = 2, 0.4
 BLOCK_BYTES = 4 << 20
@@ -44,17 +47,18 @@ BLOCK_BYTES = 4 << 20
 SHARD_WORDS = 1 << 21
 #: Hashes of the tokens that are no words.
 BEGIN, END, PAD = (U(x) for x in (0x1F3D5B79A2C4E687, 0x2E4C6A8091B3D5F7, 0x3D5B7991A2C4E6F8))
-FREQUENT = 64
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """What step 1 finds: training tokens, distinct ones, shards, and words spread over several."""
+    """What step 1 finds: training tokens, distinct ones, shards, and the (sorted) frequent words
+    with the number of shards of each."""
 
     tokens: int
     distinct: int
     shards: int
-    spread: dict[int, int]
+    frequent: np.ndarray
+    spread: np.ndarray
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.5) / (self.tokens + 0.5 * (self.distinct + 1))
@@ -63,13 +67,15 @@ class Vocabulary:
         """(first shard, number of shards) of each first word."""
         home = (words % U(self.shards)).astype(np.int64)
         many = np.ones(len(words), np.int64)
-        for word, n in self.spread.items():
-            many[words == U(word)] = n
+        if len(self.frequent):
+            at = np.minimum(np.searchsorted(self.frequent, words), len(self.frequent) - 1)
+            many = np.where(self.frequent[at] == words, self.spread[at], 1)
         return home, many
 
 
-def token_counts(docs: DataFrame, text_col: str, training: Column, ranges: int) -> DataFrame:
-    """(distinct, tokens, words, counts): a row for each range of word hashes."""
+def token_counts(docs: DataFrame, text_col: str, training: Column, ranges: int, shards: int) -> DataFrame:
+    """(distinct, tokens, words, counts): a row for each range of word hashes, with the words
+    that have more than a quarter of a shard's share of the range's tokens."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,7 +86,7 @@ def token_counts(docs: DataFrame, text_col: str, training: Column, ranges: int)
             words, counts = np.unique(np.concatenate(parts), return_counts=True)
             cut = np.searchsorted(words, (np.arange(1, ranges) * (2**64 // ranges)).astype(np.uint64))
             pairs = zip(np.split(words, cut), np.split(counts, cut), strict=True)
-            rows = [(i, w.tobytes(), c.astype(np.uint32).tobytes()) for i, (w, c) in enumerate(pairs) if len(w)]
+            rows = [(i, w.tobytes(), c.astype(np.int64).tobytes()) for i, (w, c) in enumerate(pairs) if len(w)]
             columns = list(zip(*rows, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())],
@@ -89,10 +95,10 @@ def token_counts(docs: DataFrame, text_col: str, training: Column, ranges: int)
 
     def merge(group: pa.Table) -> pa.Table:
         words = np.concatenate([np.frombuffer(x, np.uint64) for x in group.column("words").to_pylist()])
-        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in group.column("counts").to_pylist()])
+        counts = np.concatenate([np.frombuffer(x, np.int64) for x in group.column("counts").to_pylist()])
         words, at = np.unique(words, return_inverse=True)
         sums = np.bincount(at, weights=counts).astype(np.int64)
-        top = np.argsort(-sums, kind="stable")[:FREQUENT]
+        top = np.flatnonzero(sums * shards * 4 > sums.sum())
         return pa.table({
             "distinct": pa.array([len(words)], pa.int64()), "tokens": pa.array([int(sums.sum())], pa.int64()),
             "words": pa.array([words[top].view(np.int64).tolist()], pa.list_(pa.int64())),
@@ -104,16 +110,21 @@ def token_counts(docs: DataFrame, text_col: str, training: Column, ranges: int)
     return sent.groupBy("range").applyInArrow(merge, "distinct bigint, tokens bigint, words array<bigint>, counts array<bigint>")
 
 
+def shards_for(total: int) -> int:
+    """Shards for a table of `total` bytes; one is as large as three blocks, if that is more."""
+    return max(1, -(-total // (6 * max(SHARD_WORDS, 3 * grown(BLOCK_BYTES, total) // 6))))
+
+
 def vocabulary(docs: DataFrame, text_col: str, training: Column, total_bytes: int) -> Vocabulary:
-    shards = max(1, -(-total_bytes // (6 * SHARD_WORDS)))
-    rows = token_counts(docs, text_col, training, max(8, shards // 2)).collect()
-    tokens, distinct = sum(r["tokens"] for r in rows), sum(r["distinct"] for r in rows)
-    spread = {}
-    for r in rows:
-        for word, n in zip(r["words"], r["counts"], strict=True):
-            if n * shards * 4 > tokens:
-                spread[word % 2**64] = min(shards, -(-n * shards * 4 // tokens))
-    return Vocabulary(tokens, distinct, shards, spread)
+    shards = shards_for(total_bytes)
+    rows = written(token_counts(docs, text_col, training, max(8, shards // 2), shards))
+    sums = rows.agg(F.sum("tokens").alias("tokens"), F.sum("distinct").alias("distinct")).first()
+    tokens, distinct = sums["tokens"] or 0, sums["distinct"] or 0
+    pairs = rows.select(F.explode(F.arrays_zip("words", "counts")).alias("p")).select("p.words", "p.counts")
+    frequent = pairs.filter(F.col("counts").cast("decimal(38,0)") * (shards * 4) > tokens).collect()
+    many = {r["words"] % 2**64: min(shards, -(-r["counts"] * shards * 4 // tokens)) for r in frequent}
+    words = np.array(sorted(many), np.uint64)
+    return Vocabulary(tokens, distinct, shards, words, np.array([many[int(w)] for w in words], np.int64))
 
 
 class Grams:
@@ -266,7 +277,7 @@ def _answer(order: int, discount: float):
         out = []
         for j, r in enumerate(rows):
             span = [slice(int(e[j - 1]) if j else 0, int(e[j])) for e in ends]
-            row = [r["__block"], r["__shard"], back[0][0][span[0]].astype(np.uint32).tobytes(), _small(back[0][1][span[0]])]
+            row = [r["__block"], r["__shard"], back[0][0][span[0]].astype(np.int64).tobytes(), _small(back[0][1][span[0]])]
             for i in range(1, order):
                 code, weight = back[i]
                 row += [code[span[i]].tobytes(), weight[span[i]].tobytes() if len(weight) else b""]
@@ -295,7 +306,7 @@ def _score(vocabulary: Vocabulary, order: int, discount: float, kind: pa.DataTyp
         weights = [np.zeros(len(x[0]), np.uint8) for x in packed.levels]
         for shard, nodes in packed.split(vocabulary):
             r = said[shard]
-            counts[nodes[0]] = np.frombuffer(r["__counts"], np.uint32)
+            counts[nodes[0]] = np.frombuffer(r["__counts"], np.int64)
             contexts[nodes[0]] += _large(r["__kinds"])
             for i in range(1, order):
                 codes[i - 1][nodes[i]] = np.frombuffer(r[f"__p{i}"], np.uint8)

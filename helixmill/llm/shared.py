@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from helixmill.operators.tables import ranked, shared_dir, written
 
-__all__ = ["SEPARATORS", "U", "WORD", "Words", "blocked", "mix", "pieces", "ranked", "shared_dir", "unused", "words_of", "written"]
+__all__ = ["SEPARATORS", "U", "WORD", "Words", "blocked", "grown", "mix", "pieces", "ranked", "shared_dir", "unused", "words_of", "written"]
 
 #: The bytes that separate words: space and 0x09 to 0x0D.
 SEPARATORS = np.zeros(256, dtype=bool)
@@ -123,15 +125,26 @@ def words_of(texts, lower: bool = False, limit: int = 1 << 20):
         yield row, Words(data, offsets, lower)
 
 
+#: Bytes of text for each row that blocks and shards exchange, at least.
+ROW_BYTES = 1536
+
+
+def grown(block_bytes: int, total: int) -> int:
+    """The bytes of a block for a table of `total` bytes."""
+    return max(block_bytes, math.isqrt(total * ROW_BYTES))
+
+
 def blocked(docs: DataFrame, id_col: str, text_col: str, block_bytes: int, *more: str) -> tuple[DataFrame, int]:
     """(__block, __id, __text, and more columns) of all rows, and the bytes of the texts.
 
-    Rows are dealt evenly to blocks of about block_bytes.
-    The block comes from a hash of id and text alone, so that a lost task's rows return to
+    Rows are dealt evenly to blocks of about block_bytes, or more in large tables: blocks
+    exchange rows with shards, and blocks that grow with the square root of the table keep the
+    number of those rows in proportion to it (at 30 GB 7 MB a block, at 1 TB 39 MB, at 100 TB
+    0.4 GB). The block comes from a hash of id and text alone, so that a lost task's rows return to
     the same blocks; the number of blocks grows with the table.
     """
     total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string"))).alias("n")).first()["n"] or 0
-    blocks = max(16, -(-int(total) // block_bytes))
+    blocks = max(16, -(-int(total) // grown(block_bytes, int(total))))
     block = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(blocks)).cast("int")
     named = block.alias("__block"), F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")
     return docs.select(*named, *more), int(total)

@@ -11,13 +11,17 @@ Three passes over documents in blocks (about 2 MB of text, dealt by hash):
    exactly by shard; the answer is again a bit per window.
 3. Blocks remove the words that repeated windows cover.
 
-Shards and blocks grow with the table; a shard's sketch has a fixed size (SHARD_WINDOWS), and
-a window that occurs a million times costs its shard one entry a block.
+The numbers of shards and blocks grow with the table, and so do their sizes with its square
+root, so that the rows which they exchange grow with the table and not with its square. A
+window that occurs a million times costs its shard one entry a block. The sketch's two rows
+share the upper bits of their cells (all but LOW_BITS), which makes the second one cheap to
+send; inside 2**LOW_BITS cells they are independent. Collisions only send more windows to
+the exact pass.
 
 Defined results: null and empty texts have no words; a text of fewer words than a window keeps
 all; windows overlap freely and may repeat within one text; what is left is joined by single
 spaces; repeated rows (equal id and text) repeat each other's windows and lose their words.
-Windows are equal if their words' 128-bit hashes are.
+Windows are equal if their words' 128-bit hashes are. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,12 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from helixmill.llm.shared import U, blocked, mix, words_of
+from helixmill.llm.shared import U, blocked, grown, mix, words_of
 
 WINDOW = 35
 BLOCK_BYTES = 2 << 20
 #: Windows per shard that are aimed at, and cells in each of the sketch's two rows.
 SHARD_WINDOWS, CELL_BITS = 1 << 20, 24
+#: Cells of a sketch row at most (large shards have fewer cells a window).
+MOST_CELL_BITS = 28
 #: The second row's cell differs from the first's in its low bits only.
 LOW_BITS = 16
 
@@ -121,8 +127,8 @@ def _pair_in(pairs: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return found
 
 
-def _cells(h: np.ndarray, shard_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    first = ((h << U(shard_bits)) >> U(64 - CELL_BITS)).astype(np.int64)
+def _cells(h: np.ndarray, shard_bits: int, cell_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    first = ((h << U(shard_bits)) >> U(64 - cell_bits)).astype(np.int64)
     return first, (first >> LOW_BITS << LOW_BITS) | (h & U(2**LOW_BITS - 1)).astype(np.int64)
 
 
@@ -145,12 +151,12 @@ _SKETCH = "__block int, __shard int, __n int, __gaps binary, __low binary, __twi
 _ANSWER = "__block int, __shard int, __n int, __bits binary"
 
 
-def _sketches(shard_bits: int, length: int):
+def _sketches(shard_bits: int, cell_bits: int, length: int):
     def send(group: pa.Table) -> pa.Table:
         block = Block(group, length)
         rows = []
         for shard, a, b in _spans(block.hashes, shard_bits):
-            first, second = _cells(block.hashes[a:b], shard_bits)
+            first, second = _cells(block.hashes[a:b], shard_bits, cell_bits)
             gaps = np.diff(first, prepend=0)
             kind = np.uint16 if gaps.max() < 2**16 else np.uint32
             low = (second & (2**LOW_BITS - 1)).astype(np.uint16)
@@ -160,27 +166,30 @@ def _sketches(shard_bits: int, length: int):
     return send
 
 
-def _merge_sketches(group: pa.Table) -> pa.Table:
-    """Sums the partial sketches of a shard; answers each block which windows may repeat."""
-    rows = group.sort_by("__block").to_pylist()
-    one, two = np.zeros(2**CELL_BITS, np.uint8), np.zeros(2**CELL_BITS, np.uint8)
-
-    def cells(r):
-        width = np.uint16 if len(r["__gaps"]) == 2 * r["__n"] else np.uint32
-        first = np.cumsum(np.frombuffer(r["__gaps"], width).astype(np.int64))
-        return first, (first >> LOW_BITS << LOW_BITS) | np.frombuffer(r["__low"], np.uint16)
-
-    for r in rows:
-        first, second = cells(r)
-        step = _mask(r["__twice"], r["__n"]).astype(np.uint8) + np.uint8(1)
-        for counts, at in ((one, first), (two, second)):
-            np.add.at(counts, at, step)
-            counts[at] = np.minimum(counts[at], 2)
-    out = []
-    for r in rows:
-        first, second = cells(r)
-        out.append((r["__block"], r["__shard"], r["__n"], _bits((one[first] > 1) & (two[second] > 1))))
-    return _table(out, _ANSWER)
+def _merge_sketches(cell_bits: int):
+    def merge(group: pa.Table) -> pa.Table:
+        """Sums the partial sketches of a shard; answers each block which windows may repeat."""
+        rows = group.sort_by("__block").to_pylist()
+        one, two = np.zeros(2**cell_bits, np.uint8), np.zeros(2**cell_bits, np.uint8)
+
+        def cells(r):
+            width = np.uint16 if len(r["__gaps"]) == 2 * r["__n"] else np.uint32
+            first = np.cumsum(np.frombuffer(r["__gaps"], width).astype(np.int64))
+            return first, (first >> LOW_BITS << LOW_BITS) | np.frombuffer(r["__low"], np.uint16)
+
+        for r in rows:
+            first, second = cells(r)
+            step = _mask(r["__twice"], r["__n"]).astype(np.uint8) + np.uint8(1)
+            for counts, at in ((one, first), (two, second)):
+                np.add.at(counts, at, step)
+                counts[at] = np.minimum(counts[at], 2)
+        out = []
+        for r in rows:
+            first, second = cells(r)
+            out.append((r["__block"], r["__shard"], r["__n"], _bits((one[first] > 1) & (two[second] > 1))))
+        return _table(out, _ANSWER)
+
+    return merge
 
 
 def _marked(answers: pa.Table, stage: int, h: np.ndarray, shard_bits: int) -> np.ndarray:
@@ -265,15 +274,25 @@ def _table(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table({name: pa.array(list(c), _TYPES[t]) for (name, t), c in zip(fields, columns, strict=True)})
 
 
+def shards_for(total: int) -> tuple[int, int]:
+    """Bits of the shards' number and of a sketch row's cells for a table of `total` bytes.
+
+    A word takes at least two bytes with its separator; six are usual. A shard is as large as
+    three blocks, if that is more than SHARD_WINDOWS.
+    """
+    aim = max(SHARD_WINDOWS, 3 * grown(BLOCK_BYTES, total) // 6)
+    shard_bits = max(0, (max(1, total // 6) - 1).bit_length() - aim.bit_length() + 1)
+    return shard_bits, min(max(CELL_BITS, MOST_CELL_BITS), CELL_BITS + aim.bit_length() - SHARD_WINDOWS.bit_length())
+
+
 def without_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, with_text: bool = True
 ) -> DataFrame:
     """(id, n_words, n_removed, kept) per row: kept is the text left, or its SHA-256."""
     blocks, total = blocked(docs, id_col, text_col, BLOCK_BYTES)
-    # A word takes at least two bytes with its separator; six are usual.
-    shard_bits = max(0, (max(1, total // 6) - 1).bit_length() - SHARD_WINDOWS.bit_length() + 1)
-    sketches = blocks.groupBy("__block").applyInArrow(_sketches(shard_bits, window), _SKETCH)
-    maybe = sketches.groupBy("__shard").applyInArrow(_merge_sketches, _ANSWER)
+    shard_bits, cell_bits = shards_for(total)
+    sketches = blocks.groupBy("__block").applyInArrow(_sketches(shard_bits, cell_bits, window), _SKETCH)
+    maybe = sketches.groupBy("__shard").applyInArrow(_merge_sketches(cell_bits), _ANSWER)
     first = maybe.withColumn("__stage", F.lit(1))
     suspects = blocks.groupBy("__block").cogroup(first.groupBy("__block")).applyInArrow(_exact(shard_bits, window), _EXACT)
     second = suspects.groupBy("__shard").applyInArrow(_merge_exact, _ANSWER).withColumn("__stage", F.lit(2))
