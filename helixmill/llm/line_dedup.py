@@ -14,7 +14,11 @@ are one host; a line repeated on a page counts once for its frequency and each o
 occurrences is dropped; a host with few pages (less than `least`) keeps all; a page whose
 every line is boilerplate keeps its row, with empty text, or with all of its lines if
 `keep_whole` is set: such a page is a copy of others, and near-dedup decides which copy stays.
-Other columns pass through.
+Lines are equal if their 64-bit hashes are. Other columns pass through, whatever their names;
+the names of the added ones are parameters.
+
+A host with a list too large to broadcast is one key of the last join, whose other side Spark
+splits over tasks (AQE's skew join); its pages aren't moved while the lists are broadcast.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixmill.llm.shared import written
+from helixmill.llm.shared import unused, written
 
 RATIO = 0.02
 LEAST = 5
@@ -52,26 +56,30 @@ def boilerplate(pages: DataFrame, host: str, text: str, ratio: float = RATIO, le
 
 
 def without_boilerplate(
-    pages: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least: int = LEAST, keep_whole: bool = False
-) -> DataFrame:
-    """pages with `text` less its boilerplate, and __n_lines and __n_dropped."""
+    pages: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least: int = LEAST, keep_whole: bool = False,
+    n_lines: str = "__n_lines", n_dropped: str = "__n_dropped",
+) -> DataFrame:
+    """pages with `text` less its boilerplate, and the columns n_lines and n_dropped.
+
+    A page's lines are matched with its host's list by one hash intersection, so a page costs
+    its lines and the list, not their product.
+    """
     lists = written(boilerplate(pages, host, text, ratio, least))
     size = lists.agg(F.coalesce(F.sum(F.size("__lines") + 1), F.lit(0)).alias("n")).first()["n"]
-    lists = lists.withColumnRenamed("__host", "__list_host")
+    list_host, bad, kept, marks = (unused(pages.columns, x) for x in ("__list_host", "__lines", "__kept", "__marks"))
+    lists = lists.select(F.col("__host").alias(list_host), F.col("__lines").alias(bad))
     lists = F.broadcast(lists) if size <= BROADCAST_LINES else lists
-    joined = pages.join(lists, pages[host].eqNullSafe(F.col("__list_host")), "left")
+    joined = pages.join(lists, pages[host].eqNullSafe(F.col(list_host)), "left")
     lines = F.split(F.col(text), "\n", -1)
-    bad = F.col("__lines")
-    kept = F.when(bad.isNull(), lines).otherwise(
-        F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(bad, line_key(x)))
-    )
+    blank = lambda x: F.trim(x) == ""
+    hits = F.array_intersect(F.transform(lines, line_key), F.col(bad))
+    rest = F.filter(lines, lambda x: blank(x) | ~F.array_contains(F.col(marks), line_key(x)))
+    rest = F.when(F.coalesce(F.size(marks), F.lit(0)) <= 0, lines).otherwise(rest)
     if keep_whole:
-        kept = F.when(F.exists(kept, lambda x: F.trim(x) != ""), kept).otherwise(lines)
-    return (
-        joined.withColumn("__kept", kept)
-        .withColumn("__n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long"))
-        .withColumn("__n_lines", F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.col("__n_lines")).cast("long"))
-        .withColumn("__n_dropped", F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.col("__n_lines") - F.size("__kept")).cast("long"))
-        .withColumn(text, F.array_join("__kept", "\n"))
-        .select(*pages.columns, "__n_lines", "__n_dropped")
-    )
+        rest = F.when(F.exists(rest, lambda x: ~blank(x)), rest).otherwise(lines)
+    number = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long")
+    fewer = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines) - F.size(kept)).cast("long")
+    own = lambda c: F.array_join(kept, "\n").alias(text) if c.lower() == text.lower() else joined[c]
+    marked = joined.withColumn(marks, F.when(F.col(bad).isNotNull(), hits))
+    joined = marked.withColumn(kept, rest)
+    return joined.select(*[own(c) for c in pages.columns], number.alias(n_lines), fewer.alias(n_dropped))

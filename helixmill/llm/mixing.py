@@ -9,7 +9,7 @@ more if a number in [0, 1) hashed from seed and doc_id is below the rate's fract
 Defined results: a null text has size 0 and is taken like any row of its source; null sources
 are one source, last in order; a source without words has target 0 and copies 0; repeated
 rows of one doc_id share a hash and so a decision; an empty table gives no rows. Other columns
-pass through; the added ones begin with "__" until the caller names them.
+pass through, whatever their names; the names of the added ones are parameters.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixmill.llm.shared import WORD, ranked, written
+from helixmill.llm.shared import WORD, ranked, unused, written
 
 #: Sources up to this number (some MB) are broadcast; more are joined by a shuffle.
 BROADCAST_SOURCES = 50_000
@@ -61,27 +61,29 @@ def targets(docs: DataFrame, most: int = 3) -> DataFrame:
     return weighted.withColumn("__target", F.when(limited, limit.cast("double")).otherwise(share))
 
 
-def with_copies(docs: DataFrame, seed: str = "mix", most: int = 3) -> DataFrame:
-    """docs with __source_size and __target of the row's source, and __copies, 0 to `most`.
+def with_copies(
+    docs: DataFrame, seed: str = "mix", most: int = 3, source_size: str = "__source_size", target: str = "__target", copies: str = "__copies"
+) -> DataFrame:
+    """docs with the columns source_size and target of the row's source, and copies, 0 to `most`.
 
     One pass counts words per source; the second reads docs with the targets at hand and
     needs no shuffle while the sources are few enough to broadcast.
     """
-    per_source = written(targets(docs, most)).withColumnRenamed("__source", "__mix_source")
+    name, words, share = (unused(docs.columns, x) for x in ("__mix_source", "__mix_words", "__mix_share"))
+    per_source = written(targets(docs, most)).select(F.col("__source").alias(name), F.col("__source_size").alias(words), F.col("__target").alias(share))
     if per_source.count() <= BROADCAST_SOURCES:
         per_source = F.broadcast(per_source)
-    joined = docs.join(per_source, docs["source"].eqNullSafe(F.col("__mix_source")))
-    rate = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(F.lit(0.0))
-    whole = F.floor("__rate")
-    more = (unit_hash(seed, F.col("doc_id")) < F.col("__rate") - whole).cast("int")
-    copies = F.least(whole + more, F.lit(most)).cast("int")
-    return joined.withColumn("__rate", rate).select(
-        *[docs[c] for c in docs.columns], "__source_size", "__target", copies.alias("__copies")
-    )
+    joined = docs.join(per_source, docs["source"].eqNullSafe(F.col(name)))
+    rate = F.when(F.col(words) > 0, F.col(share) / F.col(words)).otherwise(F.lit(0.0))
+    more = (unit_hash(seed, docs["doc_id"]) < rate - F.floor(rate)).cast("int")
+    times = F.least(F.floor(rate) + more, F.lit(most)).cast("int")
+    return joined.select(*[docs[c] for c in docs.columns], F.col(words).alias(source_size), F.col(share).alias(target), times.alias(copies))
 
 
 def mixed(docs: DataFrame, seed: str = "mix", most: int = 3) -> DataFrame:
-    """Every row of docs as often as the mix takes it, with `copy` counting from 1."""
-    name = "copy" if "copy" not in docs.columns else "__copy"
-    taken = with_copies(docs, seed, most).filter("__copies > 0")
-    return taken.withColumn(name, F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns, name)
+    """Every row of docs as often as the mix takes it, with `copy` counting from 1 (`copy_`
+    where docs has such a column)."""
+    added = [unused(docs.columns, x) for x in ("__source_size", "__target", "__copies")]
+    name, copies = unused(docs.columns, "copy"), added[2]
+    taken = with_copies(docs, seed, most, *added).filter(F.col(copies) > 0)
+    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(name))

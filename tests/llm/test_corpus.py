@@ -453,3 +453,50 @@ def test_toxicity(spark, empty):
     plain = toxicity.fit(docs, marks.limit(0), F.lit(True))
     assert toxicity.score(docs, plain).select("score").distinct().count() == 1
     assert toxicity.score(empty, model).count() == 0
+
+
+CLASHES = ("__lines", "__rate", "host", "path", "rule", "verdict", "__list_host", "__kept", "__marks", "__key", "__score", "__mix_source", "copy", "__text", "__block", "__own", "score", "tie", "id", "key", "key_", "bands")
+
+
+def test_clashing_columns(spark, docs):
+    """Extra columns of any name pass through or aren't read; no operator crashes on them."""
+    few = docs.filter("doc_id < 40 OR doc_id >= 1000")
+    wide = few.select("*", *[F.lit(c).alias(c) for c in CLASHES])
+    same = lambda df: all(r[c] == c for r in df.collect() for c in CLASHES)
+    assert same(line_dedup.without_boilerplate(wide, n_lines="n_1", n_dropped="n_2"))
+    assert same(mixing.mixed(wide)) and same(mixing.with_copies(wide, copies="n_3"))
+    assert same(dart_minhash.deduplicated(wide))
+    items = spark.createDataFrame([(None, few.filter("doc_id = 6").first().text), (1, "no such words here at all")], "item_id long, text string")
+    cleaned = decontamination.clean(wide, items)
+    assert same(cleaned) and cleaned.count() < few.count()
+    assert {(r.doc_id, r.item_id) for r in decontamination.leaks(wide, items).collect()} >= {(6, None)}
+    pages = wide.withColumn("url", F.lit("http://a.example.com/en/1")).drop("host_", "n_chars")
+    judged = url_filter.judged(pages, [url_filter.Rule("com", "/en/", "block")])
+    assert same(judged) and {(r.host_, r.path_, r.rule_, r.verdict_) for r in judged.collect()} == {("a.example.com", "/en/1", "com/en/", "block")}
+    for f in (order_minhash.with_next, substring_dedup.without_repeats, dart_minhash.near_duplicates):
+        assert sorted(map(tuple, f(wide).collect()), key=str) == sorted(map(tuple, f(few).collect()), key=str)
+    scores = ngram_lm.scored(wide, F.col("doc_id") % 2 == 0)
+    assert scores.count() == few.count()
+    assert license_scan.licences(wide, F.lit("a/b")).count() == few.count()
+    model = toxicity.train([("you idiot here", 1), ("a plain text", 0)] * 3)
+    assert toxicity.score(wide, model, out="tox").filter("tox is not null").count() == few.count()
+
+
+def test_exchanged_rows_grow_with_the_table():
+    """Blocks times shards: the rows that op7 and op10 exchange, at most one for ROW_BYTES."""
+    from helixmill.llm import shared
+
+    for total in (2**p for p in range(20, 48)):
+        blocks = max(16, -(-total // shared.grown(substring_dedup.BLOCK_BYTES, total)))
+        bits, _ = substring_dedup.shards_for(total)
+        assert blocks * 2**bits <= max(64, total // shared.ROW_BYTES)
+        blocks = max(16, -(-total // shared.grown(ngram_lm.BLOCK_BYTES, total)))
+        assert blocks * ngram_lm.shards_for(total) <= max(64, total // shared.ROW_BYTES)
+
+
+def test_cascade_that_does_not_end_raises(spark, monkeypatch):
+    keys = spark.range(400).select(url_filter.key_of(F.col("id")).alias("key"))
+    monkeypatch.setattr(url_filter, "MOST_LEVELS", 1)
+    monkeypatch.setattr(url_filter, "BITS_PER_KEY", 1)
+    with pytest.raises(ValueError, match="exact"):
+        url_filter.build(keys.limit(200), keys)
