@@ -432,6 +432,67 @@ def test_licences(spark, empty):
     assert license_scan.licences(empty, F.col("source")).count() == 0
 
 
+def licences_by_brute_force(rows, threshold=0.8):
+    """Every segment of every file against every template, and ancestors one by one."""
+    templates = [(n, collections.Counter(license_scan.terms(x))) for n, x in license_scan.TEMPLATES]
+    known = {t for _, x in templates for t in x}
+    seen = collections.Counter(t for _, text, _ in rows for t in known & set(license_scan.terms(text or "")))
+    idf = lambda t: 1 + math.log((1 + len(rows)) / (1 + (seen[t] if t in known else 0)))
+    unit = lambda bag: {t: n * idf(t) / math.sqrt(sum((m * idf(u)) ** 2 for u, m in bag.items())) for t, n in bag.items()}
+    units = [(n, unit(x)) for n, x in templates]
+    of = {t: {n for n, x in templates if t in x} for t in known}
+    own = {}
+    for i, text, path in rows:
+        bags = [collections.Counter(license_scan.terms(license_scan._COMMENT.sub("", x))) for x in (text or "").split("\n")]
+        spans = set(license_scan.segments(bags))
+        found = []
+        for a, b in spans:
+            mine = unit(sum(bags[a:b], collections.Counter())) if any(bags[a:b]) else {}
+            for n, v in units:
+                score = sum(w * mine.get(t, 0.0) for t, w in v.items())
+                if score >= threshold and any(len(of[t]) <= license_scan.FEW for t in v if t in mine):
+                    found.append((n == "Proprietary", -round(score, 9), n, a, b))
+        lines = {j for f in found for j in range(f[3], f[4])}
+        share = sum(len((text or "").split("\n")[j].split()) for j in lines) / max(1, len((text or "").split()))
+        steps = [x for x in (path or "").split("/") if x]
+        named = bool(steps) and re.match(license_scan.LICENCE_NAME.replace("(^|/)", ""), steps[-1]) is not None
+        own[i] = (*(min(found)[2:3] or [None]), -min(found)[1], tuple(steps[:-1]), named or share >= 0.5) if found else (None, 0.0, tuple(steps[:-1]), False)
+    given = {}
+    for name, score, folder, is_file in own.values():
+        if is_file:
+            given[folder] = min(given.get(folder, (0, "~")), (-score, name))
+    want = {}
+    for i, (name, _, folder, is_file) in own.items():
+        if name:
+            want[i] = name, "licence file" if is_file else "header", None
+        else:
+            near = next((folder[:n] for n in range(len(folder), -1, -1) if folder[:n] in given), None)
+            want[i] = (given[near][1], "inherited", "/".join(near)) if near is not None else (None, None, None)
+    return want
+
+
+def test_licences_by_brute_force(spark):
+    rng = random.Random(8)
+    mit = "MIT License\n\nCopyright (c) 2020 Jane Roe\n\n" + license_scan.BODIES[0][1].replace(". ", ".\n\n")
+    texts = [
+        mit, "BSD 3-Clause License\n\nCopyright (c) 2001, Someone\nAll rights reserved.\n\n" + license_scan.BODIES[2][1], license_scan.BODIES[3][1],
+        "/*\n * " + license_scan.BODIES[6][1].replace("\n", "\n * ") + "\n */\nint main() { return 0; }\n" + prose(rng, 400),
+        "# This project is licensed under the MIT License.\n" + prose(rng, 50), "// SPDX-License-Identifier: Apache-2.0\ncode();", "The MIT License (MIT)",
+        "Licensed under the MIT License", "Distributed under the terms of the BSD 3-Clause License", "Copyright 2003 Someone. All rights reserved.", "All rights reserved.",
+        "Released under the MIT License. See the file LICENSE for details.", "the license", "a license to read, version 2", None, "", prose(rng, 5000) + "\n" + mit,
+    ]
+    folders = ["", "a", "a/b", "a/b/c", "d", "d/e", "f//g", "h/i/j/k"]
+    rows, names = [], ["LICENSE", "COPYING.txt", "one.py", "two.c", "notice-2.md", "readme"]
+    for i in range(90):
+        text = texts[i % len(texts)] if rng.random() < 0.4 else prose(rng, 30)
+        rows.append((i, text, None if i == 50 else f"{rng.choice(folders)}/{rng.choice(names)}"))
+    files = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, path string")
+    got = [(r.doc_id, (r.licence, r.origin, r.licence_dir)) for r in license_scan.licences(files, F.col("path")).collect()]
+    assert len(got) == len(rows) + 3 and dict(got) == licences_by_brute_force(rows + rows[:3])
+    found = {t[:24]: n for (_, t, _), (_, (n, o, _)) in zip(rows, sorted(got)[: len(rows)], strict=False) if t and o in ("header", "licence file")}
+    assert {"MIT", "BSD-3-Clause", "ISC", "Apache-2.0"} <= set(found.values())
+
+
 def test_toxicity(spark, empty):
     rng = random.Random(2)
     rows, labels = [], []
