@@ -561,3 +561,34 @@ def test_cascade_that_does_not_end_raises(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "BITS_PER_KEY", 1)
     with pytest.raises(ValueError, match="exact"):
         url_filter.build(keys.limit(200), keys)
+
+
+def test_toxicity_of_odd_texts(spark):
+    """Long, repeated, empty and missing texts; the share of the classes, not of the sample."""
+    rng = random.Random(2)
+    rows, labels = [], []
+    for i in range(600):
+        words = prose(rng, 40).split()
+        if i % 3 == 0:
+            words[rng.randrange(40)] = rng.choice(["idiot", "moron", "scum"])
+        rows.append((i, " ".join(words)))
+        labels.append((i, 0, int(i % 3 == 0)))
+    long_clean, long_toxic = prose(rng, 60_000), prose(rng, 30_000) + " you moron " + prose(rng, 30_000)
+    rows += [(700, long_clean), (701, long_toxic), (702, long_toxic), (703, None), (704, ""), (None, long_toxic), (701, long_toxic)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, known, F.lit(True))
+    assert model.trained
+    score = collections.defaultdict(set)
+    for r in toxicity.score(docs, model).collect():
+        score[r.doc_id].add(r.score)
+    assert all(len(x) == 1 and 0 <= min(x) <= 1 for x in score.values())
+    assert min(score[701]) >= 0.3 and min(score[701]) > max(score[700]) and score[701] == score[702] == score[None]
+    assert max(score[703] | score[704]) < 0.3
+    # The table's shares, not the sample's, set the curve's place.
+    sample = [(t, y) for (_, t), (_, _, y) in zip(rows, labels, strict=False)]
+    rare, even = (toxicity.train(sample, toxic_share=x) for x in (0.1, 0.5))
+    assert abs(rare.slope - even.slope) < 1e-6 and abs(even.intercept - rare.intercept - math.log(9)) < 0.05
+    bounded = toxicity.fit(docs, known, F.lit(True), max_bytes=20_000)
+    assert len(bounded.toxic) <= toxicity.TOXIC_BYTES and bounded.trained
+    assert not toxicity.fit(docs, known.limit(0), F.lit(True)).trained
