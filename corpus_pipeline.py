@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from helixmill.llm import dart_minhash, decontamination, line_dedup, mixing, toxicity
 from helixmill.llm.queries import TOXIC_AT, training_rows
-from helixmill.llm.shared import written
+from helixmill.llm.shared import unused, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +19,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Trains on labelled documents and drops those that score as toxic."""
+    """Trains on labelled documents and drops those that score as toxic; without labelled
+    documents of both classes there is no model and all stay."""
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), training_rows(4, 2))
-    return toxicity.score(docs, model, out="__score").filter(F.col("__score") < TOXIC_AT).select(*docs.columns)
+    if not model.trained:
+        return docs
+    score = unused(docs.columns, "__score")
+    return toxicity.score(docs, model, out=score).filter(F.col(score) < TOXIC_AT).select(*docs.columns)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +34,9 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     A document that would lose all of its lines keeps them, so that of a group of copies one
     is left after near-dedup.
     """
-    clean = line_dedup.without_boilerplate(docs, keep_whole=True)
-    length = F.when(F.col("__n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    n_lines, n_dropped = (unused(docs.columns, x) for x in ("__n_lines", "__n_dropped"))
+    clean = line_dedup.without_boilerplate(docs, keep_whole=True, n_lines=n_lines, n_dropped=n_dropped)
+    length = F.when(F.col(n_dropped) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return clean.withColumn("n_chars", length).select(*docs.columns)
 
 
