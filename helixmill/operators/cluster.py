@@ -235,20 +235,102 @@ def similarity(sketches: DataFrame, record: str, abundance: bool = False) -> Dat
     return joined.select("a", "b", (angular if abundance else jaccard).alias("sim"))
 
 
-def ward_clusters(similarities: DataFrame, clusters: int | None = 2, distance: float | None = None) -> DataFrame:
-    """(record, cluster): Ward linkage on the rows of the similarity matrix.
+#: Matrix rows in one block of row_distances.
+BLOCK = 256
+
 
-    The method needs the whole matrix at once, N x N for N records (assemblies or genomes, not
-    reads), and so runs in one task; up to some thousand records.
+def row_distances(similarities: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """The records numbered in order, (id, record), and (i, j, e), i < j: the squared Euclidean
+    distance of their rows in the similarity matrix, for all pairs, as Ward's method takes them.
+
+    Rows meet in pairs of blocks, each pair in a task of its own: 2*block rows of one number a
+    record, whatever the number of records.
     """
     both = similarities.select("a", "b", "sim").unionByName(similarities.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
+    records = written(ranked(both.select(F.col("a").alias("record")).distinct(), "record", name="id"))
+    n = records.count()
+    of = lambda x, y: records.select(F.col("record").alias(x), (F.col("id") - 1).alias(y))
+    cells = both.join(of("a", "i"), "a").join(of("b", "c"), "b")
+    rows = cells.groupBy("i").agg(F.collect_list(F.struct("c", "sim")).alias("row"))
+    last = max(0, (n - 1) // block)
+    mine = F.floor(F.col("i") / block).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.lit(last)), lambda x: F.struct(F.least(mine, x).alias("p"), F.greatest(mine, x).alias("q")))
+    dealt = rows.select("i", "row.c", "row.sim", F.explode(pairs).alias("at")).select("i", "c", "sim", "at.p", "at.q")
+
+    def measure(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("i")
+        matrix = np.zeros((len(part), n))
+        for k, (c, sim) in enumerate(zip(part["c"], part["sim"], strict=True)):
+            matrix[k, np.asarray(c, np.int64)] = sim
+        i = part["i"].to_numpy()
+        left, right = np.flatnonzero(i // block == part["p"].iloc[0]), np.flatnonzero(i // block == part["q"].iloc[0])
+        norm = (matrix**2).sum(axis=1)
+        square = np.maximum(norm[left][:, None] + norm[right][None] - 2 * matrix[left] @ matrix[right].T, 0.0)
+        x, y = np.nonzero(i[left][:, None] < i[right][None])
+        return pd.DataFrame({"i": i[left][x] + 1, "j": i[right][y] + 1, "e": square[x, y]})
+
+    return records, dealt.groupBy("p", "q").applyInPandas(measure, "i long, j long, e double")
+
+
+def ward_merges(distances: DataFrame, records: DataFrame) -> DataFrame:
+    """(i, j, height): the merges of Ward's method, j's cluster into i's; height is squared.
+
+    Clusters that are each other's nearest merge at once: for Ward's method that gives the same
+    tree as one merge at a time. The table holds squared distances of centroids, so that two
+    merged clusters' distance is a weighted sum over their parts', less a term for each. Every
+    round is a few joins and sums over the pairs; about the logarithm of the records are needed.
+    """
+    clusters = written(records.select("id", F.lit(1.0).alias("size")))
+    pairs, merges = written(distances), None
+    while True:
+        size = lambda x: clusters.select(F.col("id").alias(x), F.col("size").alias(f"s{x}"))
+        sized = pairs.join(size("i"), "i").join(size("j"), "j").withColumn("d", 2 * F.col("si") * F.col("sj") / (F.col("si") + F.col("sj")) * F.col("e"))
+        place = F.struct("d", "i", "j", "e", "si", "sj")
+        ends = sized.select(F.explode(F.array("i", "j")).alias("id"), place.alias("p"))
+        nearest_ = ends.groupBy("id").agg(F.min("p").alias("p"))
+        mutual = written(nearest_.groupBy("p").agg(F.count("*").alias("n")).filter("n = 2").select("p.*"))
+        if mutual.isEmpty():
+            break
+        step = mutual.select("i", "j", F.col("d").alias("height"))
+        merges = step if merges is None else merges.unionByName(step)
+        # Each cluster's new number, its weight there, and what its cluster's merge takes off.
+        total = F.col("si") + F.col("sj")
+        off = F.col("si") * F.col("sj") / (total * total) * F.col("e")
+        moved = mutual.select(F.explode(F.array(
+            F.struct(F.col("i").alias("id"), F.col("i").alias("to"), (F.col("si") / total).alias("w"), off.alias("off"), total.alias("size")),
+            F.struct(F.col("j").alias("id"), F.col("i").alias("to"), (F.col("sj") / total).alias("w"), off.alias("off"), total.alias("size")),
+        )).alias("m")).select("m.*")
+        state = clusters.join(moved.withColumnRenamed("size", "whole"), "id", "left")
+        state = state.select("id", F.coalesce("to", "id").alias("to"), F.coalesce("w", F.lit(1.0)).alias("w"), F.coalesce("off", F.lit(0.0)).alias("off"), F.coalesce("whole", "size").alias("size"))
+        state = written(state)
+        of = lambda x: state.select(F.col("id").alias(x), F.col("to").alias(f"t{x}"), F.col("w").alias(f"w{x}"), F.col("off").alias(f"o{x}"))
+        parts = pairs.join(of("i"), "i").join(of("j"), "j").filter("ti <> tj")
+        summed = parts.groupBy(F.least("ti", "tj").alias("i"), F.greatest("ti", "tj").alias("j")).agg(
+            F.sum(F.col("wi") * F.col("wj") * F.col("e")).alias("e"), F.max(F.col("oi") + F.col("oj")).alias("off")
+        )
+        pairs = written(summed.select("i", "j", F.greatest(F.col("e") - F.col("off"), F.lit(0.0)).alias("e")))
+        clusters = written(state.filter("id = to").select("id", "size"))
+    return merges if merges is not None else distances.select("i", "j", F.col("e").alias("height")).limit(0)
 
-    def cut(part: pd.DataFrame) -> pd.DataFrame:
-        matrix = part.pivot(index="a", columns="b", values="sim").sort_index().sort_index(axis=1).fillna(0.0)
-        label = ward_linkage(matrix.to_numpy(), clusters, distance)
-        return pd.DataFrame({"record": matrix.index.astype(str), "cluster": label.astype("int32")})
 
-    return both.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(cut, "record string, cluster int")
+def ward_clusters(similarities: DataFrame, clusters: int | None = 2, distance: float | None = None) -> DataFrame:
+    """(record, cluster): Ward linkage on the rows of the similarity matrix, cut at a number of
+    clusters or at a distance; clusters are numbered from 1 by their first record."""
+    records, distances = row_distances(similarities)
+    merges = written(ward_merges(distances, records))
+    if distance is not None:
+        merges = merges.filter(F.sqrt("height") <= distance)
+    else:
+        merges = merges.orderBy("height", "i", "j").limit(max(0, records.count() - (clusters or 1)))
+    linked = components(merges, "i", "j").withColumnRenamed("node", "id")
+    placed = written(records.join(linked, "id", "left").select("record", F.coalesce("component", "id").alias("first")))
+    numbers = ranked(placed.select("first").distinct(), "first", name="cluster")
+    return placed.join(numbers, "first").select(F.col("record").cast("string").alias("record"), F.col("cluster").cast("int").alias("cluster"))
+
+
+def label_table(clusters: DataFrame, prefix: str = "") -> DataFrame:
+    """(accession, label): each record with the name of its cluster, <prefix>cluster_<number>."""
+    return clusters.select(F.col("record").alias("accession"), F.concat(F.lit(f"{prefix}cluster_"), F.col("cluster").cast("string")).alias("label"))
 
 
 def representatives(clusters: DataFrame, seed: int = 0) -> DataFrame:

@@ -77,23 +77,49 @@ def exclusive_sets(hits: DataFrame, orgs: DataFrame) -> tuple[DataFrame, DataFra
     """For each organism (column label) the primer sets that hit nothing else, and failures.
 
     hits: primer_set (string), label, accession. Returns (label, primer_set) of exclusive sets
-    and (label, primer_set, failure_acc) with the sorted off-target accessions. A set's labels
-    are counted once; organisms meet sets, not hits.
+    and (label, primer_set, failure_acc), a row for each off-target accession. A set is
+    exclusive to an organism if its least and greatest label are that one: two numbers a set,
+    summed on the map side. Organisms are a short list of the caller's.
     """
-    per_label = hits.groupBy("primer_set", "label").agg(F.collect_set("accession").alias("acc"))
-    sets = per_label.groupBy("primer_set").agg(F.collect_list(F.struct("label", "acc")).alias("hits"))
-    pairs = _pairs(orgs, sets)
-    off = F.filter("hits", lambda h: h["label"] != F.col("org"))
-    judged = pairs.withColumn("__off", F.array_sort(F.flatten(F.transform(off, lambda h: h["acc"]))))
-    good = judged.filter(F.size("__off") == 0).select(F.col("org").alias("label"), "primer_set")
-    bad = judged.filter(F.size("__off") > 0).select(F.col("org").alias("label"), "primer_set", F.col("__off").alias("failure_acc"))
-    return good, bad
-
-
-def _pairs(orgs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Every set with every requested organism; organisms are a short list of the caller's."""
-    names = [r["label"] for r in orgs.select(F.col("label").cast("string").alias("label")).distinct().collect()]
-    return sets.withColumn("org", F.explode(F.array(*[F.lit(n) for n in sorted(names)])))
+    names = sorted(r["label"] for r in orgs.select(F.col("label").cast("string").alias("label")).distinct().collect() if r["label"] is not None)
+    every = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
+    spans = hits.groupBy("primer_set").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a = b")
+    good = spans.filter(F.array_contains(every, F.col("a").cast("string"))).select(F.col("a").cast("string").alias("label"), "primer_set")
+    found = hits.select("primer_set", F.col("label").cast("string").alias("__own"), "accession").distinct()
+    bad = found.select(F.explode(F.filter(every, lambda o: o != F.col("__own"))).alias("label"), "primer_set", F.col("accession").alias("failure_acc"))
+    return good, bad.distinct()
+
+
+def failure_lists(failures: DataFrame) -> DataFrame:
+    """(label, primer_set, failure_acc): the failures of a set as one sorted list, for writing."""
+    return failures.groupBy("label", "primer_set").agg(F.array_sort(F.collect_list("failure_acc")).alias("failure_acc"))
+
+
+def longer_than(amplicons: DataFrame, least: int) -> DataFrame:
+    """Amplicons strictly longer than a bound."""
+    return amplicons.filter(F.col("amplicon_len") > least)
+
+
+def by_probe(amplicons: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Amplicons with a probe, and those without, which count as not detected."""
+    return amplicons.filter(F.col("ProbeID").isNotNull()), amplicons.filter(F.col("ProbeID").isNull())
+
+
+def restricted(metadata: DataFrame, records: DataFrame, on: str = "accession") -> DataFrame:
+    """Rows of metadata whose accession is a record's id (column id)."""
+    return metadata.join(records.select(F.col("id").alias(on)), on, "left_semi")
+
+
+def packaged(amplicons: DataFrame, column: int = 1, probe: bool = True) -> DataFrame:
+    """The fields of exclusivity tests: primer_pair, mismatches, name, primer, accession and
+    the primer set (with the probe, where there is one)."""
+    ids = [F.col("FP_ID"), F.col("RP_ID"), *([F.col("ProbeID")] if probe and "ProbeID" in amplicons.columns else [])]
+    extra = [c for c in ("label", "AmpliconSeq") if c in amplicons.columns]
+    return amplicons.select(
+        F.concat_ws("_", "FP_ID", "RP_ID").alias("primer_pair"), F.col("FP_mismatches").alias("fp_mismatches"), F.col("RP_mismatches").alias("rp_mismatches"),
+        F.col("HitName").alias("name"), S.id_prefix(F.col("FP_ID")).alias("primer"), S.accession(F.col("Full_Hit_ID"), column).alias("accession_num"),
+        F.array_join(S.primer_set(*ids), ",").alias("primer_set"), *extra,
+    )
 
 
 def off_target_by_composition(rows: DataFrame, k: int = 3, exact: bool = False) -> DataFrame:

@@ -8,6 +8,38 @@ from pyspark.sql import functions as F
 from helixmill.functions import sequence as S
 
 
+#: Letters of a chromosome whose intervals meet in one task.
+BIN = 1 << 16
+
+
+def islands(rows: DataFrame, by: tuple[str, ...], order: tuple[str, ...], touching: bool, width: int = BIN) -> DataFrame:
+    """rows with __island: one number for each run of overlapping intervals, counted per `by`.
+
+    touching puts intervals that only touch into one island. Rows are sorted inside bins of
+    `width` letters by their start; what earlier bins hand on (the greatest end, the number of
+    islands so far) is summed over one row a bin, so a chromosome is never sorted in one task.
+    """
+    binned = rows.withColumn("__bin", F.floor(F.col("start") / width))
+    inside = Window.partitionBy(*by, "__bin").orderBy(*order)
+    across = Window.partitionBy(*by).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    ends = binned.groupBy(*by, "__bin").agg(F.max("end").alias("__end")).withColumn("__reached", F.max("__end").over(across)).drop("__end")
+    joined = _beside(binned, ends, by)
+    before = F.greatest("__reached", F.max("end").over(inside.rowsBetween(Window.unboundedPreceding, -1)))
+    gap = F.col("start") > before if touching else F.col("start") >= before
+    opened = joined.withColumn("__open", F.when(gap, 1).otherwise(0)).drop("__reached")
+    counts = opened.groupBy(*by, "__bin").agg(F.sum("__open").alias("__n"))
+    counts = counts.withColumn("__so_far", F.coalesce(F.sum("__n").over(across), F.lit(0))).drop("__n")
+    numbered = _beside(opened.withColumn("__island", F.sum("__open").over(inside)), counts, by)
+    return numbered.withColumn("__island", F.col("__island") + F.col("__so_far")).drop("__open", "__so_far", "__bin")
+
+
+def _beside(rows: DataFrame, bins: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """rows with their bin's columns; a null in `by` is a value like others."""
+    named = bins.select(*[F.col(c).alias(f"__b{i}") for i, c in enumerate((*by, "__bin"))], *[c for c in bins.columns if c not in (*by, "__bin")])
+    same = [rows[c].eqNullSafe(named[f"__b{i}"]) for i, c in enumerate((*by, "__bin"))]
+    return rows.join(named, same, "left").drop(*[f"__b{i}" for i in range(len(by) + 1)])
+
+
 def merge(intervals: DataFrame, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
     """(by..., start, end): overlapping and touching intervals as one.
 
@@ -15,10 +47,7 @@ def merge(intervals: DataFrame, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
     after every end before it.
     """
     rows = intervals.select(*by, "start", "end").distinct()
-    order = Window.partitionBy(*by).orderBy("start", "end")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    opened = rows.withColumn("__open", F.when(F.col("start") > F.max("end").over(before), 1).otherwise(0))
-    island = opened.withColumn("__island", F.sum("__open").over(order))
+    island = islands(rows, by, ("start", "end"), touching=True)
     return island.groupBy(*by, "__island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("__island")
 
 
@@ -46,10 +75,7 @@ def collapse(intervals: DataFrame, by: str = "chrom") -> DataFrame:
     ordered intervals, done by Spark's aggregate over an array per island: islands of
     overlapping intervals can be folded apart, as a gap always closes the current one.
     """
-    order = Window.partitionBy(by).orderBy("start", "end", "name")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    opened = F.when(F.col("start") >= F.max("end").over(before), 1).otherwise(0)
-    island = intervals.select(by, "start", "end", "name").withColumn("__open", opened).withColumn("__island", F.sum("__open").over(order))
+    island = islands(intervals.select(by, "start", "end", "name"), (by,), ("start", "end", "name"), touching=False)
     rows = F.sort_array(F.collect_list(F.struct("start", "end", "name")))
     grouped = island.groupBy(by, "__island").agg(rows.alias("rows"))
 

@@ -113,9 +113,7 @@ def sample_matrix(records: DataFrame, k: int, bin_col: str, sample: str) -> Data
     Samples are numbered in order within their bin; k-mers with ambiguity codes are left out.
     """
     counts = canonical_counts(records, k, (bin_col, sample)).filter(~F.col("kmer").rlike("[HVYWDKBNMSR]"))
-    samples = records.select(bin_col, sample).distinct()
-    index = (F.row_number().over(Window.partitionBy(bin_col).orderBy(sample)) - 1).alias("sample_idx")
-    numbered = samples.select(bin_col, sample, index)
+    numbered = sample_index(records, bin_col, sample).select(F.col("bin").alias(bin_col), F.col("accession").alias(sample), "sample_idx")
     return counts.join(numbered, [bin_col, sample]).select(F.col(bin_col).alias("bin"), "kmer", "sample_idx", "n")
 
 
@@ -140,6 +138,21 @@ def stratified_resample(members: DataFrame, n: int, group: str = "groups", membe
     return drawn.join(rows.select(group, member, number), [group, "__number"]).select("draw", group, member)
 
 
+def resampled_matrix(matrix: DataFrame, samples: DataFrame, draws: DataFrame) -> DataFrame:
+    """(bin, kmer, draw, n): the sample matrix's columns as the draws take them, with repeats.
+
+    matrix: bin, kmer, sample_idx, n; samples: bin, sample_idx, accession; draws: draw, accession.
+    """
+    taken = draws.select("draw", "accession").join(samples.select("bin", "sample_idx", "accession"), "accession")
+    return matrix.join(taken, ["bin", "sample_idx"]).select("bin", "kmer", "draw", "n")
+
+
+def sample_index(records: DataFrame, bin_col: str, sample: str) -> DataFrame:
+    """(bin, sample_idx, accession): the samples of each bin, numbered in order from 0."""
+    index = (F.row_number().over(Window.partitionBy(bin_col).orderBy(sample)) - 1).alias("sample_idx")
+    return records.select(bin_col, sample).distinct().select(F.col(bin_col).alias("bin"), index, F.col(sample).alias("accession"))
+
+
 def ordinal(kmers: DataFrame, start: int = 0) -> DataFrame:
     """(id, kmer) with ids from start in the order of the k-mers."""
     return ranked(kmers.select("kmer").distinct(), "kmer").select((F.col("rank") - 1 + start).alias("id"), "kmer")

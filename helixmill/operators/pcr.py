@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixmill.functions import sequence as S
+from helixmill.operators.kmers import CHUNK
 
 
 def with_mismatches(hits: DataFrame, oligos: DataFrame, limit: float = 3.0) -> DataFrame:
@@ -20,6 +21,10 @@ def with_mismatches(hits: DataFrame, oligos: DataFrame, limit: float = 3.0) -> D
     return named.withColumn("strand", S.strand(F.col("sstart"), F.col("send"))).drop("__budget")
 
 
+#: Pieces of oligos up to this number (some MB) are broadcast; more are joined by a shuffle.
+BROADCAST_SEEDS = 100_000
+
+
 def seed_search(oligos: DataFrame, sequences: DataFrame, limit: int = 3) -> DataFrame:
     """(qseqid, sseqid, nident, sstart, send): ungapped hits of oligos on both strands with at
     most `limit` mismatches. It stands in for an external search and finds no gapped hits.
@@ -36,15 +41,19 @@ def seed_search(oligos: DataFrame, sequences: DataFrame, limit: int = 3) -> Data
     seeds = both.withColumn("__size", size).select("id", "probe", "minus", "__size", F.explode(starts).alias("__at"))
     seeds = seeds.withColumn("seed", F.substring("probe", F.col("__at") + 1, F.col("__size"))).filter(F.length("seed") == F.col("__size"))
     sizes = [r["__size"] for r in seeds.select("__size").distinct().collect()]
+    few = seeds.count() <= BROADCAST_SEEDS
     found = None
     for k in sizes:
         windows = sequences.select("sseqid", "seq", F.posexplode(S.windows(F.col("seq"), k)).alias("__pos", "seed"))
-        part = windows.join(F.broadcast(seeds.filter(F.col("__size") == k)), "seed")
+        some = seeds.filter(F.col("__size") == k)
+        part = windows.join(F.broadcast(some) if few else some, "seed")
         begin = F.col("__pos") - F.col("__at")
         fits = (begin >= 0) & (begin + n <= F.length("seq"))
         site = F.substring("seq", begin + 1, n)
         hit = part.filter(fits).withColumn("__begin", begin).withColumn("__n", S.hamming(site, F.col("probe"))).filter(F.col("__n") <= limit)
         found = hit if found is None else found.unionByName(hit)
+    if found is None:  # no oligos
+        return sequences.sparkSession.createDataFrame([], f"qseqid string, sseqid {sequences.schema['sseqid'].dataType.simpleString()}, nident int, sstart long, send long")
     rows = found.select("id", "sseqid", "minus", "__begin", "__n", n.alias("len")).distinct()
     first, last = F.col("__begin") + 1, F.col("__begin") + F.col("len")
     return rows.select(
@@ -110,3 +119,48 @@ def forward(pairs: DataFrame) -> DataFrame:
 def single_primer(pairs: DataFrame) -> DataFrame:
     """Single-primer extension: amplicons of |F primers only, keyed by that primer."""
     return pairs.filter(F.col("FP_ID").endswith("|F")).withColumn("primer_set", S.primer_set(F.col("FP_ID")))
+
+
+def both_strands(hits: DataFrame) -> DataFrame:
+    """hits, if there are some on either strand; else ValueError: no pair could be made."""
+    found = {r["strand"] for r in hits.select("strand").distinct().limit(3).collect()}
+    if not {"plus", "minus"} <= found:
+        raise ValueError("hits on both strands are needed")
+    return hits
+
+
+def position_range(pairs: DataFrame) -> DataFrame:
+    """Amplicons with `position`, their place as Start-End."""
+    return pairs.withColumn("position", F.concat_ws("-", F.col("Start").cast("string"), F.col("End").cast("string")))
+
+
+def translated_search(markers: DataFrame, genomes: DataFrame, k: int | None = None) -> DataFrame:
+    """(id, sseqid, frame, sstart, send): exact places of protein markers in six-frame translations.
+
+    markers: id, protein; genomes: sseqid, seq. It stands in for an external translated search
+    as far as full-length hits without gaps go. Genomes are cut into overlapping pieces, whose
+    six translations' windows of the markers' lengths meet the markers by an equi-join.
+    Positions are 1-based on the forward strand, sstart > send for minus frames (-1 to -3).
+    """
+    known = markers.select("id", "protein").filter(F.length("protein") > 0)
+    lengths = [k] if k else sorted(r["n"] for r in known.select(F.length("protein").alias("n")).distinct().collect())
+    found = genomes.sparkSession.createDataFrame([], f"id {markers.schema['id'].dataType.simpleString()}, sseqid {genomes.schema['sseqid'].dataType.simpleString()}, frame int, sstart long, send long")
+    size = CHUNK // 3 * 3
+    for n in lengths:
+        pieces = genomes.select("sseqid", F.posexplode(S.chunks(F.col("seq"), size, 3 * n - 1)).alias("__number", "__piece"))
+        shifts = F.explode(F.array(*[F.struct(F.lit(i).alias("shift"), F.lit(m).alias("minus")) for i in range(3) for m in (False, True)])).alias("f")
+        cut = pieces.select("sseqid", "__number", F.length("__piece").alias("__length"), shifts, "__piece")
+        strand = F.when(F.col("f.minus"), S.reverse_complement(F.col("__piece"))).otherwise(F.col("__piece"))
+        protein = S.translate_cds(F.substring(strand, F.col("f.shift") + 1, F.length("__piece")))
+        windows = cut.select("sseqid", "__number", "__length", "f", F.posexplode(S.windows(protein, n)).alias("__at", "protein"))
+        hit = windows.join(known.filter(F.length("protein") == n), "protein")
+        begin = F.col("f.shift") + 3 * F.col("__at")
+        # A window's first letter on the forward strand, from 0.
+        low = F.col("__number").cast("long") * size + F.when(F.col("f.minus"), F.col("__length") - begin - 3 * n).otherwise(begin)
+        frame = (low % 3 + 1).cast("int")
+        rows = hit.select(
+            "id", "sseqid", F.when(F.col("f.minus"), -frame).otherwise(frame).alias("frame"),
+            F.when(F.col("f.minus"), low + 3 * n).otherwise(low + 1).alias("sstart"), F.when(F.col("f.minus"), low + 1).otherwise(low + 3 * n).alias("send"),
+        )
+        found = found.unionByName(rows.distinct())
+    return found

@@ -9,24 +9,30 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from helixmill.functions.sequence import reverse_complement
+from helixmill.functions.sequence import translate_cds
 from helixmill.sources import schemas
 
 FASTA_SUFFIXES = ("fna", "fasta", "fa")
 
 
-def fasta(spark: SparkSession, path: str, glob: str = "*.{fna,fasta}", recursive: bool = False) -> DataFrame:
+def fasta(spark: SparkSession, path: str, glob: str = "*.{fna,fasta}", recursive: bool = False, leading: bool = False) -> DataFrame:
     """(id, description, seq, file): records of FASTA files, split at lines that begin with >.
 
     Files are read with ">" at the start of a line as the separator of rows, so a large file
-    is split between tasks; letters before the first header are left out.
+    is split between tasks. Files are expected to begin with a header. With `leading` lines
+    before a file's first header are left out, which takes a second scan; without it they
+    would be read as a record.
     """
     reader = spark.read.option("lineSep", "\n>").option("pathGlobFilter", glob).option("recursiveFileLookup", recursive)
-    rows = reader.text(path).select(F.col("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
-    # Only a file's first row still has its own > before it (or is no record at all).
+    rows = reader.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    if leading:
+        # A file's first row still has its own >, or is no record at all.
+        rows = rows.withColumn("row", F.monotonically_increasing_id())
+        first = rows.filter("at = 0").groupBy(F.col("file").alias("f")).agg(F.min("row").alias("r"), F.min_by(F.col("value").startswith(">"), "row").alias("headed"))
+        rows = rows.join(first.filter("NOT headed"), (F.col("file") == F.col("f")) & (F.col("row") == F.col("r")), "left_anti")
     body = F.regexp_replace("value", "^>", "")
     head = F.regexp_extract(body, r"^([^\r\n]*)", 1)
     seq = F.regexp_replace(F.regexp_replace(body, r"^[^\r\n]*", ""), r"[\s]", "")
@@ -34,29 +40,52 @@ def fasta(spark: SparkSession, path: str, glob: str = "*.{fna,fasta}", recursive
     return named.filter(F.col("id") != "")
 
 
-def fastq(spark: SparkSession, path: str, glob: str = "*.{fastq,fq}", longer_than: int = 0) -> DataFrame:
+def fastq(spark: SparkSession, path: str, glob: str = "*.{fastq,fq,fastq.gz,fq.gz}", longer_than: int = 0) -> DataFrame:
     """(id, seq, qual, file): reads of four lines, longer than a bound (strictly).
 
-    A quality line may begin like a header, so a file can't be cut at headers: each file is
-    parsed whole by one task, ten thousand reads at a time. Runs come as many files.
+    Files are read with "@" at the start of a line as the separator of rows, so a large file is
+    split between tasks, and compressed ones are unpacked by Spark. A quality line may begin
+    with @ too: such a read comes in two rows that follow each other, and is put together where
+    its task sees both, else by a join of the few rows that end or begin a split.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
+    rows = spark.read.option("lineSep", "\n@").option("pathGlobFilter", glob).text(path)
+    rows = rows.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, held = None, None
         for batch in batches:
-            for file, content in zip(batch["path"], batch["content"], strict=True):
-                lines = io.TextIOWrapper(io.BytesIO(content))
-                rows = []
-                while head := lines.readline():
-                    seq, _, qual = lines.readline().rstrip(), lines.readline(), lines.readline().rstrip()
-                    if head.startswith("@"):
-                        rows.append((head[1:].split()[0] if head[1:].split() else "", seq, qual, file))
-                    if len(rows) >= 10_000:
-                        yield pd.DataFrame(rows, columns=schemas.FASTQ.names)
-                        rows = []
-                yield pd.DataFrame(rows, columns=schemas.FASTQ.names)
-
-    return files.mapInPandas(parse, schemas.FASTQ).filter(F.length("seq") > longer_than)
+            out = []
+            for file, at, value in zip(batch["file"], batch["at"], batch["value"], strict=True):
+                lines = value.rstrip("\r\n").split("\n")
+                if held and (file, at) != place:
+                    out.append((*held, *place, "head"))
+                    held = None
+                place = file, at
+                if len(lines) == 1:  # the rest of a quality line that began with @
+                    rest = "@" + lines[0].rstrip("\r")
+                    out.append((held[0], held[1], rest, file, at, "whole") if held else ("", "", rest, file, at, "tail"))
+                    held = None
+                    continue
+                if held:  # an empty quality line
+                    out.append((*held, *place, "whole"))
+                    held = None
+                head = lines[0].removeprefix("@").split()
+                record = head[0] if head else "", lines[1].rstrip("\r"), lines[3].rstrip("\r") if len(lines) > 3 else ""
+                if len(lines) > 3:
+                    out.append((*record, file, at, "whole"))
+                else:
+                    held = record
+            yield pd.DataFrame(out, columns=["id", "seq", "qual", "file", "at", "part"])
+        if held:
+            yield pd.DataFrame([(*held, *place, "head")], columns=["id", "seq", "qual", "file", "at", "part"])
+
+    reads = rows.mapInPandas(parse, "id string, seq string, qual string, file string, at long, part string")
+    # A split's last head and the next split's first row: the next odd row of the file, if a tail.
+    order = Window.partitionBy("file").orderBy("at", F.col("part").desc())
+    odd = reads.filter("part <> 'whole'").withColumn("next", F.lead(F.struct("part", "qual")).over(order)).filter("part = 'head'")
+    qual = F.when(F.col("next.part") == "tail", F.col("next.qual")).otherwise(F.lit(""))
+    out = reads.filter("part = 'whole'").select("id", "seq", "qual", "file").unionByName(odd.select("id", "seq", qual.alias("qual"), "file"))
+    return out.filter(F.length("seq") > longer_than)
 
 
 def single_record(records: DataFrame) -> DataFrame:
@@ -129,15 +158,34 @@ def _coding(text: str) -> Iterator[tuple[str, list[tuple[int, int, int]], str]]:
             continue
         seq = re.sub(r"[^A-Za-z]", "", body[1]).upper()
         for place in re.findall(r"^     CDS {13}((?:.*\n {21}(?=[\d<>,()a-z.]))*.*)$", body[0], re.M):
-            place = re.sub(r"\s", "", place)
-            strand = -1 if place.startswith("complement") else 1
-            spans = [(int(a) - 1, int(b), strand) for a, b in re.findall(r"<?(\d+)\.\.>?(\d+)", place)]
-            yield name[1], spans, seq
+            yield name[1], list(_parts(re.sub(r"\s", "", place))), seq
+
+
+_PART = re.compile(r"(complement|join|order)?\(|\)|<?(\d+)(?:\.\.>?(\d+))?")
+
+
+def _parts(place: str) -> Iterator[tuple[int, int, int]]:
+    """The spans of a feature's place in the order in which they are read on its strand:
+    complement(join(a, b)) is read from b to a, join(complement(b), complement(a)) as written."""
+    stack: list[tuple[bool, list[tuple[int, int, int]]]] = [(False, [])]
+    for step in _PART.finditer(place):
+        text = step[0]
+        if text.endswith("("):
+            stack.append((step[1] == "complement", []))
+        elif text == ")" and len(stack) > 1:
+            turned, spans = stack.pop()
+            stack[-1][1].extend([(a, b, -strand) for a, b, strand in reversed(spans)] if turned else spans)
+        elif step[2]:
+            stack[-1][1].append((int(step[2]) - 1, int(step[3] or step[2]), 1))
+    yield from stack[0][1]
+
+
+_TURN = str.maketrans("ACGTRYSWKMBDHVN", "TGCAYRSWMKVHDBN")
 
 
 def genbank_zip(spark: SparkSession, path: str) -> DataFrame:
     """(assembly, record_id, start, end, strand, seq): coding sequences of annotated genomes in
-    zip archives, on their own strand; joined spans are put together."""
+    zip archives, on their own strand; joined spans are put together, each on its strand."""
     members = zip_members(spark, path, r"\.gbff$")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -147,12 +195,17 @@ def genbank_zip(spark: SparkSession, path: str) -> DataFrame:
                 rows = []
                 for record, spans, seq in _coding(content.decode("utf-8", "replace")):
                     if spans:
-                        joined = "".join(seq[a:b] for a, b, _ in spans)
-                        rows.append((steps[-2] if len(steps) > 1 else member, record, spans[0][0], spans[-1][1], spans[0][2], joined))
+                        read = "".join(seq[a:b] if strand > 0 else seq[a:b].translate(_TURN)[::-1] for a, b, strand in spans)
+                        low, high = min(x[0] for x in spans), max(x[1] for x in spans)
+                        rows.append((steps[-2] if len(steps) > 1 else member, record, low, high, spans[0][2], read))
                 yield pd.DataFrame(rows, columns=schemas.CDS.names)
 
-    cds = members.select("member", "content").mapInPandas(parse, schemas.CDS)
-    return cds.withColumn("seq", F.when(F.col("strand") < 0, reverse_complement(F.col("seq"))).otherwise(F.col("seq")))
+    return members.select("member", "content").mapInPandas(parse, schemas.CDS)
+
+
+def translated(records: DataFrame) -> DataFrame:
+    """Coding sequences, from FASTA files or annotated genomes, with their `protein`."""
+    return records.withColumn("protein", translate_cds(F.col("seq")))
 
 
 def file_labels(spark: SparkSession, groups: list[str], labels: list[str]) -> DataFrame:

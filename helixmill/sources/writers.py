@@ -21,8 +21,10 @@ def fasta(records: DataFrame, path: str, by: str | None = None) -> None:
 
 
 def table(rows: DataFrame, path: str, by: str | None = None) -> None:
-    """Tab-separated with a header; nulls as N/A."""
-    writer = rows.write.mode("overwrite")
+    """Tab-separated with a header; nulls as N/A, arrays as their members with commas between."""
+    lists = {f.name for f in rows.schema if f.dataType.typeName() == "array"}
+    plain = rows.select(*[F.array_join(F.col(c).cast("array<string>"), ",").alias(c) if c in lists else F.col(c) for c in rows.columns])
+    writer = plain.write.mode("overwrite")
     (writer.partitionBy(by) if by else writer).csv(path, sep="\t", header=True, nullValue="N/A")
 
 
@@ -46,17 +48,36 @@ def exclusive_json(lists: DataFrame, path: str) -> None:
     lists.select(cleaned.alias("e")).agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list("e")), ", "), F.lit("}"))).coalesce(1).write.mode("overwrite").text(path)
 
 
+def accession_lists(missing: DataFrame, path: str) -> None:
+    """Text files of accessions without a hit, a directory for each label."""
+    missing.select("label", F.col("accession").cast("string").alias("value")).write.mode("overwrite").partitionBy("label").text(path)
+
+
 def zipped(members: DataFrame, path: str) -> None:
-    """One zip archive (deflate level 6) per value of `archive`, as rows (archive, content)."""
+    """A file <archive>.zip (deflate level 6) in the directory `path` per value of `archive`.
+
+    Archives are packed by the tasks; the finished files pass the driver one at a time, as
+    Spark's writers know no such format, and go to any store that Hadoop knows. An archive
+    must fit into a task's memory (2 GB at most).
+    """
 
     def pack(part: pd.DataFrame) -> pd.DataFrame:
         raw = io.BytesIO()
         with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED, compresslevel=6) as z:
             for name, content in zip(part["member"], part["content"], strict=True):
-                z.writestr(name, content)
-        return pd.DataFrame([(part["archive"].iloc[0], raw.getvalue())], columns=["archive", "content"])
-
-    members.groupBy("archive").applyInPandas(pack, "archive string, content binary").write.mode("overwrite").parquet(path)
+                z.writestr(name, bytes(content))
+        return pd.DataFrame([(str(part["archive"].iloc[0]), raw.getvalue())], columns=["archive", "content"])
+
+    packed = members.groupBy("archive").applyInPandas(pack, "archive string, content binary")
+    spark = members.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for row in packed.toLocalIterator():
+        target = hadoop.Path(path, row["archive"].rsplit("/", 1)[-1].removesuffix(".zip") + ".zip")
+        stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+        try:
+            stream.write(bytes(row["content"]))
+        finally:
+            stream.close()
 
 
 def parts(rows: DataFrame) -> Iterator[dict]:

@@ -1,9 +1,11 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from helixmill.functions import sequence as S
 from helixmill.operators import archives, cluster, evaluate, intervals, kmers, mapping, pcr
 from helixmill.plans import queries
 
@@ -158,7 +160,7 @@ def test_exclusive_and_failures(spark):
     orgs = spark.createDataFrame([("x",), ("y",), ("z",)], "label string")
     good, bad = evaluate.exclusive_sets(hits, orgs)
     assert sorted(map(tuple, good.collect())) == [("x", "s1")]
-    assert {(r.label, r.primer_set): r.failure_acc for r in bad.collect()}[("x", "s2")] == ["b"]
+    assert {(r.label, r.primer_set): r.failure_acc for r in evaluate.failure_lists(bad).collect()}[("x", "s2")] == ["b"]
     lists = {r.label: r.primers for r in evaluate.exclusive_json(good, orgs).collect()}
     assert lists == {"x": ["s1"], "y": [], "z": []}
 
@@ -228,3 +230,101 @@ def test_groups_are_not_joined_in_one_row(spark, tmp_path):
     out = queries.minhash_jaccard(spark, str(tmp_path))
     assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert [tuple(r) for r in out.collect()] == [("en/s", "en/s", 1.0)]
+
+
+def test_ward_by_brute_force(spark):
+    """Merges of mutual neighbours give the tree of one merge at a time, over several blocks."""
+    rng = np.random.default_rng(4)
+    n = 23
+    sim = np.clip(np.add.outer(rng.random(n), rng.random(n)) / 2 * (rng.random((n, n)) < 0.6), 0, 1)
+    sim = np.maximum(sim, sim.T)
+    np.fill_diagonal(sim, 1.0)
+    names = [f"r{i:02d}" for i in range(n)]
+    rows = [(names[i], names[j], float(sim[i, j])) for i in range(n) for j in range(i, n) if sim[i, j] > 0]
+    pairs = spark.createDataFrame(rows, "a string, b string, sim double")
+    records, distances = cluster.row_distances(pairs, block=7)
+    square = ((sim[:, None] - sim[None]) ** 2).sum(axis=2)
+    got = {(r.i - 1, r.j - 1): r.e for r in distances.collect()}
+    assert len(got) == n * (n - 1) // 2 and all(abs(square[k] - e) < 1e-9 for k, e in got.items())
+    for clusters, distance in ((1, None), (4, None), (n, None), (None, 1.5)):
+        found = {r.record: r.cluster for r in cluster.ward_clusters(pairs, clusters, distance).collect()}
+        assert [found[x] for x in names] == cluster.ward_linkage(sim, clusters, distance).tolist()
+    labels = cluster.label_table(cluster.ward_clusters(pairs, 2), "run_")
+    assert labels.columns == ["accession", "label"] and {r.label for r in labels.collect()} == {"run_cluster_1", "run_cluster_2"}
+
+
+def test_islands_across_bins(spark):
+    """Intervals that span many bins, touch, nest, or stand in bins of their own."""
+    rng = random.Random(6)
+    rows = [(c, s := rng.randrange(4000), s + rng.choice([1, 3, 10, 900])) for c in ("a", "b", None) for _ in range(60)]
+    df = spark.createDataFrame(rows, "chrom string, start long, end long")
+    want = set()
+    for c in ("a", "b", None):
+        runs = []
+        for s, e in sorted((s, e) for x, s, e in rows if x == c):
+            if runs and s <= runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], e)
+            else:
+                runs.append([s, e])
+        want |= {(c, s, e) for s, e in runs}
+    for width in (1, 50, 1 << 16):
+        island = intervals.islands(df.distinct(), ("chrom",), ("start", "end"), True, width)
+        got = island.groupBy("chrom", "__island").agg(F.min("start").alias("s"), F.max("end").alias("e"))
+        assert {(r.chrom, r.s, r.e) for r in got.collect()} == want
+
+
+def test_translated_search(spark):
+    rng = random.Random(9)
+    genome = "".join(rng.choices("ACGT", k=500))
+    markers, want = [], set()
+    for i, (at, minus) in enumerate(((0, False), (100, True), (101, False), (302, True), (476, False))):
+        part = genome[at : at + 24]
+        part = part[::-1].translate(str.maketrans("ACGT", "TGCA")) if minus else part
+        protein = "".join(S.CODONS[part[j : j + 3]] for j in range(0, 24, 3))
+        markers.append((f"m{i}", protein))
+        want.add((f"m{i}", "g", (-1 if minus else 1) * (at % 3 + 1), at + (24 if minus else 1), at + (1 if minus else 24)))
+    marker_rows = spark.createDataFrame(markers + [("none", "WWWWWWWW")], "id string, protein string")
+    genomes = spark.createDataFrame([("g", genome), ("h", None), ("i", "AC")], "sseqid string, seq string")
+    assert {tuple(r) for r in pcr.translated_search(marker_rows, genomes).collect()} == want
+    assert pcr.translated_search(marker_rows.limit(0), genomes).count() == 0
+
+
+def test_guards_and_filters(spark):
+    rows = [("p|x", "q|y", "io", 1, 2, "hit", "gb|AC.1|", 50, 90, 41), ("r|x", "s|y", None, 0, 0, "hit", "AC.2", 1, 20, 20)]
+    amplicons = spark.createDataFrame(rows, "FP_ID string, RP_ID string, ProbeID string, FP_mismatches int, RP_mismatches int, HitName string, Full_Hit_ID string, Start long, End long, amplicon_len int")
+    assert [r.FP_ID for r in evaluate.longer_than(amplicons, 20).collect()] == ["p|x"]
+    with_probe, without_probe = evaluate.by_probe(amplicons)
+    assert [r.FP_ID for r in with_probe.collect()] == ["p|x"] and [r.FP_ID for r in without_probe.collect()] == ["r|x"]
+    assert sorted(r.position for r in pcr.position_range(amplicons).collect()) == ["1-20", "50-90"]
+    assert {(r.primer_pair, r.primer, r.accession_num, r.primer_set) for r in evaluate.packaged(amplicons).collect()} == {("p|x_q|y", "p", "AC.1", "io,p,q"), ("r|x_s|y", "r", "AC.2", "r,s")}
+    meta = spark.createDataFrame([("a", 1), ("b", 2)], "accession string, v int")
+    assert [r.v for r in evaluate.restricted(meta, spark.createDataFrame([("a",)], "id string")).collect()] == [1]
+    hits = spark.createDataFrame([("plus",), ("minus",)], "strand string")
+    assert pcr.both_strands(hits).count() == 2
+    with pytest.raises(ValueError):
+        pcr.both_strands(hits.limit(1))
+    none = spark.createDataFrame([], "id string, seq string")
+    assert pcr.seed_search(none, spark.createDataFrame([("s", "ACGT")], "sseqid string, seq string")).count() == 0
+
+
+def test_resampled_matrix(spark):
+    records = spark.createDataFrame([("b", "s1", "ACGTT"), ("b", "s2", "ACGAA"), ("c", "s3", "TTTTT")], "bin string, sample string, seq string")
+    matrix, index = kmers.sample_matrix(records, 3, "bin", "sample"), kmers.sample_index(records, "bin", "sample")
+    draws = spark.createDataFrame([(0, "s2"), (1, "s2"), (2, "s3")], "draw int, accession string")
+    one = {(r.bin, r.kmer): r.n for r in matrix.filter("bin = 'b' AND sample_idx = 1").collect()}
+    got = kmers.resampled_matrix(matrix, index, draws)
+    for draw in (0, 1):
+        assert {(r.bin, r.kmer): r.n for r in got.filter(F.col("draw") == draw).collect()} == one
+    assert {r.bin for r in got.filter("draw = 2").collect()} == {"c"}
+
+
+def test_long_record_in_time(spark):
+    """A record of a million letters: windows and translation are linear in its length."""
+    import time
+
+    seq = "".join(random.Random(1).choices("ACGT", k=1_000_000))
+    df = spark.createDataFrame([(1, seq)], "id int, seq string")
+    began = time.time()
+    assert kmers.exploded(df, 18).count() == 1_000_000 - 17
+    assert kmers.protein_kmers(df, 4, "id").count() > 100_000
+    assert time.time() - began < 60

@@ -1,4 +1,5 @@
-import io
+import gzip
+import random
 import zipfile
 
 import pytest
@@ -59,8 +60,11 @@ def test_zips(spark, tmp_path):
     assert cds == {0: ("ASM1", "REC1.1", 9, "ATGGCCTAA"), 9: ("ASM1", "REC1.1", 15, "GGGTTT")}
     members = readers.zip_members(spark, str(tmp_path / "g.zip")).withColumn("archive", F.lit("new"))
     writers.zipped(members, str(tmp_path / "z"))
-    content = spark.read.parquet(str(tmp_path / "z")).first()["content"]
-    assert sorted(zipfile.ZipFile(io.BytesIO(content)).namelist()) == ["ncbi/data/ASM1/genomic.gbff", "readme.txt"]
+    assert sorted(zipfile.ZipFile(tmp_path / "z" / "new.zip").namelist()) == ["ncbi/data/ASM1/genomic.gbff", "readme.txt"]
+    again = readers.zip_members(spark, str(tmp_path / "z" / "new.zip"), r"\.gbff$")
+    assert bytes(again.first()["content"]).decode() == GENBANK
+    proteins = readers.translated(readers.genbank_zip(spark, str(tmp_path / "g.zip")))
+    assert sorted(r.protein for r in proteins.collect()) == ["GF", "MA*"]
 
 
 def test_exclusive_json(spark, tmp_path):
@@ -68,3 +72,78 @@ def test_exclusive_json(spark, tmp_path):
     writers.exclusive_json(lists, str(tmp_path / "j"))
     rows = readers.exclusive_json(spark, str(tmp_path / "j")).collect()
     assert sorted((r.label, r.id) for r in rows) == [("x", "a"), ("x", "b")]
+
+
+def test_places_on_both_strands():
+    parts = lambda place: list(readers._parts(place))
+    assert parts("1..9") == [(0, 9, 1)] and parts("complement(<10..>15)") == [(9, 15, -1)] and parts("join(1..3,7)") == [(0, 3, 1), (6, 7, 1)]
+    assert parts("complement(join(1..3,7..9))") == [(6, 9, -1), (0, 3, -1)] == parts("join(complement(7..9),complement(1..3))")
+    assert parts("join(1..3,complement(7..9))") == [(0, 3, 1), (6, 9, -1)]
+
+
+def test_joined_complements(spark, tmp_path):
+    text = GENBANK.replace("complement(10..15)", "join(complement(13..15),complement(10..12))")
+    with zipfile.ZipFile(tmp_path / "g.zip", "w") as z:
+        z.writestr("ncbi/data/ASM1/genomic.gbff", text)
+    cds = {r.start: r.seq for r in readers.genbank_zip(spark, str(tmp_path / "g.zip")).collect()}
+    assert cds == {0: "ATGGCCTAA", 9: "GGGTTT"}
+
+
+def test_text_before_the_first_header(spark, tmp_path):
+    (tmp_path / "x.fna").write_text("junk line\n>a one\nACGT\n>b\nTT\n")
+    (tmp_path / "y.fna").write_text(">c\nGG\n")
+    assert sorted(r.id for r in readers.fasta(spark, str(tmp_path), leading=True).collect()) == ["a", "b", "c"]
+
+
+def test_recursive_folders(spark, tmp_path):
+    (tmp_path / "deep" / "er").mkdir(parents=True)
+    (tmp_path / "deep" / "er" / "x.fasta").write_text(">a\nAC\n")
+    assert [r.id for r in readers.fasta(spark, str(tmp_path), recursive=True).collect()] == ["a"]
+
+
+@pytest.mark.parametrize("split", [200, 1 << 20])
+def test_fastq_in_splits(spark, tmp_path, split):
+    """Quality lines that begin with @, splits anywhere, empty reads, compressed files."""
+    rng = random.Random(3)
+    reads = [(f"r{i}", "".join(rng.choices("ACGT", k=(n := rng.choice([0, 1, 30])))), "".join(rng.choices("@+IA", k=n))) for i in range(60)]
+    text = "".join(f"@{i} more\n{s}\n+\n{q}\n" for i, s, q in reads)
+    (tmp_path / "x.fastq").write_text(text)
+    with gzip.open(tmp_path / "y.fastq.gz", "wt") as f:
+        f.write(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        got = sorted((r.id, r.seq, r.qual) for r in readers.fastq(spark, str(tmp_path), longer_than=-1).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    assert got == sorted(reads + reads)
+
+
+def test_tables_and_lists(spark, tmp_path):
+    rows = spark.createDataFrame([("x", ["a", "b"], None), ("y", [], 2)], "label string, failure_acc array<string>, n int")
+    writers.table(rows, str(tmp_path / "t"), by="label")
+    lines = {f.parent.name: f.read_text().splitlines() for f in (tmp_path / "t").rglob("*.csv")}
+    assert lines == {"label=x": ["failure_acc\tn", "a,b\tN/A"], "label=y": ["failure_acc\tn", '""\t2']}
+    writers.accession_lists(spark.createDataFrame([("x", 1), ("x", 2)], "label string, accession int"), str(tmp_path / "m"))
+    assert sorted("".join(f.read_text() for f in (tmp_path / "m").rglob("*.txt")).split()) == ["1", "2"]
+
+
+def test_bed_and_sam_files(spark, tmp_path):
+    rows = spark.createDataFrame([("b", 1, 2), ("a", 5, 9), ("a", 3, 4)], "chrom string, start long, end long")
+    writers.bed(rows, str(tmp_path / "b"))
+    back = readers.bare(spark, str(tmp_path / "b"), "chrom string, start long, end long")
+    assert [tuple(r) for r in back.collect()] == [("a", 3, 4), ("a", 5, 9), ("b", 1, 2)]
+    hits = spark.createDataFrame([("q", 0, "c", 5, 42, "3M", "*", 0, 0, "ACG", "*")], schemas.SAM)
+    writers.sam(hits, spark.createDataFrame([("c", 99)], "chrom string, size long"), str(tmp_path / "s"))
+    assert [tuple(r) for r in readers.sam(spark, str(tmp_path / "s")).collect()] == [tuple(hits.first())]
+
+
+def test_labels_of_files(spark, tmp_path):
+    (tmp_path / "x.fa").write_text(">a\nAC\n>b\nAC\n")
+    (tmp_path / "y.fa").write_text(">c\nAC\n")
+    rows = readers.file_labels(spark, [str(tmp_path / "x.fa"), str(tmp_path / "y.fa")], ["one", "two"])
+    assert sorted(map(tuple, rows.collect())) == [("a", "one"), ("b", "one"), ("c", "two")]
+    with pytest.raises(ValueError):
+        readers.file_labels(spark, ["x"], [])
