@@ -189,9 +189,22 @@ def hamming(a: Column, b: Column) -> Column:
 
 def composition(seq: Column, k: int = 3) -> Column:
     """A sequence's k-mers with their counts as one string, equal for equal profiles."""
-    kmers = F.array_sort(windows(seq, k))
-    counted = F.transform(F.array_distinct(kmers), lambda x: F.concat(x, F.lit(":"), F.size(F.filter(kmers, lambda y: y == x)).cast("string")))
-    return F.array_join(counted, ",")
+
+    def counted(ordered: Column, distinct: Column) -> Column:
+        # A k-mer's count is the way from its first place to the next one's.
+        first = lambda x: F.array_position(ordered, x)
+        after = lambda i: F.coalesce(first(F.get(distinct, i + 1)), F.size(ordered) + 1)
+        return F.array_join(F.transform(distinct, lambda x, i: F.concat(x, F.lit(":"), (after(i) - first(x)).cast("string"))), ",")
+
+    return _bound(F.sort_array(windows(seq, k)), lambda ordered: _bound(F.array_distinct(ordered), lambda distinct: counted(ordered, distinct)))
+
+
+def composition_key(seq: Column, k: int = 3) -> Column:
+    """Two 61-bit sums over a sequence's k-mers that are equal for equal compositions (and for
+    others with a negligible chance), in time linear in the sequence."""
+    prime = F.lit(2**61 - 1)
+    one = lambda words, salt: F.aggregate(words, F.lit(0).cast("long"), lambda a, x: F.pmod(a + F.shiftrightunsigned(F.xxhash64(F.lit(salt), x), 3), prime))
+    return _bound(windows(seq, k), lambda words: F.struct(one(words, 1).alias("a"), one(words, 2).alias("b")))
 
 
 def strand(start: Column, end: Column) -> Column:

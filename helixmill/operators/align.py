@@ -8,6 +8,7 @@ recurrence only runs for pairs where two gaps could still win. Rows are independ
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import product
@@ -30,9 +31,18 @@ def complemented(seq: str) -> str:
     return "".join(COMPLEMENT.get(c, c) for c in reversed(seq.upper()))
 
 
+#: Concrete sequences that one degenerate oligo may stand for; more raise an error.
+MOST_VARIANTS = 65_536
+#: Probes of a panel, which every task holds; more raise an error.
+MOST_PROBES = 100_000
+
+
 @lru_cache(4096)
 def expanded(seq: str) -> tuple[str, ...]:
     """All concrete sequences of a degenerate one, in order."""
+    n = math.prod(len(IUPAC.get(c, c)) for c in seq.upper())
+    if n > MOST_VARIANTS:
+        raise ValueError(f"{seq} stands for {n} sequences, more than {MOST_VARIANTS}")
     return tuple("".join(x) for x in product(*[IUPAC.get(c, c) for c in seq.upper()]))
 
 
@@ -316,7 +326,9 @@ def align_probes(amplicons: DataFrame, probes: DataFrame, limit: int = 3, mux: b
     A probe belongs to an amplicon if the prefixes of its id and of FP_ID are equal; with mux
     every probe is tried (see Panel). probes (id, seq) are a panel, sent along as a broadcast value.
     """
-    panel = [(r["id"], r["seq"]) for r in probes.orderBy("id").collect()]
+    panel = [(r["id"], r["seq"]) for r in probes.orderBy("id").limit(MOST_PROBES + 1).collect()]
+    if len(panel) > MOST_PROBES:
+        raise ValueError(f"more than {MOST_PROBES} probes")
     shared = amplicons.sparkSession.sparkContext.broadcast(panel)
     kind = "ProbeID string, Probe_seq string, Probe_mismatches int, Probe_startOnAmplicon int, ProbeStrand string"
 

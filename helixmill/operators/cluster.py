@@ -309,7 +309,7 @@ def ward_merges(distances: DataFrame, records: DataFrame) -> DataFrame:
             F.sum(F.col("wi") * F.col("wj") * F.col("e")).alias("e"), F.max(F.col("oi") + F.col("oj")).alias("off")
         )
         pairs = written(summed.select("i", "j", F.greatest(F.col("e") - F.col("off"), F.lit(0.0)).alias("e")))
-        clusters = written(state.filter("id = to").select("id", "size"))
+        clusters = state.filter("id = to").select("id", "size")
     return merges if merges is not None else distances.select("i", "j", F.col("e").alias("height")).limit(0)
 
 

@@ -129,8 +129,8 @@ def off_target_by_composition(rows: DataFrame, k: int = 3, exact: bool = False)
     rows: primer_set, label, accession, AmpliconSeq. Profiles are grouped, so each row meets
     the few other labels of its profile, not all rows of its set.
     """
-    key = F.col("AmpliconSeq") if exact else S.composition(F.col("AmpliconSeq"), k)
-    signed = rows.withColumn("__key", F.sha2(key, 256))
+    key = F.sha2("AmpliconSeq", 256) if exact else S.composition_key(F.col("AmpliconSeq"), k)
+    signed = rows.withColumn("__key", key)
     groups = signed.select("primer_set", "__key", "label", "accession").distinct()
     labels = groups.groupBy("primer_set", "__key").agg(F.countDistinct("label").alias("n")).filter("n > 1").drop("n")
     several = groups.join(labels, ["primer_set", "__key"])

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from helixmill.functions import sequence as S
 from helixmill.operators import align, archives, cluster, evaluate, intervals, kmers, mapping, pcr
+from helixmill.operators.tables import ranked
 from helixmill.plans import adapters as A
+from helixmill.sources import readers
 
 K = A.K
 MOTIFS = ["ACRT", "GGNCC", "TTYAG", "CWSA"]
@@ -95,11 +97,9 @@ def kmer_quantile_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_DOCS}, r AS (SELECT row_number() OVER (ORDER BY source) - 1 AS i, length(arg_min(seq, doc_id)) AS n FROM seqs GROUP BY source) SELECT doc_id, CAST(coalesce((SELECT min(i) FROM r WHERE length(seq) > n * (1 - 0.1) AND length(seq) < n * (1 + 0.1)), -1) AS INTEGER) AS bin FROM seqs")
 def replicon_bin(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql import Window
-
     rows = A.sequences(spark, sf)
     firsts = rows.groupBy("source").agg(F.min_by(F.length("seq"), "doc_id").alias("ref_len"))
-    refs = firsts.select((F.row_number().over(Window.orderBy("source")) - 1).alias("ref_idx"), "ref_len")
+    refs = ranked(firsts, "source").select((F.col("rank") - 1).alias("ref_idx"), "ref_len")
     return kmers.replicon_bins(rows, refs).select("doc_id", "bin")
 
 
@@ -219,16 +219,16 @@ def amplicon_mux(spark: SparkSession, sf: str) -> DataFrame:
     return pcr.amplicons(hits, 40, 100).select("FP_ID", "RP_ID", "sseqid", "Start", "End", "amplicon_len")
 
 
-@query(f"WITH {_DOCS}, a AS (SELECT doc_id, seq FROM seqs WHERE length(seq) BETWEEN 1 AND 2000) SELECT doc_id, unnest(CASE WHEN length(seq) > 250 THEN [substr(seq, 1, 150), substr({_RC.format('seq')}, 1, 150)] ELSE [seq] END) AS read FROM a")
+@query(f"WITH {_DOCS}, a AS (SELECT doc_id, seq FROM seqs WHERE length(seq) >= 1) SELECT doc_id, unnest(CASE WHEN length(seq) > 250 THEN [substr(seq, 1, 150), substr({_RC.format('seq')}, 1, 150)] ELSE [seq] END) AS read FROM a")
 def amplicon_trim(spark: SparkSession, sf: str) -> DataFrame:
-    rows = A.sequences(spark, sf).filter(F.length("seq").between(1, 2000)).select("doc_id", F.col("seq").alias("AmpliconSeq"))
+    rows = A.sequences(spark, sf).filter(F.length("seq") >= 1).select("doc_id", F.col("seq").alias("AmpliconSeq"))
     return pcr.read_ends(rows, 150, 250).select("doc_id", F.col("AmpliconSeq").alias("read"))
 
 
-@query(f"WITH {_DOCS}, h AS (SELECT substr(seq, 1, 6) AS s, source AS primer_set, lang AS label, doc_id AS accession FROM seqs WHERE length(seq) >= 6), k AS (SELECT *, list_sort([substr(s, 1, 3), substr(s, 2, 3), substr(s, 3, 3), substr(s, 4, 3)])::VARCHAR AS sig FROM h) SELECT a.primer_set, a.label, a.accession, string_agg(DISTINCT b.accession::VARCHAR, ',' ORDER BY b.accession::VARCHAR) AS failures FROM k a JOIN k b ON a.primer_set = b.primer_set AND a.sig = b.sig AND a.label <> b.label GROUP BY 1, 2, 3")
+@query(f"WITH {_DOCS}, w AS (SELECT doc_id, lang, unnest(list_transform(range(1, length(seq) - 1), lambda i: substr(seq, i, 3))) AS k FROM seqs WHERE length(seq) >= 3), c AS (SELECT doc_id, lang, k, count(*) AS n FROM w GROUP BY ALL), p AS (SELECT doc_id, lang AS primer_set, CAST(doc_id % 4 AS VARCHAR) AS label, string_agg(k || ':' || n, ',' ORDER BY k) AS sig FROM c GROUP BY doc_id, lang) SELECT a.primer_set, a.label, a.doc_id AS accession, string_agg(DISTINCT b.doc_id::VARCHAR, ',' ORDER BY b.doc_id::VARCHAR) AS failures FROM p a JOIN p b ON a.primer_set = b.primer_set AND a.sig = b.sig AND a.label <> b.label GROUP BY 1, 2, 3")
 def amplicon_composition_offtarget(spark: SparkSession, sf: str) -> DataFrame:
-    rows = A.sequences(spark, sf).filter(F.length("seq") >= 6)
-    rows = rows.select(F.col("source").alias("primer_set"), F.col("lang").alias("label"), F.col("doc_id").cast("string").alias("accession"), F.substring("seq", 1, 6).alias("AmpliconSeq"))
+    rows = A.sequences(spark, sf).filter(F.length("seq") >= 3)
+    rows = rows.select(F.col("lang").alias("primer_set"), (F.col("doc_id") % 4).cast("string").alias("label"), F.col("doc_id").cast("string").alias("accession"), F.col("seq").alias("AmpliconSeq"))
     out = evaluate.off_target_by_composition(rows)
     return out.select("primer_set", "label", F.col("accession").cast("long").alias("accession"), F.array_join("failure_acc", ",").alias("failures"))
 
@@ -243,12 +243,19 @@ def primer_set_exclusive(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.exclusive_sets(hits, orgs)[0]
 
 
-@query(f"WITH {_EVAL}, orgs AS (SELECT DISTINCT lang AS org FROM documents) SELECT org AS label, primer_set, count(*) AS n FROM orgs JOIN (SELECT DISTINCT primer_set, label AS l, accession FROM hits) ON l <> org GROUP BY ALL")
+@query(f"WITH {_EVAL}, orgs AS (SELECT DISTINCT lang AS org FROM documents) SELECT org AS label, primer_set, string_agg(accession::VARCHAR, ',' ORDER BY accession) AS failure_acc FROM orgs JOIN (SELECT DISTINCT primer_set, label AS l, accession FROM hits) ON l <> org GROUP BY ALL")
 def primer_set_failures(spark: SparkSession, sf: str) -> DataFrame:
     hits = A.evaluation_hits(spark, sf)
     orgs = A.table(spark, sf, "documents").select(F.col("lang").alias("label")).distinct()
-    bad = evaluate.exclusive_sets(hits, orgs)[1]
-    return bad.select("label", "primer_set", F.size("failure_acc").cast("long").alias("n"))
+    lists = evaluate.failure_lists(evaluate.exclusive_sets(hits, orgs)[1])
+    return lists.select("label", "primer_set", F.array_join(F.col("failure_acc").cast("array<string>"), ",").alias("failure_acc"))
+
+
+@query(f"WITH {_EVAL}, orgs AS (SELECT DISTINCT lang AS org FROM documents), good AS (SELECT org, ps FROM orgs, (SELECT DISTINCT primer_set FROM hits) AS s(ps) WHERE ps NOT IN (SELECT primer_set FROM hits WHERE label <> org)) SELECT org AS label, coalesce((SELECT string_agg(ps, ',' ORDER BY ps) FROM good WHERE good.org = orgs.org), '') AS primers FROM orgs")
+def exclusive_lists(spark: SparkSession, sf: str) -> DataFrame:
+    orgs = A.table(spark, sf, "documents").select(F.col("lang").alias("label")).distinct()
+    good, _ = evaluate.exclusive_sets(A.evaluation_hits(spark, sf), orgs)
+    return evaluate.exclusive_json(good, orgs).select("label", F.array_join("primers", ",").alias("primers"))
 
 
 @query(f"WITH {_EVAL}, t AS (SELECT lang AS label, count(DISTINCT doc_id) AS t FROM documents GROUP BY 1), c AS (SELECT label, count(DISTINCT accession) AS h FROM hits GROUP BY 1) SELECT t.label, coalesce(h, 0) AS hits, CAST(h AS DOUBLE) / t AS coverage FROM t LEFT JOIN c USING (label)")
@@ -300,9 +307,9 @@ def minhash_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return cluster.similarity(cluster.sketch(groups, 7, "r"), "r")
 
 
-@query("SELECT l_suppkey, l_orderkey, l_partkey FROM (SELECT l_suppkey, l_orderkey, l_partkey FROM lineitem WHERE l_returnflag = 'A') WHERE l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')")
+@query("SELECT l_suppkey, l_orderkey, l_partkey FROM lineitem WHERE l_returnflag = 'A' AND l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
 def archive_subtract(spark: SparkSession, sf: str) -> DataFrame:
-    rows = A.table(spark, sf, "lineitem").withColumn("member", F.col("l_partkey"))
+    rows = A.table(spark, sf, "lineitem").withColumn("member", F.col("l_orderkey"))
     out = archives.subtract(rows.filter("l_returnflag = 'A'"), rows.filter("l_returnflag = 'R'"))
     return out.select("l_suppkey", "l_orderkey", "l_partkey")
 
@@ -412,3 +419,89 @@ def oligo_summary(spark: SparkSession, sf: str) -> DataFrame:
         F.left(S.reverse_complement(F.col("seq")), F.lit(20)).alias("RP_seq"), F.col("source").alias("HitName"), F.lit(1).alias("Start"), F.length("seq").alias("End"), F.col("doc_id").alias("row_id"),
     )
     return evaluate.summary(amplicons)
+
+
+@query(f"WITH {_DOCS}, a AS (SELECT l_orderkey, l_linenumber, l_partkey AS sseqid, l_linenumber * 5 AS s, l_linenumber * 5 + CAST(l_quantity AS BIGINT) AS e FROM lineitem), c AS (SELECT l_orderkey, l_linenumber, sseqid, s || '-' || e AS position, e - s + 1 AS amplicon_len, substr(seq, s, e - s + 1) AS AmpliconSeq FROM a JOIN seqs ON sseqid = doc_id) SELECT * FROM c WHERE amplicon_len > 10 AND NOT contains(AmpliconSeq, 'N')")
+def amplicon_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    start = (F.col("l_linenumber") * 5).cast("long")
+    pairs = A.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("sseqid"), start.alias("Start"), (start + F.col("l_quantity").cast("long")).alias("End")
+    )
+    pairs = evaluate.longer_than(pairs.withColumn("amplicon_len", F.col("End") - F.col("Start") + 1), 10)
+    cut = pcr.usable(pcr.with_sequence(pcr.position_range(pairs), A.sequences(spark, sf).withColumnRenamed("doc_id", "sseqid")))
+    return cut.select("l_orderkey", "l_linenumber", "sseqid", "position", "amplicon_len", "AmpliconSeq")
+
+
+@query(f"WITH {_DOCS} SELECT doc_id, CASE WHEN doc_id % 2 = 1 THEN {_RC.format('seq')} ELSE seq END AS AmpliconSeq, CASE WHEN doc_id % 2 = 0 THEN 'd' || doc_id END AS primer_set FROM seqs")
+def amplicon_orientation(spark: SparkSession, sf: str) -> DataFrame:
+    name = F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 2 == 1, "|R").otherwise("|F"))
+    rows = pcr.forward(A.sequences(spark, sf).select("doc_id", name.alias("FP_ID"), F.col("seq").alias("AmpliconSeq")))
+    single = pcr.single_primer(rows).select("doc_id", F.array_join("primer_set", ",").alias("primer_set"))
+    return rows.join(single, "doc_id", "left").select("doc_id", "AmpliconSeq", "primer_set")
+
+
+@query("SELECT o_orderkey, CAST(o_custkey % 3 AS VARCHAR) AS label FROM orders WHERE o_custkey % 3 <> 0 AND NOT regexp_matches(CAST(o_orderkey AS VARCHAR), '77') AND NOT regexp_matches(CAST(o_orderkey AS VARCHAR), '^1')")
+def label_filters(spark: SparkSession, sf: str) -> DataFrame:
+    o = A.table(spark, sf, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("name"), (F.col("o_custkey") % 3).cast("string").alias("label"))
+    return evaluate.on_target_labels(evaluate.without(o, "name", ["77", "^1"])).select("o_orderkey", "label")
+
+
+@query("WITH t AS (SELECT 'c' || o_custkey || '|F' AS FP_ID, 'o' || o_orderkey || '|R' AS RP_ID, o_orderkey FROM orders), ids AS (SELECT 'c' || c_custkey AS id FROM customer WHERE c_custkey % 5 = 0 UNION SELECT 'o' || l_orderkey FROM lineitem WHERE l_linenumber = 7) SELECT o_orderkey, FP_ID, RP_ID FROM t WHERE split_part(FP_ID, '|', 1) IN (SELECT id FROM ids) OR split_part(RP_ID, '|', 1) IN (SELECT id FROM ids)")
+def only_exclusive(spark: SparkSession, sf: str) -> DataFrame:
+    id_of = lambda letter, column: F.concat(F.lit(letter), F.col(column).cast("string"))
+    rows = A.table(spark, sf, "orders").select("o_orderkey", F.concat(id_of("c", "o_custkey"), F.lit("|F")).alias("FP_ID"), F.concat(id_of("o", "o_orderkey"), F.lit("|R")).alias("RP_ID"))
+    ids = A.table(spark, sf, "customer").filter("c_custkey % 5 = 0").select(id_of("c", "c_custkey").alias("id"))
+    more = A.table(spark, sf, "lineitem").filter("l_linenumber = 7").select(id_of("o", "l_orderkey").alias("id"))
+    return evaluate.only_exclusive(rows, ids.unionByName(more))
+
+
+@query("WITH a AS (SELECT o_custkey AS id, CAST(count(*) AS BIGINT) AS n FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), b AS (SELECT c_custkey AS id, c_nationkey AS nation FROM customer WHERE c_custkey % 3 = 0) SELECT id, n, nation FROM a FULL JOIN b USING (id)")
+def summary_with_inclusivity(spark: SparkSession, sf: str) -> DataFrame:
+    table = A.table(spark, sf, "orders").filter("o_orderkey % 2 = 0").groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("n"))
+    inclusivity = A.table(spark, sf, "customer").filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("nation"))
+    return evaluate.with_inclusivity(table, inclusivity, "id")
+
+
+@query('SELECT l_orderkey, l_linenumber, l_partkey AS "start", l_partkey + CAST(l_quantity AS BIGINT) AS "end" FROM lineitem WHERE l_discount = 0 AND l_linenumber = 1')
+def perfect_hits(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = F.col("l_partkey"), F.col("l_partkey") + F.col("l_quantity").cast("long")
+    minus = F.col("l_returnflag") == "R"
+    hits = A.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.lit(100.0) - F.col("l_discount") * 100).alias("pident"), (F.col("l_linenumber") - 1).alias("gapopen"),
+        F.when(minus, b).otherwise(a).alias("sstart"), F.when(minus, a).otherwise(b).alias("send"),
+    )
+    return readers.perfect_hits(hits).select("l_orderkey", "l_linenumber", "start", "end")
+
+
+@query(f"WITH {_DOCS}, w AS (SELECT DISTINCT kmer FROM ({_windows(6, True)})), p AS (SELECT a.kmer AS a, b.kmer AS b, CAST(hamming(a.kmer, b.kmer) AS INTEGER) AS d FROM w a JOIN w b ON a.kmer <> b.kmer), r AS (SELECT a, b, d, CAST(row_number() OVER (PARTITION BY a ORDER BY d, b) AS INTEGER) AS rank FROM p WHERE d <= 1) SELECT * FROM r WHERE rank <= 5")
+def nearest_kmers(spark: SparkSession, sf: str) -> DataFrame:
+    return cluster.nearest(kmers.exploded(A.sequences(spark, sf), 6).distinct(), 6, 1, 5)
+
+
+@query("SELECT p_partkey, length(p_name) * 0.2::DOUBLE AS budget, CAST(length(p_name) - round_even(length(p_name) * 0.15::DOUBLE, 0) AS INTEGER) AS least FROM part")
+def oligo_budgets(spark: SparkSession, sf: str) -> DataFrame:
+    return A.table(spark, sf, "part").select("p_partkey", S.mismatch_budget(F.col("p_name"), 0.2).alias("budget"), S.match_floor(F.col("p_name"), 0.15).alias("least"))
+
+
+@query(f"WITH {_DOCS}, w AS (SELECT DISTINCT kmer FROM ({_windows(K)})) SELECT CAST(row_number() OVER (ORDER BY kmer) - 1 + 10 AS BIGINT) AS id, kmer FROM w")
+def kmer_ordinal(spark: SparkSession, sf: str) -> DataFrame:
+    return kmers.ordinal(kmers.exploded(A.sequences(spark, sf), K), 10)
+
+
+@query()
+def translated_hits(spark: SparkSession, sf: str) -> DataFrame:
+    markers = A.panel(spark, sf, 24).select("id", S.translate_cds(F.col("kmer")).alias("protein"))
+    return pcr.translated_search(markers, A.sequences(spark, sf).select(F.col("doc_id").alias("sseqid"), "seq"))
+
+
+@query()
+def resampled_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    rows = A.sequences(spark, sf).withColumn("sample", F.concat_ws("/", "lang", "source"))
+    matrix, index = kmers.sample_matrix(rows, 5, "lang", "sample"), kmers.sample_index(rows, "lang", "sample")
+    members = rows.select(F.col("lang").alias("groups"), F.col("sample").alias("accession"))
+    return kmers.resampled_matrix(matrix, index, kmers.stratified_resample(members, 100))
+
+
+@query()
+def ward_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return cluster.label_table(ward_clusters(spark, sf), "docs_")
