@@ -237,6 +237,8 @@ def similarity(sketches: DataFrame, record: str, abundance: bool = False) -> Dat
 
 #: Matrix rows in one block of row_distances.
 BLOCK = 256
+#: Clusters (some numbers each) up to this number are broadcast to their pairs.
+BROADCAST_RECORDS = 100_000
 
 
 def row_distances(similarities: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -282,8 +284,10 @@ def ward_merges(distances: DataFrame, records: DataFrame) -> DataFrame:
     """
     clusters = written(records.select("id", F.lit(1.0).alias("size")))
     pairs, merges = written(distances), None
+    # The pairs are the square of the clusters, which are sent to them while they are few.
+    sent = F.broadcast if clusters.count() <= BROADCAST_RECORDS else lambda x: x
     while True:
-        size = lambda x: clusters.select(F.col("id").alias(x), F.col("size").alias(f"s{x}"))
+        size = lambda x: sent(clusters.select(F.col("id").alias(x), F.col("size").alias(f"s{x}")))
         sized = pairs.join(size("i"), "i").join(size("j"), "j").withColumn("d", 2 * F.col("si") * F.col("sj") / (F.col("si") + F.col("sj")) * F.col("e"))
         place = F.struct("d", "i", "j", "e", "si", "sj")
         ends = sized.select(F.explode(F.array("i", "j")).alias("id"), place.alias("p"))
@@ -303,7 +307,7 @@ def ward_merges(distances: DataFrame, records: DataFrame) -> DataFrame:
         state = clusters.join(moved.withColumnRenamed("size", "whole"), "id", "left")
         state = state.select("id", F.coalesce("to", "id").alias("to"), F.coalesce("w", F.lit(1.0)).alias("w"), F.coalesce("off", F.lit(0.0)).alias("off"), F.coalesce("whole", "size").alias("size"))
         state = written(state)
-        of = lambda x: state.select(F.col("id").alias(x), F.col("to").alias(f"t{x}"), F.col("w").alias(f"w{x}"), F.col("off").alias(f"o{x}"))
+        of = lambda x: sent(state.select(F.col("id").alias(x), F.col("to").alias(f"t{x}"), F.col("w").alias(f"w{x}"), F.col("off").alias(f"o{x}")))
         parts = pairs.join(of("i"), "i").join(of("j"), "j").filter("ti <> tj")
         summed = parts.groupBy(F.least("ti", "tj").alias("i"), F.greatest("ti", "tj").alias("j")).agg(
             F.sum(F.col("wi") * F.col("wj") * F.col("e")).alias("e"), F.max(F.col("oi") + F.col("oj")).alias("off")
@@ -317,7 +321,11 @@ def ward_clusters(similarities: DataFrame, clusters: int | None = 2, distance: f
     """(record, cluster): Ward linkage on the rows of the similarity matrix, cut at a number of
     clusters or at a distance; clusters are numbered from 1 by their first record."""
     records, distances = row_distances(similarities)
-    merges = written(ward_merges(distances, records))
+    return ward_cut(written(ward_merges(distances, records)), records, clusters, distance)
+
+
+def ward_cut(merges: DataFrame, records: DataFrame, clusters: int | None = 2, distance: float | None = None) -> DataFrame:
+    """(record, cluster) of a tree of merges, cut at a number of clusters or at a distance."""
     if distance is not None:
         merges = merges.filter(F.sqrt("height") <= distance)
     else:

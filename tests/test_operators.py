@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helixmill.functions import sequence as S
-from helixmill.operators import archives, cluster, evaluate, intervals, kmers, mapping, pcr
+from helixmill.operators import align, archives, cluster, evaluate, intervals, kmers, mapping, pcr
 from helixmill.plans import queries
 
 COMP = str.maketrans("ACGT", "TGCA")
@@ -246,10 +246,11 @@ def test_ward_by_brute_force(spark):
     square = ((sim[:, None] - sim[None]) ** 2).sum(axis=2)
     got = {(r.i - 1, r.j - 1): r.e for r in distances.collect()}
     assert len(got) == n * (n - 1) // 2 and all(abs(square[k] - e) < 1e-9 for k, e in got.items())
+    merges = cluster.ward_merges(distances, records).persist()
     for clusters, distance in ((1, None), (4, None), (n, None), (None, 1.5)):
-        found = {r.record: r.cluster for r in cluster.ward_clusters(pairs, clusters, distance).collect()}
+        found = {r.record: r.cluster for r in cluster.ward_cut(merges, records, clusters, distance).collect()}
         assert [found[x] for x in names] == cluster.ward_linkage(sim, clusters, distance).tolist()
-    labels = cluster.label_table(cluster.ward_clusters(pairs, 2), "run_")
+    labels = cluster.label_table(cluster.ward_cut(merges, records, 2), "run_")
     assert labels.columns == ["accession", "label"] and {r.label for r in labels.collect()} == {"run_cluster_1", "run_cluster_2"}
 
 
@@ -328,3 +329,88 @@ def test_long_record_in_time(spark):
     assert kmers.exploded(df, 18).count() == 1_000_000 - 17
     assert kmers.protein_kmers(df, 4, "id").count() > 100_000
     assert time.time() - began < 60
+
+
+def test_hamming_clusters_by_brute_force(spark):
+    rng = random.Random(12)
+    words = sorted({"".join(rng.choices("ACGT", k=6)) for _ in range(70)})
+    distance = np.array([[sum(x != y for x, y in zip(a, b, strict=True)) for b in words] for a in words])
+    label = cluster.average_linkage(distance, 2)
+    want = {}
+    for w, x in zip(words, label.tolist(), strict=True):
+        want.setdefault(x, set()).add(w)
+    got = {}
+    for r in cluster.hamming_clusters(spark.createDataFrame([(w,) for w in words], "kmer string"), 6, 2).collect():
+        got.setdefault(r.cluster, set()).add(r.kmer)
+    assert {min(x): x for x in want.values()} == got and max(map(len, got.values())) > 2
+
+
+def test_greedy_motifs_by_brute_force(spark):
+    rng = random.Random(13)
+    counts = {"".join(rng.choices("ACGT", k=5)): rng.randrange(9) for _ in range(60)}
+    far = lambda a, b: sum(x != y for x, y in zip(a, b, strict=True))
+    near = {a: [b for _, b in sorted((far(a, b), b) for b in counts if b != a and far(a, b) <= 2)[:4]] for a in counts}
+    owner, seeds = {}, []
+    for a in sorted(counts, key=lambda x: (-counts[x], x)):
+        if a not in owner:
+            seeds.append(a)
+            for b in near[a]:
+                if (-counts[a], a) < (-counts[b], b):
+                    owner.setdefault(b, a)
+    want = {(owner.get(x, x), x) for x in counts}
+    df = spark.createDataFrame(list(counts.items()), "kmer string, n long")
+    assert {(r.cluster, r.kmer) for r in cluster.greedy_motifs(df, 5, 2, 4).collect()} == want
+
+
+def test_alignment_on_frames(spark):
+    """Probes by prefix and over the whole panel, primers on both ends, against one by one."""
+    rng = random.Random(14)
+    letters = lambda n: "".join(rng.choices("ACGT", k=n))
+    panel = [(f"a{i % 3}|{i}", letters(9) + rng.choice("ACGTRYN") + letters(4)) for i in range(6)]
+    rows = []
+    for i in range(25):
+        site = list(align.expanded(rng.choice(panel)[1])[0])
+        site[rng.randrange(len(site))] = rng.choice("ACGT")
+        fp, rp = letters(12), letters(12)
+        seq = fp + letters(20) + "".join(site) + letters(15) + align.complemented(rp)
+        rows.append((i, f"a{i % 4}|F", fp[:5] + rng.choice("ACGTN") + fp[6:], rp[:-1] + rng.choice("ACGT"), seq))
+    rows.append((99, "a1|F", "ACGT", "ACGT", None))
+    df = spark.createDataFrame(rows, "id long, FP_ID string, FP_seq string, RP_seq string, AmpliconSeq string")
+    probes = spark.createDataFrame(panel, "id string, seq string")
+    for mux in (False, True):
+        for r in align.align_probes(df, probes, 2, mux).collect():
+            best = None
+            for name, seq in sorted(panel):
+                if r.AmpliconSeq and (mux or name.split("|")[0] == r.FP_ID.split("|")[0]):
+                    site = align.probe_site(seq, r.AmpliconSeq, 2)
+                    if site and (best is None or site[0] < best[1]):
+                        best = name, *site
+            assert (r.ProbeID, r.Probe_mismatches, r.Probe_startOnAmplicon, r.ProbeStrand) == (best or (None,) * 4)
+    want = set()
+    for i, _, fp, rp, seq in rows:
+        f, r = align.primer_site(fp, seq or ""), align.primer_site(rp, align.complemented(seq or ""))
+        if max(f[0], r[0]) <= 1 and f[1] == r[1] == 0:
+            want.add((i, f[0], r[0]))
+    got = {(r.id, r.FP_mismatches, r.RP_mismatches) for r in align.realign_primers(df, 1, 0).collect()}
+    assert got == want and want
+    with pytest.raises(ValueError):
+        align.expanded("N" * 9)
+
+
+def test_oligo_summary(spark):
+    """Lengths, melting temperatures by the model's definition, the first row's position."""
+    import math
+
+    def tm(seq):
+        h, s = (sum(x) for x in zip(*[S.END_AT if c in "AT" else S.END_GC for c in (seq[0], seq[-1])], strict=True))
+        for a, b in zip(seq, seq[1:], strict=False):
+            x, y = S.PAIRS.get(a + b) or S.PAIRS[rc(a + b)]
+            h, s = h + x, s + y
+        return h * 1000 / (s + 1.987 * math.log(12.5e-9)) - 273.15 + 11.7 * math.log10((50 + 120 * math.sqrt(0.9)) * 1e-3)
+
+    rows = [(2, "f", "r", "ACGTACGTTA", "GGCCTTAACCAT", "the Hit", 7, 90), (1, "f", "r", "ACGTACGTTA", "GGCCTTAACCAT", "a hit", 5, 80), (3, "g", None, "ACGT", None, "hit", 1, 2), (4, "h", "r", "ACGTA", "CCC", "other", 1, 2)]
+    df = spark.createDataFrame(rows, "row_id int, FP_ID string, RP_ID string, FP_seq string, RP_seq string, HitName string, Start int, End int")
+    (one,) = evaluate.summary(df, reference="HIT").collect()
+    assert (one.FP_ID, one.FP_len, one.RP_len, one.len_diff, one.Start, one.End) == ("f", 10, 12, 2, 5, 80)
+    assert abs(one.FP_Tm - tm("ACGTACGTTA")) < 1e-6 and abs(one.RP_Tm - tm("GGCCTTAACCAT")) < 1e-6 and abs(one.Tm_diff - abs(one.FP_Tm - one.RP_Tm)) < 1e-9
+    assert evaluate.summary(df).count() == 2
