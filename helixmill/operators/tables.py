@@ -10,9 +10,16 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; where none is set, as in tests, a new one."""
+    """The folder that driver and executors share, from spark.checkpoint.dir.
+
+    Where none is set and the session runs in one process (master local), a new folder; on a
+    cluster ValueError, as other hosts would not see it.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="helixmill-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -26,6 +33,16 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan over twice as many partitions as there are cores, for work that multiplies its rows.
+
+    A file of one row group is read by one task, whatever the number of splits; dealing out its
+    compact rows costs little next to their windows. A table of more partitions stays as it is.
+    """
+    least = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(least) if df.rdd.getNumPartitions() < least else df
+
+
 def ranked(df: DataFrame, *keys, name: str = "rank") -> DataFrame:
     """df with a column `name`: 1 for the first row in the order of the keys.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixmill.functions import sequence as S
+from helixmill.operators.tables import spread
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 BASES = "ACGTACGTACGTACGTACGTACGTAC"
@@ -24,12 +25,12 @@ def letters(text: str = "text"):
 
 def sequences(spark: SparkSession, sf_dir: str, name: str = "documents", key: str = "doc_id", also: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """Documents as sequence records: the letters of the text as bases."""
-    return table(spark, sf_dir, name).select(key, *also, F.translate(letters(), LETTERS, BASES).alias("seq"))
+    return spread(table(spark, sf_dir, name).select(key, *also, "text")).select(key, *also, F.translate(letters(), LETTERS, BASES).alias("seq"))
 
 
 def degenerate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as sequences with ambiguity codes."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.translate(letters(), LETTERS, CODES).alias("seq"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.translate(letters(), LETTERS, CODES).alias("seq"))
 
 
 def panel(spark: SparkSession, sf_dir: str, k: int = K) -> DataFrame:

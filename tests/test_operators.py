@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helixmill.functions import sequence as S
-from helixmill.operators import align, archives, cluster, evaluate, intervals, kmers, mapping, pcr
+from helixmill.operators import align, archives, cluster, evaluate, intervals, kmers, mapping, pcr, tables
 from helixmill.plans import queries
 
 COMP = str.maketrans("ACGT", "TGCA")
@@ -414,3 +414,23 @@ def test_oligo_summary(spark):
     assert (one.FP_ID, one.FP_len, one.RP_len, one.len_diff, one.Start, one.End) == ("f", 10, 12, 2, 5, 80)
     assert abs(one.FP_Tm - tm("ACGTACGTTA")) < 1e-6 and abs(one.RP_Tm - tm("GGCCTTAACCAT")) < 1e-6 and abs(one.Tm_diff - abs(one.FP_Tm - one.RP_Tm)) < 1e-9
     assert evaluate.summary(df).count() == 2
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf(dict):
+        set = dict.__setitem__
+
+    class Session:
+        conf = Conf({"spark.master": "yarn"})
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        tables.shared_dir(Session)
+    Session.conf["spark.master"] = "local[2]"
+    assert tables.shared_dir(Session) == Session.conf["spark.checkpoint.dir"]
+
+
+def test_spread_deals_out_single_row_groups(spark, tmp_path):
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "t"))
+    rows = tables.spread(spark.read.parquet(str(tmp_path / "t")))
+    assert rows.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism and rows.count() == 100
+    assert tables.spread(rows) is rows
