@@ -228,116 +228,6 @@ def fit(
     return train([(r["__text"], int(r["__toxic"] == 1)) for r in rows], words, share)
 
 
-def score(self, places: set[tuple[int, int]]) -> float:
-        z = self.slope * self.raw(places) + self.intercept
-        return 1 / (1 + math.exp(-min(50.0, max(-50.0, z))))
-
-
-def contexts(texts: list[str], words: int) -> Counter:
-    """In how many settings each window occurs: distinct windows that stand before it.
-
-    Copies of a text, near or exact, add no setting, so that what they share counts little.
-    """
-    pairs = set()
-    for text in texts:
-        tokens = text.lower().split()
-        runs = [" ".join(tokens[i : i + words]) for i in range(0, len(tokens), words)]
-        pairs.update(zip(["", *runs], runs, strict=False))
-    return Counter(w for _, w in pairs)
-
-
-def dictionary(texts: list[str], others: list[str], words: int, size: int, least: float, ratio: float) -> bytes:
-    """Content for a dictionary: windows in many settings that are far rarer in the others.
-
-    The likeliest windows stand last, where matches cost least.
-    """
-    own, other = contexts(texts, words), contexts(others, words)
-    floor = max(2, math.ceil(least * len(texts)))
-    total, rest = sum(own.values()), max(1, sum(other.values()))
-    kept = [w for w, n in own.items() if n >= floor and n / total >= ratio * other[w] / rest]
-    content = b""
-    for w in sorted(kept, key=lambda w: (-own[w], w)):
-        piece = f" {w}".encode("utf-8", "surrogatepass")
-        if len(content) + len(piece) > size:
-            break
-        content = piece + content
-    return content + b" "
-
-
-def odds(one: int, ones: int, nil: int, nils: int) -> float:
-    """Log-odds of a place seen in `one` of the toxic and `nil` of the other texts, less one
-    standard error, so that places seen a few times only don't decide."""
-    value = math.log((one + 0.5) / (ones + 1)) - math.log((nil + 0.5) / (nils + 1))
-    return value - math.sqrt(1 / (one + 0.5) + 1 / (nil + 0.5))
-
-
-def train(rows: list[tuple[str, int]], words: int = 1, toxic_share: float | None = None) -> Model:
-    """A model from (text, label) rows; two of three rows make the dictionaries, one calibrates.
-
-    toxic_share is that of the whole table where the rows are a sample with other shares.
-    """
-    toxic = sorted({t for t, y in rows if y == 1})
-    ordinary = sorted({t for t, y in rows if y != 1})
-    share = (sum(y == 1 for _, y in rows) + 0.5) / (len(rows) + 1) if toxic_share is None else toxic_share
-    prior = math.log(share / (1 - share))
-    if not toxic or not ordinary:
-        return Model(intercept=prior, words=words)
-    part = lambda x: ([t for i, t in enumerate(x) if i % 3], [t for i, t in enumerate(x) if i % 3 == 0])
-    (toxic_fit, toxic_held), (ordinary_fit, ordinary_held) = part(toxic), part(ordinary)
-    model = Model(
-        dictionary(toxic_fit, ordinary_fit, words, TOXIC_BYTES, 0.02, 10),
-        dictionary(ordinary_fit, toxic_fit, words, ORDINARY_BYTES, 0.01, 0),
-        words=words,
-    )
-    places = model.scorer()
-    one, nil = [places(t) for t in toxic_held], [places(t) for t in ordinary_held]
-    n_one, n_nil = Counter(x for p in one for x in p), Counter(x for p in nil for x in p)
-    model.odds = {x: odds(n_one[x], len(one), n_nil[x], len(nil)) for x in {*n_one, *n_nil}}
-    x = np.array([model.raw(p) for p in one + nil])
-    y = np.array([1.0] * len(one) + [0.0] * len(nil))
-    a = np.column_stack([x, np.ones(len(x))])
-    weights = np.array([0.0, prior])
-    for _ in range(50):  # Newton's method with a small ridge
-        p = 1 / (1 + np.exp(-np.clip(a @ weights, -30, 30)))
-        grad = a.T @ (p - y) + 1e-2 * weights * [1, 0]
-        hess = (a * (p * (1 - p) + 1e-9)[:, None]).T @ a + 1e-2 * np.diag([1, 1e-6])
-        step = np.linalg.solve(hess, grad)
-        weights = weights - step
-        if np.abs(step).max() < 1e-8:
-            break
-    shift = prior - math.log(len(one) / len(nil))  # from the calibration texts' shares to the table's
-    model.slope, model.intercept = float(max(0.0, weights[0])), float(weights[1]) + shift
-    return model
-
-
-def fit(
-    docs: DataFrame, labels: DataFrame, usable: Column, words: int = 1, max_per_class: int = 3000
-) -> Model:
-    """Trains on at most max_per_class labelled rows of each class for which `usable` holds.
-
-    `usable` is an expression on doc_id. The sample is the lowest by a hash of doc_id, and
-    its ids, at most twice max_per_class, are broadcast to fetch the texts.
-    """
-    known = (
-        labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & usable)
-        .groupBy("doc_id")
-        .agg(F.max("toxic").alias("__toxic"))
-    )
-    order = F.xxhash64(F.lit(11), "doc_id")
-    ids = None
-    for value in (F.col("__toxic") == 1, F.col("__toxic") != 1):
-        part = known.filter(value).orderBy(order, "doc_id").limit(max_per_class)
-        ids = part if ids is None else ids.unionByName(part)
-    rows = (
-        docs.select(F.col("doc_id"), F.col("text").alias("__text"))
-        .join(F.broadcast(ids), "doc_id")
-        .orderBy(order, "doc_id", "__text")
-        .limit(4 * max_per_class)
-        .collect()
-    )
-    return train([(r["__text"] or "", int(r["__toxic"] == 1)) for r in rows], words)
-
-
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
     """docs with a double column `out`: 0 to 1, higher for likelier toxic."""
 
