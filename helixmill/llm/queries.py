@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixmill.llm import (
+    chat_format,
     dart_minhash,
     decontamination,
+    filter_audit,
     license_scan,
     line_dedup,
     mixing,
@@ -105,6 +107,25 @@ def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, [("user", said), ("assistant", said)])], "conv_id long, messages array<struct<role:string,content:string>>")
+    chats = chat_format.formatted(rows.unionByName(extra, allowMissingColumns=True), "conv_id")
+    back = chat_format.read_back(chats)
+    turns = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss", "")
+    return back.select(
+        F.col("key").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(turns.cast("binary"), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels"), filter_audit.text_filters(), "lang")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -117,6 +138,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_line_dedup": op9_line_dedup,
         "op10_ngram_lm": op10_ngram_lm,
+        "op11_chat_format": op11_chat_format,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 
@@ -228,6 +251,59 @@ FROM words w LEFT JOIN kept USING (doc_id)
 """
 
 
+_OP11 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), written AS (
+  SELECT *, CASE WHEN role IN ('system', 'user', 'assistant') THEN role ELSE '=' || replace(url_encode(role), '%20', '+') END AS name,
+    regexp_replace(text, '(\\*)(#{3,}|</turn>)', '\\\1\2', 'g') AS body
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(name) + 6 + length(body) + 9) AS BIGINT) AS formatted_chars
+FROM written GROUP BY conv_id
+"""
+
+_OP13 = rf"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents
+), least AS (SELECT text, min(doc_id) AS least FROM words GROUP BY text),
+known AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, {{'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+    'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text), 'D': regexp_matches(text, '[#$%&*|]'),
+    'E': coalesce(words.doc_id > least, false)}} AS f
+  FROM words JOIN least USING (text) LEFT JOIN known ON words.doc_id = known.doc_id
+), kinds AS (SELECT part, good, toxic, f, count(*) AS n FROM failed GROUP BY ALL),
+letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (SELECT o, unnest(range(1, 6)) AS step FROM orders),
+told AS (
+  SELECT part, o, step, n, good, toxic,
+    [CASE x WHEN 'A' THEN f.A WHEN 'B' THEN f.B WHEN 'C' THEN f.C WHEN 'D' THEN f.D ELSE f.E END FOR x IN string_split(o, '')] AS r
+  FROM kinds, steps
+), gone AS (
+  SELECT *, r[step] AS fails, list_bool_or(r[:step - 1]) IS TRUE AS before, len(list_filter(r, lambda x: x)) AS k FROM told
+), sums AS (
+  SELECT part, o AS filter_order, CAST(step AS INT) AS step,
+    CAST(coalesce(sum(n) FILTER (NOT fails AND NOT before), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (fails AND NOT before), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (fails AND before), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (fails AND k = 1), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(n) FILTER (fails AND NOT before AND good), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(n) FILTER (fails AND NOT before AND toxic), 0) AS BIGINT) AS toxic_lost
+  FROM gone GROUP BY ALL
+)
+SELECT *, CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley FROM sums
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the operators that it can express; tests hold the others to brute force."""
-    return {"op2_mixing": _OP2, "op3_url_filter": _OP3, "op7_substring_dedup": _OP7, "op8_decontamination": _OP8, "op9_line_dedup": _OP9}
+    return {"op2_mixing": _OP2, "op3_url_filter": _OP3, "op7_substring_dedup": _OP7, "op8_decontamination": _OP8, "op9_line_dedup": _OP9, "op11_chat_format": _OP11, "op13_filter_audit": _OP13}
