@@ -25,6 +25,13 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def discarded(spark: SparkSession, *paths: str) -> None:
+    """Deletes written tables that nothing reads any more."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder: computed once, without lineage."""
     spark = df.sparkSession
