@@ -17,6 +17,7 @@ from helixmill.llm import (
     mixing,
     ngram_lm,
     order_minhash,
+    phrase_mining,
     substring_dedup,
     toxicity,
     url_filter,
@@ -121,6 +122,10 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return filter_audit.audit(docs, table(spark, sf_dir, "labels"), filter_audit.text_filters(), "lang")
@@ -139,6 +144,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_line_dedup": op9_line_dedup,
         "op10_ngram_lm": op10_ngram_lm,
         "op11_chat_format": op11_chat_format,
+        "op12_phrase_mining": op12_phrase_mining,
         "op13_filter_audit": op13_filter_audit,
     }
 
@@ -268,6 +274,35 @@ SELECT conv_id, count(*) AS n_turns,
 FROM written GROUP BY conv_id
 """
 
+_OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents
+), words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, len(g) AS k, array_to_string(g, ' ') AS p, g FROM (
+    SELECT lang, unnest(flatten(list_transform(range(1, 5), lambda s: list_transform(range(1, greatest(len(w) - s + 2, 1)), lambda i: w[i:i + s - 1])))) AS g FROM words
+  )
+), f AS (SELECT lang, k, p, any_value(g) AS g, count(*) AS n FROM grams GROUP BY lang, k, p),
+cand AS (SELECT * FROM f WHERE k > 1 AND n >= 30),
+cuts AS (SELECT lang, p, g, n AS a, k AS size, unnest(range(1, k)) AS k FROM cand),
+scored AS (
+  SELECT c.lang, c.p, c.a, c.k, x.n AS l, y.n AS r, CAST(c.a AS HUGEINT) * 2000000 // (x.n + y.n) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.p = array_to_string(c.g[:c.k], ' ') JOIN f y ON y.lang = c.lang AND y.p = array_to_string(c.g[c.k + 1:], ' ')
+), low AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS i FROM scored),
+inside AS (
+  SELECT lang, array_to_string(q, ' ') AS p, max(n) AS longer FROM (
+    SELECT lang, n, unnest(flatten(list_transform(range(2, k), lambda s: list_transform(range(1, k - s + 2), lambda i: g[i:i + s - 1])))) AS q FROM cand WHERE k > 2
+  ) GROUP BY ALL
+), free AS (
+  SELECT low.* FROM low LEFT JOIN inside ON low.lang = inside.lang AND low.p = inside.p
+  WHERE i = 1 AND (longer IS NULL OR 100 * longer < 80 * a)
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM free),
+totals AS (SELECT lang, sum(n) AS n FROM f WHERE k = 1 GROUP BY lang)
+SELECT lang, rank, p AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 _OP13 = rf"""
 WITH words AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents
@@ -306,4 +341,4 @@ SELECT *, CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGI
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the operators that it can express; tests hold the others to brute force."""
-    return {"op2_mixing": _OP2, "op3_url_filter": _OP3, "op7_substring_dedup": _OP7, "op8_decontamination": _OP8, "op9_line_dedup": _OP9, "op11_chat_format": _OP11, "op13_filter_audit": _OP13}
+    return {"op2_mixing": _OP2, "op3_url_filter": _OP3, "op7_substring_dedup": _OP7, "op8_decontamination": _OP8, "op9_line_dedup": _OP9, "op11_chat_format": _OP11, "op12_phrase_mining": _OP12, "op13_filter_audit": _OP13}
