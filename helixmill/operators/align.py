@@ -1,9 +1,12 @@
 """Local alignment of probes and primers to amplicons, in Arrow batches.
 
-Scores are 4 for a match, 0 for a mismatch and -12 for each gap letter. A gap costs as much
-as three matches: without gaps the best score is four times the most matches at one offset,
-with one gap it joins two offsets, and numpy finds both for all offsets at once. The full
-recurrence only runs for pairs where two gaps could still win. Rows are independent: the work is spread as the rows are.
+Scores are 4 for a match, 0 for a mismatch and -12 for each gap letter. As costs: a letter of
+the probe that doesn't match or isn't aligned costs 1, a target letter skipped between two of
+the probe's 3, a skipped probe letter 4; the score is 4 times the letters less the cost. The
+probe may overhang the target's ends. A cost below 3 has no gap, so all places are compared
+without gaps first, many pairs at once; the rest go through a recurrence over cells that hold
+cost, start and unmatched last letters as one number. Rows are independent: the work is spread
+as the rows are.
 """
 
 from __future__ import annotations
@@ -46,89 +49,92 @@ def expanded(seq: str) -> tuple[str, ...]:
     return tuple("".join(x) for x in product(*[IUPAC.get(c, c) for c in seq.upper()]))
 
 
-def placements(probe: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Matches of the probe's first j letters (columns, from 0) at every offset (rows); the
-    probe may overhang the target's ends."""
-    n, m = len(probe), len(target)
-    padded = np.zeros(m + 2 * (n - 1), np.uint8)
-    padded[n - 1 : n - 1 + m] = target
-    sites = np.lib.stride_tricks.sliding_window_view(padded, n)
-    out = np.zeros((len(sites), n + 1), np.int16)
-    np.cumsum(sites == probe, axis=1, out=out[:, 1:])
-    return out
-
-
-def one_gap(first: np.ndarray, most: int) -> int:
-    """The best score with one gap of up to `most` letters, in probe or target, from placements."""
-    n, best = first.shape[1] - 1, 0
-    rest = first[:, -1:] - first
-    for g in range(1, min(most, len(first) - 1) + 1):
-        best = max(best, MATCH * int((first[:-g] + rest[g:]).max()) + GAP * g)
-        if g < n:
-            best = max(best, MATCH * int((first[g:, : n + 1 - g] + rest[:-g, g:]).max()) + GAP * g)
-    return best
-
-
-def local_score(probe: np.ndarray, target: np.ndarray) -> int:
-    """The best local alignment score, by anti-diagonals of the recurrence."""
-    n, m = len(probe), len(target)
-    before = np.zeros(n + 1, np.int64)
-    last = np.zeros(n + 1, np.int64)
-    best = 0
-    for d in range(2, n + m + 1):
-        low, high = max(1, d - m), min(n, d - 1)
-        i = np.arange(low, high + 1)
-        same = np.where(probe[i - 1] == target[d - i - 1], MATCH, 0)
-        now = np.zeros(n + 1, np.int64)
-        now[i] = np.maximum(0, np.maximum(before[i - 1] + same, np.maximum(last[i - 1], last[i]) + GAP))
-        best = max(best, int(now.max()))
-        before, last = last, now
-    return best
+#: Cells of one lot of pairs.
+LOT = 1 << 18
+#: A cell of the recurrence: cost, then start (from the first place that a probe can have), then
+#: unmatched letters at the probe's end.
+_COST, _START = 1 << 44, 1 << 8
+
+
+def _ungapped(probes: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(cost, place) of each column's first best placement without gaps."""
+    n = len(probes)
+    places = len(targets) - n + 1
+    cost = np.zeros((places, targets.shape[1]), np.uint8 if n < 256 else np.uint16)
+    for i, letter in enumerate(probes):
+        cost += targets[i : i + places] != letter
+    at = cost.argmin(axis=0)
+    return cost[at, np.arange(targets.shape[1])].astype(np.int64), at
+
+
+def _gapped(probes: np.ndarray, targets: np.ndarray, end: int) -> np.ndarray:
+    """The least cell of each column's alignments."""
+    n = len(probes)
+    ramp = np.arange(len(targets) + 1, dtype=np.int64)[:, None]
+    now = np.repeat(ramp * _START, targets.shape[1], axis=1)
+    ramp = ramp * (-GAP // MATCH * _COST)
+    for i, letter in enumerate(probes):
+        last = int(i >= n - end)
+        skipped = now + ((1 - GAP // MATCH) * _COST + last)
+        now[1:] = now[:-1] + (targets != letter) * np.int64(_COST + last)
+        now[0] = skipped[0]
+        np.minimum(now, skipped, out=now)
+        if i < n - 1:  # target letters are skipped
+            now = np.minimum.accumulate(now - ramp, axis=0) + ramp
+    return now.min(axis=0)
+
+
+def best_sites(pairs: list[tuple[np.ndarray, np.ndarray]], end: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(cost, start, unmatched) for each pair of a probe and a target: of the alignments of the
+    least cost those of the least start, and of these the fewest unmatched letters among the
+    probe's last `end`.
+
+    A start is where the probe's first letter lies in the target, from 0, and negative if it
+    overhangs. An empty probe costs nothing and starts at 0.
+    """
+    cost, start, unmatched = (np.zeros(len(pairs), np.int64) for _ in range(3))
+    order = sorted((i for i, (p, _) in enumerate(pairs) if len(p)), key=lambda i: (len(pairs[i][0]), len(pairs[i][1])))
+    at = 0
+    while at < len(order):
+        n = len(pairs[order[at]][0])
+        lot = [order[at]]
+        at += 1
+        while at < len(order) and len(pairs[order[at]][0]) == n and (len(lot) + 1) * (len(pairs[order[at]][1]) + 2 * n) <= LOT:
+            lot.append(order[at])
+            at += 1
+        targets = np.zeros((len(pairs[lot[-1]][1]) + 2 * n, len(lot)), np.uint8)
+        for column, i in enumerate(lot):
+            targets[n : n + len(pairs[i][1]), column] = pairs[i][1]
+        probes = np.stack([pairs[i][0] for i in lot], axis=1)
+        c, s = _ungapped(probes, targets)
+        tail = np.arange(max(0, n - end), n)
+        u = (targets[s + tail[:, None], np.arange(len(lot))] != probes[tail]).sum(axis=0)
+        far = np.flatnonzero(c >= -GAP // MATCH)
+        if len(far):
+            cell = _gapped(probes[:, far], targets[:, far], end)
+            c[far], s[far], u[far] = cell // _COST, cell % _COST // _START, cell % _START
+        cost[lot], start[lot], unmatched[lot] = c, s - n, u
+    return cost, start, unmatched
+
+
+def probe_entries(probe: str) -> list[tuple[np.ndarray, str]]:
+    """A probe's variants on both strands, in the order in which equally good ones are taken:
+    earlier variants first, the minus strand first."""
+    return [(codes(s), strand) for v in expanded(probe) for s, strand in ((complemented(v), "Minus"), (v, "Plus"))]
 
 
 def best_score(probe: np.ndarray, target: np.ndarray) -> tuple[int, int]:
-    """(score, offset of the first best placement without gaps)."""
-    n = len(probe)
-    if not n or not len(target):
-        return 0, 0
-    first = placements(probe, target)
-    at = int(first[:, -1].argmax())
-    score = MATCH * int(first[at, -1])
-    if score < MATCH * n + GAP:  # else even all matches less one gap don't exceed it
-        score = max(score, one_gap(first, (MATCH * n - score) // -GAP))
-    if score < MATCH * n + 2 * GAP:  # two gaps could still win
-        score = max(score, local_score(probe, target))
-    return score, at - (n - 1)
+    """(score, start) of one probe on one target."""
+    cost, start, _ = best_sites([(probe, target)])
+    return MATCH * (len(probe) - int(cost[0])), int(start[0])
 
 
 def probe_site(probe: str, amplicon: str, limit: int) -> tuple[int, int, str] | None:
-    """(mismatches, 0-based start, strand) of the best accepted variant of a probe.
-
-    Both strands are tried for every variant; of equal scores the minus strand is taken, and
-    a later variant must be better than an earlier one.
-    """
-    best = None
-    target = codes(amplicon)
-    for variant in expanded(probe):
-        plus, minus = best_score(codes(variant), target), best_score(codes(complemented(variant)), target)
-        (score, at), strand = (plus, "Plus") if plus[0] > minus[0] else (minus, "Minus")
-        n = len(variant)
-        if score >= (n - limit) * MATCH:
-            mismatches = (MATCH * n - score) // MATCH
-            if best is None or mismatches < best[0]:
-                best = mismatches, max(0, at), strand
-    return best
-
-
-def sites_of(letters: np.ndarray, target: np.ndarray) -> int:
-    """The offset of the first best placement without gaps."""
-    n, m = len(letters), len(target)
-    padded = np.zeros(m + 2 * (n - 1), np.uint8)
-    padded[n - 1 : n - 1 + m] = target
-    same = np.zeros(m + n - 1, np.uint8 if n < 256 else np.uint16)
-    for i, c in enumerate(letters):
-        same += padded[i : i + len(same)] == c
-    return int(same.argmax()) - (n - 1)
+    """(mismatches, 0-based start, strand) of the best accepted variant of one probe."""
+    entries = probe_entries(probe)
+    cost, start, _ = best_sites([(letters, codes(amplicon)) for letters, _ in entries])
+    at = int(cost.argmin())
+    return (int(cost[at]), max(0, int(start[at])), entries[at][1]) if cost[at] <= limit else None
 
 
 class Panel:
@@ -137,7 +143,7 @@ class Panel:
     Costs count mismatches: a letter that doesn't match or isn't aligned costs 1, a skipped
     target letter 3 and a skipped probe letter 4, as the scores do. Amplicons lie in one buffer
     with more blanks between them than an alignment may cost; for every variant and strand,
-    in probe_site's order, numpy adds up the costs of all places. A gap costs 3, so amplicons
+    in probe_entries' order, numpy adds up the costs of all places. A gap costs 3, so amplicons
     that have a place of less without gaps are settled, and one gap letter is the most below 6;
     only from there on the recurrence runs everywhere.
     """
@@ -293,32 +299,58 @@ class Panel:
                     lot, size = [], 0
             if low is None:
                 settled = [c for c, _ in found]
-        out = []
-        for t, (mismatches, number) in zip(targets, found, strict=True):
-            if number < 0:
-                out.append((None,) * 5)
-                continue
-            probe, letters, strand = self.entries[number]
-            start = sites_of(np.frombuffer(letters, np.uint8), t) if letters else 0
-            out.append((*self.probes[probe], mismatches, max(0, start), strand))
+        placed = [i for i, (_, number) in enumerate(found) if number >= 0]
+        _, starts, _ = best_sites([(np.frombuffer(self.entries[found[i][1]][1], np.uint8), targets[i]) for i in placed])
+        out: list[tuple] = [(None,) * 5] * len(targets)
+        for i, start in zip(placed, starts.tolist(), strict=True):
+            mismatches, number = found[i]
+            probe, _, strand = self.entries[number]
+            out[i] = *self.probes[probe], mismatches, max(0, start), strand
         return out
 
 
-def primer_site(primer: str, amplicon: str, end: int = 2) -> tuple[int, int] | None:
-    """(mismatches, mismatches among the last `end` letters) of a primer's best variant."""
-    best = None
-    target = codes(amplicon)
-    for variant in expanded(primer):
-        own = codes(variant)
-        score, at = best_score(own, target)
-        mismatches = (MATCH * len(own) - score) // MATCH
-        if best is None or mismatches < best[0]:
-            tail = range(len(own) - min(end, len(own)), len(own))
-            off = sum(not (0 <= at + i < len(target) and target[at + i] == own[i]) for i in tail)
-            best = mismatches, off
+def by_prefix(probes: list[tuple[str, str]], limit: int, names: list[str | None], seqs: list[str | None]) -> list[tuple]:
+    """(ProbeID, Probe_seq, mismatches, start, strand) of each amplicon's best probe of those that
+    share its name's prefix, nulls without one within `limit`; all pairs are aligned together."""
+    own: dict[str, list[tuple]] = {}
+    for name, seq in probes:
+        own.setdefault(name.split("|")[0], []).extend((name, seq, *entry) for entry in probe_entries(seq))
+    pairs, rows, entries = [], [], []
+    for i, (name, seq) in enumerate(zip(names, seqs, strict=True)):
+        target = codes(seq or "")
+        for entry in own.get((name or "").split("|")[0], []) if seq else []:
+            pairs.append((entry[2], target))
+            rows.append(i)
+            entries.append(entry)
+    cost, start, _ = best_sites(pairs)
+    best: list[tuple] = [(None,) * 5] * len(seqs)
+    for i, (name, seq, _, strand), c, s in zip(rows, entries, cost.tolist(), start.tolist(), strict=True):
+        if c <= limit and (best[i][2] is None or c < best[i][2]):
+            best[i] = name, seq, c, max(0, s), strand
     return best
 
 
+def primer_sites(primers: list[str], amplicons: list[np.ndarray], end: int = 2) -> list[tuple[int, int]]:
+    """(mismatches, unmatched among the last `end` letters) of each primer's best variant on its
+    amplicon; the first of equally good variants counts. All are aligned together."""
+    pairs, rows = [], []
+    for i, (primer, target) in enumerate(zip(primers, amplicons, strict=True)):
+        for variant in expanded(primer):
+            pairs.append((codes(variant), target))
+            rows.append(i)
+    cost, _, unmatched = best_sites(pairs, end)
+    best: list[tuple[int, int]] = [(-1, 0)] * len(primers)
+    for i, c, u in zip(rows, cost.tolist(), unmatched.tolist(), strict=True):
+        if best[i][0] < 0 or c < best[i][0]:
+            best[i] = c, u
+    return best
+
+
+def primer_site(primer: str, amplicon: str, end: int = 2) -> tuple[int, int]:
+    """primer_sites of one primer on one amplicon."""
+    return primer_sites([primer], [codes(amplicon)], end)[0]
+
+
 def align_probes(amplicons: DataFrame, probes: DataFrame, limit: int = 3, mux: bool = False) -> DataFrame:
     """Amplicons with ProbeID, Probe_seq, Probe_mismatches, Probe_startOnAmplicon and
     ProbeStrand of their best probe; nulls where none is within `limit` mismatches.
@@ -334,20 +366,9 @@ def align_probes(amplicons: DataFrame, probes: DataFrame, limit: int = 3, mux: b
 
     @F.pandas_udf(kind)
     def aligned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        by_prefix: dict[str, list[tuple[str, str]]] = {}
-        for name, seq in shared.value:
-            by_prefix.setdefault(name.split("|")[0], []).append((name, seq))
         whole = Panel(shared.value, limit) if mux else None
         for names, seqs in batches:
-            out = whole.best(seqs.tolist()) if whole else []
-            for name, seq in zip(names, seqs, strict=True) if not whole else []:
-                best = (None, None, None, None, None)
-                own = by_prefix.get((name or "").split("|")[0], [])
-                for probe, letters in own if seq else []:
-                    site = probe_site(letters, seq, limit)
-                    if site and (best[2] is None or site[0] < best[2]):
-                        best = probe, letters, *site
-                out.append(best)
+            out = whole.best(seqs.tolist()) if whole else by_prefix(shared.value, limit, names.tolist(), seqs.tolist())
             yield pd.DataFrame(out, columns=[c.split()[0] for c in kind.split(", ")]).astype({"Probe_mismatches": "Int32", "Probe_startOnAmplicon": "Int32"})
 
     out = amplicons.withColumn("__probe", aligned(F.col("FP_ID"), F.col("AmpliconSeq")))
@@ -362,11 +383,9 @@ def realign_primers(amplicons: DataFrame, limit: int = 3, end_mismatches: int =
 
     @F.pandas_udf(kind)
     def realigned(fps: pd.Series, rps: pd.Series, seqs: pd.Series) -> pd.DataFrame:
-        rows = []
-        for fp, rp, seq in zip(fps, rps, seqs, strict=True):
-            f, r = primer_site(fp or "", seq or ""), primer_site(rp or "", complemented(seq or ""))
-            rows.append((*f, *r))
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in kind.split(", ")])
+        plus, minus = [codes(s or "") for s in seqs], [codes(complemented(s or "")) for s in seqs]
+        f, r = primer_sites([x or "" for x in fps], plus), primer_sites([x or "" for x in rps], minus)
+        return pd.DataFrame([(*a, *b) for a, b in zip(f, r, strict=True)], columns=[c.split()[0] for c in kind.split(", ")])
 
     out = amplicons.withColumn("__site", realigned("FP_seq", "RP_seq", "AmpliconSeq"))
     site = F.col("__site")

@@ -2,24 +2,59 @@
 
 from __future__ import annotations
 
+import itertools
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from helixmill.functions import sequence as S
 from helixmill.operators.kmers import exploded
-from helixmill.operators.tables import ranked, written
+from helixmill.operators.tables import ranked, released, written
+
+
+#: Up to so many ways to mask letters, pairs meet at masked k-mers.
+MASKS = 256
+
+
+def masked(k: int, radius: int) -> Column:
+    """All ways to put a dot for `radius` letters of `kmer`: (form, the letters) structs."""
+
+    def one(dots: tuple[int, ...]) -> Column:
+        form = F.concat_ws(".", *[F.substring("kmer", a + 2, b - a - 1) for a, b in itertools.pairwise([-1, *dots, k])])
+        return F.struct(form.alias("form"), F.concat_ws("", *[F.substring("kmer", x + 1, 1) for x in dots]).alias("own"))
+
+    return F.array(*[one(dots) for dots in itertools.combinations(range(k), radius)])
+
+
+def pairs_at(kmers: DataFrame, k: int, radius: int) -> DataFrame:
+    """(a, b, d), a < b: pairs of k-mers with exactly `radius` differing letters.
+
+    Such a pair has exactly one masked form in common in which all masked letters differ. A
+    masked form stands for at most (number of letters)^radius k-mers, so its lists are short
+    whatever the table's size, and a table costs its rows times the masks and its pairs.
+    """
+    forms = kmers.filter("kmer IS NOT NULL").select("kmer").distinct().select("kmer", F.explode(masked(k, radius)).alias("m"))
+    lists = forms.groupBy("m.form").agg(F.sort_array(F.collect_list(F.struct("kmer", "m.own"))).alias("xs")).filter(F.size("xs") > 1)
+    ahead = lambda x, i: F.transform(F.slice("xs", i + 2, F.size("xs")), lambda y: F.struct(x.alias("x"), y.alias("y")))
+    met = lists.select(F.explode(F.flatten(F.transform("xs", ahead))).alias("p")).select("p.x", "p.y")
+    apart = [F.substring("x.own", i + 1, 1) != F.substring("y.own", i + 1, 1) for i in range(radius)]
+    return met.filter(reduce(lambda a, b: a & b, apart, F.lit(True))).select(F.col("x.kmer").alias("a"), F.col("y.kmer").alias("b"), F.lit(radius).alias("d"))
 
 
 def hamming_pairs(kmers: DataFrame, k: int, most: int) -> DataFrame:
     """(a, b, d), a < b: all pairs of k-mers with at most `most` differing letters.
 
-    Two such k-mers agree in one of most+1 pieces (pigeonhole), so pairs are found by an
-    equi-join per piece and then verified; no pair matrix is made.
+    While there are few ways to mask `most` letters, pairs meet at masked forms. Else they are
+    found by pieces: two such k-mers agree in one of most+1 pieces (pigeonhole), so pairs come
+    from an equi-join per piece and are then verified. No pair matrix is made.
     """
+    if sum(math.comb(k, r) for r in range(1, most + 1)) <= MASKS:
+        found = [pairs_at(kmers, k, r) for r in range(1, most + 1)]
+        return reduce(DataFrame.unionByName, found) if found else pairs_at(kmers, k, 0).limit(0)
     cuts = [round(i * k / (most + 1)) for i in range(most + 2)]
     pieces = F.array(*[F.struct(F.lit(i).alias("i"), F.substring("kmer", a + 1, b - a).alias("s")) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))])
     parts = kmers.select("kmer").distinct().select("kmer", F.explode(pieces).alias("p")).select("kmer", "p.i", "p.s")
@@ -53,15 +88,17 @@ def components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     summed on the map side before its minimum is shuffled.
     """
     now = pairs.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    seen = None
+    seen = before = None
     while True:
         watch = Observation()
         sums = F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")
         now = written(now.observe(watch, *sums))
+        if before is not None:
+            released(before)
         mark = watch.get["n"], watch.get["sum"]
         if not mark[0] or mark == seen:
             break
-        seen, now = mark, _stars(_stars(now, True), False).distinct()
+        seen, before, now = mark, now, _stars(_stars(now, True), False).distinct()
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
@@ -126,25 +163,55 @@ def consensus(members: DataFrame, by: str, seq: str = "kmer") -> DataFrame:
 
 
 def hamming_clusters(kmers: DataFrame, k: int, most: int) -> DataFrame:
-    """(cluster, kmer): average linkage on Hamming distance, cut at `most` letters.
-
-    A cut at d separates the components of the graph of pairs within d, so each component is
-    clustered in a task of its own; a cluster is named by its least k-mer.
+    """(cluster, kmer): average linkage on Hamming distance, cut at `most` letters; a cluster is
+    named by its least k-mer.
+
+    A cluster is kept as its letter counts by position, from which the mean distance of two
+    clusters follows, so no distances of members are kept and no group is in one task. Clusters
+    that are each other's nearest merge at once: average linkage then gives the same tree as one
+    merge at a time. Among equally near pairs a hash of the two names decides, so that ties
+    don't make the rounds wait for each other; a merged cluster keeps the lesser name.
+
+    Only pairs of clusters within the cut are kept. The mean distance of a merged cluster to
+    another is between its parts', so a pair within the cut always comes from one that was, and
+    at first those are the Hamming pairs. Each round is a few joins over these pairs, which
+    shrink fast, and is written; about the logarithm of the k-mers are needed. Distances are
+    quotients of whole numbers, exact while clusters have fewer than some ten million members.
+    Null k-mers are left out, repeated ones count once, any letters may occur.
     """
-    linked = components(hamming_pairs(kmers, k, most))
-    rows = kmers.select("kmer").distinct().join(linked.withColumnRenamed("node", "kmer"), "kmer", "left")
-    alone = rows.filter(F.col("component").isNull()).select(F.col("kmer").alias("cluster"), "kmer")
-
-    def cut(part: pd.DataFrame) -> pd.DataFrame:
-        names = sorted(part["kmer"])
-        letters = np.array([list(x) for x in names])
-        distance = np.stack([(letters != row).sum(axis=1) for row in letters])
-        label = average_linkage(distance, most)
-        first = {x: names[i] for i, x in reversed(list(enumerate(label)))}
-        return pd.DataFrame({"cluster": [first[x] for x in label], "kmer": names})
-
-    grouped = rows.filter(F.col("component").isNotNull()).groupBy("component").applyInPandas(cut, "cluster string, kmer string")
-    return alone.unionByName(grouped)
+    names = written(kmers.filter("kmer IS NOT NULL").select("kmer").distinct())
+    letters = sorted(r["c"] for r in names.select(F.explode(F.split("kmer", "")).alias("c")).filter("c <> ''").distinct().collect())
+    ones = F.flatten(F.transform(F.split(F.col("kmer"), ""), lambda c: F.array(*[F.when(c == x, 1).otherwise(0).cast("long") for x in letters])))
+    clusters = written(names.select(F.col("kmer").alias("id"), F.lit(1).cast("long").alias("size"), ones.alias("counts")))
+    edges = written(hamming_pairs(names, k, most).select(F.col("a").alias("i"), F.col("b").alias("j"), F.col("d").cast("double").alias("d")))
+    rounds = []
+    while True:
+        place = F.struct("d", F.xxhash64("i", "j").alias("tie"), "i", "j").alias("p")
+        best = edges.select(F.explode(F.array("i", "j")).alias("id"), place).groupBy("id").agg(F.min("p").alias("p"))
+        mutual = written(best.groupBy("p").agg(F.count("*").alias("n")).filter("n = 2").select("p.i", "p.j"))
+        if mutual.isEmpty():
+            break
+        rounds.append(mutual)
+        of = lambda x: clusters.select(F.col("id").alias(x), F.col("size").alias(f"s{x}"), F.col("counts").alias(f"c{x}"))  # noqa: B023, E731
+        both = mutual.join(of("i"), "i").join(of("j"), "j")
+        whole = both.select(F.col("i").alias("id"), (F.col("si") + F.col("sj")).alias("size"), F.zip_with("ci", "cj", lambda x, y: x + y).alias("counts"))
+        moved = mutual.select(F.explode(F.array(F.struct(F.col("i").alias("id"), F.col("i").alias("to")), F.struct(F.col("j").alias("id"), F.col("i").alias("to")))).alias("m")).select("m.*")
+        old_clusters, old_edges = clusters, edges
+        clusters = written(clusters.join(moved, "id", "left_anti").unionByName(whole))
+        to = lambda x: moved.select(F.col("id").alias(x), F.col("to").alias(f"t{x}"))  # noqa: B023, E731
+        drawn = edges.join(to("i"), "i", "left").join(to("j"), "j", "left").select(F.coalesce("ti", "i").alias("x"), F.coalesce("tj", "j").alias("y"))
+        drawn = drawn.filter("x <> y").select(F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")).distinct()
+        equal = F.aggregate(F.zip_with("ci", "cj", lambda x, y: x * y), F.lit(0).cast("long"), lambda s, x: s + x)
+        members = F.col("si") * F.col("sj")
+        mean = (k * members - equal).cast("double") / members.cast("double")
+        edges = written(drawn.join(of("i"), "i").join(of("j"), "j").select("i", "j", mean.alias("d")).filter(F.col("d") <= most))
+        released(old_clusters, old_edges)
+    released(mutual, clusters, edges)
+    if not rounds:
+        return names.select(F.col("kmer").alias("cluster"), "kmer")
+    linked = components(reduce(DataFrame.unionByName, rounds), "i", "j").withColumnRenamed("node", "kmer")
+    released(*rounds)
+    return names.join(linked, "kmer", "left").select(F.coalesce("component", "kmer").alias("cluster"), "kmer")
 
 
 def nearest(kmers: DataFrame, k: int, most: int, n: int = 20) -> DataFrame:

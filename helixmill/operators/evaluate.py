@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixmill.functions import sequence as S
+from helixmill.operators.tables import released, written
 
 #: Taxon of synthetic constructs, left out of off-target tests.
 SYNTHETIC = "32630"
@@ -20,10 +21,37 @@ def labelled(amplicons: DataFrame, labels: DataFrame, default: str | None = None
     return amplicons.join(labels, "accession", "left").withColumn("label", F.coalesce("label", F.lit(default)))
 
 
+def lineage(taxa: DataFrame, ranks: list[str]) -> DataFrame:
+    """(taxid, rank, ancestor): for every taxon and each of the ranks the nearest taxon of that
+    rank among itself and its ancestors.
+
+    taxa: taxid, parent, rank. Parent links are walked by pointer doubling: a taxon that has
+    not found its ancestor takes over what its pointer has found, or its pointer's pointer, so
+    a chain of n links takes log2(n) rounds of one join each, in all ranks at once. Taxa without
+    an ancestor of a rank have no row for it: roots (parent null, itself, or not in the table),
+    and those whose links go in a circle without that rank. Of repeated taxids the least
+    (parent, rank) counts; null taxids are left out.
+    """
+    one = taxa.filter("taxid IS NOT NULL").groupBy("taxid").agg(F.min(F.struct("parent", "rank")).alias("x")).select("taxid", "x.parent", "x.rank")
+    every = one.select("taxid", F.explode(F.array(*[F.lit(r) for r in ranks])).alias("want"), "parent", "rank")
+    found = F.when(F.col("rank") == F.col("want"), F.col("taxid"))
+    state = written(every.select("taxid", "want", found.alias("ancestor"), F.when(found.isNull() & (F.col("parent") != F.col("taxid")), F.col("parent")).alias("pointer")))
+    rounds = max(1, state.count()).bit_length()
+    for _ in range(rounds):
+        if state.filter("pointer IS NOT NULL").isEmpty():
+            break
+        done, todo = state.filter("pointer IS NULL"), state.filter("pointer IS NOT NULL")
+        ahead = state.select(F.col("taxid").alias("pointer"), "want", F.col("ancestor").alias("__ancestor"), F.col("pointer").alias("__pointer"))
+        moved = todo.join(ahead, ["pointer", "want"], "left").select("taxid", "want", F.col("__ancestor").alias("ancestor"), F.col("__pointer").alias("pointer"))
+        old, state = state, written(done.unionByName(moved))
+        released(old)
+    return state.filter("ancestor IS NOT NULL").select("taxid", F.col("want").alias("rank"), "ancestor")
+
+
 def with_taxon(rows: DataFrame, accessions: DataFrame, ancestors: DataFrame, subspecies: bool = False) -> DataFrame:
     """rows with label, the species (or subspecies, else species) taxon; "0" if unknown.
 
-    accessions: accession, taxid; ancestors: taxid, rank, ancestor.
+    accessions: accession, taxid; ancestors: taxid, rank, ancestor, as `lineage` makes them.
     """
     of = lambda rank: ancestors.filter(F.col("rank") == rank).select("taxid", F.col("ancestor").alias(rank))
     joined = rows.join(accessions, "accession", "left").join(of("species"), "taxid", "left")
@@ -122,21 +150,50 @@ def packaged(amplicons: DataFrame, column: int = 1, probe: bool = True) -> DataF
     )
 
 
-def off_target_by_composition(rows: DataFrame, k: int = 3, exact: bool = False) -> DataFrame:
-    """(primer_set, label, accession, failure_acc): rows whose amplicon's k-mer profile (or
-    sequence) also occurs under another label of the same primer set.
+def off_target_members(rows: DataFrame, k: int = 3, exact: bool = False) -> DataFrame:
+    """(primer_set, profile, label, accession, others): each accession of a k-mer profile (or,
+    exact, a sequence) that other labels of its primer set have too, with the number of those.
 
-    rows: primer_set, label, accession, AmpliconSeq. Profiles are grouped, so each row meets
-    the few other labels of its profile, not all rows of its set.
+    rows: primer_set, label, accession, AmpliconSeq. A row an accession and profile, however
+    many share it: what an amplicon is off target to is the same for all accessions of its label,
+    so it is a number here, and `off_target_failures` lists it once a label. Counts are summed
+    on the map side; a profile that is in most genomes is one key of the last join, whose
+    large side Spark splits. `others` counts label and accession pairs. Null labels are a label,
+    sequences that are null have no profile and no row.
     """
     key = F.sha2("AmpliconSeq", 256) if exact else S.composition_key(F.col("AmpliconSeq"), k)
-    signed = rows.withColumn("__key", key)
-    groups = signed.select("primer_set", "__key", "label", "accession").distinct()
-    labels = groups.groupBy("primer_set", "__key").agg(F.countDistinct("label").alias("n")).filter("n > 1").drop("n")
-    several = groups.join(labels, ["primer_set", "__key"])
-    others = several.select("primer_set", "__key", F.col("label").alias("other"), F.col("accession").alias("other_acc"))
-    met = several.join(others, ["primer_set", "__key"]).filter("label <> other")
-    return met.groupBy("primer_set", "label", "accession").agg(F.array_sort(F.collect_set("other_acc")).alias("failure_acc"))
+    signed = rows.filter("AmpliconSeq IS NOT NULL").select("primer_set", key.alias("profile"), "label", "accession").distinct()
+    per_label = signed.groupBy("primer_set", "profile", "label").agg(F.count("*").alias("own"))
+    every = per_label.groupBy("primer_set", "profile").agg(F.sum("own").alias("all"), F.count("*").alias("labels")).filter("labels > 1")
+    counts = _same(per_label, every, "primer_set", "profile").select("primer_set", "profile", "label", (F.col("all") - F.col("own")).alias("others"))
+    return _same(signed, counts, "primer_set", "profile", "label").select("primer_set", "profile", "label", "accession", "others")
+
+
+def _same(left: DataFrame, right: DataFrame, *on: str) -> DataFrame:
+    """An inner join in which nulls are equal; the left's columns and the right's others."""
+    named = right.select(*[F.col(c).alias(f"__{c}") if c in on else F.col(c) for c in right.columns])
+    return left.join(named, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in on])).drop(*[f"__{c}" for c in on])
+
+
+def off_target_failures(members: DataFrame) -> DataFrame:
+    """(primer_set, profile, label, failure_acc): the accessions of other labels that a label's
+    amplicons of a profile also occur in, a row each. Rows grow with the members times the
+    labels of their profile, not with the square of the members."""
+    groups = members.select("primer_set", "profile", "label").distinct()
+    theirs = members.select("primer_set", "profile", F.col("label").alias("__other"), F.col("accession").alias("failure_acc"))
+    met = _same(theirs, groups, "primer_set", "profile").filter(~F.col("label").eqNullSafe(F.col("__other")))
+    return met.select("primer_set", "profile", "label", "failure_acc").distinct()
+
+
+def off_target_by_composition(rows: DataFrame, k: int = 3, exact: bool = False) -> DataFrame:
+    """(primer_set, label, accession, failure_acc): the off-target accessions of every accession
+    as one sorted list, for writing. The lists are made once a profile and label and then put
+    to the accessions, so only the result itself grows with the square of a profile's members."""
+    members = off_target_members(rows, k, exact)
+    lists = off_target_failures(members).groupBy("primer_set", "profile", "label").agg(F.collect_list("failure_acc").alias("failure_acc"))
+    listed = _same(members, lists, "primer_set", "profile", "label")
+    every = F.array_sort(F.array_distinct(F.flatten(F.collect_list("failure_acc"))))
+    return listed.groupBy("primer_set", "label", "accession").agg(every.alias("failure_acc"))
 
 
 def exclusive_json(good: DataFrame, orgs: DataFrame) -> DataFrame:

@@ -33,11 +33,23 @@ def discarded(spark: SparkSession, *paths: str) -> None:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the shared folder: computed once, without lineage."""
+    """df as a Parquet table in the shared folder: computed once, without lineage.
+
+    The table stays until it is `released`.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def released(*tables: DataFrame) -> None:
+    """Deletes what `written` wrote for these tables, once nothing reads them any more."""
+    for df in tables:
+        if path := df.__dict__.pop("written_to", None):
+            discarded(df.sparkSession, path)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -89,3 +89,10 @@ def evaluation_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("lang").alias("label"), F.col("doc_id").alias("accession"))
+
+
+def taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as taxa: the parent's key is less by the size, the size also gives the rank."""
+    size = F.col("p_size") % 5
+    rank = F.when(size == 0, "species").when(size == 1, "genus").when(size == 2, "subspecies").otherwise("clade")
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("taxid"), (F.col("p_partkey") - F.col("p_size")).alias("parent"), rank.alias("rank"))

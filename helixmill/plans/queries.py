@@ -227,12 +227,44 @@ def amplicon_trim(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_DOCS}, w AS (SELECT doc_id, lang, unnest(list_transform(range(1, length(seq) - 1), lambda i: substr(seq, i, 3))) AS k FROM seqs WHERE length(seq) >= 3), c AS (SELECT doc_id, lang, k, count(*) AS n FROM w GROUP BY ALL), p AS (SELECT doc_id, lang AS primer_set, CAST(doc_id % 4 AS VARCHAR) AS label, string_agg(k || ':' || n, ',' ORDER BY k) AS sig FROM c GROUP BY doc_id, lang) SELECT a.primer_set, a.label, a.doc_id AS accession, string_agg(DISTINCT b.doc_id::VARCHAR, ',' ORDER BY b.doc_id::VARCHAR) AS failures FROM p a JOIN p b ON a.primer_set = b.primer_set AND a.sig = b.sig AND a.label <> b.label GROUP BY 1, 2, 3")
 def amplicon_composition_offtarget(spark: SparkSession, sf: str) -> DataFrame:
-    rows = A.sequences(spark, sf).filter(F.length("seq") >= 3)
-    rows = rows.select(F.col("lang").alias("primer_set"), (F.col("doc_id") % 4).cast("string").alias("label"), F.col("doc_id").cast("string").alias("accession"), F.col("seq").alias("AmpliconSeq"))
-    out = evaluate.off_target_by_composition(rows)
+    out = evaluate.off_target_by_composition(_amplicon_rows(spark, sf).withColumn("accession", F.col("accession").cast("string")))
     return out.select("primer_set", "label", F.col("accession").cast("long").alias("accession"), F.array_join("failure_acc", ",").alias("failures"))
 
 
+_PROFILES = f"WITH {_DOCS}, w AS (SELECT doc_id, lang, unnest(list_transform(range(1, length(seq) - 1), lambda i: substr(seq, i, 3))) AS k FROM seqs WHERE length(seq) >= 3), c AS (SELECT doc_id, lang, k, count(*) AS n FROM w GROUP BY ALL), p AS (SELECT doc_id AS accession, lang AS primer_set, CAST(doc_id % 4 AS VARCHAR) AS label, string_agg(k || ':' || n, ',' ORDER BY k) AS sig FROM c GROUP BY doc_id, lang), g AS (SELECT primer_set, sig, label, count(*) AS own FROM p GROUP BY ALL), t AS (SELECT primer_set, sig, sum(own) AS n FROM g GROUP BY ALL HAVING count(*) > 1)"
+
+
+def _amplicon_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = A.sequences(spark, sf).filter(F.length("seq") >= 3)
+    return rows.select(F.col("lang").alias("primer_set"), (F.col("doc_id") % 4).cast("string").alias("label"), F.col("doc_id").alias("accession"), F.col("seq").alias("AmpliconSeq"))
+
+
+@query(f"{_PROFILES} SELECT p.primer_set, p.label, p.accession, CAST(t.n - g.own AS BIGINT) AS others FROM p JOIN g USING (primer_set, sig, label) JOIN t USING (primer_set, sig)")
+def offtarget_members(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.off_target_members(_amplicon_rows(spark, sf)).drop("profile")
+
+
+@query(f"{_PROFILES} SELECT g.primer_set, g.label, p.accession AS failure_acc FROM g JOIN t USING (primer_set, sig) JOIN p ON p.primer_set = g.primer_set AND p.sig = g.sig AND p.label <> g.label")
+def offtarget_failures(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.off_target_failures(evaluate.off_target_members(_amplicon_rows(spark, sf))).drop("profile")
+
+
+_TAXA = "taxa AS (SELECT p_partkey AS taxid, p_partkey - p_size AS parent, CASE p_size % 5 WHEN 0 THEN 'species' WHEN 1 THEN 'genus' WHEN 2 THEN 'subspecies' ELSE 'clade' END AS rank FROM part)"
+
+
+@query(f"WITH RECURSIVE {_TAXA}, up AS (SELECT taxid, taxid AS at, 0 AS d FROM taxa UNION ALL SELECT up.taxid, t.parent, d + 1 FROM up JOIN taxa t ON t.taxid = up.at WHERE t.parent IN (SELECT taxid FROM taxa)), met AS (SELECT up.taxid, t.rank, arg_min(up.at, d) AS ancestor FROM up JOIN taxa t ON t.taxid = up.at WHERE t.rank IN ('species', 'genus', 'subspecies') GROUP BY ALL) SELECT taxid, rank, ancestor FROM met")
+def taxon_lineage(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.lineage(A.taxa(spark, sf), ["species", "genus", "subspecies"])
+
+
+@query(f"WITH RECURSIVE {_TAXA}, up AS (SELECT taxid, taxid AS at, 0 AS d FROM taxa UNION ALL SELECT up.taxid, t.parent, d + 1 FROM up JOIN taxa t ON t.taxid = up.at WHERE t.parent IN (SELECT taxid FROM taxa)), met AS (SELECT up.taxid, t.rank, arg_min(up.at, d) AS ancestor FROM up JOIN taxa t ON t.taxid = up.at GROUP BY ALL), l AS (SELECT l_orderkey AS accession, l_linenumber, coalesce(b.ancestor, s.ancestor, 0) AS label FROM lineitem LEFT JOIN met s ON s.taxid = l_partkey AND s.rank = 'species' LEFT JOIN met b ON b.taxid = l_partkey AND b.rank = 'subspecies') SELECT CAST(label AS VARCHAR) AS label, count(*) AS n FROM l WHERE label NOT IN (0, 32630) GROUP BY label")
+def taxon_hits(spark: SparkSession, sf: str) -> DataFrame:
+    rows = A.table(spark, sf, "lineitem").select(F.concat_ws(":", "l_orderkey", "l_linenumber").alias("accession"), F.col("l_partkey").alias("taxid"))
+    ancestors = evaluate.lineage(A.taxa(spark, sf), ["species", "subspecies"])
+    hits = evaluate.with_taxon(rows.select("accession"), rows, ancestors, subspecies=True)
+    return evaluate.on_target_labels(hits).groupBy("label").agg(F.count("*").alias("n"))
+
+
 _EVAL = f"seqs AS (SELECT doc_id, lang, source, {_SEQ} AS seq FROM documents), p AS (SELECT item_id AS id, substr({_SEQ}, 1, 8) AS kmer FROM benchmark WHERE length({_SEQ}) >= 8), hits AS (SELECT DISTINCT lang AS label, doc_id AS accession, 'g' || (id % 4) AS primer_group, 'set' || id AS primer_set FROM ({_windows(8)}) JOIN p USING (kmer))"
 
 
@@ -322,8 +354,7 @@ def archive_add(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def hamming_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    frequent = kmers.above_quantile(kmers.document_frequency(A.sequences(spark, sf), K, "doc_id"), 0.995)
-    return cluster.hamming_clusters(frequent, K, 2)
+    return cluster.hamming_clusters(kmers.exploded(A.sequences(spark, sf), 10).distinct(), 10, 1)
 
 
 @query()

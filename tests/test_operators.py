@@ -1,5 +1,7 @@
+import itertools
 import random
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -179,6 +181,75 @@ def test_composition_off_target(spark):
     assert got == {("x", "1"): ["2"], ("y", "2"): ["1"]}
 
 
+def off_target_lists(rows, profile):
+    """By the definition: every accession with all those of other labels under its profiles."""
+    got = {}
+    for p, x, a, s in rows:
+        for q, y, b, t in rows:
+            if s is not None and t is not None and p == q and x != y and profile(s) == profile(t):
+                got.setdefault((p, x, a), set()).add(b)
+    return {k: sorted(v) for k, v in got.items()}
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_off_target_members_by_brute_force(spark, exact):
+    rng = random.Random(21)
+    seqs = ["AAACCC", "CCCAAA", "AAACCCA", "GGGTTT", "TTTGGGT", None, "AC"]
+    rows = [(rng.choice("pq"), rng.choice(["x", "y", "z", None]), f"acc{rng.randrange(25)}", rng.choice(seqs)) for _ in range(160)]
+    df = spark.createDataFrame(rows, "primer_set string, label string, accession string, AmpliconSeq string").withColumn("own", F.lit(1)).repartition(3)
+    windows = lambda s: Counter(s[i : i + 3] for i in range(len(s) - 2))
+    profile = (lambda s: s) if exact else windows
+    want = off_target_lists(rows, profile)
+    assert {(r.primer_set, r.label, r.accession): r.failure_acc for r in evaluate.off_target_by_composition(df, exact=exact).collect()} == want
+    members = evaluate.off_target_members(df, exact=exact).collect()
+    keyed = {(p, str(sorted(profile(s).items()) if not exact else s), x, a) for p, x, a, s in rows if s is not None}
+    groups = Counter(k[:2] for k in keyed)
+    own = Counter(k[:3] for k in keyed)
+    several = {k for k in groups if len({x for x in own if x[:2] == k}) > 1}
+    assert sorted((r.primer_set, str(r.label), r.accession, r.others) for r in members) == sorted((p, str(x), a, groups[p, s] - own[p, s, x]) for p, s, x, a in keyed if (p, s) in several)
+
+
+def test_off_target_members_are_linear(spark):
+    """Ten thousand accessions of one profile: a row each, and a list a label."""
+    rows = spark.range(10_000).select(F.lit("p").alias("primer_set"), (F.col("id") % 2).cast("string").alias("label"), F.col("id").cast("string").alias("accession"), F.lit("ACGTACGTT").alias("AmpliconSeq"))
+    members = evaluate.off_target_members(rows)
+    assert members.groupBy("label", "others").count().orderBy("label").collect() == [("0", 5000, 5000), ("1", 5000, 5000)]
+    assert evaluate.off_target_failures(members).groupBy("label").count().orderBy("label").collect() == [("0", 5000), ("1", 5000)]
+
+
+def test_lineage_by_walking(spark):
+    rng = random.Random(5)
+    taxa = {i: (rng.choice([i // 2, i - 1, i - 3, None, 10**6, i]), rng.choice(["species", "genus", "clade", None])) for i in range(1, 400)}
+    taxa |= {500: (501, "clade"), 501: (502, "genus"), 502: (500, "clade"), 600: (601, "clade"), 601: (600, "clade")}
+    taxa |= {1000 + i: (999 + i, "clade") for i in range(1, 300)} | {1000: (None, "species")}
+    rows = [(i, p, r) for i, (p, r) in taxa.items()] + [(None, 1, "species"), (7, *taxa[7])]
+    want = set()
+    for i in taxa:
+        for rank in ("species", "genus"):
+            at, seen = i, set()
+            while at in taxa and at not in seen and taxa[at][1] != rank:
+                seen.add(at)
+                at = taxa[at][0]
+            if at in taxa and taxa[at][1] == rank:
+                want.add((i, rank, at))
+    df = spark.createDataFrame(rows, "taxid long, parent long, rank string").withColumn("name", F.lit("x"))
+    assert {tuple(r) for r in evaluate.lineage(df, ["species", "genus"]).collect()} == want
+    hits = spark.createDataFrame([("a", 1299), ("b", 601), ("c", 77777), ("d", None)], "accession string, taxid long")
+    labels = {r.accession: r.label for r in evaluate.with_taxon(hits.select("accession"), hits, evaluate.lineage(df, ["species"])).collect()}
+    assert labels == {"a": "1000", "b": "0", "c": "0", "d": "0"}
+    assert evaluate.lineage(df.limit(0), ["species"]).count() == 0
+
+
+def test_labelled_without_default_and_names(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "accession string, n int")
+    labels = spark.createDataFrame([("a", "x"), ("a", "y"), ("c", "z")], "accession string, label string")
+    assert sorted(map(tuple, evaluate.labelled(rows, labels).collect())) == [("a", 1, "x"), ("a", 1, "y")]
+    assert {(r.accession, r.label) for r in evaluate.labelled(rows, labels, "Off Target").collect()} == {("a", "x"), ("a", "y"), ("b", "Off Target"), (None, "Off Target")}
+    named = rows.select("n", evaluate.taxon_name(F.col("accession"), {"a": "yeast"}).alias("name")).collect()
+    assert {r.n: r.name for r in named} == {1: "yeast", 2: "Unknown", 3: "Unknown"}
+    assert rows.select(evaluate.taxon_name(F.col("accession"), {}).alias("name")).distinct().collect() == [("Unknown",)]
+
+
 def test_hamming_clusters_whole(spark):
     rng = random.Random(8)
     words = sorted({"".join(rng.choice("AC") for _ in range(6)) for _ in range(25)})
@@ -331,18 +402,47 @@ def test_long_record_in_time(spark):
     assert time.time() - began < 60
 
 
-def test_hamming_clusters_by_brute_force(spark):
-    rng = random.Random(12)
-    words = sorted({"".join(rng.choices("ACGT", k=6)) for _ in range(70)})
-    distance = np.array([[sum(x != y for x, y in zip(a, b, strict=True)) for b in words] for a in words])
-    label = cluster.average_linkage(distance, 2)
-    want = {}
-    for w, x in zip(words, label.tolist(), strict=True):
-        want.setdefault(x, set()).add(w)
+@pytest.mark.parametrize(("letters", "k", "most", "n"), [("ACGT", 6, 2, 90), ("AC", 6, 1, 60), ("ACGTN", 5, 1, 120), ("AC", 7, 3, 80)])
+def test_hamming_clusters_by_brute_force(spark, letters, k, most, n):
+    """One merge at a time, the nearest pair first, with exact fractions."""
+    rng = random.Random(12 + k)
+    words = sorted({"".join(rng.choices(letters, k=k)) for _ in range(n)})
+    df = spark.createDataFrame([(w,) for w in [*words, None, words[0]]], "kmer string")
+    pairs = spark.createDataFrame(list(itertools.combinations(words, 2)), "i string, j string")
+    tie = {(r.i, r.j): r.h for r in pairs.select("i", "j", F.xxhash64("i", "j").alias("h")).collect()}
+    groups = {w: [w] for w in words}
+    far = {(a, b): sum(x != y for x, y in zip(a, b, strict=True)) for a in words for b in words}
+    sums = {p: far[p] for p in itertools.combinations(words, 2)}
+    while sums:
+        d, _, i, j = min((Fraction(s, len(groups[i]) * len(groups[j])), tie[i, j], i, j) for (i, j), s in sums.items())
+        if d > most:
+            break
+        groups[i] += groups.pop(j)
+        sums = {(a, b): sum(far[x, y] for x in groups[a] for y in groups[b]) if i in (a, b) else sums[a, b] for a, b in itertools.combinations(sorted(groups), 2)}
     got = {}
-    for r in cluster.hamming_clusters(spark.createDataFrame([(w,) for w in words], "kmer string"), 6, 2).collect():
-        got.setdefault(r.cluster, set()).add(r.kmer)
-    assert {min(x): x for x in want.values()} == got and max(map(len, got.values())) > 2
+    for r in cluster.hamming_clusters(df, k, most).collect():
+        got.setdefault(r.cluster, []).append(r.kmer)
+    assert {c: sorted(x) for c, x in got.items()} == {min(x): sorted(x) for x in groups.values()} and max(map(len, got.values())) > (letters == "ACGT")
+
+
+def test_hamming_clusters_of_little(spark):
+    none = spark.createDataFrame([], "kmer string")
+    assert cluster.hamming_clusters(none, 4, 1).count() == 0
+    two = spark.createDataFrame([("AAAA",), ("TTTT",), ("AAAA",)], "kmer string")
+    assert sorted(map(tuple, cluster.hamming_clusters(two, 4, 1).collect())) == [("AAAA", "AAAA"), ("TTTT", "TTTT")]
+
+
+@pytest.mark.parametrize("masks", [0, 10**6])
+def test_hamming_pairs_by_masks_and_by_pieces(spark, monkeypatch, masks):
+    monkeypatch.setattr(cluster, "MASKS", masks)
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choices("ACGT", k=7)) for _ in range(300)})
+    df = spark.createDataFrame([(w,) for w in words], "kmer string")
+    for most in (1, 3):
+        got = sorted(map(tuple, cluster.hamming_pairs(df, 7, most).collect()))
+        want = [(a, b, d) for a, b in itertools.combinations(words, 2) if (d := sum(x != y for x, y in zip(a, b, strict=True))) <= most]
+        assert got == want
+    assert cluster.hamming_pairs(df, 7, 0).count() == 0
 
 
 def test_greedy_motifs_by_brute_force(spark):

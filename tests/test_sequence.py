@@ -82,6 +82,56 @@ def test_complement_twice(s):
     assert align.complemented(align.complemented(s)) == s
 
 
+def every_alignment(probe, target, end):
+    """The least (cost, start, unmatched last letters) over all ways to place the probe's letters
+    in rising order or to skip them."""
+    n, m = len(probe), len(target)
+
+    def ways(i, at, first):
+        if i == n:
+            yield 0, first, 0
+            return
+        last = i >= n - end
+        for place in range(-n, m + n) if first is None else range(at + 1, min(m + n, at + 4)):
+            step = (0 if 0 <= place < m and target[place] == probe[i] else 1) + (0 if first is None else 3 * (place - at - 1))
+            for c, f, u in ways(i + 1, place, place if first is None else first):
+                yield c + step, f, u + (last and not (0 <= place < m and target[place] == probe[i]))
+        if first is not None:
+            for c, f, u in ways(i + 1, at, first):
+                yield c + 4, f, u + last
+
+    return min(ways(0, None, None))
+
+
+@pytest.mark.parametrize("end", [2, 3])
+def test_sites_by_all_alignments(end):
+    """Starts and ends where gaps win, for many pairs in one batch."""
+    rng = random.Random(end)
+    pairs = [("ACGTA", "ACGGTA"), ("ACCGT", "ACGT"), ("AAAAA", ""), ("GATTACA"[:6], "GAACA")]
+    for _ in range(60):
+        probe = "".join(rng.choices("ACG", k=rng.randint(1, 6)))
+        cut = rng.randrange(len(probe) + 1)
+        pairs.append((probe, rng.choice(["", "T", "CT"]) + probe[:cut] + rng.choice(["", "T", "TT"]) + probe[cut + rng.randint(0, 1) :] + rng.choice(["", "GT"])))
+    cost, start, unmatched = align.best_sites([(align.codes(p), align.codes(t)) for p, t in pairs], end)
+    want = [every_alignment(p, t, end) for p, t in pairs]
+    assert list(zip(cost.tolist(), start.tolist(), unmatched.tolist(), strict=True)) == want
+
+
+def test_sites_with_gaps_in_long_targets():
+    rng = random.Random(7)
+    probe = "".join(rng.choices("ACGT", k=18))
+    pairs, want = [], []
+    for _ in range(40):
+        at, cut = rng.randrange(0, 900), rng.randrange(5, 13)
+        target = "".join(rng.choices("ACGT", k=at)) + probe[:cut] + rng.choice("ACGT") + probe[cut:] + "".join(rng.choices("ACGT", k=rng.randrange(900)))
+        pairs.append((align.codes(probe), align.codes(target)))
+        want.append(at)
+    cost, start, unmatched = align.best_sites(pairs)
+    assert set(cost.tolist()) <= {3} and unmatched.tolist() == [0] * 40
+    assert sum(s == w for s, w in zip(start.tolist(), want, strict=True)) >= 38  # another place may be as good
+    assert align.best_sites([]) [0].tolist() == [] and align.best_sites([(align.codes(""), align.codes("AC"))])[0].tolist() == [0]
+
+
 def test_probe_and_primer_sites():
     assert align.probe_site("ACGT", "TTACGTTT", 1) == (0, 2, "Minus")  # a palindrome: ties go to minus
     assert align.probe_site("AACC", "TTAACCTT", 0) == (0, 2, "Plus")
