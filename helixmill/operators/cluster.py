@@ -30,17 +30,27 @@ def masked(k: int, radius: int) -> Column:
     return F.array(*[one(dots) for dots in itertools.combinations(range(k), radius)])
 
 
-def pairs_at(kmers: DataFrame, k: int, radius: int) -> DataFrame:
-    """(a, b, d), a < b: pairs of k-mers with exactly `radius` differing letters.
+def pairs_at(kmers: DataFrame, k: int, radius: int, other: DataFrame | None = None) -> DataFrame:
+    """(a, b, d): pairs of k-mers with exactly `radius` differing letters, a < b; with `other`,
+    pairs of one of kmers and one of other.
 
     Such a pair has exactly one masked form in common in which all masked letters differ. A
     masked form stands for at most (number of letters)^radius k-mers, so its lists are short
     whatever the table's size, and a table costs its rows times the masks and its pairs.
     """
-    forms = kmers.filter("kmer IS NOT NULL").select("kmer").distinct().select("kmer", F.explode(masked(k, radius)).alias("m"))
-    lists = forms.groupBy("m.form").agg(F.sort_array(F.collect_list(F.struct("kmer", "m.own"))).alias("xs")).filter(F.size("xs") > 1)
-    ahead = lambda x, i: F.transform(F.slice("xs", i + 2, F.size("xs")), lambda y: F.struct(x.alias("x"), y.alias("y")))
-    met = lists.select(F.explode(F.flatten(F.transform("xs", ahead))).alias("p")).select("p.x", "p.y")
+
+    def lists(df: DataFrame, name: str) -> DataFrame:
+        forms = df.filter("kmer IS NOT NULL").select("kmer").distinct().select("kmer", F.explode(masked(k, radius)).alias("m"))
+        return forms.groupBy(F.col("m.form").alias("form")).agg(F.sort_array(F.collect_list(F.struct("kmer", "m.own"))).alias(name))
+
+    pair = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    if other is None:
+        each = F.transform("xs", lambda x, i: F.transform(F.slice("xs", i + 2, F.size("xs")), lambda y: pair(x, y)))
+        met = lists(kmers, "xs").filter(F.size("xs") > 1).select(F.explode(F.flatten(each)).alias("p"))
+    else:
+        each = F.transform("xs", lambda x: F.transform("ys", lambda y: pair(x, y)))
+        met = lists(kmers, "xs").join(lists(other, "ys"), "form").select(F.explode(F.flatten(each)).alias("p"))
+    met = met.select("p.x", "p.y")
     apart = [F.substring("x.own", i + 1, 1) != F.substring("y.own", i + 1, 1) for i in range(radius)]
     return met.filter(reduce(lambda a, b: a & b, apart, F.lit(True))).select(F.col("x.kmer").alias("a"), F.col("y.kmer").alias("b"), F.lit(radius).alias("d"))
 
@@ -214,23 +224,48 @@ def hamming_clusters(kmers: DataFrame, k: int, most: int) -> DataFrame:
     return names.join(linked, "kmer", "left").select(F.coalesce("component", "kmer").alias("cluster"), "kmer")
 
 
-def nearest(kmers: DataFrame, k: int, most: int, n: int = 20) -> DataFrame:
-    """(a, b, d, rank): the n nearest others of each k-mer within `most` letters, exactly."""
-    pairs = hamming_pairs(kmers, k, most)
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
+def nearest(kmers: DataFrame, k: int, most: int | None = None, n: int = 20) -> DataFrame:
+    """(a, b, d, rank): the n nearest others of each k-mer, exactly, ties in order of b; only those
+    within `most` letters if it is given, else every k-mer has n (or all others of fewer).
+
+    Without a bound the radius grows by a letter a round, and only k-mers that lack neighbours
+    go on, so few are asked at wide radii. Pairs of a round are those at exactly its radius.
+    """
     order = Window.partitionBy("a").orderBy("d", "b")
-    return both.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+    best = lambda pairs: pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+    if most is not None:
+        pairs = hamming_pairs(kmers, k, most)
+        return best(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "d")))
+    names = written(kmers.filter("kmer IS NOT NULL").select("kmer").distinct())
+    wanted = min(n, names.count() - 1)
+    pending, found = names, None
+    for radius in range(1, k + 1):
+        if radius == 1:
+            at = pairs_at(names, k, radius)
+            at = at.unionByName(at.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
+        else:
+            at = pairs_at(pending, k, radius, names)
+        # Ranks only fall behind nearer ones, so more than n at one radius are never needed.
+        now = written(best(at).drop("rank") if found is None else found.unionByName(best(at).drop("rank")))
+        full = now.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") >= wanted).select(F.col("a").alias("kmer"))
+        rest = written(pending.join(full, "kmer", "left_anti"))
+        released(*[x for x in (found, pending) if x is not None and x is not names])
+        found, pending = now, rest
+        if wanted <= 0 or pending.isEmpty():
+            break
+    return best(found)
 
 
-def greedy_motifs(counts: DataFrame, k: int, most: int, n: int = 20) -> DataFrame:
+def greedy_motifs(counts: DataFrame, k: int, most: int | None = None, n: int = 20) -> DataFrame:
     """(cluster, kmer): the most frequent k-mer takes its nearest neighbours that no seed has
-    taken before, and so on down the frequencies.
+    taken before, and so on down the frequencies; a hash decides between equal frequencies.
 
     counts has kmer and n. A k-mer is a seed unless a more frequent seed among those that have
-    it as a neighbour took it; seeds are found in rounds over the whole table.
+    it as a neighbour took it; seeds are found in rounds over the whole table. The hash keeps
+    the rounds few where many k-mers are equally frequent.
     """
     near = nearest(counts, k, most, n).select("a", "b")
-    ranks = counts.select(F.col("kmer"), F.struct((-F.col("n")).alias("n"), "kmer").alias("order"))
+    ranks = counts.select(F.col("kmer"), F.struct((-F.col("n")).alias("n"), F.xxhash64("kmer").alias("tie"), "kmer").alias("order"))
     # Edges from a would-be seed to a later neighbour.
     a, b = ranks.select(F.col("kmer").alias("a"), F.col("order").alias("oa")), ranks.select(F.col("kmer").alias("b"), F.col("order").alias("ob"))
     edges = written(near.join(a, "a").join(b, "b").filter("oa < ob").select("a", "b", "oa"))
@@ -240,7 +275,8 @@ def greedy_motifs(counts: DataFrame, k: int, most: int, n: int = 20) -> DataFram
         told = known.groupBy("b").agg(F.bool_or(F.coalesce("sa", F.lit(False))).alias("taken"), F.bool_or(F.col("sa").isNull()).alias("open"))
         joined = state.join(told.withColumnRenamed("b", "kmer"), "kmer", "left")
         decided = F.when(F.col("seed").isNotNull(), F.col("seed")).when(F.coalesce("taken", F.lit(False)), False).when(~F.coalesce("open", F.lit(False)), True)
-        state = written(joined.select("kmer", decided.alias("seed")))
+        old, state = state, written(joined.select("kmer", decided.alias("seed")))
+        released(old)
         if state.filter(F.col("seed").isNull()).isEmpty():
             break
     seeds = state.filter("seed").select(F.col("kmer").alias("a"))
@@ -249,6 +285,23 @@ def greedy_motifs(counts: DataFrame, k: int, most: int, n: int = 20) -> DataFram
     return taken.unionByName(seeds.select(F.col("a").alias("cluster"), F.col("a").alias("kmer")))
 
 
+def sub_clusters(clusters: DataFrame, cut: float = 1.0) -> DataFrame:
+    """(cluster, sub, kmer): each seed's k-mers by average linkage on Hamming distance, cut at
+    `cut` letters; sub is the least k-mer of its part.
+
+    A seed has at most its n neighbours, so a group is small; motifs are made of the parts.
+    """
+
+    def split(part: pd.DataFrame) -> pd.DataFrame:
+        names = sorted(part["kmer"])
+        letters = np.array([list(x) for x in names])
+        label = average_linkage((letters[:, None] != letters[None]).sum(axis=2), cut)
+        first = {x: names[i] for i, x in reversed(list(enumerate(label)))}
+        return pd.DataFrame({"cluster": part["cluster"].iloc[0], "sub": [first[x] for x in label], "kmer": names})
+
+    return clusters.groupBy("cluster").applyInPandas(split, "cluster string, sub string, kmer string")
+
+
 #: So many ranks make one task's lot in joined_records.
 LOT = 100_000
 

@@ -1,7 +1,17 @@
-"""K-mer tables: counting, conservation, set algebra, samples."""
+"""K-mer tables: counting, conservation, set algebra, samples.
+
+Counting works on packed k-mers: windows of plain bases are numbers of two bits a letter, made
+and summed for each Arrow batch before anything is shuffled, so that a shuffled row is a number
+and a count instead of a string, and repeats inside a batch are one row. Windows with other
+letters, and k above 31, go the same way as strings.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,15 +34,119 @@ def exploded(records: DataFrame, k: int, full: bool = True, seq: str = "seq", ke
     return pieces.select(*keep, F.explode(S.windows(F.col("__piece"), k)).alias("kmer"))
 
 
+#: Letters whose windows are summed together in one batch, about.
+LOT = 1 << 20
+_CODE = np.full(256, 4, np.uint8)
+_CODE[[*b"ACGT"]] = range(4)
+
+
+class _Lot:
+    """Windows of some rows, summed by row group."""
+
+    def __init__(self, k: int, strands: bool):
+        self.k, self.strands = k, strands
+        self.plain: list[tuple[np.ndarray, np.ndarray]] = []
+        self.other: dict[tuple[int, str], int] = {}
+        self.letters = 0
+
+    def add(self, group: int, seq: str) -> None:
+        k = self.k
+        self.letters += len(seq)
+        if len(seq) < k:
+            return
+        if not seq.isascii():
+            for i in range(len(seq) - k + 1):
+                self._string(group, seq[i : i + k], 1)
+            return
+        data = np.frombuffer(seq.encode(), np.uint8)
+        code = _CODE[data]
+        bad = np.concatenate(([0], np.cumsum(code > 3)))
+        plain = bad[k:] == bad[:-k]
+        if k > 31:
+            plain[:] = False
+        if plain.any():
+            at = np.flatnonzero(plain)
+            code = code.astype(np.int64)
+            number = np.zeros(len(at), np.int64)
+            for j in range(k):
+                number = number << 2 | code[at + j]
+            self.plain.append((np.full(len(at), group), number))
+            if self.strands:
+                number = np.zeros(len(at), np.int64)
+                for j in range(k - 1, -1, -1):
+                    number = number << 2 | 3 - code[at + j]
+                self.plain.append((np.full(len(at), group), number))
+        if not plain.all():
+            windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, k)[~plain]).view(f"S{k}").ravel()
+            for word, n in zip(*np.unique(windows, return_counts=True), strict=True):
+                self._string(group, word.decode(), int(n))
+
+    def _string(self, group: int, word: str, n: int) -> None:
+        for w in (word, "".join(S.COMPLEMENT.get(c, c) for c in reversed(word)))[: 2 if self.strands else 1]:
+            self.other[group, w] = self.other.get((group, w), 0) + n
+
+    def sums(self) -> tuple[np.ndarray, pa.Array, pa.Array, pa.Array]:
+        """(group, code, other, n)."""
+        group, code, n = (np.zeros(0, np.int64),) * 3
+        if self.plain:
+            group, code = (np.concatenate(x) for x in zip(*self.plain, strict=True))
+            order = np.lexsort((code, group))
+            group, code = group[order], code[order]
+            first = np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]) | (code[1:] != code[:-1]))))
+            n = np.diff(np.append(first, len(group)))
+            group, code = group[first], code[first]
+        more = len(self.other)
+        code = pa.concat_arrays([pa.array(code, pa.int64()), pa.nulls(more, pa.int64())])
+        words = pa.concat_arrays([pa.nulls(len(group), pa.string()), pa.array([w for _, w in self.other], pa.string())])
+        counts = pa.array(np.concatenate((n, np.fromiter(self.other.values(), np.int64, more))), pa.int64())
+        return np.concatenate((group, np.fromiter((g for g, _ in self.other), np.int64, more))), code, words, counts
+
+
+def packed(records: DataFrame, k: int, full: bool = True, seq: str = "seq", keep: tuple[str, ...] = (), strands: bool = False) -> DataFrame:
+    """(keep..., code, other, n): windows with their numbers, in sums that a batch has made of
+    rows with equal `keep`; so a window stands in several rows, and n has to be summed.
+
+    code is the window in two bits a letter, other the window itself where it has other letters
+    than plain bases (one of the two is null). strands also counts every reverse complement.
+    Null sequences and those shorter than k have no windows.
+    """
+    whole = F.col(seq) if full else F.left(F.col(seq), F.length(seq) - 1)
+    pieces = records.select(*keep, F.explode(S.chunks(whole, CHUNK, k - 1)).alias("__piece"))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = list(zip(*[batch.column(i).to_pylist() for i in range(len(keep))], strict=True)) if keep else [()] * batch.num_rows
+            lot, groups, rows = _Lot(k, strands), {}, []
+            for i, piece in enumerate(batch.column(len(keep))):
+                if names[i] not in groups:
+                    groups[names[i]] = len(groups)
+                    rows.append(i)
+                lot.add(groups[names[i]], piece.as_py() or "")
+                if lot.letters >= LOT or i == batch.num_rows - 1:
+                    group, *columns = lot.sums()
+                    at = pa.array(np.array(rows, np.int64)[group])
+                    yield pa.RecordBatch.from_arrays([*[batch.column(c).take(at) for c in range(len(keep))], *columns], [*keep, "code", "other", "n"])
+                    lot, groups, rows = _Lot(k, strands), {}, []
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields[:-1]]
+    return pieces.mapInArrow(summed, ", ".join([*fields, "code long", "other string", "n long"]))
+
+
+def unpacked(k: int) -> Column:
+    """The window of `code` or `other`."""
+    if k > 31:
+        return F.col("other")
+    letter = lambda i: F.substring(F.lit("ACGT"), F.shiftright("code", 2 * (k - 1 - i)).bitwiseAND(3).cast("int") + 1, F.lit(1))
+    return F.coalesce("other", F.concat(*[letter(i) for i in range(k)]))
+
+
 def canonical_counts(records: DataFrame, k: int, by: tuple[str, ...] = (), full: bool = False, compat: bool = True) -> DataFrame:
     """(by..., kmer, n): each window counts for itself and for its reverse complement.
 
-    compat counts a palindrome once less (2n-1), as the reference's counters do. Windows are
-    summed before their complements are added, which halves what is shuffled.
+    compat counts a palindrome once less (2n-1), as the reference's counters do.
     """
-    one = exploded(records, k, full, keep=by).groupBy(*by, "kmer").agg(F.count("*").alias("n"))
-    both = one.unionByName(one.withColumn("kmer", S.reverse_complement(F.col("kmer"))))
-    out = both.groupBy(*by, "kmer").agg(F.sum("n").alias("n"))
+    sums = packed(records, k, full, keep=by, strands=True).groupBy(*by, "code", "other").agg(F.sum("n").alias("n"))
+    out = sums.select(*by, unpacked(k).alias("kmer"), "n")
     if compat:
         out = out.withColumn("n", F.when(F.col("kmer") == S.reverse_complement(F.col("kmer")), F.col("n") - 1).otherwise(F.col("n")))
     return out
@@ -44,9 +158,9 @@ def conserved(records: DataFrame, k: int, group: str, full: bool = True, seq: st
     All groups count, also those too short for any k-mer, which leave nothing conserved.
     """
     groups = records.select(group).distinct().agg(F.count("*").alias("__groups"))
-    kmers = exploded(records, k, full, seq, (group,)).distinct()
-    found = kmers.groupBy("kmer").agg(F.count("*").alias("__n"))
-    return found.join(F.broadcast(groups), F.col("__n") == F.col("__groups")).select("kmer")
+    once = packed(records, k, full, seq, (group,)).groupBy(group, "code", "other").agg(F.lit(1).alias("__one"))
+    found = once.groupBy("code", "other").agg(F.count("*").alias("__n"))
+    return found.join(F.broadcast(groups), F.col("__n") == F.col("__groups")).select(unpacked(k).alias("kmer"))
 
 
 def assembly_conserved(records: DataFrame, k: int, record: str, assembly: str, full: bool = False) -> DataFrame:
@@ -60,16 +174,33 @@ def assembly_conserved(records: DataFrame, k: int, record: str, assembly: str, f
 
 
 def document_frequency(records: DataFrame, k: int, record: str, singletons: bool = True) -> DataFrame:
-    """(kmer, n): records that contain a k-mer of plain bases; singletons=False drops n = 1."""
-    kmers = exploded(records, k, True, keep=(record,)).filter(F.col("kmer").rlike("^[ACGT]+$")).distinct()
-    out = kmers.groupBy("kmer").agg(F.count("*").alias("n"))
+    """(kmer, n): records that contain a k-mer of plain bases; singletons=False drops n = 1.
+
+    A record of one row and one piece has each of its k-mers once in its batch's sums, so only
+    numbers and counts are shuffled. Longer records, and all of them if any record has several
+    rows, are told apart until their pieces are together.
+    """
+    several = not records.groupBy(record).agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    alone = F.lit(False) if several else F.length("seq") <= CHUNK
+    cut = records.select(alone.alias("__alone"), F.when(~alone, F.col(record)).alias("__record"), F.when(alone, F.monotonically_increasing_id()).alias("__row"), "seq")
+    once = packed(cut, k, keep=("__alone", "__record", "__row")).filter("code IS NOT NULL").groupBy("__alone", "__record", "code").agg(F.count("*").alias("n"))
+    out = once.groupBy("code").agg(F.sum(F.when(F.col("__alone"), F.col("n")).otherwise(1)).alias("n"))
+    out = out.withColumn("other", F.lit(None).cast("string")).select(unpacked(k).alias("kmer"), "n")
     return out if singletons else out.filter("n > 1")
 
 
 def union(records: DataFrame, k: int, full: bool = False) -> DataFrame:
     """The distinct upper-case k-mers of both strands."""
-    kmers = exploded(records.withColumn("seq", F.upper("seq")), k, full).distinct()
-    return kmers.unionByName(kmers.select(S.reverse_complement(F.col("kmer")).alias("kmer"))).distinct()
+    rows = packed(records.withColumn("seq", F.upper("seq")), k, full, strands=True)
+    return rows.select("code", "other").distinct().select(unpacked(k).alias("kmer"))
+
+
+def exclusive(records: DataFrame, k: int, own: Column, full: bool = True) -> DataFrame:
+    """(id, kmer): k-mers of the records for which `own` holds that no other record has, numbered
+    in their order as marker_0, ...: one scan and one shuffle of two flags a k-mer."""
+    flagged = records.select(F.coalesce(own, F.lit(False)).alias("__own"), "seq")
+    found = packed(flagged, k, full, keep=("__own",)).groupBy("code", "other").agg(F.bool_and("__own").alias("__only")).filter("__only")
+    return ranked(found.select(unpacked(k).alias("kmer")), "kmer").select(F.concat(F.lit("marker_"), F.col("rank") - 1).alias("id"), "kmer")
 
 
 def check_length(kmers: DataFrame, k: int) -> None:

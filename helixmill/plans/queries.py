@@ -74,10 +74,7 @@ def kmer_union(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_DOCS}, w AS ({_windows(12)}), d AS (SELECT kmer FROM w WHERE lang = 'en' EXCEPT SELECT kmer FROM w WHERE lang <> 'en') SELECT 'marker_' || (row_number() OVER (ORDER BY kmer) - 1) AS id, kmer FROM d")
 def kmer_difference(spark: SparkSession, sf: str) -> DataFrame:
-    rows = A.sequences(spark, sf)
-    own = kmers.exploded(rows.filter("lang = 'en'"), 12).distinct()
-    other = kmers.exploded(rows.filter("lang <> 'en'"), 12).distinct()
-    return kmers.difference(own, other)
+    return kmers.exclusive(A.sequences(spark, sf).filter("lang IS NOT NULL"), 12, F.col("lang") == "en")
 
 
 @query(f"WITH {_DOCS}, w AS ({_windows(5, False)}), c AS ({_CANON.format(keep='lang, source')}), s AS (SELECT lang, source, row_number() OVER (PARTITION BY lang ORDER BY source) - 1 AS sample_idx FROM (SELECT DISTINCT lang, source FROM documents)) SELECT c.lang AS bin, kmer, sample_idx, n FROM c JOIN s USING (lang, source)")
@@ -257,11 +254,11 @@ def taxon_lineage(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.lineage(A.taxa(spark, sf), ["species", "genus", "subspecies"])
 
 
-@query(f"WITH RECURSIVE {_TAXA}, up AS (SELECT taxid, taxid AS at, 0 AS d FROM taxa UNION ALL SELECT up.taxid, t.parent, d + 1 FROM up JOIN taxa t ON t.taxid = up.at WHERE t.parent IN (SELECT taxid FROM taxa)), met AS (SELECT up.taxid, t.rank, arg_min(up.at, d) AS ancestor FROM up JOIN taxa t ON t.taxid = up.at GROUP BY ALL), l AS (SELECT l_orderkey AS accession, l_linenumber, coalesce(b.ancestor, s.ancestor, 0) AS label FROM lineitem LEFT JOIN met s ON s.taxid = l_partkey AND s.rank = 'species' LEFT JOIN met b ON b.taxid = l_partkey AND b.rank = 'subspecies') SELECT CAST(label AS VARCHAR) AS label, count(*) AS n FROM l WHERE label NOT IN (0, 32630) GROUP BY label")
+@query(f"WITH RECURSIVE {_TAXA}, up AS (SELECT taxid, taxid AS at, 0 AS d FROM taxa UNION ALL SELECT up.taxid, t.parent, d + 1 FROM up JOIN taxa t ON t.taxid = up.at WHERE t.parent IN (SELECT taxid FROM taxa)), met AS (SELECT up.taxid, t.rank, arg_min(up.at, d) AS ancestor FROM up JOIN taxa t ON t.taxid = up.at GROUP BY ALL), l AS (SELECT coalesce(b.ancestor, s.ancestor, 0) AS label FROM lineitem LEFT JOIN met s ON s.taxid = l_partkey AND s.rank = 'species' LEFT JOIN met b ON b.taxid = l_partkey AND b.rank = 'subspecies') SELECT CAST(label AS VARCHAR) AS label, count(*) AS n FROM l WHERE label NOT IN (0, 32630) GROUP BY label")
 def taxon_hits(spark: SparkSession, sf: str) -> DataFrame:
-    rows = A.table(spark, sf, "lineitem").select(F.concat_ws(":", "l_orderkey", "l_linenumber").alias("accession"), F.col("l_partkey").alias("taxid"))
-    ancestors = evaluate.lineage(A.taxa(spark, sf), ["species", "subspecies"])
-    hits = evaluate.with_taxon(rows.select("accession"), rows, ancestors, subspecies=True)
+    rows = A.table(spark, sf, "lineitem").select(F.col("l_partkey").cast("string").alias("accession"))
+    accessions = A.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("accession"), F.col("p_partkey").alias("taxid"))
+    hits = evaluate.with_taxon(rows, accessions, evaluate.lineage(A.taxa(spark, sf), ["species", "subspecies"]), subspecies=True)
     return evaluate.on_target_labels(hits).groupBy("label").agg(F.count("*").alias("n"))
 
 
@@ -359,8 +356,9 @@ def hamming_clusters(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def degenerate_motifs(spark: SparkSession, sf: str) -> DataFrame:
-    frequent = kmers.above_quantile(kmers.document_frequency(A.sequences(spark, sf), K, "doc_id", singletons=False), 0.99)
-    return cluster.consensus(cluster.greedy_motifs(frequent, K, 2), "cluster")
+    counts = kmers.document_frequency(A.sequences(spark, sf), K, "doc_id", singletons=False)
+    parts = cluster.sub_clusters(cluster.greedy_motifs(counts, K), 1.0)
+    return cluster.consensus(parts, "sub")
 
 
 @query()

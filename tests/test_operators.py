@@ -181,6 +181,40 @@ def test_composition_off_target(spark):
     assert got == {("x", "1"): ["2"], ("y", "2"): ["1"]}
 
 
+@pytest.mark.parametrize(("k", "full", "strands"), [(3, True, False), (4, False, True), (31, True, True), (33, True, True)])
+def test_packed_windows_by_counting(spark, monkeypatch, k, full, strands):
+    monkeypatch.setattr(kmers, "LOT", 90)
+    rng = random.Random(k)
+    rows = [(rng.choice(["x", "y", None]), rng.randrange(3), "".join(rng.choices("ACGTacNRé"[: rng.choice([4, 8, 9])], k=rng.choice([0, 2, 3, 30, 70])))) for _ in range(60)] + [("x", 1, None)]
+    df = spark.createDataFrame(rows, "g string, h int, seq string").repartition(3)
+    want = Counter()
+    for g, h, s in rows:
+        s = (s or "") if full else (s or "")[:-1]
+        for i in range(len(s) - k + 1):
+            w = s[i : i + k]
+            want[g, h, w] += 1
+            if strands:
+                want[g, h, "".join(S.COMPLEMENT.get(c, c) for c in reversed(w))] += 1
+    got = kmers.packed(df, k, full, keep=("g", "h"), strands=strands).groupBy("g", "h", kmers.unpacked(k).alias("kmer")).agg(F.sum("n").alias("n"))
+    assert {(r.g, r.h, r.kmer): r.n for r in got.collect()} == want
+
+
+def test_exclusive_kmers_and_document_frequency(spark, monkeypatch):
+    monkeypatch.setattr(kmers, "CHUNK", 20)
+    rng = random.Random(8)
+    rows = [(i, rng.choice(["en", "de", None]), "".join(rng.choices("ACGTN", [9, 9, 9, 9, 1], k=rng.choice([3, 15, 60])))) for i in range(50)]
+    for many in (rows, [*rows, (7, "en", "ACGTACGTAC"), (None, "en", "ACGT"), (None, "en", "ACGT")]):
+        df = spark.createDataFrame(many, "id long, lang string, seq string").repartition(3)
+        sets = {}
+        for i, lang, s in many:
+            sets.setdefault(i, set()).update(s[j : j + 4] for j in range(len(s) - 3))
+        want = Counter(w for x in sets.values() for w in x if set(w) <= set("ACGT"))
+        assert {r.kmer: r.n for r in kmers.document_frequency(df, 4, "id").collect()} == want
+        own = {s[j : j + 4] for _, x, s in many if x == "en" for j in range(len(s) - 3)} - {s[j : j + 4] for _, x, s in many if x != "en" for j in range(len(s) - 3)}
+        assert sorted(map(tuple, kmers.exclusive(df, 4, F.col("lang") == "en").collect())) == sorted((f"marker_{i}", w) for i, w in enumerate(sorted(own)))
+        assert {r.kmer for r in kmers.union(df, 4, True).collect()} == {x for w in set().union(*sets.values()) for x in (w, rc(w) if "N" not in w else "".join(S.COMPLEMENT.get(c, c) for c in reversed(w)))}
+
+
 def off_target_lists(rows, profile):
     """By the definition: every accession with all those of other labels under its profiles."""
     got = {}
@@ -445,21 +479,46 @@ def test_hamming_pairs_by_masks_and_by_pieces(spark, monkeypatch, masks):
     assert cluster.hamming_pairs(df, 7, 0).count() == 0
 
 
-def test_greedy_motifs_by_brute_force(spark):
+@pytest.mark.parametrize(("most", "n", "letters", "k", "size"), [(2, 4, "ACGT", 5, 60), (None, 5, "ACGT", 5, 70), (None, 20, "AC", 6, 50), (None, 20, "ACGT", 6, 9)])
+def test_greedy_motifs_by_brute_force(spark, most, n, letters, k, size):
     rng = random.Random(13)
-    counts = {"".join(rng.choices("ACGT", k=5)): rng.randrange(9) for _ in range(60)}
+    counts = {"".join(rng.choices(letters, k=k)): rng.randrange(4) for _ in range(size)}
+    df = spark.createDataFrame(list(counts.items()), "kmer string, n long")
+    tie = {r.kmer: r.h for r in df.select("kmer", F.xxhash64("kmer").alias("h")).collect()}
     far = lambda a, b: sum(x != y for x, y in zip(a, b, strict=True))
-    near = {a: [b for _, b in sorted((far(a, b), b) for b in counts if b != a and far(a, b) <= 2)[:4]] for a in counts}
-    owner, seeds = {}, []
-    for a in sorted(counts, key=lambda x: (-counts[x], x)):
+    near = {a: sorted((far(a, b), b) for b in counts if b != a and far(a, b) <= (k if most is None else most))[:n] for a in counts}
+    got = {}
+    for r in cluster.nearest(df, k, most, n).orderBy("a", "rank").collect():
+        got.setdefault(r.a, []).append((r.d, r.b))
+    assert got == {a: x for a, x in near.items() if x}
+    key = lambda x: (-counts[x], tie[x], x)
+    owner = {}
+    for a in sorted(counts, key=key):
         if a not in owner:
-            seeds.append(a)
-            for b in near[a]:
-                if (-counts[a], a) < (-counts[b], b):
+            owner[a] = a
+            for _, b in near[a]:
+                if key(a) < key(b):
                     owner.setdefault(b, a)
-    want = {(owner.get(x, x), x) for x in counts}
-    df = spark.createDataFrame(list(counts.items()), "kmer string, n long")
-    assert {(r.cluster, r.kmer) for r in cluster.greedy_motifs(df, 5, 2, 4).collect()} == want
+    motifs = cluster.greedy_motifs(df, k, most, n)
+    assert {(r.cluster, r.kmer) for r in motifs.collect()} == {(v, x) for x, v in owner.items()}
+    # Parts of a seed's k-mers: one merge at a time, the first nearest pair first.
+    want = set()
+    for seed in {*owner.values()}:
+        groups = [[x] for x in sorted(owner) if owner[x] == seed]
+        while len(groups) > 1:
+            d, i, j = min((Fraction(sum(far(x, y) for x in a for y in b), len(a) * len(b)), i, j) for (i, a), (j, b) in itertools.combinations(enumerate(groups), 2))
+            if d > 1:
+                break
+            groups[i] += groups.pop(j)
+        want |= {(seed, min(g), x) for g in groups for x in g}
+    assert {tuple(r) for r in cluster.sub_clusters(motifs, 1.0).collect()} == want
+
+
+def test_nearest_of_little(spark):
+    none = spark.createDataFrame([], "kmer string")
+    assert cluster.nearest(none, 4).count() == 0 and cluster.nearest(spark.createDataFrame([("ACGT",)], "kmer string"), 4).count() == 0
+    two = spark.createDataFrame([("AAAA",), ("TTTT",), (None,)], "kmer string")
+    assert sorted(map(tuple, cluster.nearest(two, 4).collect())) == [("AAAA", "TTTT", 4, 1), ("TTTT", "AAAA", 4, 1)]
 
 
 def test_alignment_on_frames(spark):
