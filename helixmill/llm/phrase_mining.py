@@ -32,6 +32,7 @@ import itertools
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +49,10 @@ SHARDS = 4
 BLOCK = 1 << 22
 #: Reached phrases of one length that tasks are given as arrays (42 bytes each).
 HELD = 4_000_000
-#: Rows of fixed width (five numbers) and bytes of words up to which a join's side is broadcast.
-BROADCAST_ROWS = 1_000_000
+#: Hashes (8 bytes each), rows of fixed width (some numbers) and bytes of words up to which a
+#: join's side is broadcast; larger ones are joined by a shuffle.
+BROADCAST_HASHES = 2_000_000
+BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 1 << 26
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -210,9 +213,16 @@ def _active(sums: DataFrame, reached: DataFrame, step: int, shards: int) -> Data
     return both.filter((begin <= step) & (begin + shards > step)).select(*KEYS, "n")
 
 
-def _small(df: DataFrame) -> DataFrame:
+def _small(df: DataFrame, most: int) -> DataFrame:
     """df, of fixed width, broadcast in a join if it has few rows."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def _among(sums: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of sums whose phrase is among the wanted, and maybe a few others with the hash of
+    one: the caller's threshold leaves those out, as the wanted are all that can pass it."""
+    hashes = wanted.select(F.xxhash64(*KEYS).alias("h")).distinct()
+    return sums.withColumn("h", F.xxhash64(*KEYS)).join(_small(hashes, BROADCAST_HASHES), "h", "left_semi").drop("h")
 
 
 class _Mine:
@@ -238,41 +248,44 @@ class _Mine:
         return self.spark.read.schema(_BLOCKS).parquet(f"{self.root}/blocks")
 
     def words(self, steps: range) -> DataFrame:
-        return self.table("words", _WORDS, steps)
+        """The words' sums, as those of phrases of one word."""
+        more = [F.lit(0).cast("long").alias(f"a{i}") for i in range(2, LONGEST + 1)]
+        return self.table("words", _WORDS, steps).select("lang", "word", F.lit(1).cast("byte").alias("size"), "a1", *more, "n", "step")
 
     def step(self, t: int) -> None:
         """Scans shard t mod S, adds up what may have reached the threshold, and passes it on."""
         shard = self.blocks().filter(F.col("shard") == t % self.shards)
-        newly = []
+        sums, last = [], range(max(0, t - self.shards + 1), t + 1)
         if t < self.shards:
             each = shard.select("lang", F.explode(F.arrays_zip("words", "hashes", "counts")).alias("x"))
-            sums = each.groupBy("lang", F.col("x.words").alias("word"), F.col("x.hashes").alias("a1")).agg(F.sum("x.counts").alias("n"))
-            self.save(sums, "words", t)
-            counted = self.words(range(0, t + 1)).select(F.lit(1).cast("byte").alias("size"), "a1", *[F.lit(0).cast("long").alias(f"a{i}") for i in (2, 3, 4)], "n", "step")
-            newly.append(self.newly(counted, t))
+            words = each.groupBy("lang", F.col("x.words").alias("word"), F.col("x.hashes").alias("a1")).agg(F.sum("x.counts").alias("n"))
+            self.save(words, "words", t)
+            sums.append(self.words(last).drop("lang", "word"))
         if t:
             shipped = self.spark.sparkContext.broadcast(self.known)
             found = shard.select("hashes", "tokens").mapInArrow(_scan(shipped, t, self.shards), "size byte, a1 long, a2 long, a3 long, a4 long")
-            sums = found.groupBy(*KEYS).agg(F.count("*").alias("n"))
+            grams = found.groupBy(*KEYS).agg(F.count("*").alias("n"))
             loose = [n + 1 for n, x in enumerate(self.known, 1) if x is None]
             if loose:
                 reached = self.table("reached", _REACHED, range(0, t))
-                sums = sums.filter(~F.col("size").isin(loose)).unionByName(_active(sums.filter(F.col("size").isin(loose)), reached, t, self.shards))
-            self.save(sums, "grams", t)
+                grams = grams.filter(~F.col("size").isin(loose)).unionByName(_active(grams.filter(F.col("size").isin(loose)), reached, t, self.shards))
+            self.save(grams, "grams", t)
             shipped.destroy()
-            newly.append(self.newly(self.table("grams", _GRAMS, range(max(1, t - self.shards + 1), t + 1)), t))
-        both = newly[0] if len(newly) == 1 else newly[0].unionByName(newly[1])
-        self.save(both, "reached", t)
+            sums.append(self.table("grams", _GRAMS, range(max(1, last.start), t + 1)))
+        many = [x.filter((F.col("step") == t) & (F.col("n") >= -(-self.least // self.shards))).select(*KEYS) for x in sums]
+        self.save(reduce(DataFrame.unionByName, many), "often", t)
+        self.save(self.newly(sums, last), "reached", t)
         self.learn(t)
 
-    def newly(self, counted: DataFrame, t: int) -> DataFrame:
-        """The phrases that reach the threshold at step t. Those counted at t were all of their
-        cycle so far within the last S steps."""
-        recent = counted.filter(F.col("step") > t - self.shards)
-        often = _small(recent.filter(F.col("n") >= -(-self.least // self.shards)).select(*KEYS).distinct())
+    def newly(self, sums: list[DataFrame], last: range) -> DataFrame:
+        """The phrases that reach the threshold at the last step. What was counted there had all
+        of its cycle so far within the last S steps."""
+        t = last.stop - 1
+        often = self.table("often", _REACHED, last)
+        recent = reduce(DataFrame.unionByName, [_among(x, often) for x in sums])
         now = F.coalesce(F.sum(F.when(F.col("step") == t, F.col("n"))), F.lit(0))
-        sums = recent.join(often, list(KEYS), "left_semi").groupBy(*KEYS).agg(F.sum("n").alias("n"), now.alias("now"))
-        return sums.filter(f"n >= {self.least} AND now > 0 AND n - now < {self.least}").select(*KEYS)
+        both = recent.groupBy(*KEYS).agg(F.sum("n").alias("n"), now.alias("now"))
+        return both.filter(f"n >= {self.least} AND now > 0 AND n - now < {self.least}").select(*KEYS)
 
     def learn(self, t: int) -> None:
         new = self.table("reached", _REACHED, range(t, t + 1))
@@ -311,15 +324,15 @@ class _Mine:
             discarded(self.spark, self.root)
             self.reset()
         reached = self.table("reached", _REACHED, range(t)).select(*KEYS)
-        words = self.words(range(self.shards)).join(_small(reached.filter("size = 1").select("a1")), "a1", "left_semi")
-        words = words.groupBy("lang", "word", "a1").agg(F.sum("n").alias("n"))
-        grams = self.table("grams", _GRAMS, range(1, t)).join(_small(reached.filter("size > 1")), list(KEYS), "left_semi")
-        sums = grams.groupBy(*KEYS).agg(F.sum("n").alias("n"))
+        words = _among(self.words(range(self.shards)), reached.filter("size = 1"))
+        words = words.groupBy("lang", "word", "a1").agg(F.sum("n").alias("n")).filter(F.col("n") >= self.least)
+        grams = _among(self.table("grams", _GRAMS, range(1, t)), reached.filter("size > 1"))
+        sums = grams.groupBy(*KEYS).agg(F.sum("n").alias("n")).filter(F.col("n") >= self.least)
         words.write.parquet(f"{self.root}/all-words")
         sums.write.parquet(f"{self.root}/all-grams")
         self.blocks().groupBy("lang").agg(F.sum("total").alias("n")).write.parquet(f"{self.root}/totals")
         # Everything else is done with; what follows reads these three.
-        discarded(self.spark, *[f"{self.root}/{x}" for x in ("blocks", "words", "grams", "reached")])
+        discarded(self.spark, *[f"{self.root}/{x}" for x in ("blocks", "words", "grams", "often", "reached")])
         read = lambda name, schema: self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
         return (
             read("all-words", "lang string, word string, a1 long, n long"),
@@ -337,7 +350,7 @@ def collocations(
     words, grams, totals = _Mine(docs.sparkSession, least, shards, held).run(docs, lang, text)
     key = F.slice(F.array("a1", "a2", "a3", "a4"), F.lit(1), F.col("size").cast("int"))
     long = grams.select(key.alias("key"), F.col("size").cast("int").alias("size"), F.col("n").alias("a"))
-    counts = _small(long.select("key", "a").unionByName(words.select(F.array("a1").alias("key"), F.col("n").alias("a"))))
+    counts = _small(long.select("key", "a").unionByName(words.select(F.array("a1").alias("key"), F.col("n").alias("a"))), BROADCAST_ROWS)
     cuts = long.select("key", "size", "a", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
     cuts = cuts.select("key", "a", "k", F.slice("key", F.lit(1), F.col("k")).alias("left"), F.slice("key", F.col("k") + 1, F.col("size") - F.col("k")).alias("right"))
     cuts = cuts.join(counts.select(F.col("key").alias("left"), F.col("a").alias("l")), "left").join(counts.select(F.col("key").alias("right"), F.col("a").alias("r")), "right")
@@ -346,7 +359,7 @@ def collocations(
     # All parts of two and more words of the longer phrases, with the count of the most frequent.
     spans = F.flatten(F.transform(F.sequence(F.lit(2), F.col("size") - 1), lambda n: F.transform(F.sequence(F.lit(1), F.col("size") - n + 1), lambda i: F.slice("key", i, n))))
     inside = long.filter("size > 2").select("a", F.explode(spans).alias("key")).groupBy("key").agg(F.max("a").alias("longer"))
-    free = lowest.join(_small(inside), "key", "left").filter(f"longer IS NULL OR cast(longer AS decimal(19,0)) * 100 < cast(a AS decimal(19,0)) * {covered}")
+    free = lowest.join(_small(inside, BROADCAST_ROWS), "key", "left").filter(f"longer IS NULL OR cast(longer AS decimal(19,0)) * 100 < cast(a AS decimal(19,0)) * {covered}")
     size = words.agg(F.coalesce(F.sum(F.octet_length("word") + 48), F.lit(0)).alias("n")).first()["n"]
     for i in range(LONGEST):
         names = words.select(F.col("a1").alias(f"w{i}"), F.col("word").alias(f"word{i}"), *([F.col("lang")] if i == 0 else []))
