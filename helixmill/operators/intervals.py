@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import product
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,37 +71,78 @@ def complement(intervals: DataFrame, sizes: DataFrame) -> DataFrame:
     return inner.unionByName(empty).filter("start < end")
 
 
+_UNION = np.full((256, 256), ord("N"), np.uint8)
+np.fill_diagonal(_UNION, np.arange(256))
+for _a, _b in product(S.MASK, S.MASK):
+    _UNION[ord(_a), ord(_b)] = ord(S.CODE[S.MASK[_a] | S.MASK[_b]])
+
+
+class _Fold:
+    """The current interval of a fold, its sequence growing in place."""
+
+    def __init__(self, start: int, end: int, name: str | None):
+        self.start, self.end, self.missing = start, end, name is None
+        self.letters = bytearray((name or "").encode("ascii", "replace"))
+
+    def extend(self, start: int, end: int, name: str | None) -> None:
+        at, more = start - self.start, (name or "").encode("ascii", "replace")
+        both = max(0, min(len(self.letters) - at, len(more)))
+        if both:
+            own = np.frombuffer(self.letters, np.uint8)[at : at + both].copy()
+            self.letters[at : at + both] = _UNION[own, np.frombuffer(more, np.uint8)[:both]].tobytes()
+        self.letters += more[both:]
+        self.end, self.missing = end, self.missing and name is None
+
+    def row(self) -> tuple[int, int, str | None]:
+        return self.start, self.end, None if self.missing else self.letters.decode("ascii")
+
+
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Folds islands that follow each other in order; one current interval is all it holds."""
+    key, cur, kind = None, None, None
+    for batch in batches:
+        kind = batch.schema.field(0).type
+        out: list[tuple] = []
+        for chrom, island, start, end, name in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if cur is None or key != (chrom, island):
+                if cur is not None:
+                    out.append((key[0], *cur.row()))
+                key, cur = (chrom, island), _Fold(start, end, name)
+            elif (start, end) != (cur.start, cur.end):
+                if start < cur.end < end:
+                    cur.extend(start, end, name)
+                else:
+                    out.append((chrom, *cur.row()))
+                    cur = _Fold(start, end, name)
+        yield _intervals(out, kind)
+    if cur is not None:
+        yield _intervals([(key[0], *cur.row())], kind)
+
+
+def _intervals(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * 4
+    kinds = [kind, pa.int64(), pa.int64(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["chrom", "start", "end", "name"])
+
+
 def collapse(intervals: DataFrame, by: str = "chrom") -> DataFrame:
     """(chrom, start, end, name) after folding each chromosome's intervals in order of start.
 
     An interval equal to the current one is skipped; one that starts inside it and ends later
     extends it, its sequence merged base by base at its offset; any other one closes it. What
     an interval does depends on where the current one began, so this is a fold over the
-    ordered intervals, done by Spark's aggregate over an array per island: islands of
-    overlapping intervals can be folded apart, as a gap always closes the current one.
+    ordered intervals. Islands of overlapping intervals are folded apart, as a gap always closes
+    the current one: they are dealt out and sorted by Spark, and streamed through the fold,
+    which holds one current interval however many an island has, in time that grows with its rows.
+
+    Intervals without start or end are left out; a missing sequence is empty where it is merged;
+    letters that are no code stay where both have the same, else they become N.
     """
-    island = islands(intervals.select(by, "start", "end", "name"), (by,), ("start", "end", "name"), touching=False)
-    rows = F.sort_array(F.collect_list(F.struct("start", "end", "name")))
-    grouped = island.groupBy(by, "__island").agg(rows.alias("rows"))
-
-    kind = "struct<start:bigint,end:bigint,name:string>"
-    row = lambda a, b, c: F.struct(a.cast("long").alias("start"), b.cast("long").alias("end"), c.alias("name"))
-    state = lambda done, cur: F.struct(done.alias("done"), cur.alias("cur"))
-    none = F.array().cast(f"array<{kind}>")
-
-    def step(acc, r):
-        cur = acc["cur"]
-        same = (r["start"] == cur["start"]) & (r["end"] == cur["end"])
-        extends = (cur["end"] > r["start"]) & (cur["end"] < r["end"])
-        longer = row(cur["start"], r["end"], S.merge_at(cur["name"], r["name"], (r["start"] - cur["start"]).cast("int")))
-        again = row(r["start"], r["end"], r["name"])
-        closed = state(F.array_append(acc["done"], cur), again)
-        return F.when(same, acc).when(extends, state(acc["done"], longer)).otherwise(closed)
-
-    first = F.col("rows")[0]
-    start = state(none, row(first["start"], first["end"], first["name"]))
-    folded = F.aggregate(F.slice("rows", 2, F.size("rows")), start, step, lambda a: F.array_append(a["done"], a["cur"]))
-    return grouped.select(by, F.explode(folded).alias("r")).select(by, "r.start", "r.end", "r.name")
+    rows = intervals.filter("start IS NOT NULL AND end IS NOT NULL").select(by, F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.col("name").cast("string").alias("name"))
+    island = islands(rows, (by,), ("start", "end", "name"), touching=False).select(by, "__island", "start", "end", "name")
+    ordered = island.repartition(by, "__island").sortWithinPartitions(by, "__island", "start", "end", "name")
+    kind = island.schema[by].dataType.simpleString()
+    return ordered.mapInArrow(_folded, f"chrom {kind}, start long, end long, name string").withColumnRenamed("chrom", by)
 
 
 def sliced(intervals: DataFrame, sequences: DataFrame) -> DataFrame:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import product
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,20 +58,113 @@ def as_regions(hits: DataFrame, k: int) -> DataFrame:
     return merge(hits.select("chrom", "start", (F.col("start") + k).alias("end")))
 
 
+class Motifs:
+    """Many motifs looked up in one text at once.
+
+    The text's places are sorted by their four letters, once for all motifs; a motif looks where
+    its least ambiguous four letters can be and checks its other letters there. Letters that
+    are no code stand for themselves, and only plain upper-case bases match a code.
+    """
+
+    Q = 4
+
+    def __init__(self, motifs: list[str]):
+        self.entries = []
+        for number, motif in enumerate(motifs):
+            letters = [np.array([ord(b) for b in S.IUPAC.get(c, c)], np.uint8) for c in motif.upper()]
+            wide = [(int(np.prod([len(x) for x in letters[i : i + self.Q]])), i) for i in range(len(letters) - self.Q + 1) if all(c in S.IUPAC for c in motif.upper()[i : i + self.Q])]
+            at, words = None, np.zeros(0, np.int64)
+            if wide:
+                _, at = min(wide)
+                words = np.array([sum(_BASE[x] << 2 * (self.Q - 1 - i) for i, x in enumerate(w)) for w in product(*letters[at : at + self.Q])])
+            self.entries.append((number, letters, at, words))
+
+    def find(self, text: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(motif, its places), for every motif that occurs."""
+        code = _BASE[text]
+        n, q = len(text), self.Q
+        word, plain = np.zeros(max(0, n - q + 1), np.int64), np.ones(max(0, n - q + 1), bool)
+        for i in range(q):
+            part = code[i : i + len(word)]
+            word = word << 2 | part & 3
+            plain &= part < 4
+        places = np.flatnonzero(plain)
+        places = places[np.argsort(word[places], kind="stable")]
+        bounds = np.searchsorted(word[places], np.arange(4**q + 1))
+        for number, letters, at, words in self.entries:
+            k = len(letters)
+            if not k or k > n:
+                continue
+            here = np.arange(n - k + 1) if at is None else np.concatenate([places[bounds[w] : bounds[w + 1]] for w in words]) - at
+            here = here[(here >= 0) & (here <= n - k)]
+            for i, bases in enumerate(letters):
+                if at is None or not at <= i < at + q:
+                    here = here[np.isin(text[here + i], bases) if len(bases) > 1 else text[here + i] == bases[0]]
+            if len(here):
+                yield number, np.sort(here)
+
+
+_BASE = np.full(256, 4, np.int64)
+_BASE[[*b"ACGT"]] = range(4)
+#: Letters of the pieces that are searched together, about.
+LOT = 1 << 20
+
+
+def _motif_places(motifs: list[str], records: DataFrame, record: str, both_strands: bool) -> DataFrame:
+    """(record, number, start): each motif's places; minus strands have numbers behind the motifs."""
+    every = [*motifs, *[_complement(m) for m in motifs]] if both_strands else list(motifs)
+    longest = max((len(m) for m in motifs), default=1)
+    size = CHUNK
+    pieces = records.select(record, F.length("seq").cast("long").alias("__length"), F.posexplode(S.chunks(F.col("seq"), size, max(0, longest - 1))).alias("__at", "__piece"))
+    sizes = np.array([len(m) for m in every], np.int64)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Motifs(every)
+        for batch in batches:
+            texts = [(x.as_py() or "").encode("ascii", "replace") for x in batch.column(3)]
+            lengths, at = batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy().astype(np.int64)
+            low = 0
+            while low < len(texts):
+                high, letters = low, 0
+                while high < len(texts) and (high == low or letters + len(texts[high]) < LOT):
+                    letters += len(texts[high]) + 1
+                    high += 1
+                begin = np.cumsum([0] + [len(t) + 1 for t in texts[low : high - 1]])
+                for number, places in index.find(np.frombuffer(b"\0".join(texts[low:high]), np.uint8)):
+                    row = np.searchsorted(begin, places, "right") - 1
+                    inside = places - begin[row]
+                    own = inside < size  # what begins in the overlap is the next piece's, if there is one
+                    own |= at[low + row] == np.maximum(lengths[low + row] - longest, 0) // size
+                    row, inside = low + row[own], inside[own]
+                    start = at[row] * size + inside
+                    if number >= len(motifs):
+                        start = lengths[row] - sizes[number] - start
+                    if len(row):
+                        numbers = pa.array(np.full(len(row), number, np.int32))
+                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), numbers, pa.array(start)], [record, "number", "start"])
+                low = high
+
+    kind = records.schema[record].dataType.simpleString()
+    return pieces.mapInArrow(found, f"`{record}` {kind}, number int, start long")
+
+
+def _complement(motif: str) -> str:
+    return "".join(S.COMPLEMENT.get(c, c) for c in reversed(motif.upper()))
+
+
 def motif_hits(motifs: list[str], records: DataFrame, record: str, both_strands: bool = False) -> DataFrame:
-    """(motif, record, start): every motif in every record; one scan for all motifs."""
-    one = lambda seq, m, s: F.transform(S.motif_starts(seq, m), lambda i: F.struct(F.lit(m).alias("motif"), i.cast("long").alias("start"), F.lit(s).alias("strand")))
-    parts = [one(F.col("seq"), m, "+") for m in motifs]
-    if both_strands:
-        parts += [one(S.reverse_complement(F.col("seq")), m, "-") for m in motifs]
-    hits = records.select(record, F.explode(F.concat(*parts)).alias("h"))
-    return hits.select("h.motif", record, "h.start", *(["h.strand"] if both_strands else []))
+    """(motif, record, start): every place of every motif in every record, from 0 (on the minus
+    strand counted along it); all motifs are looked up in one pass over pieces of the records."""
+    hits = _motif_places(motifs, records, record, both_strands)
+    names = F.array(*[F.lit(m) for m in motifs]) if motifs else F.array().cast("array<string>")
+    motif = F.get(names, F.col("number") % F.lit(max(1, len(motifs))))
+    strand = [F.when(F.col("number") < len(motifs), "+").otherwise("-").alias("strand")] if both_strands else []
+    return hits.select(motif.alias("motif"), record, "start", *strand)
 
 
 def motif_scores(motifs: list[str], records: DataFrame, record: str, least: int = 0) -> DataFrame:
     """(motif, n_records, score): completeness of each motif over all records, 0 to 1000."""
-    flags = F.array_compact(F.array(*[F.when(F.col("seq").rlike(S.iupac_pattern(m)), F.lit(m)) for m in motifs]))
-    present = records.select(record, F.explode(flags).alias("motif")).distinct().groupBy("motif").agg(F.count("*").alias("n_records"))
+    present = motif_hits(motifs, records, record).select("motif", record).distinct().groupBy("motif").agg(F.count("*").alias("n_records"))
     total = records.select(record).distinct().agg(F.count("*").alias("__total"))
     score = S.set_score(F.col("n_records"), F.col("__total"))
     return present.crossJoin(F.broadcast(total)).select("motif", "n_records", score.alias("score")).filter(F.col("score") >= least)

@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 from collections import Counter
 from fractions import Fraction
 
@@ -121,6 +122,51 @@ def test_collapse_is_the_fold(spark):
         assert sorted((r.start, r.end, r.name) for r in got if r.chrom == str(i)) == sorted(want)
 
 
+def test_collapse_of_a_long_island(spark):
+    """One island of many intervals, nulls and odd letters; a fold in one pass."""
+    n = 60_000
+    rows = spark.range(n).select(F.lit(None).cast("int").alias("chrom"), (F.col("id") * 2).alias("start"), (F.col("id") * 2 + 3).alias("end"), F.lit("ACR").alias("name"))
+    got = intervals.collapse(rows).collect()
+    assert len(got) == 1 and (got[0].chrom, got[0].start, got[0].end, len(got[0].name)) == (None, 0, 2 * n + 1, 2 * n + 1)
+    assert got[0].name[:5] == "ACRCR" and got[0].name[-3:] == "RCR"
+    odd = spark.createDataFrame([("c", 0, 4, "acgt"), ("c", 2, 6, "gxAA"), ("c", 9, 9, None), ("c", 10, 12, None), ("c", None, 5, "A"), ("c", 11, 14, "ACG")], "chrom string, start long, end long, name string")
+    assert sorted(map(tuple, intervals.collapse(odd).collect())) == [("c", 0, 6, "acgNAA"), ("c", 9, 9, None), ("c", 10, 14, "ACG")]
+    assert intervals.collapse(odd.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [7, 1 << 15])
+def test_motifs_by_brute_force(spark, monkeypatch, chunk):
+    monkeypatch.setattr(mapping, "CHUNK", chunk)
+    monkeypatch.setattr(mapping, "LOT", 60)
+    rng = random.Random(3)
+    motifs = ["ACRT", "GGNCC", "A", "NN", "ACGTN", "TTYAGRNNA", "XAC", "cwsa", "", "NNNNNNNNNNNNNNNNNNNNNN", "AC-GT"]
+    rows = [(i, "".join(rng.choices("ACGTNacX-é", [9, 9, 9, 9, 1, 1, 1, 1, 1, 1], k=rng.choice([0, 1, 4, 30, 90])))) for i in range(40)] + [(99, None), (3, "ACGTACGTA")]
+    df = spark.createDataFrame(rows, "id int, seq string").withColumns({"number": F.lit(1), "motif": F.lit("x")}).repartition(3)
+    fits = lambda m, w: all(b in S.IUPAC.get(c, c) for c, b in zip(m.upper(), w, strict=True))
+    comp = lambda s: "".join(S.COMPLEMENT.get(c, S.COMPLEMENT.get(c.upper(), c.upper()).lower() if c.islower() else c) for c in reversed(s))
+    want = Counter()
+    for i, seq in rows:
+        for strand, s in (("+", seq or ""), ("-", comp(seq or ""))):
+            want.update((m, i, at, strand) for m in motifs if m for at in range(len(s) - len(m) + 1) if fits(m, s[at : at + len(m)]))
+    got = Counter((r.motif, r.id, r.start, r.strand) for r in mapping.motif_hits(motifs, df, "id", True).collect())
+    assert got == want
+    plus = {(m, i) for m, i, _, s in want if s == "+"}
+    scores = {r.motif: r.n_records for r in mapping.motif_scores(motifs, df, "id").collect()}
+    assert scores == Counter(m for m, _ in plus)
+
+
+def test_a_thousand_motifs(spark):
+    """Many motifs on a long record, found by the places of four letters."""
+    rng = random.Random(1)
+    motifs = sorted({"".join(rng.choices("ACGTRYN", [5, 5, 5, 5, 1, 1, 1], k=12)) for _ in range(1000)})
+    record = spark.range(1).select("id", F.lit("".join(rng.choices("ACGT", k=200_000))).alias("seq"))
+    seq = record.first().seq
+    hits = mapping.motif_hits(motifs, record, "id").collect()
+    found = Counter(r.motif for r in hits)
+    for m in motifs[::97]:
+        assert found[m] == len(re.findall(f"(?=({S.iupac_pattern(m)}))", seq))
+
+
 def test_mapping_both_strands(spark):
     refs = spark.createDataFrame([("r", "AACCTTGGTT")], "chrom string, seq string")
     table = spark.createDataFrame([("1", "AACC"), ("2", "AACC")], "id string, kmer string")
