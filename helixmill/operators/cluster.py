@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import itertools
 import math
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -39,18 +41,18 @@ def pairs_at(kmers: DataFrame, k: int, radius: int, other: DataFrame | None = No
     whatever the table's size, and a table costs its rows times the masks and its pairs.
     """
 
-    def lists(df: DataFrame, name: str) -> DataFrame:
-        forms = df.filter("kmer IS NOT NULL").select("kmer").distinct().select("kmer", F.explode(masked(k, radius)).alias("m"))
-        return forms.groupBy(F.col("m.form").alias("form")).agg(F.sort_array(F.collect_list(F.struct("kmer", "m.own"))).alias(name))
+    def forms(df: DataFrame) -> DataFrame:
+        rows = df.filter("kmer IS NOT NULL").select("kmer").distinct().select("kmer", F.explode(masked(k, radius)).alias("m"))
+        return rows.select(F.col("m.form").alias("form"), F.struct("kmer", "m.own").alias("x"))
 
-    pair = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    lists = forms(kmers if other is None else other).groupBy("form").agg(F.collect_list("x").alias("ys"))
     if other is None:
-        each = F.transform("xs", lambda x, i: F.transform(F.slice("xs", i + 2, F.size("xs")), lambda y: pair(x, y)))
-        met = lists(kmers, "xs").filter(F.size("xs") > 1).select(F.explode(F.flatten(each)).alias("p"))
+        met = lists.filter(F.size("ys") > 1).select(F.explode("ys").alias("x"), "ys")
     else:
-        each = F.transform("xs", lambda x: F.transform("ys", lambda y: pair(x, y)))
-        met = lists(kmers, "xs").join(lists(other, "ys"), "form").select(F.explode(F.flatten(each)).alias("p"))
-    met = met.select("p.x", "p.y")
+        met = forms(kmers).join(lists, "form")
+    met = met.select("x", F.explode("ys").alias("y"))
+    if other is None:
+        met = met.filter("x.kmer < y.kmer")
     apart = [F.substring("x.own", i + 1, 1) != F.substring("y.own", i + 1, 1) for i in range(radius)]
     return met.filter(reduce(lambda a, b: a & b, apart, F.lit(True))).select(F.col("x.kmer").alias("a"), F.col("y.kmer").alias("b"), F.lit(radius).alias("d"))
 
@@ -206,22 +208,33 @@ def hamming_clusters(kmers: DataFrame, k: int, most: int) -> DataFrame:
         both = mutual.join(of("i"), "i").join(of("j"), "j")
         whole = both.select(F.col("i").alias("id"), (F.col("si") + F.col("sj")).alias("size"), F.zip_with("ci", "cj", lambda x, y: x + y).alias("counts"))
         moved = mutual.select(F.explode(F.array(F.struct(F.col("i").alias("id"), F.col("i").alias("to")), F.struct(F.col("j").alias("id"), F.col("i").alias("to")))).alias("m")).select("m.*")
-        old_clusters, old_edges = clusters, edges
-        clusters = written(clusters.join(moved, "id", "left_anti").unionByName(whole))
         to = lambda x: moved.select(F.col("id").alias(x), F.col("to").alias(f"t{x}"))  # noqa: B023, E731
         drawn = edges.join(to("i"), "i", "left").join(to("j"), "j", "left").select(F.coalesce("ti", "i").alias("x"), F.coalesce("tj", "j").alias("y"))
-        drawn = drawn.filter("x <> y").select(F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")).distinct()
+        drawn = written(drawn.filter("x <> y").select(F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")).distinct())
+        # Only clusters with a pair go on.
+        ends = drawn.select(F.explode(F.array("i", "j")).alias("id")).distinct()
+        old_clusters, old_edges = clusters, edges
+        clusters = written(clusters.join(moved, "id", "left_anti").unionByName(whole).join(ends, "id", "left_semi"))
         equal = F.aggregate(F.zip_with("ci", "cj", lambda x, y: x * y), F.lit(0).cast("long"), lambda s, x: s + x)
         members = F.col("si") * F.col("sj")
         mean = (k * members - equal).cast("double") / members.cast("double")
         edges = written(drawn.join(of("i"), "i").join(of("j"), "j").select("i", "j", mean.alias("d")).filter(F.col("d") <= most))
-        released(old_clusters, old_edges)
+        released(old_clusters, old_edges, drawn)
     released(mutual, clusters, edges)
     if not rounds:
         return names.select(F.col("kmer").alias("cluster"), "kmer")
-    linked = components(reduce(DataFrame.unionByName, rounds), "i", "j").withColumnRenamed("node", "kmer")
+    # Every merged name points to the one that took it; pointers double until all are at a root.
+    roots = written(reduce(DataFrame.unionByName, rounds).select(F.col("j").alias("kmer"), F.col("i").alias("root")))
     released(*rounds)
-    return names.join(linked, "kmer", "left").select(F.coalesce("component", "kmer").alias("cluster"), "kmer")
+    while True:
+        watch = Observation()
+        ahead = roots.select(F.col("kmer").alias("root"), F.col("root").alias("next"))
+        moved = roots.join(ahead, "root", "left").select("kmer", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
+        old, roots = roots, written(moved.observe(watch, F.count_if("moved").alias("n")).drop("moved"))
+        released(old)
+        if not watch.get["n"]:
+            break
+    return names.join(roots, "kmer", "left").select(F.coalesce("root", "kmer").alias("cluster"), "kmer")
 
 
 def nearest(kmers: DataFrame, k: int, most: int | None = None, n: int = 20) -> DataFrame:
@@ -275,9 +288,10 @@ def greedy_motifs(counts: DataFrame, k: int, most: int | None = None, n: int = 2
         told = known.groupBy("b").agg(F.bool_or(F.coalesce("sa", F.lit(False))).alias("taken"), F.bool_or(F.col("sa").isNull()).alias("open"))
         joined = state.join(told.withColumnRenamed("b", "kmer"), "kmer", "left")
         decided = F.when(F.col("seed").isNotNull(), F.col("seed")).when(F.coalesce("taken", F.lit(False)), False).when(~F.coalesce("open", F.lit(False)), True)
-        old, state = state, written(joined.select("kmer", decided.alias("seed")))
+        watch = Observation()
+        old, state = state, written(joined.select("kmer", decided.alias("seed")).observe(watch, F.count(F.when(F.col("seed").isNull(), 1)).alias("open")))
         released(old)
-        if state.filter(F.col("seed").isNull()).isEmpty():
+        if not watch.get["open"]:
             break
     seeds = state.filter("seed").select(F.col("kmer").alias("a"))
     owner = edges.join(seeds, "a").groupBy("b").agg(F.min_by("a", "oa").alias("cluster"))
@@ -289,17 +303,37 @@ def sub_clusters(clusters: DataFrame, cut: float = 1.0) -> DataFrame:
     """(cluster, sub, kmer): each seed's k-mers by average linkage on Hamming distance, cut at
     `cut` letters; sub is the least k-mer of its part.
 
-    A seed has at most its n neighbours, so a group is small; motifs are made of the parts.
+    A seed has at most its n neighbours, so a group is small. Groups lie behind each other in
+    sorted partitions and are split as they stream by.
     """
 
-    def split(part: pd.DataFrame) -> pd.DataFrame:
-        names = sorted(part["kmer"])
+    def split(seed: str | None, names: list[str]) -> list[tuple]:
         letters = np.array([list(x) for x in names])
-        label = average_linkage((letters[:, None] != letters[None]).sum(axis=2), cut)
-        first = {x: names[i] for i, x in reversed(list(enumerate(label)))}
-        return pd.DataFrame({"cluster": part["cluster"].iloc[0], "sub": [first[x] for x in label], "kmer": names})
-
-    return clusters.groupBy("cluster").applyInPandas(split, "cluster string, sub string, kmer string")
+        label = average_linkage((letters[:, None] != letters[None]).sum(axis=2), cut).tolist() if len(names) > 1 else [0]
+        first = {}
+        return [(seed, first.setdefault(x, name), name) for x, name in zip(label, names, strict=True)]
+
+    def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seed, names = None, []
+        for batch in batches:
+            out = []
+            for now, name in zip(batch["cluster"].to_pylist(), batch["kmer"].to_pylist(), strict=True):
+                if names and now != seed:
+                    out += split(seed, names)
+                    names = []
+                seed = now
+                names.append(name)
+            yield _parts(out)
+        if names:
+            yield _parts(split(seed, names))
+
+    rows = clusters.select("cluster", "kmer").repartition("cluster").sortWithinPartitions("cluster", "kmer")
+    return rows.mapInArrow(streamed, "cluster string, sub string, kmer string")
+
+
+def _parts(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * 3
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["cluster", "sub", "kmer"])
 
 
 #: So many ranks make one task's lot in joined_records.

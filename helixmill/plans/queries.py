@@ -351,7 +351,7 @@ def archive_add(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def hamming_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    return cluster.hamming_clusters(kmers.exploded(A.sequences(spark, sf), 10).distinct(), 10, 1)
+    return cluster.hamming_clusters(kmers.exploded(A.sequences(spark, sf), 9).distinct(), 9, 1)
 
 
 @query()
