@@ -371,61 +371,134 @@ def sketch(records: DataFrame, k: int, record: str, scaled: int = 1) -> DataFram
     return hashed.groupBy(record, "hash").agg(F.count("*").alias("abund"))
 
 
-def similarity(sketches: DataFrame, record: str, abundance: bool = False) -> DataFrame:
-    """(a, b, sim), a <= b: Jaccard of the hash sets, or angular similarity of abundances.
+#: Records in one block of a Gram product's rows and columns.
+BLOCK = 256
+#: Keys whose values are multiplied at once, and blocks of sums that a task holds at a time.
+KEYS, HELD = 1024, 256
+#: Clusters (some numbers each) up to this number are broadcast to their pairs.
+BROADCAST_RECORDS = 100_000
+
+
+def gram(entries: DataFrame, n: int, every: bool = False, block: int = BLOCK) -> DataFrame:
+    """(i, j, dot), i <= j: the scalar products of a sparse matrix's rows, zeros left out unless
+    `every`; entries are (i, key, x), i from 0 to n-1.
 
-    Pairs come from shared hashes only. Hashes of many records are the cost here: with N
-    records (a matrix of N x N is the result) a hash in all of them gives N*N/2 rows.
+    Entries meet by key. A task multiplies the values of many keys at once, block of rows by
+    block of rows, and adds the products to dense blocks; those of all tasks are summed by
+    their place. So what is shuffled are the entries, once, and blocks of sums, not a row for
+    every pair and key, and a key that all rows have is n values in one product.
     """
-    left = sketches.select(F.col(record).alias("a"), "hash", F.col("abund").alias("x"))
-    right = sketches.select(F.col(record).alias("b"), "hash", F.col("abund").alias("y"))
-    both = left.join(right, "hash").filter("a <= b").groupBy("a", "b").agg(F.count("*").alias("n"), F.sum(F.col("x") * F.col("y")).alias("xy"))
+    dealt = entries.select(F.col("i").cast("long").alias("i"), "key", F.col("x").cast("double").alias("x")).repartition("key").sortWithinPartitions("key")
+
+    def multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        rows, columns, values, last, used = [], [], [], None, 0
+
+        def add() -> None:
+            i, c, x = np.concatenate(rows), np.concatenate(columns), np.concatenate(values)
+            order = np.argsort(i // block, kind="stable")
+            i, c, x = i[order], c[order], x[order]
+            blocks, first = np.unique(i // block, return_index=True)
+            parts = []
+            for p, low, high in zip(blocks.tolist(), first, [*first[1:], len(i)], strict=True):
+                dense = np.zeros((block, used))
+                np.add.at(dense, (i[low:high] - p * block, c[low:high]), x[low:high])
+                parts.append((p, dense))
+            for k, (p, left) in enumerate(parts):
+                for q, right in parts[k:]:
+                    product = left @ right.T
+                    sums[p, q] = sums[p, q] + product if (p, q) in sums else product
+
+        for batch in batches:
+            i, x = batch["i"].to_numpy(), batch["x"].to_numpy()
+            codes = batch["key"].dictionary_encode()
+            # Sorted, so a new key begins where the code changes.
+            code = codes.indices.to_numpy(zero_copy_only=False)
+            begin = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else np.zeros(0, np.int64)
+            for low, high in zip(begin, [*begin[1:], len(code)], strict=True):
+                key = codes.dictionary[int(code[low])].as_py()
+                if key != last or not used:
+                    if used == KEYS:
+                        add()
+                        rows, columns, values, used = [], [], [], 0
+                        if len(sums) >= HELD:
+                            yield _blocks(sums)
+                            sums = {}
+                    last, used = key, used + 1
+                rows.append(i[low:high])
+                columns.append(np.full(high - low, used - 1))
+                values.append(x[low:high])
+        if used:
+            add()
+        if sums:
+            yield _blocks(sums)
+
+    products = dealt.mapInArrow(multiplied, "p int, q int, cells binary")
+    if every:
+        last = max(0, (n - 1) // block)
+        places = entries.sparkSession.range(last + 1).select(F.col("id").cast("int").alias("p"), F.explode(F.sequence(F.col("id").cast("int"), F.lit(last))).alias("q"))
+        products = products.unionByName(places.withColumn("cells", F.lit(None).cast("binary")))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, total = None, None
+        for batch in batches:
+            for p, q, cells in zip(batch["p"].to_pylist(), batch["q"].to_pylist(), batch["cells"], strict=True):
+                if place != (p, q):
+                    if place:
+                        yield _cells(place, total, n, every, block)
+                    place, total = (p, q), np.zeros((block, block))
+                if cells.is_valid:
+                    total = total + np.frombuffer(cells.as_buffer(), np.float64).reshape(block, block)
+        if place:
+            yield _cells(place, total, n, every, block)
+
+    return products.repartition("p", "q").sortWithinPartitions("p", "q").mapInArrow(summed, "i long, j long, dot double")
+
+
+def _blocks(sums: dict[tuple[int, int], np.ndarray]) -> pa.RecordBatch:
+    p, q = (pa.array([k[x] for k in sums], pa.int32()) for x in (0, 1))
+    return pa.RecordBatch.from_arrays([p, q, pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["p", "q", "cells"])
+
+
+def _cells(place: tuple[int, int], total: np.ndarray, n: int, every: bool, block: int) -> pa.RecordBatch:
+    x, y = (np.ones_like(total, bool) if every else total != 0).nonzero()
+    i, j, dot = x + place[0] * block, y + place[1] * block, total[x, y]
+    keep = (i <= j) & (j < n)
+    return pa.RecordBatch.from_arrays([pa.array(i[keep]), pa.array(j[keep]), pa.array(dot[keep])], ["i", "j", "dot"])
+
+
+def similarity(sketches: DataFrame, record: str, abundance: bool = False) -> DataFrame:
+    """(a, b, sim), a <= b: Jaccard of the hash sets, or angular similarity of abundances, of the
+    records that share a hash; from a blocked Gram product of the sketches (see gram)."""
     sizes = sketches.groupBy(record).agg(F.count("*").alias("size"), F.sum(F.col("abund") * F.col("abund")).alias("norm"))
-    of = lambda side: sizes.select(F.col(record).alias(side), F.col("size").alias(f"s_{side}"), F.col("norm").alias(f"n_{side}"))
-    joined = both.join(of("a"), "a").join(of("b"), "b")
-    jaccard = F.col("n") / (F.col("s_a") + F.col("s_b") - F.col("n"))
-    cosine = F.least(F.lit(1.0), F.col("xy") / F.sqrt(F.col("n_a").cast("double") * F.col("n_b")))
+    records = written(ranked(sizes, record, name="id").withColumn("id", F.col("id") - 1))
+    ids = records.select(F.col(record).alias("__record"), F.col("id").alias("i"))
+    same = F.col(record).eqNullSafe(F.col("__record"))
+    entries = sketches.join(ids, same).select("i", F.col("hash").alias("key"), (F.col("abund") if abundance else F.lit(1.0)).alias("x"))
+    of = lambda at, name, x: records.select(F.col("id").alias(at), F.col(record).alias(name), F.col("size").alias(f"s_{x}"), F.col("norm").alias(f"n_{x}"))
+    joined = gram(entries, records.count()).join(of("i", "a", "a"), "i").join(of("j", "b", "b"), "j")
+    jaccard = F.col("dot") / (F.col("s_a") + F.col("s_b") - F.col("dot"))
+    cosine = F.least(F.lit(1.0), F.col("dot") / F.sqrt(F.col("n_a").cast("double") * F.col("n_b")))
     angular = 1 - 2 * F.acos(cosine) / math.pi
     return joined.select("a", "b", (angular if abundance else jaccard).alias("sim"))
 
 
-#: Matrix rows in one block of row_distances.
-BLOCK = 256
-#: Clusters (some numbers each) up to this number are broadcast to their pairs.
-BROADCAST_RECORDS = 100_000
-
-
 def row_distances(similarities: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """The records numbered in order, (id, record), and (i, j, e), i < j: the squared Euclidean
     distance of their rows in the similarity matrix, for all pairs, as Ward's method takes them.
 
-    Rows meet in pairs of blocks, each pair in a task of its own: 2*block rows of one number a
-    record, whatever the number of records.
+    Distances come from the rows' scalar products, a Gram product over the matrix's columns.
     """
     both = similarities.select("a", "b", "sim").unionByName(similarities.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
     records = written(ranked(both.select(F.col("a").alias("record")).distinct(), "record", name="id"))
     n = records.count()
     of = lambda x, y: records.select(F.col("record").alias(x), (F.col("id") - 1).alias(y))
-    cells = both.join(of("a", "i"), "a").join(of("b", "c"), "b")
-    rows = cells.groupBy("i").agg(F.collect_list(F.struct("c", "sim")).alias("row"))
-    last = max(0, (n - 1) // block)
-    mine = F.floor(F.col("i") / block).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.lit(last)), lambda x: F.struct(F.least(mine, x).alias("p"), F.greatest(mine, x).alias("q")))
-    dealt = rows.select("i", "row.c", "row.sim", F.explode(pairs).alias("at")).select("i", "c", "sim", "at.p", "at.q")
-
-    def measure(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("i")
-        matrix = np.zeros((len(part), n))
-        for k, (c, sim) in enumerate(zip(part["c"], part["sim"], strict=True)):
-            matrix[k, np.asarray(c, np.int64)] = sim
-        i = part["i"].to_numpy()
-        left, right = np.flatnonzero(i // block == part["p"].iloc[0]), np.flatnonzero(i // block == part["q"].iloc[0])
-        norm = (matrix**2).sum(axis=1)
-        square = np.maximum(norm[left][:, None] + norm[right][None] - 2 * matrix[left] @ matrix[right].T, 0.0)
-        x, y = np.nonzero(i[left][:, None] < i[right][None])
-        return pd.DataFrame({"i": i[left][x] + 1, "j": i[right][y] + 1, "e": square[x, y]})
-
-    return records, dealt.groupBy("p", "q").applyInPandas(measure, "i long, j long, e double")
+    cells = both.join(of("a", "i"), "a").join(of("b", "key"), "b").select("i", "key", F.col("sim").alias("x"))
+    norms = written(cells.groupBy("i").agg(F.sum(F.col("x") * F.col("x")).alias("norm")))
+    norm = lambda x: norms.select(F.col("i").alias(x), F.col("norm").alias(f"n{x}"))
+    pairs = gram(cells, n, True, block).filter("i < j").join(norm("i"), "i").join(norm("j"), "j")
+    square = F.greatest(F.col("ni") + F.col("nj") - 2 * F.col("dot"), F.lit(0.0))
+    return records, pairs.select((F.col("i") + 1).alias("i"), (F.col("j") + 1).alias("j"), square.alias("e"))
 
 
 def ward_merges(distances: DataFrame, records: DataFrame) -> DataFrame:

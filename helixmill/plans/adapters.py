@@ -96,3 +96,13 @@ def taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size") % 5
     rank = F.when(size == 0, "species").when(size == 1, "genus").when(size == 2, "subspecies").otherwise("clade")
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("taxid"), (F.col("p_partkey") - F.col("p_size")).alias("parent"), rank.alias("rank"))
+
+
+def placed_oligos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as oligos on their supplier: strand by return flag, temperature by discount."""
+    start = F.col("l_partkey") * 7 + F.col("l_linenumber") * 3
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("chrom"), start.alias("start"), (start + 18 + F.col("l_linenumber")).alias("end"),
+        F.when(F.col("l_returnflag") == "R", "+").when(F.col("l_returnflag") == "A", "-").otherwise("io").alias("strand"),
+        F.concat(F.lit("o"), F.col("l_partkey").cast("string")).alias("oligo"), (F.lit(60) + F.round(F.col("l_discount") * 100)).cast("double").alias("tm"),
+    ).distinct()

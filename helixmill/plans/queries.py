@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixmill.functions import sequence as S
-from helixmill.operators import align, archives, cluster, evaluate, intervals, kmers, mapping, pcr
+from helixmill.operators import align, archives, cluster, design, evaluate, intervals, kmers, mapping, pcr
 from helixmill.operators.tables import ranked
 from helixmill.plans import adapters as A
 from helixmill.sources import readers
@@ -374,6 +374,37 @@ def probe_align(spark: SparkSession, sf: str) -> DataFrame:
     return align.align_probes(pcr.usable(rows), probes, 6, mux=True).drop("AmpliconSeq")
 
 
+_OLIGOS = "o AS (SELECT DISTINCT l_suppkey AS chrom, l_partkey * 7 + l_linenumber * 3 AS a, l_partkey * 7 + l_linenumber * 4 + 18 AS b, CASE l_returnflag WHEN 'R' THEN '+' WHEN 'A' THEN '-' ELSE 'io' END AS strand, 'o' || l_partkey AS oligo, CAST(60 + round(l_discount * 100) AS DOUBLE) AS tm FROM lineitem)"
+_PAIRED = "p AS (SELECT f.chrom, f.oligo AS fp, r.oligo AS rp, f.a AS \"start\", r.b AS \"end\", f.b AS fp_end, r.a AS rp_start, r.b - f.a AS amplicon_len, abs(f.tm - r.tm) AS tm_diff FROM o f JOIN o r ON f.chrom = r.chrom AND f.strand = '+' AND r.strand = '-' AND r.b - f.a BETWEEN 150 AND 250)"
+
+
+@query(f"WITH {_OLIGOS}, {_PAIRED} SELECT chrom, fp, rp, \"start\", \"end\", fp_end, rp_start, amplicon_len, tm_diff FROM p")
+def primer_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return design.primer_pairs(A.placed_oligos(spark, sf))
+
+
+@query(f"WITH {_OLIGOS}, {_PAIRED}, m AS (SELECT p.*, i.oligo AS io, i.a AS io_start, i.b AS io_end, i.strand AS io_strand, row_number() OVER (PARTITION BY p.* ORDER BY abs(i.tm - 60), i.a, i.b, i.strand, i.oligo) AS k, count(*) OVER (PARTITION BY p.*) AS n_io FROM p JOIN o i ON i.chrom = p.chrom AND i.strand = 'io' AND i.a >= p.fp_end AND i.b <= p.rp_start) SELECT chrom, fp, rp, \"start\", \"end\", fp_end, rp_start, amplicon_len, tm_diff, io, io_start, io_end, io_strand, n_io FROM m WHERE k = 1".replace("PARTITION BY p.*", "PARTITION BY p.chrom, p.fp, p.rp, p.start, p.end, p.fp_end, p.rp_start, p.amplicon_len, p.tm_diff"))
+def primer_pairs_interior(spark: SparkSession, sf: str) -> DataFrame:
+    oligos = A.placed_oligos(spark, sf)
+    return design.with_interior(design.primer_pairs(oligos), oligos.filter("strand = 'io'"))
+
+
+@query()
+def oligo_folds(spark: SparkSession, sf: str) -> DataFrame:
+    """Every 18-letter window of every benchmark item with its fold scores."""
+    items = A.sequences(spark, sf, "benchmark", "item_id", ())
+    oligos = items.select("item_id", F.posexplode(S.windows(F.col("seq"), 18)).alias("start", "oligo"))
+    return oligos.select("item_id", "start", "oligo", design.hairpin("oligo").alias("hairpin"), design.dimer("oligo", "oligo").alias("dimer"))
+
+
+@query()
+def primer_design(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs with interior oligos round all places of two motifs in all documents."""
+    rows = A.sequences(spark, sf)
+    hits = mapping.motif_hits(["GGNCCA", "TTYAGC"], rows, "doc_id").select(F.col("doc_id").alias("chrom"), F.greatest(F.col("start") - 6, F.lit(0)).alias("start"), (F.col("start") + 12).alias("end"))
+    return design.designed(intervals.merge(hits), rows.select(F.col("doc_id").alias("chrom"), "seq"), lengths=(17, 18), io_lengths=(18, 18))
+
+
 @query()
 def primer_realign(spark: SparkSession, sf: str) -> DataFrame:
     rows = A.sequences(spark, sf).filter(F.length("seq") >= 40)

@@ -405,6 +405,28 @@ def test_ward_by_brute_force(spark):
     assert labels.columns == ["accession", "label"] and {r.label for r in labels.collect()} == {"run_cluster_1", "run_cluster_2"}
 
 
+@pytest.mark.parametrize("abundance", [False, True])
+def test_similarity_by_brute_force(spark, monkeypatch, abundance):
+    """Blocks of few records, few keys at a time, sums passed on early; a hash that all have."""
+    monkeypatch.setattr(cluster.gram, "__defaults__", (False, 7))
+    monkeypatch.setattr(cluster, "KEYS", 5)
+    monkeypatch.setattr(cluster, "HELD", 3)
+    rng = random.Random(4)
+    sets = {f"r{i:02}": {rng.randrange(60): rng.randint(1, 9) for _ in range(rng.choice([1, 6, 15]))} for i in range(30)}
+    for i, s in enumerate(sets.values()):
+        if i % 4:
+            s[999] = 3
+    rows = [(r, h, n) for r, s in sets.items() for h, n in s.items()]
+    got = {(r.a, r.b): r.sim for r in cluster.similarity(spark.createDataFrame(rows, "rec string, hash long, abund long").repartition(3), "rec", abundance).collect()}
+    want = {}
+    for a, b in itertools.combinations_with_replacement(sorted(sets), 2):
+        x, y = sets[a], sets[b]
+        if both := x.keys() & y.keys():
+            cosine = sum(x[h] * y[h] for h in both) / (sum(v * v for v in x.values()) * sum(v * v for v in y.values())) ** 0.5
+            want[a, b] = 1 - 2 * np.arccos(min(1.0, cosine)) / np.pi if abundance else len(both) / len(x.keys() | y.keys())
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-7 for k in want)
+
+
 def test_islands_across_bins(spark):
     """Intervals that span many bins, touch, nest, or stand in bins of their own."""
     rng = random.Random(6)
