@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixmill.functions.sequence import translate_cds
-from helixmill.sources import schemas
+from helixmill.sources import schemas, zips
 
 FASTA_SUFFIXES = ("fna", "fasta", "fa")
 
@@ -134,17 +134,26 @@ def exclusive_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def zip_members(spark: SparkSession, path: str, pattern: str = ".*") -> DataFrame:
-    """(archive, member, content): the files inside zip archives, one archive a row of input."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    """(archive, member, content): the files inside zip archives, of any size.
+
+    Spark lists the archives, and each member is read by its range in its archive (see zips).
+    Where only Spark reaches the files, an archive is one row of input, of 2 GB at most. A
+    member is a row, so 2 GB bounds members in either case; equal names are rows of their own.
+    """
+    listed = spark.read.format("binaryFile").load(path)
+    paths = [r["path"] for r in listed.select("path").orderBy("path").collect()]
+    if zips.reachable(paths):
+        return zips.by_members(spark, paths, pattern)
+    files = listed.select("path", "content")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         want = re.compile(pattern)
         for batch in batches:
             for archive, content in zip(batch["path"], batch["content"], strict=True):
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for name in z.namelist():
-                        if want.search(name) and not name.endswith("/"):
-                            yield pd.DataFrame([(archive, name, z.read(name))], columns=schemas.MEMBERS.names)
+                    for info in z.infolist():
+                        if want.search(info.filename) and not info.is_dir():
+                            yield pd.DataFrame([(archive, info.filename, z.read(info))], columns=schemas.MEMBERS.names)
 
     return files.mapInPandas(parse, schemas.MEMBERS)
 

@@ -67,6 +67,28 @@ def test_zips(spark, tmp_path):
     assert sorted(r.protein for r in proteins.collect()) == ["GF", "MA*"]
 
 
+def test_zips_by_ranges(spark, tmp_path, monkeypatch):
+    """Many members over many partitions, equal names, folders, an archive without members; and
+    the same rows where only Spark reaches the files."""
+    rng = random.Random(1)
+    want = []
+    for a in ("a", "b"):
+        with zipfile.ZipFile(tmp_path / f"{a}.zip", "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("dir/", "")
+            for i in range(12):
+                name, data = f"dir/{i % 10}.txt", rng.randbytes(rng.choice([0, 10, 5000]))
+                z.writestr(name, data)
+                want.append((a, name, data))
+    zipfile.ZipFile(tmp_path / "c.zip", "w").close()
+    rows = lambda df: sorted((r.archive.rsplit("/", 1)[-1][0], r.member, bytes(r["content"])) for r in df.collect())
+    assert rows(readers.zip_members(spark, str(tmp_path))) == sorted(want)
+    split = readers.zips.by_members(spark, [f"file:{tmp_path}/a.zip", f"{tmp_path.as_uri()}/b.zip"], r"[0-4]\.txt$", 6000)
+    assert rows(split) == sorted(x for x in want if x[1][4] in "01234") and split.rdd.getNumPartitions() > 2
+    assert readers.zip_members(spark, str(tmp_path / "c.zip")).count() == 0
+    monkeypatch.setattr(readers.zips, "opened", lambda uri: None)
+    assert rows(readers.zip_members(spark, str(tmp_path))) == sorted(want)
+
+
 def test_exclusive_json(spark, tmp_path):
     lists = spark.createDataFrame([("x", [["a", "b"]]), ("y", [])], "label string, primers array<array<string>>")
     writers.exclusive_json(lists, str(tmp_path / "j"))
