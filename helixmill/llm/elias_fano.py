@@ -118,19 +118,26 @@ class EliasFano:
 
 
 QUANTA = 254
-_FLOOR = -8.0
 
 
-def quantised(p: np.ndarray) -> np.ndarray:
-    """Probabilities as bytes: 0 for none, else 1 + steps of log10 from -8 to 0."""
+def floor_of(tokens: int, discount: float) -> float:
+    """log10 of the least probability or weight above 0 that counts up to `tokens` can give, so
+    that none has to be raised to the scale's end, however large the corpus."""
+    least = min(x for x in (discount, 1 - discount) if x > 0)
+    return float(np.log10(least / max(tokens, 1)))
+
+
+def quantised(p: np.ndarray, floor: float) -> np.ndarray:
+    """Probabilities as bytes: 0 for none, else 1 + steps of log10 from floor to 0."""
     with np.errstate(divide="ignore"):
         logs = np.log10(p)
-    code = 1 + np.rint((np.maximum(logs, _FLOOR) - _FLOOR) / -_FLOOR * QUANTA)
+    code = 1 + np.rint((np.maximum(logs, floor) - floor) / -floor * QUANTA)
     return np.where(p > 0, code, 0).astype(np.uint8)
 
 
-#: The probability of each byte.
-VALUES = np.concatenate(([0.0], 10.0 ** (_FLOOR + np.arange(QUANTA + 1) / QUANTA * -_FLOOR)))
+def values_of(floor: float) -> np.ndarray:
+    """The probability of each byte."""
+    return np.concatenate(([0.0], 10.0 ** (floor + np.arange(QUANTA + 1) / QUANTA * -floor)))
 
 
 class Trie:
@@ -142,8 +149,9 @@ class Trie:
     among the context's children only.
     """
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], discount: float):
-        """levels: per further order (parent index, id, count), sorted; all counts above 0."""
+    def __init__(self, words: np.ndarray, counts: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], discount: float, floor: float):
+        """levels: per further order (parent index, id, count), sorted; all counts above 0. floor
+        is the bytes' scale, see floor_of."""
         self.words, self.counts = EliasFano(words), mapped(counts.astype(np.int64))
         self.pointers, self.ids, self.codes, self.children, self.backoffs = [], [], [], [], []
         above = counts
@@ -152,8 +160,8 @@ class Trie:
             self.children.append(mapped(kinds))
             self.pointers.append(EliasFano(np.concatenate(([0], np.cumsum(kinds)))))
             self.ids.append(EliasFano((parent.astype(np.uint64) << U(32)) | ids.astype(np.uint64)))
-            self.codes.append(mapped(quantised((own - discount) / above[parent])))
-            self.backoffs.append(mapped(quantised(discount * kinds / np.maximum(above, 1))))
+            self.codes.append(mapped(quantised((own - discount) / above[parent], floor)))
+            self.backoffs.append(mapped(quantised(discount * kinds / np.maximum(above, 1), floor)))
             above = own
 
     def roots(self, words: np.ndarray) -> np.ndarray:

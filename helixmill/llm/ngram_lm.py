@@ -15,7 +15,8 @@
 
 The model interpolates by absolute discounting: P(w|c) = max(n(cw) - D, 0)/n(c) +
 D*kinds(c)/n(c) * P(w|shorter c); unseen contexts leave the shorter one's P; the shortest P is
-the base. Probabilities and backoff weights are quantised to bytes. Words on deeper levels are
+the base. Probabilities and backoff weights are quantised to bytes, on a scale that begins at the
+least value that counts of so many training tokens can give. Words on deeper levels are
 known by 32 bits of their hash; level 1 and the base's counts are by 64 bits.
 
 Nothing is collected but the numbers of step 1; all tables grow with the input and are dealt
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from helixmill.llm.elias_fano import VALUES, Trie
+from helixmill.llm.elias_fano import Trie, floor_of, values_of
 from helixmill.llm.shared import U, Words, blocked, grown, words_of, written
 
 ORDER, DISCOUNT = 2, 0.4
@@ -238,7 +239,7 @@ def _send(vocabulary: Vocabulary, order: int):
     return send
 
 
-def _answer(order: int, discount: float):
+def _answer(order: int, discount: float, floor: float):
     def answer(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         words = np.concatenate([np.frombuffer(r["__words"], np.uint64) for r in rows])
@@ -262,7 +263,7 @@ def _answer(order: int, discount: float):
             levels.append((renumber[parent[kept]], ids[kept], sums[kept]))
             sent.append((parent, ids, place))
             renumber = np.cumsum(kept) - 1
-        trie = Trie(every[seen], total[seen], levels, discount)
+        trie = Trie(every[seen], total[seen], levels, discount, floor)
         node = trie.roots(every)
         known = np.maximum(node, 0)
         kinds = np.where(node >= 0, _take(trie.children[0], known), 0)
@@ -294,6 +295,7 @@ def _take(values: np.ndarray, at: np.ndarray) -> np.ndarray:
 def _score(vocabulary: Vocabulary, order: int, discount: float, kind: pa.DataType):
     names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
     kinds = [kind, pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    values = values_of(floor_of(vocabulary.tokens, discount))
 
     def score(group: pa.Table, answers: pa.Table) -> pa.Table:
         if not group.num_rows:
@@ -315,8 +317,8 @@ def _score(vocabulary: Vocabulary, order: int, discount: float, kind: pa.DataTyp
         # Nodes of level 1: base probability and the weight of what lies below their context.
         base = vocabulary.base(counts)
         backoff = [np.where(counts > 0, discount * contexts / np.maximum(counts, 1), 1.0)]
-        backoff += [np.where(w > 0, VALUES[w], 1.0) for w in weights[:-1]]
-        known_gram = [VALUES[c] for c in codes]
+        backoff += [np.where(w > 0, values[w], 1.0) for w in weights[:-1]]
+        known_gram = [values[c] for c in codes]
         text = np.concatenate([g.text + row for row, g in runs])
         real = np.concatenate([g.real for _, g in runs])
         where = np.flatnonzero(real)
@@ -346,7 +348,7 @@ def scored(
     blocks, total = blocked(flagged, id_col, text_col, BLOCK_BYTES, "__train")
     known = vocabulary(flagged, text_col, F.col("__train"), total)
     sent = blocks.groupBy("__block").applyInArrow(_send(known, order), _fields(order, False))
-    answers = sent.groupBy("__shard").applyInArrow(_answer(order, discount), _fields(order, True))
+    answers = sent.groupBy("__shard").applyInArrow(_answer(order, discount, floor_of(known.tokens, discount)), _fields(order, True))
     kind = docs.schema[id_col].dataType
     out = blocks.groupBy("__block").cogroup(answers.groupBy("__block")).applyInArrow(
         _score(known, order, discount, to_arrow_type(kind)),

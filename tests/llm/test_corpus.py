@@ -388,6 +388,28 @@ def test_elias_fano():
     assert e.low.nbytes + e.high.nbytes < 0.5 * v.nbytes
 
 
+@pytest.mark.parametrize("total", [10**3, 10**10, 10**15])
+def test_rare_followers_of_frequent_contexts_keep_their_probability(total):
+    """A context's probabilities and its backoff weight sum to 1 but for the bytes' steps."""
+    kinds = min(total // 20, 100_000)
+    counts = np.ones(kinds, np.int64)
+    counts[0] = total - kinds + 1
+    floor = elias_fano.floor_of(total, 0.4)
+    trie = elias_fano.Trie(np.array([7], np.uint64), np.array([total]), [(np.zeros(kinds, np.int64), np.arange(kinds, dtype=np.uint32), counts)], 0.4, floor)
+    values = elias_fano.values_of(floor)
+    step = 10 ** (-floor / elias_fano.QUANTA / 2)
+    assert 1 / step <= values[np.asarray(trie.codes[0])].sum() + values[np.asarray(trie.backoffs[0])].sum() <= step
+    rare = values[np.asarray(trie.codes[0])[1]]
+    assert 1 / step <= rare / (0.6 / total) <= step
+
+
+def test_url_rules_in_any_spelling(spark):
+    pages = spark.createDataFrame([(1, "http://a.COM/en/1"), (2, "http://b.org/x"), (3, "http://c.com/" + "y" * 300_000)], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judged(pages, [url_filter.Rule("COM", "/en/", "block"), url_filter.Rule("B.Org", "", "block")]).collect()}
+    assert got == {1: ("com/en/", "block"), 2: ("b.org", "block"), 3: (None, "allow")}
+    assert url_filter.judged(pages.limit(0), [url_filter.Rule("COM", "/en/", "block")]).count() == 0
+
+
 def test_url_filter(spark):
     urls = ["http://A.Example.COM/en/7x?q", "https://b.com/en/1", "ftp://x.net", "no scheme /en/", None, "", "http://com/en/", "http://notcom/en/", "http://q.net/de/8#f", "http://spam.org:80/es/", "http://bad-site.info/", "a://b://c/en/", "http://?x", "http://e.com/en/7\n8"]
     pages = spark.createDataFrame(list(enumerate(urls)) + [(1, urls[1])], "page_id long, url string")
