@@ -401,8 +401,9 @@ def oligo_folds(spark: SparkSession, sf: str) -> DataFrame:
 def primer_design(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs with interior oligos round all places of two motifs in all documents."""
     rows = A.sequences(spark, sf)
-    hits = mapping.motif_hits(["GGNCCA", "TTYAGC"], rows, "doc_id").select(F.col("doc_id").alias("chrom"), F.greatest(F.col("start") - 6, F.lit(0)).alias("start"), (F.col("start") + 12).alias("end"))
-    return design.designed(intervals.merge(hits), rows.select(F.col("doc_id").alias("chrom"), "seq"), lengths=(17, 18), io_lengths=(18, 18))
+    hits = mapping.motif_hits(["GGNCCA", "TTYAGC"], rows, "doc_id").select(F.col("doc_id").alias("chrom"), F.greatest(F.col("start") - 10, F.lit(0)).alias("start"), (F.col("start") + 16).alias("end"))
+    seqs = rows.select(F.col("doc_id").alias("chrom"), "seq")
+    return design.designed(intervals.merge(hits), seqs, lengths=(18, 18), tm=(50.0, 64.0), io_lengths=(18, 18), io_tm=(50.0, 63.0), fold=20)
 
 
 @query()
