@@ -373,8 +373,9 @@ def sketch(records: DataFrame, k: int, record: str, scaled: int = 1) -> DataFram
 
 #: Records in one block of a Gram product's rows and columns.
 BLOCK = 256
-#: Keys whose values are multiplied at once, and blocks of sums that a task holds at a time.
-KEYS, HELD = 1024, 256
+#: Keys whose values are multiplied at once, cells of all rows' values then (fewer keys for many
+#: rows), and blocks of sums that a task holds at a time.
+KEYS, CELLS, HELD = 1024, 1 << 25, 256
 #: Clusters (some numbers each) up to this number are broadcast to their pairs.
 BROADCAST_RECORDS = 100_000
 
@@ -393,8 +394,9 @@ def gram(entries: DataFrame, n: int, every: bool = False, block: int = BLOCK) ->
     def multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], np.ndarray] = {}
         rows, columns, values, last, used = [], [], [], None, 0
+        most = max(1, min(KEYS, CELLS // max(n, 1)))
 
-        def add() -> None:
+        def add() -> Iterator[pa.RecordBatch]:
             i, c, x = np.concatenate(rows), np.concatenate(columns), np.concatenate(values)
             order = np.argsort(i // block, kind="stable")
             i, c, x = i[order], c[order], x[order]
@@ -408,6 +410,9 @@ def gram(entries: DataFrame, n: int, every: bool = False, block: int = BLOCK) ->
                 for q, right in parts[k:]:
                     product = left @ right.T
                     sums[p, q] = sums[p, q] + product if (p, q) in sums else product
+                    if len(sums) >= HELD:
+                        yield _blocks(sums)
+                        sums.clear()
 
         for batch in batches:
             i, x = batch["i"].to_numpy(), batch["x"].to_numpy()
@@ -418,18 +423,15 @@ def gram(entries: DataFrame, n: int, every: bool = False, block: int = BLOCK) ->
             for low, high in zip(begin, [*begin[1:], len(code)], strict=True):
                 key = codes.dictionary[int(code[low])].as_py()
                 if key != last or not used:
-                    if used == KEYS:
-                        add()
+                    if used == most:
+                        yield from add()
                         rows, columns, values, used = [], [], [], 0
-                        if len(sums) >= HELD:
-                            yield _blocks(sums)
-                            sums = {}
                     last, used = key, used + 1
                 rows.append(i[low:high])
                 columns.append(np.full(high - low, used - 1))
                 values.append(x[low:high])
         if used:
-            add()
+            yield from add()
         if sums:
             yield _blocks(sums)
 
