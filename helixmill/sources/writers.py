@@ -78,9 +78,3 @@ def zipped(members: DataFrame, path: str) -> None:
             stream.write(bytes(row["content"]))
         finally:
             stream.close()
-
-
-def parts(rows: DataFrame) -> Iterator[dict]:
-    """Rows one by one, fetched partition by partition, for callers that need a single file."""
-    for row in rows.toLocalIterator():
-        yield row.asDict()

@@ -320,6 +320,22 @@ def test_lineage_by_walking(spark):
     assert evaluate.lineage(df.limit(0), ["species"]).count() == 0
 
 
+def test_best_hits_and_representatives(spark):
+    hits = spark.createDataFrame([("q", "s", 5.0, 9, 1), ("q", "s", 7.0, 8, 2), ("q", "s", 7.0, 3, 4), ("q", "t", 1.0, 1, 1), ("r", "s", 2.0, 1, 1)], "qseqid string, sseqid string, bitscore double, sstart int, send int")
+    assert sorted((r.qseqid, r.sseqid, r.sstart) for r in pcr.best_hits(hits).collect()) == [("q", "s", 3), ("q", "t", 1), ("r", "s", 1)]
+    assert sorted(r.sstart for r in pcr.best_hits(hits.filter("qseqid = 'q' AND sseqid = 's'"), 2).collect()) == [3, 8]
+    clusters = spark.createDataFrame([(f"r{i}", i % 3) for i in range(30)], "record string, cluster int")
+    chosen = {r.cluster: r.record for r in cluster.representatives(clusters, 4).collect()}
+    assert chosen == {r.cluster: r.record for r in cluster.representatives(clusters.repartition(5), 4).collect()}
+    assert all(int(v[1:]) % 3 == k for k, v in chosen.items()) and len(chosen) == 3
+    counts = kmers.document_frequency(spark.createDataFrame([(1, "ACGTT"), (2, "ACGAA")], "id long, seq string"), 3, "id", singletons=False)
+    assert [tuple(r) for r in counts.collect()] == [("ACG", 2)]
+    thin = cluster.sketch(spark.createDataFrame([("a", "ACGTTGCATGTCAGT" * 20)], "rec string, seq string"), 11, "rec", 4)
+    whole = cluster.sketch(spark.createDataFrame([("a", "ACGTTGCATGTCAGT" * 20)], "rec string, seq string"), 11, "rec")
+    kept = {(r.hash, r.abund) for r in thin.collect()}
+    assert kept == {(r.hash, r.abund) for r in whole.collect() if (r.hash % 2**64) >> 1 < 2**63 // 4}
+
+
 def test_labelled_without_default_and_names(spark):
     rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "accession string, n int")
     labels = spark.createDataFrame([("a", "x"), ("a", "y"), ("c", "z")], "accession string, label string")

@@ -67,6 +67,26 @@ def test_zips(spark, tmp_path):
     assert sorted(r.protein for r in proteins.collect()) == ["GF", "MA*"]
 
 
+def test_given_hits_and_matrices(spark, tmp_path):
+    """Search results given as a file without header, by the ten columns' schema; tables as Parquet."""
+    (tmp_path / "h.tsv").write_text("p|F\ts1\t18\t1\t18\t40\t57\tACGT\t900\ttitle one\nq|R\ts2\t17\t1\t18\t90\t73\tAC\t80\tt\n")
+    hits = readers.bare(spark, str(tmp_path / "h.tsv"), schemas.BLAST10).orderBy("qseqid").collect()
+    assert [tuple(r) for r in hits] == [("p|F", "s1", 18, 1, 18, 40, 57, "ACGT", 900, "title one"), ("q|R", "s2", 17, 1, 18, 90, 73, "AC", 80, "t")]
+    matrix = spark.createDataFrame([(0, "ACGT", 1, 5), (-1, "TTTT", 0, None)], schemas.MATRIX)
+    matrix.write.parquet(str(tmp_path / "m"))
+    again = spark.read.schema(schemas.MATRIX).parquet(str(tmp_path / "m"))
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, matrix.collect()), key=str)
+
+
+def test_records_by_cluster_and_filtered(spark, tmp_path):
+    records = spark.createDataFrame([("a", "one", "ACGT", 1), ("b", None, "GG", 1), ("c", "", "TT", 2)], "id string, description string, seq string, cluster int")
+    writers.fasta(records, str(tmp_path / "c"), by="cluster")
+    for cluster, want in ((1, {("a", "ACGT"), ("b", "GG")}), (2, {("c", "TT")})):
+        assert {(r.id, r.seq) for r in readers.fasta(spark, str(tmp_path / "c" / f"cluster={cluster}"), "*").collect()} == want
+    writers.fasta(records.filter("cluster = 1"), str(tmp_path / "f"))
+    assert {(r.id, r.description) for r in readers.fasta(spark, str(tmp_path / "f"), "*").collect()} == {("a", "a one"), ("b", "b")}
+
+
 def test_zips_by_ranges(spark, tmp_path, monkeypatch):
     """Many members over many partitions, equal names, folders, an archive without members; and
     the same rows where only Spark reaches the files."""
