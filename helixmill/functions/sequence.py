@@ -105,13 +105,20 @@ def degenerate_count(seq: Column) -> Column:
     return F.length(F.regexp_replace(F.upper(seq), "[ACGT]", ""))
 
 
+#: Concrete sequences that expand_degenerates makes of one sequence at most.
+MOST_VARIANTS = 65_536
+
+
 def expand_degenerates(seq: Column) -> Column:
-    """All concrete sequences that a degenerate one stands for, as an array."""
+    """All concrete sequences that a degenerate one stands for, as an array; more than
+    MOST_VARIANTS raise an error before any is made."""
     table = F.create_map(*[F.lit(x) if i % 2 == 0 else F.array(*map(F.lit, x)) for pair in IUPAC.items() for i, x in enumerate(pair)])
     letters = F.filter(F.split(F.upper(seq), ""), lambda c: c != "")
     start = F.array(F.lit(""))
     grown = lambda acc, c: F.flatten(F.transform(acc, lambda a: F.transform(F.coalesce(F.try_element_at(table, c), F.array(c)), lambda b: F.concat(a, b))))
-    return F.aggregate(letters, start, grown)
+    ways = F.aggregate(letters, F.lit(1.0), lambda n, c: n * F.size(F.coalesce(F.try_element_at(table, c), F.array(c))))
+    error = F.raise_error(F.concat(seq, F.lit(f" stands for more than {MOST_VARIANTS} sequences")))
+    return F.when(ways > MOST_VARIANTS, error).otherwise(F.aggregate(letters, start, grown))
 
 
 def iupac_pattern(motif: str) -> str:

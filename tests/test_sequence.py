@@ -29,6 +29,9 @@ def test_codes(spark):
     assert one(spark, S.iupac_union(F.lit("A"), F.lit("G")), s="") == "R"
     assert one(spark, S.merge_at(F.col("s"), F.lit("GTC"), F.lit(2)), s="ACAT") == "ACRTC"
     assert one(spark, S.degenerate_count(F.col("s")), s="ACRTnN") == 3
+    assert len(one(spark, S.expand_degenerates(F.col("s")), s="N" * 8)) == 4**8 and one(spark, S.expand_degenerates(F.col("s")), s=None) is None
+    with pytest.raises(Exception, match="stands for more than"):
+        one(spark, S.expand_degenerates(F.col("s")), s="N" * 30)
     assert sorted(one(spark, S.expand_degenerates(F.col("s")), s="ARN")) == sorted("".join(x) for x in product("A", "AG", "ACGT"))
     assert one(spark, S.decode_digits(S.encode_digits(F.col("s"))), s="GATTACA") == "GATTACA"
 
