@@ -211,11 +211,11 @@ def audit(docs: DataFrame, labels: DataFrame, filters: Filters, part: str, id_co
 def text_filters() -> Filters:
     """Five filters over `text` and its `words`: A few words, B repeated words, C capitals,
     D symbols, E copies of a smaller id."""
-    n, words = F.size("words"), F.col("words")
+    n, words = F.size("words").cast("long"), F.col("words")
     return Filters(
         {
             "A": n < 200,
-            "B": 100 * F.size(F.array_distinct(words)) < 50 * n,
+            "B": 100 * F.size(F.array_distinct(words)).cast("long") < 50 * n,
             "C": 100 * F.regexp_count("text", F.lit("[A-Z]")).cast("long") > 3 * F.length("text").cast("long"),
             "D": F.col("text").rlike("[#$%&*|]"),
         },
