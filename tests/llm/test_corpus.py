@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helixmill.llm import dart_minhash, decontamination, elias_fano, license_scan, line_dedup, mixing, ngram_lm, order_minhash, substring_dedup, toxicity, url_filter
+from helixmill.llm import dart_minhash, decontamination, elias_fano, license_scan, line_dedup, mixing, ngram_lm, order_minhash, queries, substring_dedup, toxicity, url_filter
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = "the of and to in is it on as at by for be or was this that from with are".split()
@@ -425,6 +425,18 @@ def test_url_filter(spark):
         assert (r.host, r.path, r.rule, r.verdict) == (host, path, best and best.name, verdict)
 
 
+def test_url_rules_of_the_contract(spark, tmp_path):
+    """The query's rules word by word, and their verdicts where host words would say the opposite."""
+    assert [(r.host + r.path, r.verdict) for r in queries.RULES] == [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
+    urls = ["http://a.net/de/1", "http://casino.net/de/1", "http://a.example.net/de/7", "http://a.example.net/de/81", "http://example.com/en/6", "http://spam.example.com/en/7", "http://b.org/es/", "http://b.org/en/"]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = [(r.rule, r.verdict) for r in queries.op3_url_filter(spark, str(tmp_path)).orderBy("page_id").collect()]
+    assert got == [
+        ("net/de/", "allow"), ("net/de/", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"),
+        ("com/en/", "block"), ("example.com/en/7", "allow"), ("org/es/", "block"), (None, "allow"),
+    ]
+
+
 def test_cascade_is_exact(spark):
     universe = spark.range(30000).select(F.xxhash64("id").alias("key"))
     listed = spark.range(3000).select(F.xxhash64(F.col("id") * 7).alias("key"))
