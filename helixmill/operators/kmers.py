@@ -9,6 +9,7 @@ letters, and k above 31, go the same way as strings.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -229,11 +230,14 @@ def above_quantile(counts: DataFrame, q: float, n: str = "n") -> DataFrame:
 def replicon_bins(records: DataFrame, references: DataFrame, p: float = 0.1) -> DataFrame:
     """records with bin: the lowest ref_idx with ref_len*(1-p) < length < ref_len*(1+p), or -1.
 
-    references (ref_idx, ref_len) are the replicons of one genome, some tens of rows.
+    references (ref_idx, ref_len) are the replicons of one genome, some tens of rows. The bounds
+    are decimals, so that a length exactly at one is outside it.
     """
+    share = Decimal(str(p))
     refs = references.agg(F.sort_array(F.collect_list(F.struct("ref_idx", "ref_len"))).alias("__refs"))
     n = F.length("seq")
-    fits = lambda r: (n > r["ref_len"] * (1 - p)) & (n < r["ref_len"] * (1 + p))
+    of = lambda r: r["ref_len"].cast("decimal(19,0)")
+    fits = lambda r: (n > of(r) * F.lit(1 - share)) & (n < of(r) * F.lit(1 + share))
     first = F.get(F.filter("__refs", fits), 0)["ref_idx"]
     return records.crossJoin(F.broadcast(refs)).withColumn("bin", F.coalesce(first, F.lit(-1)).cast("int")).drop("__refs")
 

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 from fractions import Fraction
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -60,6 +61,27 @@ def test_bins_are_strict(spark):
     assert got == {75: -1, 76: 0, 100: 0, 124: 0, 125: 1, 200: -1}
 
 
+def test_bins_at_decimal_bounds(spark):
+    """Lengths at a tenth more or less are outside, also where a double's product isn't exact."""
+    rows = spark.createDataFrame([(i, "A" * n) for i, n in enumerate((62, 63, 64, 76, 77, 78))], "i int, seq string")
+    refs = spark.createDataFrame([(0, 70)], "ref_idx int, ref_len int")
+    got = {len(r.seq): r.bin for r in kmers.replicon_bins(rows, refs).collect()}
+    assert got == {62: -1, 63: -1, 64: 0, 76: 0, 77: -1, 78: -1}
+
+
+def test_replicon_bin_is_its_sql(spark, tmp_path):
+    """Ids on several texts, missing ids, texts and sources, lengths at the bounds."""
+    rows = [(1, 70, "s0"), (2, 30, "s1"), (2, 130, "s1"), (None, 5, "s1"), (-5, None, "s2"), (3, 100, "s2"), (4, 20, None)]
+    rows += [(10 + i, n, "s0") for i, n in enumerate((63, 64, 76, 77, 78, 27, 28, 32, 33, 90, 91, 109, 110, 18, 19, 21, 22))]
+    table = [(i, n and "a" * n, "en", source) for i, n, source in rows]
+    spark.createDataFrame(table, "doc_id long, text string, lang string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in queries.replicon_bin(spark, str(tmp_path)).collect()]
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.sql(queries.SQL["replicon_bin"]).fetchall()
+    assert sorted(got, key=str) == sorted(want, key=str) and len({b for _, b in got}) == 5
+
+
 def test_resample_repeats(spark):
     m = spark.createDataFrame([("g", "a"), ("g", "b"), ("h", "c")], "groups string, accession string")
     one = sorted(map(tuple, kmers.stratified_resample(m, 200).collect()))
