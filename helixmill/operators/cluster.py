@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from helixmill.functions import sequence as S
-from helixmill.operators.kmers import exploded
+from helixmill.operators.kmers import packed, unpacked
 from helixmill.operators.tables import ranked, released, written
 
 
@@ -361,13 +361,15 @@ def joined_records(parts: DataFrame, k: int, record: str, order: str, lot: int =
 
 def sketch(records: DataFrame, k: int, record: str, scaled: int = 1) -> DataFrame:
     """(record, hash, abund): canonical k-mers of plain bases whose hash is in the lowest
-    1/scaled of all values; scaled=1 keeps all."""
-    rows = exploded(records, k, keep=(record,)).filter(F.col("kmer").rlike("^[ACGT]+$"))
+    1/scaled of all values; scaled=1 keeps all. K-mers are counted as numbers first, so only
+    a record's distinct ones are letters."""
+    sums = packed(records, k, keep=(record,)).groupBy(record, "code", "other").agg(F.sum("n").alias("n"))
+    rows = sums.select(record, unpacked(k).alias("kmer"), "n").filter(F.col("kmer").rlike("^[ACGT]+$"))
     canonical = F.least("kmer", S.reverse_complement(F.col("kmer")))
-    hashed = rows.select(record, F.xxhash64(canonical).alias("hash"))
+    hashed = rows.select(record, F.xxhash64(canonical).alias("hash"), "n")
     if scaled > 1:
         hashed = hashed.filter(F.shiftrightunsigned("hash", 1) < (2**63 // scaled))
-    return hashed.groupBy(record, "hash").agg(F.count("*").alias("abund"))
+    return hashed.groupBy(record, "hash").agg(F.sum("n").alias("abund"))
 
 
 #: Records in one block of a Gram product's rows and columns.
@@ -470,7 +472,9 @@ def _cells(place: tuple[int, int], total: np.ndarray, n: int, every: bool, block
 
 def similarity(sketches: DataFrame, record: str, abundance: bool = False) -> DataFrame:
     """(a, b, sim), a <= b: Jaccard of the hash sets, or angular similarity of abundances, of the
-    records that share a hash; from a blocked Gram product of the sketches (see gram)."""
+    records that share a hash; from a blocked Gram product of the sketches (see gram), which
+    are written, as they are read twice."""
+    sketches = written(sketches.select(record, "hash", "abund"))
     sizes = sketches.groupBy(record).agg(F.count("*").alias("size"), F.sum(F.col("abund") * F.col("abund")).alias("norm"))
     records = written(ranked(sizes, record, name="id").withColumn("id", F.col("id") - 1))
     ids = records.select(F.col(record).alias("__record"), F.col("id").alias("i"))
@@ -489,7 +493,9 @@ def row_distances(similarities: DataFrame, block: int = BLOCK) -> tuple[DataFram
     distance of their rows in the similarity matrix, for all pairs, as Ward's method takes them.
 
     Distances come from the rows' scalar products, a Gram product over the matrix's columns.
+    The similarities are written, as they are read several times.
     """
+    similarities = written(similarities.select("a", "b", "sim"))
     both = similarities.select("a", "b", "sim").unionByName(similarities.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
     records = written(ranked(both.select(F.col("a").alias("record")).distinct(), "record", name="id"))
     n = records.count()

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from helixmill.functions import sequence as S
 from helixmill.operators.tables import ranked
@@ -37,16 +38,23 @@ def exploded(records: DataFrame, k: int, full: bool = True, seq: str = "seq", ke
 
 #: Letters whose windows are summed together in one batch, about.
 LOT = 1 << 20
+#: Counts (8 bytes each) that a task holds at most where groups are few next to their windows.
+HELD = 1 << 22
 _CODE = np.full(256, 4, np.uint8)
 _CODE[[*b"ACGT"]] = range(4)
 
 
+_COMPLEMENT = np.arange(256, dtype=np.uint8)
+_COMPLEMENT[[ord(c) for c in S.COMPLEMENT]] = [ord(c) for c in S.COMPLEMENT.values()]
+
+
 class _Lot:
     """Windows of some rows, summed by row group."""
 
     def __init__(self, k: int, strands: bool):
         self.k, self.strands = k, strands
         self.plain: list[tuple[np.ndarray, np.ndarray]] = []
+        self.lettered: list[tuple[np.ndarray, np.ndarray]] = []
         self.other: dict[tuple[int, str], int] = {}
         self.letters = 0
 
@@ -78,56 +86,124 @@ class _Lot:
                     number = number << 2 | 3 - code[at + j]
                 self.plain.append((np.full(len(at), group), number))
         if not plain.all():
-            windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, k)[~plain]).view(f"S{k}").ravel()
-            for word, n in zip(*np.unique(windows, return_counts=True), strict=True):
-                self._string(group, word.decode(), int(n))
+            windows = np.lib.stride_tricks.sliding_window_view(data, k)[~plain]
+            for letters in (windows, _COMPLEMENT[windows[:, ::-1]])[: 2 if self.strands else 1]:
+                self.lettered.append((np.full(len(letters), group), np.ascontiguousarray(letters).view(f"S{k}").ravel()))
 
     def _string(self, group: int, word: str, n: int) -> None:
         for w in (word, "".join(S.COMPLEMENT.get(c, c) for c in reversed(word)))[: 2 if self.strands else 1]:
             self.other[group, w] = self.other.get((group, w), 0) + n
 
-    def sums(self) -> tuple[np.ndarray, pa.Array, pa.Array, pa.Array]:
-        """(group, code, other, n)."""
-        group, code, n = (np.zeros(0, np.int64),) * 3
-        if self.plain:
-            group, code = (np.concatenate(x) for x in zip(*self.plain, strict=True))
-            order = np.lexsort((code, group))
-            group, code = group[order], code[order]
-            first = np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]) | (code[1:] != code[:-1]))))
-            n = np.diff(np.append(first, len(group)))
-            group, code = group[first], code[first]
-        more = len(self.other)
+    def sums(self, into: np.ndarray | None = None) -> tuple[np.ndarray, pa.Array, pa.Array, pa.Array]:
+        """(group, code, other, n); with `into`, the group that each goes into, the highest of
+        the sums of the groups that go into one."""
+        group, code, n = _counted(self.plain, np.int64, into)
+        # Windows with other letters, by their number among the lot's.
+        words, at = np.zeros(0, f"S{self.k}"), []
+        if self.lettered:
+            words, number = _numbered(np.concatenate([w for _, w in self.lettered]), self.k)
+            at = [(np.concatenate([g for g, _ in self.lettered]), number)]
+        other_group, number, other_n = _counted(at, np.int64, into)
+        texts = dict(self.other)
+        if into is not None:
+            texts = {}
+            for (g, w), count in self.other.items():
+                texts[int(into[g]), w] = max(count, texts.get((int(into[g]), w), 0))
+        more = len(number) + len(texts)
         code = pa.concat_arrays([pa.array(code, pa.int64()), pa.nulls(more, pa.int64())])
-        words = pa.concat_arrays([pa.nulls(len(group), pa.string()), pa.array([w for _, w in self.other], pa.string())])
-        counts = pa.array(np.concatenate((n, np.fromiter(self.other.values(), np.int64, more))), pa.int64())
-        return np.concatenate((group, np.fromiter((g for g, _ in self.other), np.int64, more))), code, words, counts
-
-
-def packed(records: DataFrame, k: int, full: bool = True, seq: str = "seq", keep: tuple[str, ...] = (), strands: bool = False) -> DataFrame:
+        named = pa.array(words[number].astype(f"U{self.k}"), pa.string())
+        other = pa.concat_arrays([pa.nulls(len(group), pa.string()), named, pa.array([w for _, w in texts], pa.string())])
+        counts = pa.array(np.concatenate((n, other_n, np.fromiter(texts.values(), np.int64, len(texts)))), pa.int64())
+        return np.concatenate((group, other_group, np.fromiter((g for g, _ in texts), np.int64, len(texts)))), code, other, counts
+
+
+def _numbered(words: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words and each one's number among them; up to 8 letters are sorted as one integer."""
+    if k > 8:
+        return np.unique(words, return_inverse=True)
+    keys, first, number = np.unique(words.astype("S8").view(">u8").astype(np.uint64), return_index=True, return_inverse=True)
+    return words[first], number
+
+
+def _counted(parts: list[tuple[np.ndarray, np.ndarray]], kind: type, into: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(group, code, n) of the parts' (group, code) rows, by group and code; see _Lot.sums for `into`."""
+    if not parts:
+        return (np.zeros(0, kind),) * 3
+    group, code = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((code, group))
+    group, code = group[order], code[order]
+    first = _changes(group, code)
+    n = np.diff(np.append(first, len(group)))
+    group, code = group[first], code[first]
+    if into is not None:
+        group = into[group]
+        order = np.lexsort((code, group))
+        group, code, n = group[order], code[order], n[order]
+        first = _changes(group, code)
+        group, code, n = group[first], code[first], np.maximum.reduceat(n, first)
+    return group, code, n
+
+
+def _changes(group: np.ndarray, code: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]) | (code[1:] != code[:-1]))))
+
+
+def packed(
+    records: DataFrame, k: int, full: bool = True, seq: str = "seq", keep: tuple[str, ...] = (), strands: bool = False, alone: str | None = None
+) -> DataFrame:
     """(keep..., code, other, n): windows with their numbers, in sums that a batch has made of
     rows with equal `keep`; so a window stands in several rows, and n has to be summed.
 
     code is the window in two bits a letter, other the window itself where it has other letters
     than plain bases (one of the two is null). strands also counts every reverse complement.
-    Null sequences and those shorter than k have no windows.
+    Null sequences and those shorter than k have no windows. Where the column `alone` of `keep`
+    holds, rows are summed one by one and n is the highest of those sums.
     """
     whole = F.col(seq) if full else F.left(F.col(seq), F.length(seq) - 1)
     pieces = records.select(*keep, F.explode(S.chunks(whole, CHUNK, k - 1)).alias("__piece"))
+    flag = keep.index(alone) if alone else None
+
+    # Groups with many windows have a row of counts, which a task holds over its batches.
+    width = 4**k if k <= 10 and flag is None else HELD + 1
+    kinds = [f.dataType for f in pieces.schema.fields[:-1]]
+
+    def counted(slots: dict[tuple, int], cells: np.ndarray) -> Iterator[pa.RecordBatch]:
+        held, step = list(slots), max(1, LOT // 4 // width)
+        for low in range(0, len(held), step):
+            slot, code = cells[low : min(low + step, len(held))].nonzero()
+            columns = [pa.array([name[c] for name in held[low : low + step]], to_arrow_type(t)).take(pa.array(slot)) for c, t in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(code), pa.nulls(len(code), pa.string()), pa.array(cells[low + slot, code])], [*keep, "code", "other", "n"])
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots: dict[tuple, int] = {}
+        cells = np.zeros((max(1, HELD // width), width) if width <= HELD else (0, 0), np.int64)
         for batch in batches:
             names = list(zip(*[batch.column(i).to_pylist() for i in range(len(keep))], strict=True)) if keep else [()] * batch.num_rows
-            lot, groups, rows = _Lot(k, strands), {}, []
+            lot, groups, rows, into = _Lot(k, strands), {}, [], []
             for i, piece in enumerate(batch.column(len(keep))):
-                if names[i] not in groups:
-                    groups[names[i]] = len(groups)
+                group = groups.get(names[i], -1)
+                if group < 0 or flag is not None and names[i][flag]:
+                    into.append(len(rows) if group < 0 else group)
+                    group = len(rows)
+                    groups.setdefault(names[i], group)
                     rows.append(i)
-                lot.add(groups[names[i]], piece.as_py() or "")
+                lot.add(group, piece.as_py() or "")
                 if lot.letters >= LOT or i == batch.num_rows - 1:
-                    group, *columns = lot.sums()
+                    if len(groups) <= len(cells) and len(groups) * width <= 4 * lot.letters:
+                        if len(slots.keys() | groups.keys()) > len(cells):
+                            yield from counted(slots, cells)
+                            slots.clear()
+                            cells[:] = 0
+                        place = np.array([slots.setdefault(name, len(slots)) for name in groups], np.int64)
+                        for numbered, code in lot.plain:
+                            if len(code):
+                                cells[place[numbered[0]]] += np.bincount(code, minlength=width)
+                        lot.plain = []
+                    group, *columns = lot.sums(None if flag is None else np.array(into, np.int64))
                     at = pa.array(np.array(rows, np.int64)[group])
                     yield pa.RecordBatch.from_arrays([*[batch.column(c).take(at) for c in range(len(keep))], *columns], [*keep, "code", "other", "n"])
-                    lot, groups, rows = _Lot(k, strands), {}, []
+                    lot, groups, rows, into = _Lot(k, strands), {}, [], []
+        yield from counted(slots, cells)
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields[:-1]]
     return pieces.mapInArrow(summed, ", ".join([*fields, "code long", "other string", "n long"]))

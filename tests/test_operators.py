@@ -699,3 +699,46 @@ def test_spread_deals_out_single_row_groups(spark, tmp_path):
     rows = tables.spread(spark.read.parquet(str(tmp_path / "t")))
     assert rows.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism and rows.count() == 100
     assert tables.spread(rows) is rows
+
+
+def test_sums_are_held_over_batches(spark, monkeypatch):
+    """One row a group and window however many batches a task reads, also when counts are handed on early."""
+    rng = random.Random(3)
+    texts = [(f"g{i % 3}" if i % 7 else None, "".join(rng.choice("ACGT" if i % 2 else "ACGTNa") for _ in range(rng.randint(0, 400)))) for i in range(40)]
+    frame = spark.createDataFrame(texts, "g string, seq string").coalesce(1)
+    flip = str.maketrans("ACGT", "TGCA")
+    want = Counter()
+    for g, t in texts:
+        for i in range(len(t) - 2):
+            want[g, t[i : i + 3]] += 1
+            want[g, t[i : i + 3][::-1].translate(flip)] += 1
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        for held in (1 << 22, 2 * 64):
+            monkeypatch.setattr(kmers, "HELD", held)
+            rows = kmers.packed(frame, 3, keep=("g",), strands=True).select("g", kmers.unpacked(3).alias("kmer"), "other", "n").collect()
+            got = Counter()
+            for r in rows:
+                got[r.g, r.kmer] += r.n
+            assert got == want
+            plain = [(r.g, r.kmer) for r in rows if r.other is None]
+            assert held < 1 << 22 or len(plain) == len(set(plain))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_sketches_and_similarities_are_read_once(spark, tmp_path):
+    """K-mers are counted as numbers, and what is read several times is written once."""
+    rows = spark.createDataFrame([("r1", "ACGTACGTTT"), ("r2", "ACGTTTTACG"), ("r1", "GGGACGT")], "r string, seq string")
+    sketch = cluster.sketch(rows, 3, "r")
+    want = Counter()
+    flip = str.maketrans("ACGT", "TGCA")
+    for r in rows.collect():
+        for i in range(len(r.seq) - 2):
+            w = r.seq[i : i + 3]
+            want[r.r, min(w, w[::-1].translate(flip))] += 1
+    assert Counter(x.abund for x in sketch.collect()) == Counter(want.values())
+    assert "MapInArrow" in sketch._jdf.queryExecution().optimizedPlan().toString()
+    records, distances = cluster.row_distances(cluster.similarity(sketch, "r"))
+    assert "MapInArrow" not in records._jdf.queryExecution().optimizedPlan().toString()
+    assert str(distances._jdf.queryExecution().optimizedPlan().toString()).count("xxhash64") == 0
