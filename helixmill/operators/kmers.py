@@ -242,12 +242,25 @@ def conserved(records: DataFrame, k: int, group: str, full: bool = True, seq: st
 
 def assembly_conserved(records: DataFrame, k: int, record: str, assembly: str, full: bool = False) -> DataFrame:
     """(kmer, n_min, n_max) of the k-mers in every assembly; an assembly's count is the
-    highest of its records."""
-    counts = canonical_counts(records, k, (assembly, record), full)
-    best = counts.groupBy(assembly, "kmer").agg(F.max("n").alias("n"))
+    highest of its records.
+
+    A record of one row and one piece is counted whole in its batch, which hands on the highest
+    counts of its assemblies; longer records, and all of them if any record has several rows,
+    are told apart until their pieces are together.
+    """
+    several = not records.groupBy(assembly, record).agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    alone = F.lit(False) if several else F.coalesce(F.length("seq") <= CHUNK, F.lit(True))
+    cut = records.select(F.col(assembly).alias("__assembly"), alone.alias("__alone"), F.when(~alone, F.col(record)).alias("__record"), "seq")
+    counts = packed(cut, k, full, keep=("__assembly", "__alone", "__record"), strands=True, alone="__alone")
+    n = F.when(F.col("__alone"), F.max("n")).otherwise(F.sum("n")).alias("n")
+    whole = counts.groupBy("__assembly", "__alone", "__record", "code", "other").agg(n)
+    best = whole.groupBy("__assembly", "code", "other").agg(F.max("n").alias("n"))
     groups = records.select(assembly).distinct().agg(F.count("*").alias("__groups"))
-    shared = best.groupBy("kmer").agg(F.count("*").alias("__n"), F.min("n").alias("n_min"), F.max("n").alias("n_max"))
-    return shared.join(F.broadcast(groups), F.col("__n") == F.col("__groups")).select("kmer", "n_min", "n_max")
+    shared = best.groupBy("code", "other").agg(F.count("*").alias("__n"), F.min("n").alias("n_min"), F.max("n").alias("n_max"))
+    found = shared.join(F.broadcast(groups), F.col("__n") == F.col("__groups")).select(unpacked(k).alias("kmer"), "n_min", "n_max")
+    # A palindrome counts 2n-1 in every record.
+    less = F.when(F.col("kmer") == S.reverse_complement(F.col("kmer")), 1).otherwise(0)
+    return found.select("kmer", (F.col("n_min") - less).alias("n_min"), (F.col("n_max") - less).alias("n_max"))
 
 
 def document_frequency(records: DataFrame, k: int, record: str, singletons: bool = True) -> DataFrame:

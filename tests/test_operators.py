@@ -727,6 +727,33 @@ def test_sums_are_held_over_batches(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_highest_counts_of_assemblies(spark, monkeypatch):
+    """Whole records hand on the highest counts a batch; long records and those of several rows too."""
+    rng = random.Random(5)
+    for size, repeat in ((1 << 15, 1), (30, 1), (1 << 15, 2)):
+        monkeypatch.setattr(kmers, "CHUNK", size)
+        rows = [(f"a{i % 2}", i // repeat, "".join(rng.choice("ACGTN" if i == 3 else "AACGT") for _ in range(rng.randint(20, 90)))) for i in range(0, 24)]
+        counts = {}
+        flip = str.maketrans("ACGT", "TGCA")
+        for a, r, t in rows:
+            c = counts.setdefault((a, r), Counter())
+            for i in range(len(t) - 3):
+                c[t[i : i + 3]] += 1
+                c[t[i : i + 3][::-1].translate(flip)] += 1
+        best = {}
+        for (a, _), c in counts.items():
+            for w, n in c.items():
+                n -= w == w[::-1].translate(flip)
+                best.setdefault(w, {})[a] = max(n, best.get(w, {}).get(a, 0))
+        want = {(w, min(x.values()), max(x.values())) for w, x in best.items() if len(x) == 2}
+        out = kmers.assembly_conserved(spark.createDataFrame(rows, "a string, r int, seq string"), 3, "r", "a")
+        assert {tuple(r) for r in out.collect()} == want
+        frame = spark.createDataFrame([r for r in rows if r[0] == "a0"], "a string, r int, seq string").coalesce(1).withColumn("own", F.lit(True))
+        alone = kmers.packed(frame, 3, False, keep=("a", "own"), strands=True, alone="own").collect()
+        if size > 30 and repeat == 1:
+            assert len({(r.code, r.other) for r in alone}) == len(alone)
+
+
 def test_sketches_and_similarities_are_read_once(spark, tmp_path):
     """K-mers are counted as numbers, and what is read several times is written once."""
     rows = spark.createDataFrame([("r1", "ACGTACGTTT"), ("r2", "ACGTTTTACG"), ("r1", "GGGACGT")], "r string, seq string")
