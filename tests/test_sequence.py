@@ -200,3 +200,13 @@ def test_probe_query_tries_every_probe(spark, tmp_path):
     spark.createDataFrame([(1, f"zzz {items[3]} zzz", "en", "s")], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     row = queries.probe_align(spark, str(tmp_path)).first()
     assert (row.ProbeID, row.Probe_mismatches, row.Probe_startOnAmplicon, row.ProbeStrand) == ("p3", 0, 3, "Plus")
+
+
+def test_translation_is_vectorised(spark):
+    """Odd letters, cases and lengths codon by codon; no map of codons is looked through for each."""
+    seqs = ["ATGGCC", "atgNCCta", "", "AT", None, "ATGéCC", "TAATAGTGAC"]
+    rows = spark.createDataFrame([(s,) for s in seqs], "s string").select("s", S.translate_cds(F.col("s")).alias("p"))
+    got = {r.s: r.p for r in rows.collect()}
+    assert got == {s: None if s is None else "".join(S.CODONS.get(s.upper()[i : i + 3], "X") for i in range(0, len(s) - 2, 3)) for s in seqs}
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and "try_element_at" not in plan
