@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from helixmill.functions import sequence as S
+from helixmill.operators.tables import written
 
 
 def candidates(
@@ -142,9 +143,10 @@ def designed(
 
     regions, markers: chrom, start, end; sequences: chrom, seq; cds limits products to lie
     within a feature. Without markers (the gene variant, for small genomes) the interior oligos
-    come from the regions too. Primers that fold or pair with each other are left out.
+    come from the regions too. Primers that fold or pair with each other are left out. Primers
+    are written, as both sides of the pairs read them.
     """
-    primers = unfolded(candidates(regions, sequences, lengths, tm), fold)
+    primers = written(unfolded(candidates(regions, sequences, lengths, tm), fold))
     pairs = primer_pairs(primers, *product)
     if cds is not None:
         pairs = inside(pairs, cds)
