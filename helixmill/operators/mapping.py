@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from helixmill.functions import sequence as S
 from helixmill.operators.intervals import merge
@@ -104,6 +105,110 @@ class Motifs:
                 yield number, np.sort(here)
 
 
+def letters_of(text: str) -> np.ndarray:
+    """A text's code points, as bytes where it is plain ASCII."""
+    return np.frombuffer(text.encode(), np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+class Seeds:
+    """Words of one length looked up in one text at once.
+
+    The text's windows become 64-bit numbers; a table of flags tells most that are no word, the
+    others are searched among the words' sorted numbers and compared letter by letter.
+    """
+
+    MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+    #: Candidates that are compared at once.
+    CANDIDATES = 1 << 16
+
+    def __init__(self, words: list[str]):
+        self.k = len(words[0])
+        letters = np.stack([np.array([ord(c) for c in w], np.uint32) for w in words])
+        number = self.numbers(letters.ravel())[:: self.k][: len(words)]
+        self.order = np.argsort(number, kind="stable")
+        self.letters, self.number = letters[self.order], number[self.order]
+        self.shift = np.uint64(64 - max(16, min(24, (64 * len(words)).bit_length())))
+        self.flags = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.flags[self.number >> self.shift] = True
+
+    def numbers(self, text: np.ndarray) -> np.ndarray:
+        """The number of every window."""
+        out = np.zeros(len(text) - self.k + 1, np.uint64)
+        for i in range(self.k):
+            out *= self.MULTIPLIER
+            out += text[i : i + len(out)]
+        out *= self.MULTIPLIER
+        out ^= out >> np.uint64(29)
+        out *= self.MULTIPLIER
+        return out
+
+    def find(self, text: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places, words): the places of the words, by their numbers in the given list, in lots."""
+        if len(text) < self.k:
+            return
+        number = self.numbers(text)
+        places = np.flatnonzero(self.flags[number >> self.shift])
+        number = number[places]
+        low, high = np.searchsorted(self.number, number), np.searchsorted(self.number, number, "right")
+        places, low, n = places[high > low], low[high > low], (high - low)[high > low]
+        ends = np.cumsum(n)
+        at = 0
+        while at < len(places):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + self.CANDIDATES, "right")))
+            count = n[at:to]
+            row = np.repeat(np.arange(at, to), count)
+            entry = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            same = (text[places[row][:, None] + np.arange(self.k)] == self.letters[entry]).all(axis=1)
+            yield places[row[same]], self.order[entry[same]]
+            at = to
+
+
+def joined_texts(texts: list[str], lot: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first, letters, begins): lots of texts of about `lot` letters, one behind the other with a
+    zero after each; begins has one entry more than the lot has texts."""
+    low = 0
+    while low < len(texts):
+        high, letters = low, 0
+        while high < len(texts) and (high == low or letters + len(texts[high]) < lot):
+            letters += len(texts[high]) + 1
+            high += 1
+        begin = np.cumsum([0] + [len(t) + 1 for t in texts[low:high]])
+        yield low, letters_of("\0".join(texts[low:high]) + "\0"), begin
+        low = high
+
+
+def present(kmers: DataFrame, records: DataFrame, kept: tuple[str, ...]) -> DataFrame:
+    """(id, kept...): the ids of the k-mers that a record holds, a row for each id of a record.
+
+    kmers (id, kmer) are a panel, sent along as a broadcast value, of any lengths; records have
+    kept and seq. Records go through one by one, so nothing is shuffled.
+    """
+    panel = [r for r in kmers.select("id", "kmer").filter("length(kmer) > 0").collect()]
+    shared = records.sparkSession.sparkContext.broadcast(panel)
+    id_kind, own = to_arrow_type(kmers.schema["id"].dataType), len(kept)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = pa.array([r["id"] for r in shared.value], id_kind)
+        indexes = []
+        for k in sorted({len(r["kmer"]) for r in shared.value}):
+            numbers = [i for i, r in enumerate(shared.value) if len(r["kmer"]) == k]
+            indexes.append((np.array(numbers), Seeds([shared.value[i]["kmer"] for i in numbers])))
+        for batch in batches:
+            texts = [x or "" for x in batch.column(own).to_pylist()]
+            for low, text, begin in joined_texts(texts, LOT):
+                for numbers, index in indexes:
+                    pairs = [np.zeros(0, np.int64)]
+                    for places, words in index.find(text):
+                        pairs.append(np.unique((np.searchsorted(begin, places, "right") - 1) * len(ids) + numbers[words]))
+                    pair = np.unique(np.concatenate(pairs))
+                    if len(pair):
+                        row = pa.array(low + pair // len(ids))
+                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(pair % len(ids))), *[batch.column(i).take(row) for i in range(own)]], ["id", *kept])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in records.select(*kept).schema.fields)
+    return records.select(*kept, "seq").mapInArrow(found, f"id {kmers.schema['id'].dataType.simpleString()}, {fields}")
+
+
 _BASE = np.full(256, 4, np.int64)
 _BASE[[*b"ACGT"]] = range(4)
 #: Letters of the pieces that are searched together, about.

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from helixmill.functions import sequence as S
 from helixmill.operators.kmers import CHUNK
+from helixmill.operators.mapping import LOT, Seeds, joined_texts
 
 
 def with_mismatches(hits: DataFrame, oligos: DataFrame, limit: float = 3.0) -> DataFrame:
@@ -21,7 +27,7 @@ def with_mismatches(hits: DataFrame, oligos: DataFrame, limit: float = 3.0) -> D
     return named.withColumn("strand", S.strand(F.col("sstart"), F.col("send"))).drop("__budget")
 
 
-#: Pieces of oligos up to this number (some MB) are broadcast; more are joined by a shuffle.
+#: Pieces of oligos up to this number (some MB) are sent to the tasks; more are joined by a shuffle.
 BROADCAST_SEEDS = 100_000
 
 
@@ -29,8 +35,8 @@ def seed_search(oligos: DataFrame, sequences: DataFrame, limit: int = 3) -> Data
     """(qseqid, sseqid, nident, sstart, send): ungapped hits of oligos on both strands with at
     most `limit` mismatches. It stands in for an external search and finds no gapped hits.
 
-    An oligo is cut into limit+1 pieces; a hit has one of them without mismatch. Pieces meet
-    the sequences' windows by an equi-join, and the whole oligo is then compared.
+    An oligo is cut into limit+1 pieces; a hit has one of them without mismatch. The places of
+    the pieces are looked up in the sequences, and the whole oligo is then compared there.
     """
     both = oligos.select("id", F.col("seq").alias("probe"), F.lit(False).alias("minus")).unionByName(
         oligos.select("id", S.reverse_complement(F.col("seq")).alias("probe"), F.lit(True).alias("minus"))
@@ -40,21 +46,11 @@ def seed_search(oligos: DataFrame, sequences: DataFrame, limit: int = 3) -> Data
     starts = F.transform(F.sequence(F.lit(0), F.lit(limit)), lambda i: i * size)
     seeds = both.withColumn("__size", size).select("id", "probe", "minus", "__size", F.explode(starts).alias("__at"))
     seeds = seeds.withColumn("seed", F.substring("probe", F.col("__at") + 1, F.col("__size"))).filter(F.length("seed") == F.col("__size"))
-    sizes = [r["__size"] for r in seeds.select("__size").distinct().collect()]
-    few = seeds.count() <= BROADCAST_SEEDS
-    found = None
-    for k in sizes:
-        windows = sequences.select("sseqid", "seq", F.posexplode(S.windows(F.col("seq"), k)).alias("__pos", "seed"))
-        some = seeds.filter(F.col("__size") == k)
-        part = windows.join(F.broadcast(some) if few else some, "seed")
-        begin = F.col("__pos") - F.col("__at")
-        fits = (begin >= 0) & (begin + n <= F.length("seq"))
-        site = F.substring("seq", begin + 1, n)
-        hit = part.filter(fits).withColumn("__begin", begin).withColumn("__n", S.hamming(site, F.col("probe"))).filter(F.col("__n") <= limit)
-        found = hit if found is None else found.unionByName(hit)
-    if found is None:  # no oligos
-        return sequences.sparkSession.createDataFrame([], f"qseqid string, sseqid {sequences.schema['sseqid'].dataType.simpleString()}, nident int, sstart long, send long")
-    rows = found.select("id", "sseqid", "minus", "__begin", "__n", n.alias("len")).distinct()
+    if seeds.count() <= BROADCAST_SEEDS:
+        found = _seeded(seeds, sequences, limit)
+    else:
+        found = _joined(seeds, sequences, limit)
+    rows = found.distinct()
     first, last = F.col("__begin") + 1, F.col("__begin") + F.col("len")
     return rows.select(
         F.col("id").alias("qseqid"), "sseqid", (F.col("len") - F.col("__n")).alias("nident"),
@@ -63,6 +59,63 @@ def seed_search(oligos: DataFrame, sequences: DataFrame, limit: int = 3) -> Data
     )
 
 
+def _seeded(seeds: DataFrame, sequences: DataFrame, limit: int) -> DataFrame:
+    """(id, sseqid, minus, __begin, __n, len) of the hits of seeds that tasks hold as arrays: the
+    sequences' pieces are searched as numbers, and no window becomes a row."""
+    panel = seeds.collect()
+    shared = sequences.sparkSession.sparkContext.broadcast(panel)
+    longest = max((len(r["probe"]) for r in panel), default=1)
+    pieces = sequences.select("sseqid", F.posexplode(S.chunks(F.col("seq"), CHUNK, longest - 1)).alias("__number", "__piece"))
+    id_kind, sseqid = to_arrow_type(seeds.schema["id"].dataType), sequences.schema["sseqid"].dataType.simpleString()
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, minus = pa.array([r["id"] for r in shared.value], id_kind), pa.array([r["minus"] for r in shared.value], pa.bool_())
+        at, length = np.array([r["__at"] for r in shared.value], np.int64), np.array([len(r["probe"]) for r in shared.value], np.int64)
+        probes, slot = {}, np.zeros(len(length), np.int64)
+        for n in np.unique(length).tolist():
+            own = np.flatnonzero(length == n)
+            probes[n], slot[own] = np.array([[ord(c) for c in shared.value[i]["probe"]] for i in own], np.uint32), np.arange(len(own))
+        indexes = []
+        for k in sorted({r["__size"] for r in shared.value}):
+            numbers = np.flatnonzero([r["__size"] == k for r in shared.value])
+            indexes.append((numbers, Seeds([shared.value[i]["seed"] for i in numbers])))
+        for batch in batches:
+            texts, number = [x or "" for x in batch.column(2).to_pylist()], batch.column(1).to_numpy().astype(np.int64)
+            for low, text, begin in joined_texts(texts, LOT):
+                for numbers, index in indexes:
+                    for places, words in index.find(text):
+                        seed = numbers[words]
+                        row, place = np.searchsorted(begin, places, "right") - 1, places - at[seed]
+                        fits = (place >= begin[row]) & (place + length[seed] < begin[row + 1])
+                        seed, row, place = seed[fits], row[fits], place[fits]
+                        for n in np.unique(length[seed]).tolist():
+                            own = np.flatnonzero(length[seed] == n)
+                            apart = (text[place[own][:, None] + np.arange(n)] != probes[n][slot[seed[own]]]).sum(axis=1)
+                            own, apart = own[apart <= limit], apart[apart <= limit]
+                            if len(own):
+                                s, r = pa.array(seed[own]), row[own]
+                                start = number[low + r] * CHUNK + place[own] - begin[r]
+                                columns = [ids.take(s), batch.column(0).take(pa.array(low + r)), minus.take(s), pa.array(start), pa.array(apart.astype(np.int32)), pa.array(np.full(len(own), n, np.int32))]
+                                yield pa.RecordBatch.from_arrays(columns, ["id", "sseqid", "minus", "__begin", "__n", "len"])
+
+    return pieces.mapInArrow(found, f"id {seeds.schema['id'].dataType.simpleString()}, sseqid {sseqid}, minus boolean, __begin long, __n int, len int")
+
+
+def _joined(seeds: DataFrame, sequences: DataFrame, limit: int) -> DataFrame:
+    """As _seeded, for more seeds than a task should hold: windows meet them by a shuffle."""
+    n = F.length("probe")
+    found = None
+    for k in [r["__size"] for r in seeds.select("__size").distinct().collect()]:
+        windows = sequences.select("sseqid", "seq", F.posexplode(S.windows(F.col("seq"), k)).alias("__pos", "seed"))
+        part = windows.join(seeds.filter(F.col("__size") == k), "seed")
+        begin = F.col("__pos") - F.col("__at")
+        fits = (begin >= 0) & (begin + n <= F.length("seq"))
+        site = F.substring("seq", begin + 1, n)
+        hit = part.filter(fits).withColumn("__begin", begin.cast("long")).withColumn("__n", S.hamming(site, F.col("probe"))).filter(F.col("__n") <= limit)
+        found = hit if found is None else found.unionByName(hit)
+    return found.select("id", "sseqid", "minus", "__begin", "__n", n.alias("len"))
+
+
 def best_hits(hits: DataFrame, n: int = 1) -> DataFrame:
     """The n best-scoring hits of each oligo on each sequence."""
     from pyspark.sql import Window
