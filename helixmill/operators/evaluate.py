@@ -159,10 +159,11 @@ def off_target_members(rows: DataFrame, k: int = 3, exact: bool = False) -> Data
     so it is a number here, and `off_target_failures` lists it once a label. Counts are summed
     on the map side; a profile that is in most genomes is one key of the last join, whose
     large side Spark splits. `others` counts label and accession pairs. Null labels are a label,
-    sequences that are null have no profile and no row.
+    sequences that are null have no profile and no row. Profiles are written once, so that the
+    sequences are read once.
     """
     key = F.sha2("AmpliconSeq", 256) if exact else S.composition_key(F.col("AmpliconSeq"), k)
-    signed = rows.filter("AmpliconSeq IS NOT NULL").select("primer_set", key.alias("profile"), "label", "accession").distinct()
+    signed = written(rows.filter("AmpliconSeq IS NOT NULL").select("primer_set", key.alias("profile"), "label", "accession").distinct())
     per_label = signed.groupBy("primer_set", "profile", "label").agg(F.count("*").alias("own"))
     every = per_label.groupBy("primer_set", "profile").agg(F.sum("own").alias("all"), F.count("*").alias("labels")).filter("labels > 1")
     counts = _same(per_label, every, "primer_set", "profile").select("primer_set", "profile", "label", (F.col("all") - F.col("own")).alias("others"))
@@ -189,7 +190,7 @@ def off_target_by_composition(rows: DataFrame, k: int = 3, exact: bool = False)
     """(primer_set, label, accession, failure_acc): the off-target accessions of every accession
     as one sorted list, for writing. The lists are made once a profile and label and then put
     to the accessions, so only the result itself grows with the square of a profile's members."""
-    members = off_target_members(rows, k, exact)
+    members = written(off_target_members(rows, k, exact))
     lists = off_target_failures(members).groupBy("primer_set", "profile", "label").agg(F.collect_list("failure_acc").alias("failure_acc"))
     listed = _same(members, lists, "primer_set", "profile", "label")
     every = F.array_sort(F.array_distinct(F.flatten(F.collect_list("failure_acc"))))
