@@ -110,6 +110,11 @@ def letters_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode(), np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def spelled(words: list[str]) -> np.ndarray:
+    """Words of one length as rows of code points."""
+    return np.array([[ord(c) for c in w] for w in words], np.uint32)
+
+
 class Seeds:
     """Words of one length looked up in one text at once.
 
@@ -121,13 +126,13 @@ class Seeds:
     #: Candidates that are compared at once.
     CANDIDATES = 1 << 16
 
-    def __init__(self, words: list[str]):
-        self.k = len(words[0])
-        letters = np.stack([np.array([ord(c) for c in w], np.uint32) for w in words])
-        number = self.numbers(letters.ravel())[:: self.k][: len(words)]
+    def __init__(self, letters: np.ndarray):
+        """letters: a row of code points for each word."""
+        self.k = letters.shape[1]
+        number = self.numbers(letters.ravel())[:: self.k]
         self.order = np.argsort(number, kind="stable")
         self.letters, self.number = letters[self.order], number[self.order]
-        self.shift = np.uint64(64 - max(16, min(24, (64 * len(words)).bit_length())))
+        self.shift = np.uint64(64 - max(16, min(24, (64 * len(letters)).bit_length())))
         self.flags = np.zeros(1 << (64 - int(self.shift)), bool)
         self.flags[self.number >> self.shift] = True
 
@@ -183,7 +188,7 @@ def present(kmers: DataFrame, records: DataFrame, kept: tuple[str, ...]) -> Data
     kmers (id, kmer) are a panel, sent along as a broadcast value, of any lengths; records have
     kept and seq. Records go through one by one, so nothing is shuffled.
     """
-    panel = [r for r in kmers.select("id", "kmer").filter("length(kmer) > 0").collect()]
+    panel = kmers.select("id", "kmer").filter("length(kmer) > 0").collect()
     shared = records.sparkSession.sparkContext.broadcast(panel)
     id_kind, own = to_arrow_type(kmers.schema["id"].dataType), len(kept)
 
@@ -192,7 +197,7 @@ def present(kmers: DataFrame, records: DataFrame, kept: tuple[str, ...]) -> Data
         indexes = []
         for k in sorted({len(r["kmer"]) for r in shared.value}):
             numbers = [i for i, r in enumerate(shared.value) if len(r["kmer"]) == k]
-            indexes.append((np.array(numbers), Seeds([shared.value[i]["kmer"] for i in numbers])))
+            indexes.append((np.array(numbers), Seeds(spelled([shared.value[i]["kmer"] for i in numbers]))))
         for batch in batches:
             texts = [x or "" for x in batch.column(own).to_pylist()]
             for low, text, begin in joined_texts(texts, LOT):

@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from helixmill.functions import sequence as S
 from helixmill.operators.kmers import CHUNK
-from helixmill.operators.mapping import LOT, Seeds, joined_texts
+from helixmill.operators.mapping import LOT, Seeds, joined_texts, spelled
 
 
 def with_mismatches(hits: DataFrame, oligos: DataFrame, limit: float = 3.0) -> DataFrame:
@@ -74,11 +74,11 @@ def _seeded(seeds: DataFrame, sequences: DataFrame, limit: int) -> DataFrame:
         probes, slot = {}, np.zeros(len(length), np.int64)
         for n in np.unique(length).tolist():
             own = np.flatnonzero(length == n)
-            probes[n], slot[own] = np.array([[ord(c) for c in shared.value[i]["probe"]] for i in own], np.uint32), np.arange(len(own))
+            probes[n], slot[own] = spelled([shared.value[i]["probe"] for i in own]), np.arange(len(own))
         indexes = []
         for k in sorted({r["__size"] for r in shared.value}):
             numbers = np.flatnonzero([r["__size"] == k for r in shared.value])
-            indexes.append((numbers, Seeds([shared.value[i]["seed"] for i in numbers])))
+            indexes.append((numbers, Seeds(spelled([shared.value[i]["seed"] for i in numbers]))))
         for batch in batches:
             texts, number = [x or "" for x in batch.column(2).to_pylist()], batch.column(1).to_numpy().astype(np.int64)
             for low, text, begin in joined_texts(texts, LOT):
