@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixmill.functions import sequence as S
+from helixmill.operators.tables import written
 
 
 #: Letters of a chromosome whose intervals meet in one task.
@@ -59,16 +60,33 @@ def merge(intervals: DataFrame, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
 def complement(intervals: DataFrame, sizes: DataFrame) -> DataFrame:
     """(chrom, start, end): what the intervals leave of [0, size) of every chromosome.
 
-    sizes has chrom and size; chromosomes without intervals are emitted whole.
+    sizes has chrom and size; chromosomes without intervals are emitted whole. A gap opens before
+    an interval that starts after every end before it, so the intervals aren't merged: they are
+    shuffled once into bins of their starts, sorted there, and what earlier bins hand on is summed
+    over one row a bin. Intervals without a start are left out; one without an end closes the gap
+    before it, and what follows it up to the next island is unknown and no gap.
     """
-    merged = merge(intervals)
-    order = Window.partitionBy("chrom").orderBy("start")
-    gaps = merged.select("chrom", F.col("end").alias("start"), F.lead("start").over(order).alias("end"))
-    heads = merged.groupBy("chrom").agg(F.min("start").alias("end")).withColumn("start", F.lit(0).cast("long"))
-    every = gaps.unionByName(heads.select("chrom", "start", "end")).join(sizes, "chrom")
-    inner = every.select("chrom", "start", F.coalesce("end", "size").alias("end"))
-    empty = sizes.join(merged.select("chrom").distinct(), "chrom", "left_anti").select("chrom", F.lit(0).cast("long").alias("start"), F.col("size").alias("end"))
-    return inner.unionByName(empty).filter("start < end")
+    rows = intervals.filter("start IS NOT NULL AND chrom IS NOT NULL").select("chrom", "start", "end", F.floor(F.col("start") / BIN).alias("__bin"))
+    reach, endless = F.max("end").alias("__reach"), F.max(F.when(F.col("end").isNull(), F.col("start"))).alias("__endless")
+    bins = written(rows.groupBy("chrom", "__bin").agg(reach, endless))
+    times = sizes.groupBy("chrom").agg(F.count("*").alias("__times"))
+    across = Window.partitionBy("chrom").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    handed = bins.select("chrom", "__bin", F.max("__reach").over(across).alias("__r"), F.max("__endless").over(across).alias("__e")).join(times, "chrom")
+    # In the rows' partitions by bin, which the window then needs no shuffle for.
+    inside = Window.partitionBy("chrom", "__bin").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    seen = rows.join(handed, ["chrom", "__bin"]).select(
+        "chrom", F.col("start").alias("end"), "__times",
+        F.greatest("__r", F.max("end").over(inside)).alias("__reach"), F.greatest("__e", F.max(F.when(F.col("end").isNull(), F.col("start"))).over(inside)).alias("__endless"),
+    )
+    known = F.col("__endless").isNull() | (F.col("__endless") <= F.col("__reach"))
+    first = F.col("__reach").isNull() & F.col("__endless").isNull()
+    zero = F.lit(0).cast("long")
+    gaps = seen.select("chrom", F.when(first, zero).when(known, F.col("__reach")).alias("start"), "end", "__times").filter("start < end")
+    gaps = gaps.select("chrom", "start", "end", F.explode(F.array_repeat(F.lit(0), F.col("__times").cast("int"))).alias("__copy")).drop("__copy")
+    last = bins.groupBy("chrom").agg(F.max("__reach").alias("__reach"), F.max("__endless").alias("__endless"))
+    tails = last.filter(known).join(sizes, "chrom").select("chrom", F.col("__reach").alias("start"), F.col("size").alias("end"))
+    empty = sizes.join(bins.select("chrom").distinct(), "chrom", "left_anti").select("chrom", zero.alias("start"), F.col("size").alias("end"))
+    return gaps.unionByName(tails).unionByName(empty).filter("start < end")
 
 
 _UNION = np.full((256, 256), ord("N"), np.uint8)
