@@ -266,19 +266,81 @@ def assembly_conserved(records: DataFrame, k: int, record: str, assembly: str, f
 def document_frequency(records: DataFrame, k: int, record: str, singletons: bool = True) -> DataFrame:
     """(kmer, n): records that contain a k-mer of plain bases; singletons=False drops n = 1.
 
-    A record of one row and one piece has each of its k-mers once in its batch's sums, so only
-    numbers and counts are shuffled. Longer records, and all of them if any record has several
-    rows, are told apart until their pieces are together.
+    A record of one row and one piece has its k-mers made distinct where it is read, and records
+    are summed there, so only numbers and counts are shuffled. Longer records, and all of them if
+    any record has several rows, are told apart until their pieces are together.
     """
     several = not records.groupBy(record).agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
     alone = F.lit(False) if several else F.length("seq") <= CHUNK
-    cut = records.select(alone.alias("__alone"), F.when(~alone, F.col(record)).alias("__record"), F.when(alone, F.monotonically_increasing_id()).alias("__row"), "seq")
-    once = packed(cut, k, keep=("__alone", "__record", "__row")).filter("code IS NOT NULL").groupBy("__alone", "__record", "code").agg(F.count("*").alias("n"))
+    cut = records.select(alone.alias("__alone"), F.when(~alone, F.col(record)).alias("__record"), F.explode(S.chunks(F.col("seq"), CHUNK, k - 1)).alias("__piece"))
+    kind = records.schema[record].dataType.simpleString()
+    once = cut.mapInArrow(_distinct(k), f"__alone boolean, __record {kind}, code long, n long").groupBy("__alone", "__record", "code").agg(F.sum("n").alias("n"))
     out = once.groupBy("code").agg(F.sum(F.when(F.col("__alone"), F.col("n")).otherwise(1)).alias("n"))
     out = out.withColumn("other", F.lit(None).cast("string")).select(unpacked(k).alias("kmer"), "n")
     return out if singletons else out.filter("n > 1")
 
 
+def _distinct(k: int):
+    """Emits (alone, record, code, n) for pieces (alone, record, piece): the numbers of pieces that
+    stand alone with each plain window, and the distinct plain windows of every other piece."""
+    width = 4**k if 4**k <= HELD else 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, kind = np.zeros(width, np.int64), None
+
+        def rows(alone: bool, record: pa.Array, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(code), alone)), record, pa.array(code, pa.int64()), pa.array(n, pa.int64())], ["__alone", "__record", "code", "n"])
+
+        for batch in batches:
+            kind = batch.column(1).type
+            texts = [x.encode("ascii", "replace") for x in batch.column(2).to_pylist()]
+            single = np.array(batch.column(0).to_pylist(), bool)
+            low = 0
+            while low < len(texts):
+                high, letters = low, 0
+                while high < len(texts) and (high == low or letters + len(texts[high]) < LOT):
+                    letters += len(texts[high]) + 1
+                    high += 1
+                row, code = _windows(texts[low:high], k)
+                row += low
+                own = single[row]
+                codes = code[own]
+                if width:
+                    cells += np.bincount(codes, minlength=width)
+                elif len(codes):
+                    codes, n = np.unique(codes, return_counts=True)
+                    yield rows(True, pa.nulls(len(codes), kind), codes, n)
+                if not own.all():
+                    yield rows(False, batch.column(1).take(pa.array(row[~own])), code[~own], np.ones(int((~own).sum()), np.int64))
+                low = high
+        if kind is not None:
+            code = np.flatnonzero(cells)
+            yield rows(True, pa.nulls(len(code), kind), code, cells[code])
+
+    return run
+
+
+def _windows(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, code) of each text's distinct windows of plain bases."""
+    code = _CODE[np.frombuffer(b"\0".join(texts), np.uint8)]
+    if k > 31 or len(code) < k:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    bad = np.concatenate(([0], np.cumsum(code > 3)))
+    at = np.flatnonzero(bad[k:] == bad[:-k])
+    code, number = code.astype(np.int64) & 3, np.zeros(len(code) - k + 1, np.int64)
+    for j in range(k):
+        number <<= 2
+        number |= code[j : j + len(number)]
+    number = number[at]
+    row = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])[at]
+    if 2 * k + len(texts).bit_length() > 62:
+        row, number, _ = _counted([(row, number)], np.int64, None)
+        return row, number
+    key = np.sort(row << 2 * k | number)
+    key = key[np.concatenate((np.ones(min(len(key), 1), bool), key[1:] != key[:-1]))]
+    return key >> 2 * k, key & (1 << 2 * k) - 1
+
+
 def union(records: DataFrame, k: int, full: bool = False) -> DataFrame:
     """The distinct upper-case k-mers of both strands."""
     rows = packed(records.withColumn("seq", F.upper("seq")), k, full, strands=True)
