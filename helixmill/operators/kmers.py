@@ -36,6 +36,8 @@ def exploded(records: DataFrame, k: int, full: bool = True, seq: str = "seq", ke
     return pieces.select(*keep, F.explode(S.windows(F.col("__piece"), k)).alias("kmer"))
 
 
+#: Letters of a row where rows are only summed: a batch counts rows, so that long sequences would fill it with hundreds of MB.
+PIECE = 1 << 10
 #: Letters whose windows are summed together in one batch, about.
 LOT = 1 << 20
 #: Counts (8 bytes each) that a task holds at most where groups are few next to their windows.
@@ -49,10 +51,11 @@ _COMPLEMENT[[ord(c) for c in S.COMPLEMENT]] = [ord(c) for c in S.COMPLEMENT.valu
 
 
 class _Lot:
-    """Windows of some rows, summed by row group."""
+    """Windows of some rows, summed by row group. Letters are held, and windows made of a group at a time."""
 
     def __init__(self, k: int, strands: bool):
         self.k, self.strands = k, strands
+        self.texts: dict[int, list[bytes]] = {}
         self.plain: list[tuple[np.ndarray, np.ndarray]] = []
         self.lettered: list[tuple[np.ndarray, np.ndarray]] = []
         self.other: dict[tuple[int, str], int] = {}
@@ -67,28 +70,38 @@ class _Lot:
             for i in range(len(seq) - k + 1):
                 self._string(group, seq[i : i + k], 1)
             return
-        data = np.frombuffer(seq.encode(), np.uint8)
-        code = _CODE[data]
-        bad = np.concatenate(([0], np.cumsum(code > 3)))
-        plain = bad[k:] == bad[:-k]
-        if k > 31:
-            plain[:] = False
-        if plain.any():
-            at = np.flatnonzero(plain)
-            code = code.astype(np.int64)
-            number = np.zeros(len(at), np.int64)
-            for j in range(k):
-                number = number << 2 | code[at + j]
-            self.plain.append((np.full(len(at), group), number))
-            if self.strands:
-                number = np.zeros(len(at), np.int64)
-                for j in range(k - 1, -1, -1):
-                    number = number << 2 | 3 - code[at + j]
-                self.plain.append((np.full(len(at), group), number))
-        if not plain.all():
-            windows = np.lib.stride_tricks.sliding_window_view(data, k)[~plain]
-            for letters in (windows, _COMPLEMENT[windows[:, ::-1]])[: 2 if self.strands else 1]:
-                self.lettered.append((np.full(len(letters), group), np.ascontiguousarray(letters).view(f"S{k}").ravel()))
+        self.texts.setdefault(group, []).append(seq.encode())
+
+    def number(self, cells: np.ndarray | None = None, place: np.ndarray | None = None) -> None:
+        """Makes the windows; with `cells`, plain ones are added up in the row `place` of their group."""
+        k = self.k
+        for group, texts in self.texts.items():
+            data = np.frombuffer(b"\0".join(texts), np.uint8)
+            end = np.zeros(len(data), bool)
+            end[np.cumsum([len(t) + 1 for t in texts[:-1]], dtype=np.int64) - 1] = True
+            code = _CODE[data]
+            plain = _without(code > 3, k)
+            if k > 31:
+                plain[:] = False
+            other = np.flatnonzero(_without(end, k) & ~plain)
+            code &= 3
+            for back in (False, True)[: 2 if self.strands else 1]:
+                if not plain.any():
+                    break
+                number = np.zeros(len(plain), np.int32 if k <= 15 else np.int64)
+                for j in range(k):
+                    number <<= 2
+                    number |= 3 - code[k - 1 - j :][: len(number)] if back else code[j:][: len(number)]
+                number = number[plain]
+                if cells is None:
+                    self.plain.append((np.full(len(number), group, np.int32), number))
+                else:
+                    cells[place[group]] += np.bincount(number, minlength=cells.shape[1])
+            if len(other):
+                windows = np.lib.stride_tricks.sliding_window_view(data, k)[other]
+                for letters in (windows, _COMPLEMENT[windows[:, ::-1]])[: 2 if self.strands else 1]:
+                    self.lettered.append((np.full(len(letters), group), np.ascontiguousarray(letters).view(f"S{k}").ravel()))
+        self.texts = {}
 
     def _string(self, group: int, word: str, n: int) -> None:
         for w in (word, "".join(S.COMPLEMENT.get(c, c) for c in reversed(word)))[: 2 if self.strands else 1]:
@@ -117,6 +130,13 @@ class _Lot:
         return np.concatenate((group, other_group, np.fromiter((g for g, _ in texts), np.int64, len(texts)))), code, other, counts
 
 
+def _without(marked: np.ndarray, k: int) -> np.ndarray:
+    """Which windows of k letters hold no marked one."""
+    n = np.zeros(len(marked) + 1, np.int32)
+    np.cumsum(marked, dtype=np.int32, out=n[1:])
+    return n[k:] == n[:-k]
+
+
 def _numbered(words: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct words and each one's number among them; up to 8 letters are sorted as one integer."""
     if k > 8:
@@ -160,8 +180,8 @@ def packed(
     holds, rows are summed one by one and n is the highest of those sums.
     """
     whole = F.col(seq) if full else F.left(F.col(seq), F.length(seq) - 1)
-    pieces = records.select(*keep, F.explode(S.chunks(whole, CHUNK, k - 1)).alias("__piece"))
     flag = keep.index(alone) if alone else None
+    pieces = records.select(*keep, F.explode(S.chunks(whole, max(PIECE, 16 * k) if flag is None else CHUNK, k - 1)).alias("__piece"))
 
     # Groups with many windows have a row of counts, which a task holds over its batches.
     width = 4**k if k <= 10 and flag is None else HELD + 1
@@ -194,11 +214,9 @@ def packed(
                             yield from counted(slots, cells)
                             slots.clear()
                             cells[:] = 0
-                        place = np.array([slots.setdefault(name, len(slots)) for name in groups], np.int64)
-                        for numbered, code in lot.plain:
-                            if len(code):
-                                cells[place[numbered[0]]] += np.bincount(code, minlength=width)
-                        lot.plain = []
+                        lot.number(cells, np.array([slots.setdefault(name, len(slots)) for name in groups], np.int64))
+                    else:
+                        lot.number()
                     group, *columns = lot.sums(None if flag is None else np.array(into, np.int64))
                     at = pa.array(np.array(rows, np.int64)[group])
                     yield pa.RecordBatch.from_arrays([*[batch.column(c).take(at) for c in range(len(keep))], *columns], [*keep, "code", "other", "n"])

@@ -1,11 +1,13 @@
 import itertools
 import random
 import re
+import tracemalloc
 from collections import Counter
 from fractions import Fraction
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -727,6 +729,28 @@ def test_sums_are_held_over_batches(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_counting_holds_little_of_long_sequences(spark, monkeypatch):
+    """Rows handed to Python stay short however long the sequences are, and a lot's windows are never all held."""
+    given, whole = [], "ACGTTGCAAC" * 20_000
+    frame = spark.createDataFrame([(g, whole) for g in "abcd"], "g string, seq string")
+    plain = type(frame).mapInArrow
+    monkeypatch.setattr(kmers, "HELD", 1 << 14)
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda df, f, schema: given.append((df, f)) or plain(df, f, schema))
+    sums = kmers.packed(frame, 5, keep=("g",), strands=True)
+    assert {(r.g, r.n) for r in sums.groupBy("g").agg(F.sum("n").alias("n")).collect()} == {(g, 2 * (len(whole) - 4)) for g in "abcd"}
+    pieces, count = given[0]
+    assert pieces.agg(F.max(F.length("__piece"))).first()[0] < 1 << 11
+    rows = [(g, whole[i : i + 1000]) for i in range(0, len(whole), 1000) for g in "abcd"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["g", "__piece"])
+    tracemalloc.start()
+    try:
+        found = sum(sum(b.column("n").to_pylist()) for b in count(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == 2 * 996 * len(rows) and peak < 16 * batch.nbytes
+
+
 def test_highest_counts_of_assemblies(spark, monkeypatch):
     """Whole records hand on the highest counts a batch; long records and those of several rows too."""
     rng = random.Random(5)
